@@ -37,8 +37,8 @@ def clip(c, lo: float | None, hi: float | None) -> Column:
 
 
 def r(c, digits: int = 6) -> Column:
-    """Round for comparison with an oracle (half away from zero)."""
-    return F.round(_c(c).cast("double"), digits)
+    """Round for comparison with an oracle (half away from zero); -0.0 -> 0.0."""
+    return F.round(_c(c).cast("double"), digits) + F.lit(0.0)
 
 
 def safe_pct_error(residual, actual) -> Column:

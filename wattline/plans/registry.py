@@ -13,6 +13,7 @@ ORACLES: dict[str, str] = {}
 
 MODULES = [
     "wattline.plans.q_cleaning",
+    "wattline.plans.q_profiling",
 ]
 
 

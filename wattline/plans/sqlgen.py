@@ -33,7 +33,11 @@ def with_(ctes: list[str], body: str) -> str:
 
 
 def r(expr: str, digits: int = 6) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits})"
+    """Round like Spark's ``round`` on a double: half-up on the shortest decimal
+    text of the value (not on its binary expansion), -0.0 folded to 0.0."""
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"(CASE WHEN isnan({x}) OR isinf({x}) THEN {x} ELSE CAST(round(CAST(CAST({x} AS VARCHAR) "
+            f"AS DECIMAL(38,18)), {digits}) AS DOUBLE) END + 0.0)")
 
 
 READINGS = """readings AS (

@@ -24,10 +24,12 @@ def _token(idx_expr: str) -> str:
     return f"(CASE {idx_expr} {whens} END)"
 
 
-def numeric_text(j: int, col: str) -> str:
-    """Text of numeric column j: junk token, blank, NA literal, padded or plain."""
+def numeric_text(j: int, col: str, dialect: str = "spark") -> str:
+    """Text of numeric column j: junk token, blank, NA literal, padded or plain.
+    Doubles are written with six decimals (the source values have at most five)."""
     m = f"(reading_id + {3 * j})"
-    text = f"CAST({col} AS STRING)"
+    fmt = "format_string" if dialect == "spark" else "printf"
+    text = f"{fmt}('%.6f', {col})"
     if col == "nsm":  # some corrupt seconds-from-midnight values
         text = f"CAST(CASE WHEN reading_id % 53 = 0 THEN nsm + 86400 ELSE nsm END AS STRING)"
     return (f"CASE WHEN {m} % 97 = 0 OR {m} % 89 = 0 OR {m} % 83 = 0 "
@@ -63,7 +65,7 @@ def dirty_select_list(dialect: str) -> list[tuple[str, str]]:
         rendered = "strftime(date, '%d/%m/%Y %H:%M')"
     out = [("reading_id", "reading_id"), (date_text(rendered), RAW_COLUMNS[0])]
     for j, col in enumerate(NUMERIC_COLUMNS):
-        out.append((numeric_text(j, col), RAW_COLUMNS[1 + j]))
+        out.append((numeric_text(j, col, dialect), RAW_COLUMNS[1 + j]))
     # raw file order of the categoricals: WeekStatus, Day_of_week, Load_Type
     for k, col in enumerate(CATEGORICAL_COLUMNS):
         out.append((category_text(k, col), RAW_COLUMNS[8 + k]))
