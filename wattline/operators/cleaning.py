@@ -182,17 +182,41 @@ def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.na.drop("any", subset=subset)
 
 
-def clean_readings(dirty: DataFrame, steps=OUTLIER_STEPS) -> DataFrame:
-    """The whole cleaning chain, in the reference order.
+_PERSISTED: list[DataFrame] = []
+_KEEP_PERSISTED = 4
 
-    A2 (reader literals) -> snake names -> C3 dates -> B1 drop junk -> C1 numbers
-    -> F3 chained IQR -> F5 NSM rule -> C5-C7 categories -> F6 drop nulls.
-    """
+
+def persist_bounded(df: DataFrame) -> DataFrame:
+    """MEMORY_AND_DISK persist for multi-pass operators; a lost block is
+    recomputed from lineage. Only the most recent few stay pinned."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    while len(_PERSISTED) > _KEEP_PERSISTED:
+        _PERSISTED.pop(0).unpersist(blocking=False)
+    return df
+
+
+def typed_readings(dirty: DataFrame) -> DataFrame:
+    """A2 (reader literals) -> snake names -> C3 dates -> B1 drop junk -> C1 numbers."""
     df = na_literals(dirty)
     df = raw_to_snake(df)
     df = parse_dates(df, "date")
     df = drop_if_exists(df, [JUNK_COLUMN])
-    df = clean_numeric(df, NUMERIC_COLUMNS, strict=True)
+    return clean_numeric(df, NUMERIC_COLUMNS, strict=True)
+
+
+def clean_readings(dirty: DataFrame, steps=OUTLIER_STEPS, persist: bool = True) -> DataFrame:
+    """The whole cleaning chain, in the reference order.
+
+    typed (A2, B2, C3, B1, C1) -> F3 chained IQR -> F5 NSM rule -> C5-C7
+    categories -> F6 drop nulls. The typed table is read once per outlier
+    step, so it is persisted (the passes then see plain columns instead of
+    re-planning the parse expressions inside every filter).
+    """
+    df = typed_readings(dirty)
+    if persist:
+        df = persist_bounded(df)
     df, _ = chained_iqr(df, steps)
     df = nsm_range(df)
     df = canonicalize_categoricals(df)
