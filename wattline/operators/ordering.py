@@ -65,22 +65,28 @@ def row_number(df: DataFrame, order_cols, name: str = "rn",
 
 
 def prefix_sums(df: DataFrame, order_cols, sum_cols: list[str], suffix: str = "_cum",
-                partitions: int | None = None) -> DataFrame:
-    """Inclusive running sums of `sum_cols` in `order_cols` order.
+                partitions: int | None = None, rank_col: str | None = None) -> DataFrame:
+    """Inclusive running sums of `sum_cols` in `order_cols` order (and, if
+    `rank_col` is given, the 1-based position).
 
     Meant for tables already reduced by a ``groupBy`` (e.g. value -> count),
     where a hot value is one row; the order keys should be unique.
     """
-    tagged = _tag(df, order_cols, partitions)
+    tagged = _tag(df, order_cols, partitions).withColumn("_wl_one", F.lit(1))
+    cols = list(sum_cols) + ["_wl_one"]
     w = Window.partitionBy(_PID).orderBy(_LOC).rowsBetween(Window.unboundedPreceding, 0)
-    within = tagged.select("*", *[F.sum(c).over(w).alias(f"_wl_{c}_in") for c in sum_cols])
-    totals = tagged.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in sum_cols])
-    offs = _offsets(totals, sum_cols)
+    within = tagged.select("*", *[F.sum(c).over(w).alias(f"_wl_{c}_in") for c in cols])
+    totals = tagged.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in cols])
+    offs = _offsets(totals, cols)
     out = within.join(F.broadcast(offs), _PID)
-    for c in sum_cols:
+    for c in cols:
         out = out.withColumn(f"{c}{suffix}", F.col(f"{c}_off") + F.col(f"_wl_{c}_in")) \
                  .drop(f"{c}_off", f"_wl_{c}_in")
-    return out.drop(_PID, _LOC)
+    if rank_col:
+        out = out.withColumnRenamed(f"_wl_one{suffix}", rank_col)
+    else:
+        out = out.drop(f"_wl_one{suffix}")
+    return out.drop(_PID, _LOC, "_wl_one")
 
 
 def sort_by(df: DataFrame, order_cols, tie_break: str) -> DataFrame:
@@ -88,11 +94,12 @@ def sort_by(df: DataFrame, order_cols, tie_break: str) -> DataFrame:
     return df.orderBy(*_cols(order_cols), F.col(tie_break))
 
 
-def time_split(df: DataFrame, date_col: str, tie_break: str, test_size: float = 0.2,
+def time_split(df: DataFrame, order_cols: list, test_size: float = 0.2,
                label: str = "split") -> DataFrame:
-    """L2: the last ceil(test_size * n) rows in time order are 'test'."""
+    """L2: the last ceil(test_size * n) rows in time order are 'test'
+    (`order_cols`: the time column then a unique tie-breaker)."""
     import math
-    numbered = row_number(df, [date_col, tie_break], name="_wl_rn")
+    numbered = row_number(df, order_cols, name="_wl_rn")
     n = numbered.count()
     n_test = int(math.ceil(test_size * n)) if n else 0
     return (numbered.withColumn(label, F.when(F.col("_wl_rn") <= F.lit(n - n_test), F.lit("train"))

@@ -14,6 +14,7 @@ ORACLES: dict[str, str] = {}
 MODULES = [
     "wattline.plans.q_cleaning",
     "wattline.plans.q_profiling",
+    "wattline.plans.q_compare",
 ]
 
 

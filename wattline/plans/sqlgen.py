@@ -56,6 +56,10 @@ READINGS = """readings AS (
   FROM (SELECT *, TRY_CAST(regexp_extract(props, '"k":\\s*(-?[0-9.]+)', 1) AS DOUBLE) AS k FROM events)
 )"""
 
+TAGGED = """readings_tagged AS (
+  SELECT r.*, e.event_type AS dataset FROM readings r JOIN events e ON e.event_id = r.reading_id
+)"""
+
 
 def dirty() -> str:
     sel = ",\n         ".join(f"{e} AS {qi(n)}" for e, n in dirty_select_list("duckdb"))

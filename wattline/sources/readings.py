@@ -18,8 +18,10 @@ from wattline.sources.dirty_rules import dirty_select_list
 from wattline.sources.tables import load
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+def readings(spark: SparkSession, sf_dir: str, with_tag: bool = False) -> DataFrame:
+    """Clean readings; `with_tag` keeps the event type as a data-set tag."""
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props",
+                                             "event_type")
     k = F.regexp_extract("props", r'"k":\s*(-?[0-9.]+)', 1).try_cast("double")
     uid = F.col("user_id")
     day = F.date_format("ts", "EEEE")
@@ -40,6 +42,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit("Weekday")).alias("week_status"),
         day.alias("day_of_week"),
         load_type.alias("load_type"),
+        *([F.col("event_type").alias("dataset")] if with_tag else []),
     )
 
 
