@@ -15,6 +15,7 @@ MODULES = [
     "wattline.plans.q_cleaning",
     "wattline.plans.q_profiling",
     "wattline.plans.q_compare",
+    "wattline.plans.q_ranking",
 ]
 
 
