@@ -16,6 +16,7 @@ MODULES = [
     "wattline.plans.q_profiling",
     "wattline.plans.q_compare",
     "wattline.plans.q_ranking",
+    "wattline.plans.q_ordering",
 ]
 
 
