@@ -17,6 +17,8 @@ MODULES = [
     "wattline.plans.q_compare",
     "wattline.plans.q_ranking",
     "wattline.plans.q_ordering",
+    "wattline.plans.q_validate",
+    "wattline.plans.q_features",
 ]
 
 
