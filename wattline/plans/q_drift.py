@@ -1,0 +1,164 @@
+"""Queries for sampling, drift injection and augmentation."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from wattline.operators.drift import DriftGenerator
+from wattline.operators import sampling as sm
+from wattline.plans import sqlgen as S
+from wattline.plans.q_cleaning import CLEAN, clean
+from wattline.plans.registry import register
+from wattline.schema import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS
+
+NUM = NUMERIC_COLUMNS
+CAT = CATEGORICAL_COLUMNS
+SEED = 42
+
+
+def generator(spark, sf_dir):
+    return DriftGenerator(clean(spark, sf_dir), "reading_id", NUM, CAT, SEED)
+
+
+def rounded(df, cols=NUM):
+    return df.select("i", "reading_id", *[(F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c) for c in cols],
+                     *[c for c in CAT if c in df.columns])
+
+
+BASE = CLEAN + [
+    "base AS (SELECT *, row_number() OVER (ORDER BY reading_id) - 1 AS src, count(*) OVER () AS nsrc FROM readings_clean)",
+    "stats AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}, min({c}) AS lo_{c}, max({c}) AS hi_{c}"
+                                   for c in NUM) + " FROM readings_clean)",
+]
+
+
+def samp_cte(name="samp", stream="sample"):
+    return (f"{name} AS (SELECT p.src AS i, p.nsrc, b.* EXCLUDE (src, nsrc) FROM base p JOIN base b "
+            f"ON b.src = {S.hash32(SEED, stream, 'p.src')} % p.nsrc)")
+
+
+def clip(x, c, f=1.2):
+    hi = f"hi_{c} * {f!r}" if f != 1.0 else f"hi_{c}"
+    return f"CASE WHEN ({x}) IS NULL THEN NULL ELSE greatest(lo_{c}, least({x}, {hi})) END"
+
+
+def out_sql(exprs: dict, src="samp"):
+    cols = ", ".join(f"{S.r(exprs.get(c, f'CAST({c} AS DOUBLE)'))} AS {c}" for c in NUM)
+    return f"SELECT i, reading_id, {cols}, {', '.join(CAT)} FROM {src}, stats"
+
+
+@register("s1_sample_with_replacement", S.with_(BASE + [samp_cte()], "SELECT i, reading_id FROM samp"))
+def s1_sample_with_replacement(spark, sf_dir):
+    return generator(spark, sf_dir).sample().select("i", "reading_id")
+
+
+@register("s11_shuffle", S.with_(CLEAN, "SELECT reading_id, row_number() OVER (ORDER BY "
+                                        f"{S.hash32(SEED, 'shuffle', 'reading_id')}, reading_id) - 1 AS position "
+                                        "FROM readings_clean"))
+def s11_shuffle(spark, sf_dir):
+    return sm.shuffle(clean(spark, sf_dir).select("reading_id"), "reading_id", SEED)
+
+
+def _t():
+    return "(CASE WHEN nsrc > 1 THEN i / CAST(nsrc - 1 AS DOUBLE) ELSE 0.0 END)"
+
+
+def _gradual_sql():
+    ex = {}
+    for c in NUM:
+        x1 = f"(CAST({c} AS DOUBLE) + (s_{c} * 0.3) * {_t()})"
+        x2 = f"(({x1} - m_{c}) * (1.0 + 0.15 * {_t()}) + m_{c})"
+        x3 = f"({x2} + (s_{c} * 0.02) * {S.normal(SEED, f'gradual.noise.{c}', 'i')})"
+        ex[c] = clip(x3, c)
+    return S.with_(BASE + [samp_cte()], out_sql(ex))
+
+
+@register("s2_gradual_drift", _gradual_sql())
+def s2_gradual_drift(spark, sf_dir):
+    return rounded(generator(spark, sf_dir).gradual(intensity=0.3))
+
+
+def _sudden_sql():
+    cp = "CAST(floor(nsrc * 0.5) AS BIGINT)"
+    sh = ", ".join(f"CAST({c} AS DOUBLE) + CASE WHEN i >= {cp} THEN s_{c} * 0.5 ELSE 0.0 END AS {c}" for c in NUM)
+    pm = ", ".join(f"avg({c}) AS pm_{c}" for c in NUM)
+    ex = {c: clip(f"CASE WHEN i >= {cp} AND nsrc - {cp} > 1 THEN ({c} - pm_{c}) * {1 + 0.5 * 0.3!r} + pm_{c} ELSE {c} END", c)
+          for c in NUM}
+    return S.with_(BASE + [samp_cte(), f"shifted AS (SELECT i, nsrc, reading_id, {sh}, {', '.join(CAT)} FROM samp, stats)",
+                           f"post AS (SELECT {pm} FROM shifted WHERE i >= {cp})"],
+                   out_sql(ex, "shifted, post"))
+
+
+@register("s3_sudden_drift", _sudden_sql())
+def s3_sudden_drift(spark, sf_dir):
+    return rounded(generator(spark, sf_dir).sudden(changepoint=0.5, intensity=0.5))
+
+
+def _seasonal_sql():
+    comp = (f"(0.5 * sin({2 * math.pi!r} * i / 96.0) + 0.3 * sin({2 * math.pi!r} * i / 672.0) "
+            f"+ 0.2 * sin({2 * math.pi!r} * i / 35040.0))")
+    ex = {}
+    for c in NUM:
+        mod = f"(1.0 + ({S.uniform(SEED, f'seasonal.mod.{c}', 'i')} * 0.3 - 0.15))"
+        x = (f"(CAST({c} AS DOUBLE) + (s_{c} * 0.3) * {comp} * {mod} + (s_{c} * 0.05) * "
+             f"{S.normal(SEED, f'seasonal.noise.{c}', 'i')})")
+        ex[c] = clip(x, c)
+    return S.with_(BASE + [samp_cte()], out_sql(ex))
+
+
+@register("s4_seasonal_drift", _seasonal_sql())
+def s4_seasonal_drift(spark, sf_dir):
+    return rounded(generator(spark, sf_dir).seasonal(amplitude=0.3, noise_scale=0.05))
+
+
+@register("s5_multivariate_drift")
+def s5_multivariate_drift(spark, sf_dir):
+    g = generator(spark, sf_dir)
+    return g.multivariate(intensity=0.4).select("i", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in NUM], *CAT)
+
+
+@register("s6_categorical_drift")
+def s6_categorical_drift(spark, sf_dir):
+    return generator(spark, sf_dir).categorical_shift().select("i", "reading_id", *CAT)
+
+
+def _noise_sql():
+    ex = {c: clip(f"(CAST({c} AS DOUBLE) + (s_{c} * 0.05) * {S.normal(SEED, f'noise.{c}', 'reading_id')})", c, 1.0)
+          for c in NUM}
+    cols = ", ".join(f"{S.r(ex[c])} AS {c}" for c in NUM)
+    return S.with_(BASE, f"SELECT reading_id, {cols} FROM readings_clean, stats")
+
+
+@register("s7_noise_augment", _noise_sql())
+def s7_noise_augment(spark, sf_dir):
+    g = generator(spark, sf_dir)
+    out = g.add_noise(clean(spark, sf_dir), level=0.05)
+    return out.select("reading_id", *[(F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c) for c in NUM])
+
+
+def _mixup_sql(alpha=0.2):
+    r1 = f"({S.hash32(SEED, 'pair.1', 'p.src')} % p.nsrc)"
+    step = f"({S.hash32(SEED, 'pair.2', 'p.src')} % greatest(p.nsrc - 1, 1))"
+    lam = S.beta_sym(SEED, "mixup.lam", "i", alpha)
+    pairs = f"pairs AS (SELECT p.src AS i, {r1} AS r1, ({r1} + 1 + {step}) % p.nsrc AS r2 FROM base p)"
+    j = "j AS (SELECT pairs.i, " + ", ".join(f"a.{c} AS a_{c}, b.{c} AS b_{c}" for c in NUM + CAT) + \
+        " FROM pairs JOIN base a ON a.src = pairs.r1 JOIN base b ON b.src = pairs.r2)"
+    lj = f"lj AS (SELECT *, {lam} AS lam FROM j)"
+    num = ", ".join(f"{S.r(f'lam * a_{c} + (1.0 - lam) * b_{c}')} AS {c}" for c in NUM)
+    cat = ", ".join(f"CASE WHEN {S.uniform(SEED, f'mixup.pick.{c}', 'i')} < lam THEN a_{c} ELSE b_{c} END AS {c}" for c in CAT)
+    return S.with_(BASE + [pairs, j, lj], f"SELECT i, {num}, {cat} FROM lj")
+
+
+@register("s8_mixup", _mixup_sql())
+def s8_mixup(spark, sf_dir):
+    out = generator(spark, sf_dir).mixup(alpha=0.2)
+    return out.select("i", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in NUM], *CAT)
+
+
+@register("s10_combine_drifts")
+def s10_combine_drifts(spark, sf_dir):
+    out = generator(spark, sf_dir).combine()
+    return out.select("position", "generator", *[(F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c)
+                                                 for c in NUM], *CAT)

@@ -19,6 +19,7 @@ MODULES = [
     "wattline.plans.q_ordering",
     "wattline.plans.q_validate",
     "wattline.plans.q_features",
+    "wattline.plans.q_drift",
 ]
 
 
