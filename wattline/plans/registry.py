@@ -20,6 +20,7 @@ MODULES = [
     "wattline.plans.q_validate",
     "wattline.plans.q_features",
     "wattline.plans.q_drift",
+    "wattline.plans.q_models",
 ]
 
 
