@@ -21,6 +21,7 @@ MODULES = [
     "wattline.plans.q_features",
     "wattline.plans.q_drift",
     "wattline.plans.q_models",
+    "wattline.plans.q_scoring",
 ]
 
 

@@ -20,8 +20,12 @@ from wattline.sources.tables import load
 
 def readings(spark: SparkSession, sf_dir: str, with_tag: bool = False) -> DataFrame:
     """Clean readings; `with_tag` keeps the event type as a data-set tag."""
-    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props",
-                                             "event_type")
+    return readings_from_events(load(spark, sf_dir, "events"), with_tag)
+
+
+def readings_from_events(events: DataFrame, with_tag: bool = False) -> DataFrame:
+    """The mapping as a projection (works on batch and streaming frames)."""
+    ev = events.select("event_id", "ts", "user_id", "value", "props", "event_type")
     k = F.regexp_extract("props", r'"k":\s*(-?[0-9.]+)', 1).try_cast("double")
     uid = F.col("user_id")
     day = F.date_format("ts", "EEEE")

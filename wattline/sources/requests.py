@@ -17,7 +17,10 @@ REQUEST_NUMERIC = ["Lagging_Current_Reactive_Power_kVarh", "Leading_Current_Reac
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = readings(spark, sf_dir)
+    return requests_from_readings(readings(spark, sf_dir))
+
+
+def requests_from_readings(r: DataFrame) -> DataFrame:
     rid = F.col("reading_id")
     nsm = (F.when(rid % 53 == 0, (F.col("nsm") + 86400).cast("string"))
             .when(rid % 59 == 0, F.lit("-100"))
