@@ -174,3 +174,13 @@ def test_knn_matches_brute_force(spark):
         d = np.sqrt(((tr - qs[q]) ** 2).sum(axis=1))
         want = list(np.argsort(d, kind="stable")[:3])
         assert [t for _, t in sorted(res[q])] == want
+
+
+def test_param_grid_counts(spark):
+    from wattline.operators.grid import combination_counts, combinations, grid_frame
+    counts = {r["model"]: r["n_combinations"] for r in combination_counts(grid_frame(spark)).collect()}
+    assert counts == {"LinearRegression": 2, "KNN": 16, "CART": 16, "RandomForest": 16, "Cubist": 12,
+                      "SVM": 12, "TOTAL": 74}
+    assert len(combinations("SVM")) == 12
+    with pytest.raises(ValueError):
+        combinations("XGBoost")
