@@ -119,7 +119,25 @@ def s5_multivariate_drift(spark, sf_dir):
     return g.multivariate(intensity=0.4).select("i", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in NUM], *CAT)
 
 
-@register("s6_categorical_drift")
+def _s6_sql(shift=0.3):
+    ctes = [samp_cte()]
+    sel = []
+    for c in CAT:
+        u = S.uniform(SEED, f"catshift.{c}", "j")
+        ctes += [
+            f"o_{c} AS (SELECT v, cnt, row_number() OVER (ORDER BY cnt DESC, v) - 1 AS j, cnt / sum(cnt) OVER () AS p "
+            f"FROM (SELECT {c} AS v, count(*) AS cnt FROM readings_clean WHERE {c} IS NOT NULL GROUP BY 1))",
+            f"q_{c} AS (SELECT v, j, greatest(p + ({u} * 2 * {shift!r} - {shift!r}), 0.001) AS q FROM o_{c})",
+            f"c_{c} AS (SELECT v, j, sum(q / tot) OVER (ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, "
+            f"max(j) OVER () AS jmax FROM q_{c}, (SELECT sum(q) AS tot FROM q_{c}))",
+            f"d_{c} AS (SELECT s.i, arg_min(c.v, c.j) AS {c} FROM samp s JOIN c_{c} c ON "
+            f"({S.uniform(SEED, f'catdraw.{c}', 's.i')} < c.cum AND c.j < c.jmax) OR c.j = c.jmax GROUP BY s.i)"]
+        sel.append(f"d_{c}.{c}")
+    joins = " ".join(f"JOIN d_{c} USING (i)" for c in CAT)
+    return S.with_(BASE + ctes, f"SELECT samp.i, samp.reading_id, {', '.join(sel)} FROM samp {joins}")
+
+
+@register("s6_categorical_drift", _s6_sql())
 def s6_categorical_drift(spark, sf_dir):
     return generator(spark, sf_dir).categorical_shift().select("i", "reading_id", *CAT)
 

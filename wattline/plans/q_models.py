@@ -176,7 +176,28 @@ def m10_compare_models(spark, sf_dir):
     return df.withColumn("success_ratio", F.lit(ok / len(rows)))
 
 
-@register("s9_smote")
+def _s9_sql(k=5, seed=42):
+    sid = "CAST(label AS VARCHAR) || ':' || CAST(j AS VARCHAR)"
+    return ("WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, "
+            "row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS ci, count(*) OVER (PARTITION BY label) AS n_c FROM embeddings), "
+            "m AS (SELECT max(n_c) AS m FROM e), "
+            f"nn AS (SELECT * FROM (SELECT a.vec_id AS qid, b.vec_id AS tid, row_number() OVER (PARTITION BY a.vec_id "
+            "ORDER BY list_distance(a.v, b.v), b.vec_id) AS nn_rank FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id) "
+            f"WHERE nn_rank <= {k}), "
+            "nk AS (SELECT qid, count(*) AS nk FROM nn GROUP BY qid), "
+            "need AS (SELECT DISTINCT label, n_c, m - n_c AS need FROM e, m WHERE n_c < m), "
+            f"syn AS (SELECT label, n_c, CAST(j AS BIGINT) AS j, {S.hash32(seed, 'smote.base', sid)} % n_c AS ci, "
+            f"{S.hash32(seed, 'smote.nn', sid)} AS hn, {S.uniform(seed, 'smote.u', sid)} AS u "
+            "FROM need, range(need) t(j)), "
+            "b AS (SELECT syn.*, e.vec_id AS base_id, e.v AS x FROM syn JOIN e USING (label, ci)), "
+            "bn AS (SELECT b.*, nn.tid AS nb_id FROM b JOIN nk ON nk.qid = b.base_id JOIN nn ON nn.qid = b.base_id "
+            "AND nn.nn_rank = b.hn % nk.nk + 1) "
+            "SELECT bn.label, j, base_id, nb_id, list_transform(list_zip(x, e.v), lambda p: "
+            + S.r("p[1] + u * (p[2] - p[1])").replace("(CASE", "(CASE", 1)
+            + ") AS embedding FROM bn JOIN e ON e.vec_id = bn.nb_id")
+
+
+@register("s9_smote", _s9_sql())
 def s9_smote(spark, sf_dir, k: int = 5, seed: int = 42):
     """Oversample every class to the majority count: x + u * (neighbour - x),
     the neighbour drawn among the k nearest of the same class."""
@@ -206,5 +227,6 @@ def s9_smote(spark, sf_dir, k: int = 5, seed: int = 42):
     vecs = emb.select(F.col("vec_id").alias("nb_id"), F.col("embedding").alias("xn"))
     syn = syn.join(nb, ["base_id", "nn_rank"]).join(vecs, "nb_id")
     u = uniform(seed, "smote.u", F.col("_sid"))
-    syn = syn.withColumn("embedding", F.zip_with("x", "xn", lambda a, b: a + u * (b - a)))
+    syn = syn.withColumn("embedding", F.zip_with(F.col("x").cast("array<double>"), F.col("xn").cast("array<double>"),
+                                                 lambda a, b: F.round(a + u * (b - a), 6) + F.lit(0.0)))
     return syn.select("label", "j", "base_id", "nb_id", "embedding")
