@@ -61,18 +61,22 @@ def s11_shuffle(spark, sf_dir):
     return sm.shuffle(clean(spark, sf_dir).select("reading_id"), "reading_id", SEED)
 
 
-def _t():
-    return "(CASE WHEN nsrc > 1 THEN i / CAST(nsrc - 1 AS DOUBLE) ELSE 0.0 END)"
+def _t(ncol="nsrc"):
+    return f"(CASE WHEN {ncol} > 1 THEN i / CAST({ncol} - 1 AS DOUBLE) ELSE 0.0 END)"
 
 
-def _gradual_sql():
+def _gradual_exprs(ncol="nsrc"):
     ex = {}
     for c in NUM:
-        x1 = f"(CAST({c} AS DOUBLE) + (s_{c} * 0.3) * {_t()})"
-        x2 = f"(({x1} - m_{c}) * (1.0 + 0.15 * {_t()}) + m_{c})"
+        x1 = f"(CAST({c} AS DOUBLE) + (s_{c} * 0.3) * {_t(ncol)})"
+        x2 = f"(({x1} - m_{c}) * (1.0 + 0.15 * {_t(ncol)}) + m_{c})"
         x3 = f"({x2} + (s_{c} * 0.02) * {S.normal(SEED, f'gradual.noise.{c}', 'i')})"
         ex[c] = clip(x3, c)
-    return S.with_(BASE + [samp_cte()], out_sql(ex))
+    return ex
+
+
+def _gradual_sql():
+    return S.with_(BASE + [samp_cte()], out_sql(_gradual_exprs()))
 
 
 @register("s2_gradual_drift", _gradual_sql())
@@ -80,15 +84,20 @@ def s2_gradual_drift(spark, sf_dir):
     return rounded(generator(spark, sf_dir).gradual(intensity=0.3))
 
 
-def _sudden_sql():
-    cp = "CAST(floor(nsrc * 0.5) AS BIGINT)"
+def _sudden_parts(src="samp", ncol="nsrc", tag=""):
+    cp = f"CAST(floor({ncol} * 0.5) AS BIGINT)"
     sh = ", ".join(f"CAST({c} AS DOUBLE) + CASE WHEN i >= {cp} THEN s_{c} * 0.5 ELSE 0.0 END AS {c}" for c in NUM)
     pm = ", ".join(f"avg({c}) AS pm_{c}" for c in NUM)
-    ex = {c: clip(f"CASE WHEN i >= {cp} AND nsrc - {cp} > 1 THEN ({c} - pm_{c}) * {1 + 0.5 * 0.3!r} + pm_{c} ELSE {c} END", c)
+    ex = {c: clip(f"CASE WHEN i >= {cp} AND {ncol} - {cp} > 1 THEN ({c} - pm_{c}) * {1 + 0.5 * 0.3!r} + pm_{c} ELSE {c} END", c)
           for c in NUM}
-    return S.with_(BASE + [samp_cte(), f"shifted AS (SELECT i, nsrc, reading_id, {sh}, {', '.join(CAT)} FROM samp, stats)",
-                           f"post AS (SELECT {pm} FROM shifted WHERE i >= {cp})"],
-                   out_sql(ex, "shifted, post"))
+    ctes = [f"shifted{tag} AS (SELECT i, {ncol}, reading_id, {sh}, {', '.join(CAT)} FROM {src}, stats)",
+            f"post{tag} AS (SELECT {pm} FROM shifted{tag} WHERE i >= {cp})"]
+    return ctes, ex, f"shifted{tag}, post{tag}"
+
+
+def _sudden_sql():
+    ctes, ex, src = _sudden_parts()
+    return S.with_(BASE + [samp_cte()] + ctes, out_sql(ex, src))
 
 
 @register("s3_sudden_drift", _sudden_sql())
@@ -96,7 +105,7 @@ def s3_sudden_drift(spark, sf_dir):
     return rounded(generator(spark, sf_dir).sudden(changepoint=0.5, intensity=0.5))
 
 
-def _seasonal_sql():
+def _seasonal_exprs():
     comp = (f"(0.5 * sin({2 * math.pi!r} * i / 96.0) + 0.3 * sin({2 * math.pi!r} * i / 672.0) "
             f"+ 0.2 * sin({2 * math.pi!r} * i / 35040.0))")
     ex = {}
@@ -105,7 +114,11 @@ def _seasonal_sql():
         x = (f"(CAST({c} AS DOUBLE) + (s_{c} * 0.3) * {comp} * {mod} + (s_{c} * 0.05) * "
              f"{S.normal(SEED, f'seasonal.noise.{c}', 'i')})")
         ex[c] = clip(x, c)
-    return S.with_(BASE + [samp_cte()], out_sql(ex))
+    return ex
+
+
+def _seasonal_sql():
+    return S.with_(BASE + [samp_cte()], out_sql(_seasonal_exprs()))
 
 
 @register("s4_seasonal_drift", _seasonal_sql())
@@ -175,7 +188,40 @@ def s8_mixup(spark, sf_dir):
     return out.select("i", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in NUM], *CAT)
 
 
-@register("s10_combine_drifts")
+MIX = [("gradual", 0.5), ("seasonal", 0.3), ("sudden", 0.2)]
+
+
+def _part_cte(name, cnt_col, stream="sample"):
+    return (f"p_{name} AS (SELECT p.src AS i, c.{cnt_col} AS m, b.* EXCLUDE (src, nsrc) FROM base p CROSS JOIN cnts c "
+            f"JOIN base b ON b.src = {S.hash32(SEED, stream, 'p.src')} % p.nsrc WHERE p.src < c.{cnt_col})")
+
+
+def _s10_sql():
+    total = sum(w for _, w in MIX)
+    cnts = ", ".join(f"CAST(round_even(CAST(n AS DOUBLE) * CAST({w!r} AS DOUBLE) / {total!r}, 0) AS BIGINT) AS c_{g}"
+                     for g, w in MIX)
+    alloc = " + ".join(f"c_{g}" for g, _ in MIX)
+    ctes = [f"cnts AS (SELECT *, n - ({alloc}) AS c_fill FROM (SELECT n, {cnts} FROM (SELECT max(nsrc) AS n FROM base)))"]
+    ctes += [_part_cte(g, f"c_{g}") for g, _ in MIX] + [_part_cte("fill", "c_fill", "combine.fill")]
+    sud_ctes, sud_ex, sud_src = _sudden_parts("p_sudden", "m", "_s")
+    ctes += sud_ctes
+
+    def sel(ex, src, gen):
+        cols = ", ".join(f"{ex.get(c, f'CAST({c} AS DOUBLE)')} AS {c}" for c in NUM)
+        return f"SELECT '{gen}' AS generator, i, {cols}, {', '.join(CAT)} FROM {src}"
+    parts = [sel(_gradual_exprs("m"), "p_gradual, stats", "gradual"),
+             sel(_seasonal_exprs(), "p_seasonal, stats", "seasonal"),
+             sel(sud_ex, sud_src + ", stats", "sudden"),
+             sel({}, "p_fill", "sample")]
+    ctes += ["allp AS (" + " UNION ALL ".join(parts) + ")",
+             "sh AS (SELECT *, row_number() OVER (ORDER BY "
+             + S.hash32(SEED, "combine.shuffle", "generator || ':' || CAST(i AS VARCHAR)")
+             + ", generator || ':' || CAST(i AS VARCHAR)) - 1 AS position FROM allp)"]
+    cols = ", ".join(f"{S.r(c)} AS {c}" for c in NUM)
+    return S.with_(BASE + ctes, f"SELECT position, generator, {cols}, {', '.join(CAT)} FROM sh, cnts WHERE position < n")
+
+
+@register("s10_combine_drifts", _s10_sql())
 def s10_combine_drifts(spark, sf_dir):
     out = generator(spark, sf_dir).combine()
     return out.select("position", "generator", *[(F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c)
