@@ -89,10 +89,20 @@ def _quantile_table(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     sizes = df.agg(*[F.approx_count_distinct(q(c)).alias(c) for c in cols]).first().asDict()
     small = [c for c in cols if sizes[c] <= DISTINCT_LIMIT]
     out: dict[str, list] = {}
-    if small:
+    # one percentile job per batch of columns whose maps together fit the budget
+    batches, cur, used = [], [], 0
+    for c in sorted(small, key=lambda c: sizes[c]):
+        if cur and used + sizes[c] > DISTINCT_LIMIT:
+            batches.append(cur)
+            cur, used = [], 0
+        cur.append(c)
+        used += sizes[c]
+    if cur:
+        batches.append(cur)
+    for batch in batches:
         row = df.agg(*[F.percentile(_num(c), float(p)).alias(f"{c}__{i}")
-                       for c in small for i, p in enumerate(probs)]).first()
-        for c in small:
+                       for c in batch for i, p in enumerate(probs)]).first()
+        for c in batch:
             out[c] = [row[f"{c}__{i}"] for i in range(len(probs))]
     for c in cols:
         if c not in out:
