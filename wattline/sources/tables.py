@@ -13,8 +13,25 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Row keys used to spread a scan that arrives in too few splits.
+KEYS = {"events": "event_id", "lineitem": "l_orderkey", "embeddings": "vec_id", "orders": "o_orderkey"}
+
+
+def ensure_parallelism(df: DataFrame, key: str | None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition on `key` when a scan yields fewer partitions than the
+    cluster's parallelism (a small file in one split followed by per-row
+    compute). On large inputs the scan already has many splits and nothing
+    changes; the hash on a key keeps placement deterministic on retry."""
+    if key is None:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    return ensure_parallelism(spark.read.parquet(table_path(sf_dir, name)), KEYS.get(name))
