@@ -77,9 +77,9 @@ def test_stream_equals_batch(spark, sf_dir):
     from wattline.operators.validate import request_errors
     from wattline.plans.q_validate import REQ_DOMAINS
     from wattline.sources.requests import REQUEST_NUMERIC, requests
-    from wattline.streaming.score_stream import run
+    from wattline.streaming.score_stream import read_table, run
     paths = run(spark, sf_dir, None)
-    streamed = spark.read.parquet(paths["checked"])
+    streamed = read_table(spark, paths["checked"])
     batch = request_errors(requests(spark, sf_dir), REQUEST_NUMERIC, "NSM", REQ_DOMAINS) \
         .select("request_id", "is_valid", F.array_join("errors", "; ").alias("errors"))
     assert streamed.count() == batch.count()

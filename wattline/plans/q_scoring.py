@@ -77,9 +77,9 @@ T1_SQL = S.with_([S.READINGS, REQUESTS_CTE],
 
 @register("t1_stream_validate_score", T1_SQL)
 def t1_stream_validate_score(spark, sf_dir):
-    from wattline.streaming.score_stream import run
+    from wattline.streaming.score_stream import read_table, run
     paths = run(spark, sf_dir, _model(spark, sf_dir))
-    return spark.read.parquet(paths["checked"])
+    return read_table(spark, paths["checked"])
 
 
 # -- X1 time-series cross-validation (expanding window, 5 folds) ------------------------------

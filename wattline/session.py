@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of dropped DataFrames are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Broadcast only what the planner has measured as small.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }

@@ -37,15 +37,24 @@ def run(spark: SparkSession, source_dir: str, model: UsageModel | None, out_root
                              REQUEST_NUMERIC, "NSM", DOMAINS)
 
     def sink(batch: DataFrame, epoch: int) -> None:
+        # foreachBatch may re-run an epoch after a failure: each epoch owns one
+        # partition directory and overwrites it, so a retry replaces, not duplicates.
         batch = batch.persist()
+        part = f"epoch={epoch}"
         batch.select("request_id", "is_valid", F.array_join("errors", "; ").alias("errors")) \
-             .write.mode("append").parquet(paths["checked"])
-        batch.where(~F.col("is_valid")).write.mode("append").parquet(paths["quarantine"])
+             .write.mode("overwrite").parquet(f"{paths['checked']}/{part}")
+        batch.where(~F.col("is_valid")).write.mode("overwrite").parquet(f"{paths['quarantine']}/{part}")
         if model is not None:
-            score_batch(model, batch.where(F.col("is_valid"))).write.mode("append").parquet(paths["predictions"])
+            score_batch(model, batch.where(F.col("is_valid"))).write.mode("overwrite") \
+                .parquet(f"{paths['predictions']}/{part}")
         batch.unpersist()
 
     q = (checked.writeStream.foreachBatch(sink).option("checkpointLocation", paths["checkpoint"])
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return paths
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A sink table without its epoch partition column."""
+    return spark.read.parquet(path).drop("epoch")
