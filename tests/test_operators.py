@@ -184,3 +184,20 @@ def test_param_grid_counts(spark):
     assert len(combinations("SVM")) == 12
     with pytest.raises(ValueError):
         combinations("XGBoost")
+
+
+def test_knn_within_group_matches_brute_force(spark):
+    rng = np.random.default_rng(5)
+    pts = rng.normal(size=(200, 3))
+    grp = rng.integers(0, 3, size=200)
+    df = spark.createDataFrame([(i, int(g), [float(x) for x in v]) for i, (g, v) in enumerate(zip(grp, pts))],
+                               "id bigint, g int, v array<double>")
+    got = nearest(df, df, "id", "id", "v", "v", k=4, p=2, block_rows=32, group_col="g", exclude_self=True)
+    res = {}
+    for r in got.collect():
+        res.setdefault(r["id"], []).append((r["nn_rank"], r["nn_id"]))
+    for i in range(200):
+        same = [j for j in range(200) if grp[j] == grp[i] and j != i]
+        d = np.sqrt(((pts[same] - pts[i]) ** 2).sum(axis=1))
+        want = [same[j] for j in np.argsort(d, kind="stable")[:4]]
+        assert [t for _, t in sorted(res[i])] == want

@@ -65,21 +65,38 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
             exclude_self: bool = False) -> DataFrame:
     """(qid, tid, dist, nn_rank) for the k nearest training rows of each query
     (ties broken by training id). `group_col` restricts neighbours to the same
-    group (e.g. class); `exclude_self` drops tid == qid."""
-    nq, nt = queries.count(), train.count()
-    QB, TB = _blocks(nq, block_rows), _blocks(nt, block_rows)
+    group (e.g. class): blocks are then formed inside each group, so no
+    cross-group distance is computed and a large group just gets more blocks.
+    `exclude_self` drops tid == qid."""
     qsel = [F.col(qid).cast("bigint").alias("qid"), F.col(qvec).cast("array<double>").alias("qvec")]
     tsel = [F.col(tid).cast("bigint").alias("tid"), F.col(tvec).cast("array<double>").alias("tvec")]
     if group_col:
         qsel.append(F.col(group_col).cast("string").alias("qgrp"))
         tsel.append(F.col(group_col).cast("string").alias("tgrp"))
-    q = (queries.select(*qsel).withColumn("qb", F.pmod(hash32(7, "knn.q", F.col("qid")), F.lit(QB)))
-         .withColumn("tb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(TB - 1).cast("bigint")))))
-    t = (train.select(*tsel).withColumn("tb", F.pmod(hash32(7, "knn.t", F.col("tid")), F.lit(TB)))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(QB - 1).cast("bigint")))))
-    cand = (q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb"))
+    q = queries.select(*qsel)
+    t = train.select(*tsel)
+    if group_col:
+        # block counts per group: one row per group (bounded by the number of groups)
+        nq = {r[0]: r[1] for r in q.groupBy("qgrp").count().collect()}
+        nt = {r[0]: r[1] for r in t.groupBy("tgrp").count().collect()}
+        groups = sorted(set(nq) & set(nt), key=str)
+        qb_of = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(_blocks(nq[g], block_rows)))])
+        tb_of = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(_blocks(nt[g], block_rows)))])
+        q = q.where(F.col("qgrp").isin(groups)).withColumn("grp", F.col("qgrp"))
+        t = t.where(F.col("tgrp").isin(groups)).withColumn("grp", F.col("tgrp"))
+        QBc, TBq = F.element_at(qb_of, F.col("grp")), F.element_at(tb_of, F.col("grp"))
+        keys = ["grp", "qb", "tb"]
+    else:
+        QB, TB = _blocks(q.count(), block_rows), _blocks(t.count(), block_rows)
+        QBc, TBq = F.lit(QB), F.lit(TB)
+        keys = ["qb", "tb"]
+    q = (q.withColumn("qb", F.pmod(hash32(7, "knn.q", F.col("qid")), QBc))
+          .withColumn("tb", F.explode(F.sequence(F.lit(0).cast("bigint"), (TBq - 1).cast("bigint")))))
+    t = (t.withColumn("tb", F.pmod(hash32(7, "knn.t", F.col("tid")), TBq))
+          .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("bigint"), (QBc - 1).cast("bigint")))))
+    cand = (q.groupBy(*keys).cogroup(t.groupBy(*keys))
              .applyInPandas(_pair_fn(k, p, group_col, exclude_self), "qid long, tid long, dist double"))
-    w = Window.partitionBy("qid").orderBy("dist", "tid")  # at most k * TB rows per query
+    w = Window.partitionBy("qid").orderBy("dist", "tid")  # at most k * (train blocks) rows per query
     return (cand.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
                 .withColumnRenamed("qid", qid).withColumnRenamed("tid", f"nn_{tid}" if tid == qid else tid))
 
