@@ -40,22 +40,22 @@ def e1_standard_scaling(spark, sf_dir):
 
 
 @register("e2_onehot_day", S.with_(CLEAN, "SELECT reading_id, " + ", ".join(
-    f"CASE WHEN day_of_week = '{d}' THEN 1.0 ELSE 0.0 END AS dow_{d}" for d in DAY_OF_WEEK_VALUES[1:])
+    f"CAST(CASE WHEN day_of_week = '{d}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS dow_{d}" for d in DAY_OF_WEEK_VALUES[1:])
     + " FROM readings_clean"))
 def e2_onehot_day(spark, sf_dir):
     out = fe.onehot_fixed(clean(spark, sf_dir), "day_of_week", DAY_OF_WEEK_VALUES, drop="first", prefix="dow")
     return out.select("reading_id", *[f"dow_{d}" for d in DAY_OF_WEEK_VALUES[1:]])
 
 
-@register("e3_onehot_week", S.with_(CLEAN, "SELECT reading_id, CASE WHEN week_status = 'Weekday' THEN 1.0 ELSE 0.0 END "
-                                           "AS week_Weekday FROM readings_clean"))
+@register("e3_onehot_week", S.with_(CLEAN, "SELECT reading_id, CAST(CASE WHEN week_status = 'Weekday' THEN 1.0 ELSE 0.0 END "
+                                           "AS DOUBLE) AS week_Weekday FROM readings_clean"))
 def e3_onehot_week(spark, sf_dir):
     out = fe.onehot_fixed(clean(spark, sf_dir), "week_status", fe.WEEK_ORDER, drop="first", prefix="week")
     return out.select("reading_id", "week_Weekday")
 
 
-ORD_SQL = ("CASE load_type " + " ".join(f"WHEN '{v}' THEN {float(i)!r}" for i, v in enumerate(LOAD_TYPE_VALUES))
-           + " ELSE -1.0 END")
+ORD_SQL = ("CAST(CASE load_type " + " ".join(f"WHEN '{v}' THEN {float(i)!r}" for i, v in enumerate(LOAD_TYPE_VALUES))
+           + " ELSE -1.0 END AS DOUBLE)")
 
 
 @register("e4_ordinal_load", S.with_(CLEAN, "SELECT reading_id, CASE WHEN load_type = 'Maximum_Load' THEN 'High_Load' "
@@ -90,7 +90,7 @@ E6_NUM = ["usage_kwh", "lagging_current_reactive_power_kvarh"]
 @register("e6_learned_onehot", S.with_(SPLIT_CLEAN + [
     "st6 AS (SELECT avg(usage_kwh) AS m0, stddev_pop(usage_kwh) AS s0, avg(lagging_current_reactive_power_kvarh) AS m1, "
     "stddev_pop(lagging_current_reactive_power_kvarh) AS s1 FROM csp WHERE split = 'train')"],
-    "SELECT reading_id, " + ", ".join(f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS {c}_{v}"
+    "SELECT reading_id, " + ", ".join(f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS {c}_{v}"
                                       for c, vs in E6_CATS.items() for v in vs)
     + f", {S.r('(usage_kwh - m0) / s0')} AS usage_kwh, {S.r('(lagging_current_reactive_power_kvarh - m1) / s1')} "
     "AS lagging_current_reactive_power_kvarh, CAST(hour(date) AS BIGINT) AS hour, CAST(month(date) AS BIGINT) AS month "
