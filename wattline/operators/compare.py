@@ -10,8 +10,6 @@ position.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +115,3 @@ def jensen_shannon(df: DataFrame, cols: list[str], tag: str, first: str, second:
     return (js.select("column_name", (F.round("js", digits) + F.lit(0.0)).alias("js_distance"))
               .orderBy(F.col("js_distance").desc(), "column_name"))
 
-
-__all__ = ["union_by_name", "drop_duplicates", "cdf_table", "wasserstein", "ks_statistic",
-           "jensen_shannon", "math"]

@@ -12,13 +12,11 @@ import math
 import numpy as np
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.draws import normal, uniform
 from wattline.operators.metrics import regression_metrics
 
 
@@ -197,5 +195,3 @@ def _host_normal(seed: int, stream: str, i: int) -> float:
     u1, u2 = _host_uniform(seed, stream + ".a", i), _host_uniform(seed, stream + ".b", i)
     return math.sqrt(-2 * math.log(u1)) * math.cos(2 * math.pi * u2)
 
-
-__all__ = ["vector_to_array", "normal", "uniform"]

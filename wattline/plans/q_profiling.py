@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators import profiling as pr
 from wattline.plans import sqlgen as S
-from wattline.plans.q_cleaning import CLEAN, RD, TYPED, clean, typed
+from wattline.plans.q_cleaning import CLEAN, TYPED, clean, typed
 from wattline.plans.registry import register
 from wattline.schema import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS, SNAKE_COLUMNS
 from wattline.sources.readings import readings

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from wattline.operators import baselines as bl
@@ -13,8 +11,8 @@ from wattline.operators import validate as va
 from wattline.operators.metrics import regression_metrics
 from wattline.operators.ordering import row_number
 from wattline.plans import sqlgen as S
-from wattline.plans.q_cleaning import CLEAN, clean
-from wattline.plans.q_drift import BASE, _gradual_sql, generator, samp_cte
+from wattline.plans.q_cleaning import clean
+from wattline.plans.q_drift import _gradual_sql, generator
 from wattline.plans.q_ranking import RESULT_CTES, SPLIT_CTES, results
 from wattline.plans.q_validate import REQ_DOMAINS, REQUESTS_CTE, error_cases_sql
 from wattline.plans.registry import register
@@ -167,5 +165,3 @@ def x4_drift_performance_loss(spark, sf_dir):
     return m.crossJoin(F.broadcast(b)).select("dataset", (F.round("rmse", 4) + F.lit(0.0)).alias("rmse"),
                                               (F.round(F.col("rmse") - F.col("_b"), 4) + F.lit(0.0)).alias("rmse_delta"))
 
-
-__all__ = ["math", "BASE", "samp_cte", "CLEAN"]

@@ -10,7 +10,7 @@ from wattline.plans import sqlgen as S
 from wattline.plans.q_cleaning import CLEAN, clean
 from wattline.plans.q_ranking import RESULT_CTES
 from wattline.plans.registry import register
-from wattline.schema import (CATEGORICAL_COLUMNS, DAY_OF_WEEK_VALUES, LOAD_TYPE_VALUES, NUMERIC_COLUMNS,
+from wattline.schema import (DAY_OF_WEEK_VALUES, LOAD_TYPE_VALUES, NUMERIC_COLUMNS,
                              SNAKE_COLUMNS, WEEK_STATUS_VALUES)
 from wattline.sources.requests import REQUEST_NUMERIC, requests
 
@@ -110,5 +110,3 @@ def f12_prediction_sanity(spark, sf_dir):
     long = bl.long_predictions(bl.family_predictions(bl.lineitem_split(spark, sf_dir)))
     return prediction_sanity(long, 0, "yhat")
 
-
-__all__ = ["CATEGORICAL_COLUMNS"]
