@@ -124,6 +124,12 @@ def latest_versions(reg: DataFrame, stage: str | None = None) -> DataFrame:
     return out.where(F.col("stage") == stage) if stage else out
 
 
+def versions_of(reg: DataFrame, name: str | None = None) -> DataFrame:
+    """All versions of a model name (or of every name), newest first."""
+    out = reg.where(F.col("name") == name) if name else reg
+    return out.select("name", "version", "run_id", "stage").orderBy("name", F.col("version").desc())
+
+
 def model_info(reg: DataFrame, stage: str = "Production") -> DataFrame:
     """Name, version, parameters, metrics, model type (default 'regression')."""
     latest = latest_versions(reg, stage)

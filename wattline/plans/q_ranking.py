@@ -186,6 +186,12 @@ def l7_latest_model_version(spark, sf_dir):
     return rk.latest_versions(reg).select("name", "stage", "version", "run_id")
 
 
+@register("l7_all_versions", S.with_(REG_CTES, "SELECT name, CAST(version AS INTEGER) AS version, run_id, stage FROM reg"))
+def l7_all_versions(spark, sf_dir):
+    reg = rk.registry(rk.runs_table(results(spark, sf_dir)))
+    return rk.versions_of(reg)
+
+
 @register("p4_model_info", S.with_(REG_CTES, "SELECT name, CAST(version AS INTEGER) AS version, hyperparameters AS params, "
                                    + S.r("rmse", 4) + " AS rmse, " + S.r("mae", 4) + " AS mae, " + S.r("r2", 9)
                                    + " AS r2, 'regression' AS model_type FROM latest WHERE stage = 'Production'"))
