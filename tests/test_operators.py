@@ -201,3 +201,19 @@ def test_knn_within_group_matches_brute_force(spark):
         d = np.sqrt(((pts[same] - pts[i]) ** 2).sum(axis=1))
         want = [same[j] for j in np.argsort(d, kind="stable")[:4]]
         assert [t for _, t in sorted(res[i])] == want
+
+
+def test_grouped_quantiles_selection_matches_percentile(spark):
+    from wattline.operators.quantiles import grouped_quantiles
+    rng = np.random.default_rng(11)
+    rows = [(str(g), float(v)) for g, v in zip(rng.integers(0, 4, 400), np.round(rng.normal(size=400), 2))]
+    rows += [("hot", 1.0)] * 300 + [("hot", 2.0)] * 5  # a hot group with a hot value
+    df = spark.createDataFrame(rows, "g string, x double")
+    a = {r["g"]: (r["q1"], r["m"]) for r in grouped_quantiles(df, ["g"], "x", [0.25, 0.5], ["q1", "m"]).collect()}
+    b = {r["g"]: (r["q1"], r["m"]) for r in
+         grouped_quantiles(df, ["g"], "x", [0.25, 0.5], ["q1", "m"], distinct_limit=0).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert np.allclose(a[k], b[k])
+        vals = [v for g, v in rows if g == k]
+        assert np.allclose(a[k], np.quantile(vals, [0.25, 0.5]))

@@ -305,15 +305,18 @@ def pair_bins(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
 # -- G20-G24 --------------------------------------------------------------------------------
 
 def box_stats(df: DataFrame, value: str, group_cols: list[str] | None = None,
-              whis: float = 1.5, digits: int = 9) -> DataFrame:
+              whis: float = 1.5, digits: int = 9, quartiles: tuple | None = None) -> DataFrame:
     """Quartiles, whiskers at the last point inside the fences,
-    outlier count; per group. Grouped exact percentiles keep one value->count
-    map per group (memory grows with distinct values per group, not rows)."""
-    g = [F.col(c) for c in (group_cols or [])]
+    outlier count; per group. Quartiles come from :func:`grouped_quantiles`
+    (per-group maps only below a checked distinct-value bound)."""
+    from wattline.operators.quantiles import grouped_quantiles
     x = _num(value)
-    qs = df.groupBy(*g).agg(F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.5).alias("median"),
-                            F.percentile(x, 0.75).alias("q3"))
     keys = group_cols or []
+    if keys:
+        qs = grouped_quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    else:
+        q1, med, q3 = quartiles or exact_quantiles(df.select(x.alias("_x")), "_x", [0.25, 0.5, 0.75])
+        qs = df.sparkSession.createDataFrame([(q1, med, q3)], "q1 double, median double, q3 double")
     # per-group quartiles are one row per group; the planner broadcasts them when small
     fenced = df.join(qs, keys) if keys else df.crossJoin(F.broadcast(qs))
     iqr = F.col("q3") - F.col("q1")
@@ -379,3 +382,14 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     """G27."""
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
+
+
+def box_stats_columns(df: DataFrame, cols: list[str], whis: float = 1.5) -> DataFrame:
+    """G20 for many columns: quartiles of all columns from one sizing pass and
+    one percentile pass, then one box aggregate per column."""
+    qs = _quantile_table(df, cols, [0.25, 0.5, 0.75])
+    out = None
+    for c in cols:
+        part = box_stats(df, c, whis=whis, quartiles=tuple(qs[c])).withColumn("column_name", F.lit(c))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -75,3 +75,35 @@ def approx_quantiles(df: DataFrame, col: str, probs: list[float],
     """Opt-in sketch quantiles for very large inputs (no interpolation)."""
     row = df.agg(F.percentile_approx(col, [float(p) for p in probs], accuracy).alias("q")).first()
     return list(row["q"]) if row["q"] is not None else [None] * len(probs)
+
+
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
+                      names: list[str], distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
+    """Exact interpolated quantiles per group: (keys..., names...).
+
+    A group's distinct values never exceed the column's, so when the column's
+    distinct count fits a task, Spark's per-group ``percentile`` maps are safe.
+    Otherwise: count per (group, value) (a hot group collapses to its distinct
+    values), running counts in (group, value) order, and pick the two ranks
+    around p * (n - 1) in every group by range conditions, with no per-group
+    collection anywhere.
+    """
+    x = F.col(value).cast("double")
+    d = int(df.agg(F.approx_count_distinct(x)).first()[0])
+    if d <= distinct_limit:
+        return df.groupBy(*keys).agg(*[F.percentile(x, float(p)).alias(n) for p, n in zip(probs, names)])
+    counts = df.where(x.isNotNull()).groupBy(*keys, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    pre = prefix_sums(counts, keys + ["_v"], ["_c"])
+    base = pre.groupBy(*keys).agg(F.min(F.col("_c_cum") - F.col("_c")).alias("_b"), F.sum("_c").alias("_n"))
+    loc = pre.join(base, keys).withColumn("_end", F.col("_c_cum") - F.col("_b")) \
+             .withColumn("_start", F.col("_end") - F.col("_c"))
+    out = base.select(*keys, "_n")
+    for p, n in zip(probs, names):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        for side, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            pick = loc.where((F.col("_start") <= r) & (r < F.col("_end"))).select(*keys, F.col("_v").alias(f"_{side}_{n}"))
+            out = out.join(pick, keys, "left")
+        frac = pos - F.floor(pos)
+        out = out.withColumn(n, F.col(f"_lo_{n}") + frac * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))) \
+                 .drop(f"_lo_{n}", f"_hi_{n}")
+    return out.drop("_n")

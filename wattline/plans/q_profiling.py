@@ -242,12 +242,7 @@ def _box_sql(value, src, keys):
 @register("g20_box_stats", S.with_(CLEAN, U(NUM, lambda c: (
     f"SELECT '{c}' AS column_name, * FROM ({_box_sql(c, 'readings_clean', [])})"))))
 def g20_box_stats(spark, sf_dir):
-    df = clean(spark, sf_dir)
-    parts = [pr.box_stats(df, c).withColumn("column_name", F.lit(c)) for c in NUM]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return pr.box_stats_columns(clean(spark, sf_dir), NUM)
 
 
 BOX_GROUPS = [("week_status", ["week_status"]), ("day_week", ["day_of_week", "week_status"]),
