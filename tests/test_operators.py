@@ -217,3 +217,25 @@ def test_grouped_quantiles_selection_matches_percentile(spark):
         assert np.allclose(a[k], b[k])
         vals = [v for g, v in rows if g == k]
         assert np.allclose(a[k], np.quantile(vals, [0.25, 0.5]))
+
+
+def test_drift_is_reproducible_across_partitionings(spark):
+    from wattline.operators.drift import DriftGenerator
+    rng = np.random.default_rng(2)
+    rows = [(i, float(v), ["A", "B", "C"][i % 3]) for i, v in enumerate(np.round(rng.gamma(2.0, 10.0, 300), 2))]
+    base = spark.createDataFrame(rows, "rid bigint, usage double, load string")
+
+    def run(parts):
+        g = DriftGenerator(base.repartition(parts), "rid", ["usage"], ["load"], seed=9)
+        out = g.gradual(intensity=0.3).select("i", "rid", F.round("usage", 9).alias("u"))
+        return sorted(tuple(r) for r in out.collect())
+    assert run(1) == run(5)
+
+
+def test_time_split_takes_the_latest_ceil_share(spark):
+    from wattline.operators.ordering import time_split
+    df = spark.range(33).select(F.col("id").alias("k"), (F.col("id") % 7).alias("t"))
+    out = time_split(df, ["t", "k"], 0.2)
+    test = sorted((r["t"], r["k"]) for r in out.where(F.col("split") == "test").collect())
+    assert len(test) == math.ceil(0.2 * 33) == 7
+    assert test == sorted((k % 7, k) for k in range(33))[-7:]  # the latest rows in (t, k) order
