@@ -228,7 +228,8 @@ def clean_readings(dirty: DataFrame, steps=OUTLIER_STEPS, persist: bool = True)
     step, so it is persisted while the bounds are computed (the passes then see
     plain columns instead of re-planning the parse expressions in every
     filter). Bounds are kept per input file set: a second cleaning of the same
-    stored file in the same application is a single filtered scan.
+    stored file in the same application is a single filtered scan (stored
+    inputs are treated as immutable; a rewritten input gets a new path).
     """
     df = typed_readings(dirty)
     key = _bounds_key(dirty.sparkSession, dirty, steps)
