@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattline.llm import piece_codec, token_count
+from wattline.llm import exact_dedup, piece_codec, secret_scan, sharding, source_mix, token_count
 from wattline.llm.common import load
 
 QUERIES = {}
@@ -20,11 +20,78 @@ def _hex(col):
     return F.sha2(F.coalesce(col, F.lit("")).cast("binary"), 256)
 
 
+@query
+def op1_secret_scan(spark, sf_dir):
+    spans = F.col("spans")
+    base = [r.kind for r in secret_scan.BASE_RULES]
+
+    def digest(kept):
+        return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    rows = secret_scan.find_secrets(load(spark, sf_dir, "documents"))
+    return rows.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+                       _hex(digest(F.filter(spans, lambda s: s["kind"].isin(base)))).alias("base_sha256"),
+                       digest(spans).alias("spans"))
+
+
+@query
+def op2_exact_dedup(spark, sf_dir):
+    return exact_dedup.with_groups(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_exact_dedup"] = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM d"""
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     return token_count.count_tokens(load(spark, sf_dir, "documents"))
 
 
+@query
+def op4_source_mix(spark, sf_dir):
+    rows = source_mix.mix(load(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op4_source_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS sz, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, row_number() OVER q AS pos,
+         1.5::DOUBLE * sum(sz) OVER ()::DOUBLE - 2 * coalesce(sum(sz) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS rest,
+         sum(w) OVER (q ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS w_rest
+  FROM s WINDOW q AS (ORDER BY sz::DOUBLE / w, source NULLS LAST)),
+f AS (SELECT rest AS f_rest, w_rest AS f_w, pos AS f_pos FROM o WHERE NOT (2 * sz * w_rest < rest * w) ORDER BY pos LIMIT 1),
+t AS (
+  SELECT o.source, o.sz, CASE WHEN f_pos IS NULL OR pos < f_pos THEN 2.0::DOUBLE * sz ELSE least(f_rest * w / f_w, 2.0::DOUBLE * sz) END AS target
+  FROM o LEFT JOIN f ON true),
+g AS (SELECT *, floor(target + 0.5)::BIGINT AS quota FROM t),
+b AS (
+  SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('0:' || doc_id::VARCHAR), doc_id, size
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM d)
+SELECT doc_id, size, sz AS source_size, target,
+       CASE WHEN sz = 0 THEN 0 ELSE (quota // sz) * size + least(size, greatest(0, quota % sz - before)) END::BIGINT AS taken
+FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source"""
+
+
+@query
+def op7_sharding(spark, sf_dir):
+    rows = sharding.shard_by_bytes(load(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     rows = piece_codec.encode_decode(load(spark, sf_dir, "documents"))
