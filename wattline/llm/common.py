@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattline.session import checkpoint_root
@@ -30,9 +30,23 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def is_held_out(id_col) -> F.Column:
+def is_held_out(id_col: Column) -> Column:
     """crc32 of the id as text, modulo 5, is 0 (a null id counts as empty text)."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Names a row by its id and text."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), F.sha2(text.cast("binary"), 256))
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, key: Column, text_col: str) -> DataFrame:
+    """The rows of `docs`, all columns, whose `key` is in keys.key; of rows with the
+    same key, the one with the least hash of its other columns."""
+    other = [c for c, kind in docs.dtypes if c != text_col and "map<" not in kind]
+    order = Window.partitionBy("__llm_key").orderBy(F.xxhash64(*other))
+    return (docs.withColumn("__llm_key", key).join(keys.select(F.col("key").alias("__llm_key")).distinct(), "__llm_key", "left_semi")
+            .withColumn("__llm_no", F.row_number().over(order)).filter("__llm_no = 1").select(*docs.columns))
 
 
 def text_groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:

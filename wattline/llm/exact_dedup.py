@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import cut
+from wattline.llm.common import cut, keep_rows, row_key
 
 #: A chunk ends at the first mark from MIN_CHUNK characters on, or at MAX_CHUNK.
 MIN_CHUNK, MAX_CHUNK, MARK = 1024, 16384, r"[.,;!?\n][ \n]?[^a-m]"
@@ -88,12 +88,6 @@ def with_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs`, all columns, with one row of each group of equal texts."""
-    def key(doc_id, sha):
-        return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), sha)
-
-    kept = with_groups(docs, id_col, text_col).filter("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("_key"))
-    keyed = docs.withColumn("_key", key(F.col(id_col), F.sha2(normalised(F.col(text_col)).cast("binary"), 256)))
-    # Rows may repeat an id and a text, yet differ elsewhere: the least hash of the row stays.
-    order = Window.partitionBy("_key").orderBy(F.xxhash64(*[c for c in docs.columns if c != text_col]))
-    return (keyed.join(kept, "_key", "left_semi").withColumn("_no", F.row_number().over(order))
-            .filter("_no = 1").select(*docs.columns))
+    kept = with_groups(docs, id_col, text_col).filter("kept")
+    keys = kept.select(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_sha256").alias("key"))
+    return keep_rows(docs, keys, row_key(F.col(id_col).cast("long"), normalised(F.col(text_col))), text_col)

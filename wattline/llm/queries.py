@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattline.llm import exact_dedup, piece_codec, secret_scan, sharding, source_mix, token_count
-from wattline.llm.common import load
+from wattline.llm import ann_tree, exact_dedup, jaccard_join, lang_id, piece_codec, secret_scan, sharding, source_mix, token_count, toxicity
+from wattline.llm.common import is_held_out, load
 
 QUERIES = {}
 ORACLES = {}
@@ -86,6 +86,20 @@ SELECT doc_id, size, sz AS source_size, target,
 FROM b JOIN g ON b.source IS NOT DISTINCT FROM g.source"""
 
 
+@query
+def op5_language_id(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    rows = lang_id.identify(docs, lang_id.fit(docs))
+    return rows.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    rows = toxicity.score_toxicity(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+    return rows.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_sharding(spark, sf_dir):
     rows = sharding.shard_by_bytes(load(spark, sf_dir, "documents"))
@@ -97,3 +111,13 @@ def op8_sentencepiece(spark, sf_dir):
     rows = piece_codec.encode_decode(load(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        _hex(F.array_join("ids", ",")).alias("ids_sha256"), _hex(F.col("text")).alias("decoded_sha256"))
+
+
+@query
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(load(spark, sf_dir, "documents"))
+
+
+@query
+def op10_nearest_neighbours(spark, sf_dir):
+    return ann_tree.search(load(spark, sf_dir, "embeddings"))
