@@ -23,36 +23,64 @@ def synth(spark):
 FEATS = ["x0", "x1", "x2"]
 
 
+@pytest.fixture(scope="module")
+def rows(synth):
+    from pyspark.ml.functions import array_to_vector
+    return synth.select("id", "y", array_to_vector(F.array(*FEATS)).alias("features"))
+
+
 def _finite(pred, n):
     vals = [r["prediction"] for r in pred.select("prediction").collect()]
     assert len(vals) == n and all(v is not None and math.isfinite(v) for v in vals)
 
 
-def test_ols_recovers_slope(synth):
-    m = md.fit_ols(synth, FEATS, "y")
+def test_ols_recovers_slope(rows):
+    m = md.fit_ols(rows, "y")
     assert abs(m.coefficients[0] - 3) < 0.1
-    _finite(md.predict(m, synth, FEATS), 20)
-    m0 = md.fit_ols(synth, FEATS, "y", fit_intercept=False)
-    assert m0.intercept == 0.0
-
-
-def test_tree_forest_model_tree_svr_smoke(synth):
-    _finite(md.predict(md.fit_cart(synth, FEATS, "y", max_depth=3), synth, FEATS), 20)
-    _finite(md.predict(md.fit_forest(synth, FEATS, "y", n_trees=5, max_depth=3), synth, FEATS), 20)
-    _finite(md.fit_predict_model_tree(synth, synth, FEATS, "y", committees=2, rules=4), 20)
-    w, b = md.fit_svr(synth, FEATS, "y", C=10.0, iterations=40, lr=1.0)
-    pred = md.svr_predict(synth, FEATS, w, b)
-    _finite(pred, 20)
-    r2 = regression_metrics(pred, "y", "prediction").first()["r2"]
-    assert r2 > 0.5  # better than the mean predictor
-
-
-def test_forest_is_reproducible(synth):
-    a = md.predict(md.fit_forest(synth, FEATS, "y", n_trees=5, max_depth=3, seed=7), synth, FEATS)
-    b = md.predict(md.fit_forest(synth, FEATS, "y", n_trees=5, max_depth=3, seed=7), synth, FEATS)
-    pa = [round(r["prediction"], 5) for r in a.orderBy("id").collect()]
-    pb = [round(r["prediction"], 5) for r in b.orderBy("id").collect()]
-    assert pa == pb
+    _finite(m.transform(rows), 20)
+    assert md.fit_ols(rows, "y", fit_intercept=False).intercept == 0.0
+
+
+GRIDS = [("CART", [dict(max_depth=3, min_samples_leaf=1, min_samples_split=s, ccp_alpha=a) for s in (2, 15) for a in (0.0, 1.0)]),
+         ("RandomForest", [dict(n_estimators=n, max_depth=3, min_samples_leaf=1, min_samples_split=2) for n in (2, 5)]),
+         ("Cubist", [dict(n_committees=n, n_rules=3) for n in (1, 2)]),
+         ("SVM", [dict(C=10, kernel=k, gamma="scale") for k in ("linear", "rbf")]),
+         ("KNN", [dict(n_neighbors=3, weights=w, p=p) for w in ("uniform", "distance") for p in (1, 2)])]
+
+
+@pytest.mark.parametrize("name, configs", GRIDS, ids=[n for n, _ in GRIDS])
+def test_families_predict_every_row_and_beat_the_mean(rows, name, configs):
+    preds = md.predict_grid(name, configs, rows, rows, "y", "id")
+    for config, pred in zip(configs, preds, strict=True):
+        _finite(pred, 20)
+        if config.get("ccp_alpha", 0) == 0 and config.get("min_samples_split", 2) == 2:
+            assert regression_metrics(pred, "y", "prediction").first()["r2"] > 0.3, config
+    with pytest.raises(ValueError):
+        md.predict_grid("XGBoost", [{}], rows, rows, "y", "id")
+
+
+def test_pruning_rules():
+    from wattline.operators.trees import Tree, leaf_table, pruned
+    # root (8 rows) -> 1 (4 rows: leaves 3, 4), 2 (4 rows: leaves 5, 6)
+    t = Tree(np.array([8.0, 4, 4, 2, 2, 2, 2]), np.array([10.0, 1, 4, 0, 0, 0, 0]), np.arange(7.0),
+             np.array([1, 3, 5, -1, -1, -1, -1]), np.array([2, 4, 6, -1, -1, -1, -1]))
+    assert pruned(t).below(0) == [3, 4, 5, 6]
+    assert pruned(t, min_samples_split=5).below(0) == [1, 2]
+    assert pruned(t, ccp_alpha=0.5).below(0) == [1, 5, 6]      # gain of 1: 1 * 4 / 8 = 0.5
+    assert pruned(t, max_leaves=2).below(0) == [1, 2]
+    assert pruned(t, ccp_alpha=99).below(0) == [0]
+    values, merged = leaf_table(t, pruned(t, ccp_alpha=0.5))
+    assert values.tolist() == [1, 1, 5, 6] and merged.tolist() == [0, 0, 1, 2]
+
+
+def test_model_is_stored_and_loaded(spark, sf_dir, tmp_path):
+    from wattline.operators.scoring import UsageModel
+    from wattline.plans.q_features import clean_split
+    train = clean_split(spark, sf_dir).where(F.col("split") == "train")
+    model = UsageModel.fit(train)
+    again = UsageModel.load(model.save(str(tmp_path / "model")))
+    a, b = (sorted(r["prediction"] for r in m.predict(train).collect()) for m in (model, again))
+    assert a == b and len(a) > 0
 
 
 def test_request_to_model_row(spark):

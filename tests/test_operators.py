@@ -22,15 +22,12 @@ def vals(spark, xs, name="x"):
                                  f"id bigint, {name} double")
 
 
-def test_exact_quantiles_both_paths_match_numpy(spark):
+def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(0)
     xs = list(np.round(rng.normal(size=500), 3)) + [None]
-    df = vals(spark, xs)
     probs = [0.25, 0.5, 0.75]
-    a = exact_quantiles(df, "x", probs)
-    b = exact_quantiles(df, "x", probs, distinct_limit=0)  # force the distributed selection
-    ref = np.quantile([v for v in xs if v is not None], probs)
-    assert np.allclose(a, ref) and np.allclose(b, ref)
+    assert np.allclose(exact_quantiles(vals(spark, xs), "x", probs), np.quantile(xs[:-1], probs))
+    assert exact_quantiles(vals(spark, xs).where("x > 1e9"), "x", probs) == [None] * 3
 
 
 def test_iqr_filter_keeps_nulls_and_is_inclusive(spark):
@@ -83,7 +80,7 @@ def test_histogram_last_bin_closed(spark):
 def test_modes_keep_ties(spark):
     df = vals(spark, [1, 1, 2, 2, 3])
     m = sorted(r["value"] for r in pr.modes_table(df, ["x"]).collect())
-    assert m == ["1.000000", "2.000000"]
+    assert m == ["1", "2"]
 
 
 def test_bias_corrected_moments(spark):
@@ -166,7 +163,7 @@ def test_knn_matches_brute_force(spark):
     qs = rng.normal(size=(40, 4))
     train = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(tr)], "tid bigint, v array<double>")
     query = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(qs)], "qid bigint, v array<double>")
-    got = nearest(query, train, "qid", "tid", "v", "v", k=3, p=2, block_rows=64)
+    got = nearest(query, train, "qid", "tid", "v", "v", k=3, p=2)
     res = {}
     for r in got.collect():
         res.setdefault(r["qid"], []).append((r["nn_rank"], r["tid"]))
@@ -192,7 +189,7 @@ def test_knn_within_group_matches_brute_force(spark):
     grp = rng.integers(0, 3, size=200)
     df = spark.createDataFrame([(i, int(g), [float(x) for x in v]) for i, (g, v) in enumerate(zip(grp, pts))],
                                "id bigint, g int, v array<double>")
-    got = nearest(df, df, "id", "id", "v", "v", k=4, p=2, block_rows=32, group_col="g", exclude_self=True)
+    got = nearest(df, df, "id", "id", "v", "v", k=4, p=2, group_col="g", exclude_self=True)
     res = {}
     for r in got.collect():
         res.setdefault(r["id"], []).append((r["nn_rank"], r["nn_id"]))
@@ -203,33 +200,72 @@ def test_knn_within_group_matches_brute_force(spark):
         assert [t for _, t in sorted(res[i])] == want
 
 
-def test_grouped_quantiles_selection_matches_percentile(spark):
+def test_grouped_quantiles_match_numpy_and_keep_null_groups(spark):
     from wattline.operators.quantiles import grouped_quantiles
     rng = np.random.default_rng(11)
     rows = [(str(g), float(v)) for g, v in zip(rng.integers(0, 4, 400), np.round(rng.normal(size=400), 2))]
     rows += [("hot", 1.0)] * 300 + [("hot", 2.0)] * 5  # a hot group with a hot value
+    rows += [(None, 5.0), (None, 6.0), ("z", None), ("z", float("nan"))]
     df = spark.createDataFrame(rows, "g string, x double")
-    a = {r["g"]: (r["q1"], r["m"]) for r in grouped_quantiles(df, ["g"], "x", [0.25, 0.5], ["q1", "m"]).collect()}
-    b = {r["g"]: (r["q1"], r["m"]) for r in
-         grouped_quantiles(df, ["g"], "x", [0.25, 0.5], ["q1", "m"], distinct_limit=0).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert np.allclose(a[k], b[k])
-        vals = [v for g, v in rows if g == k]
-        assert np.allclose(a[k], np.quantile(vals, [0.25, 0.5]))
-
-
-def test_drift_is_reproducible_across_partitionings(spark):
-    from wattline.operators.drift import DriftGenerator
+    got = {r["g"]: (r["q1"], r["m"]) for r in grouped_quantiles(df, ["g"], "x", [0.25, 0.5], ["q1", "m"]).collect()}
+    assert got["z"] == (None, None) and got[None] == (5.25, 5.5)
+    for k in got.keys() - {"z", None}:
+        assert np.allclose(got[k], np.quantile([v for g, v in rows if g == k], [0.25, 0.5]))
+
+
+def test_selection_by_narrowing(spark, monkeypatch):
+    from wattline.operators import selection as se
+    monkeypatch.setattr(se, "FEW", 5)
+    rng = np.random.default_rng(4)
+    for xs in (rng.normal(size=4000), np.round(rng.normal(size=4000), 1), np.exp(20 * rng.normal(size=2000)), np.repeat([1.0, 2.0], [999, 1]),
+               np.array([1e308, -1e308, 0.0, 5.0] * 10), np.append(rng.normal(size=500), [np.inf, -np.inf, np.inf])):
+        df = spark.createDataFrame([(float(v), None) for v in xs] + [(None, None), (float("nan"), None)], "x double, y double")
+        ranks = sorted({0, 1, len(xs) // 3, len(xs) // 2, len(xs) - 1})
+        found = se.select_ranks(df, {"x": F.col("x"), "y": F.col("y")}, lambda n: ranks)
+        assert found["x"].n == len(xs) and found["y"].n == 0
+        for r in ranks:
+            v = np.sort(xs)[r]
+            assert found["x"].at[r] == (v, (xs < v).sum(), (xs == v).sum())
+    whole = rng.integers(-2 ** 59, 2 ** 59, 3000)
+    df = spark.createDataFrame([(int(v),) for v in whole], "x long")
+    assert se.select_ranks(df, {"x": F.col("x")}, lambda n: [1234])["x"].at[1234][0] == int(np.sort(whole)[1234])
+
+
+def test_cleaning_a_filtered_table_uses_its_own_bounds(spark, sf_dir):
+    from wattline.operators.cleaning import clean_readings
+    from wattline.sources.readings import readings_dirty
+    full = readings_dirty(spark, sf_dir)
+    few = full.where("reading_id % 3 = 0")
+    alone = clean_readings(few).count()
+    clean_readings(full).count()
+    assert clean_readings(few).count() == alone
+
+
+def test_indices_beyond_32_bits_are_drawn(spark):
+    from wattline.functions.draws import hash60
+    top = spark.range(2000).select((hash60(1, "s", F.col("id")) % (1 << 40)).alias("h")).agg(F.max("h")).first()[0]
+    assert top > 1 << 39
+
+
+def test_noise_and_pairs_do_not_depend_on_partitions(spark):
+    from wattline.operators.augment import mixed_pairs, noisy
     rng = np.random.default_rng(2)
     rows = [(i, float(v), ["A", "B", "C"][i % 3]) for i, v in enumerate(np.round(rng.gamma(2.0, 10.0, 300), 2))]
     base = spark.createDataFrame(rows, "rid bigint, usage double, load string")
 
     def run(parts):
-        g = DriftGenerator(base.repartition(parts), "rid", ["usage"], ["load"], seed=9)
-        out = g.gradual(intensity=0.3).select("i", "rid", F.round("usage", 9).alias("u"))
-        return sorted(tuple(r) for r in out.collect())
-    assert run(1) == run(5)
+        df = base.repartition(parts)
+        pairs = mixed_pairs(df, "rid", ["usage"], ["load"], seed=9).select("i", F.round("usage", 9), "load")
+        return sorted(map(tuple, noisy(df, "rid", ["usage"]).select("rid", F.round("usage", 9)).collect())), sorted(map(tuple, pairs.collect()))
+    one, five = run(1), run(5)
+    assert one == five and len(one[0]) == len(one[1]) == 300
+
+
+def test_random_split_is_exact(spark):
+    from wattline.operators.ordering import random_split
+    df = spark.range(103).select(F.floor(F.col("id") / 2).alias("k"), "id")
+    out = random_split(df, "k", tie_break=["id"]).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in out} == {"test": 21, "train": 82}
 
 
 def test_time_split_takes_the_latest_ceil_share(spark):

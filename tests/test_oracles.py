@@ -16,7 +16,7 @@ SUBSET = ["c16_clean_usage_by_hour_load", "c16_clean_readings", "a2_na_literals"
           "f4_chained_iqr_report", "g6_describe_extended", "g8_categorical_summary", "g17_histogram",
           "g21_box_by_group", "g24_kde", "u5_wasserstein", "u6_jensen_shannon", "x3_ks_statistic",
           "w1_rankings", "k2_classification_metrics", "l2_time_split", "l3_random_split", "e5_assembled_features",
-          "f9_row_validation", "s2_gradual_drift", "s8_mixup", "m2_knn_regression", "x1_time_series_cv"]
+          "f9_row_validation", "s7_noise_augment", "a5_csv_sink", "p1_batch_scoring", "t1_stream_validate_score", "s8_mixup", "m2_knn_regression", "x1_time_series_cv"]
 ORACLES = E.oracle_sql()
 NAMES = sorted(ORACLES) if os.environ.get("WATTLINE_ALL_ORACLES") else SUBSET
 

@@ -43,3 +43,21 @@ def test_readings_mapping(spark, sf_dir):
     assert 0 <= row[0] and row[1] <= 86399 and row[2] == 2 and row[3] == 3
     bad = r.where(F.abs(F.col("co2_tco2") * 1000 - F.col("usage_kwh")) > 1e-9).count()
     assert bad == 0
+
+
+def test_swapped_header_ragged_rows_and_bad_cells_fail(spark):
+    import pytest
+    from wattline.session import scratch_path
+    from wattline.sources import files
+
+    def written(lines):
+        path = scratch_path(spark, "csv")
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+        return path
+
+    assert files.read_csv_strings(spark, written(["a,b", "1,2"]), ["a", "b"]).collect()[0]["b"] == "2"
+    for lines in (["b,a", "1,2"], ["a,b", "1,2,3"]):
+        with pytest.raises(Exception):
+            files.read_csv_strings(spark, written(lines), ["a", "b"]).collect()
+    with pytest.raises(Exception):
+        files.read_csv_typed(spark, written(["a,b", "1,x"]), "a int, b int").collect()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wattline.operators.metrics import regression_metrics
 from wattline.sources.tables import load
 from wattline.operators.ordering import time_split
+from wattline.session import checkpoint_root
 
 LINEITEM_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
 LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -70,4 +71,7 @@ def family_results(spark, sf_dir: str) -> DataFrame:
     """Results table: run_ord, model, params, rmse, mae, r2, cv (one row per config)."""
     long = long_predictions(family_predictions(lineitem_split(spark, sf_dir)))
     met = regression_metrics(long, "y", "yhat", by=["run_ord"])
-    return config_table(spark).join(met, "run_ord").select("run_ord", "model", "params", "rmse", "mae", "r2", "cv")
+    checkpoint_root(spark)
+    # One row per configuration; written, as several rankings and sinks read it.
+    return (config_table(spark).join(met, "run_ord").select("run_ord", "model", "params", "rmse", "mae", "r2", "cv")
+            .checkpoint(eager=True))

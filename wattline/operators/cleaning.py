@@ -128,26 +128,17 @@ def iqr_mask(df: DataFrame, col: str, k: float = 1.5, name: str = "is_inlier"):
     return df.withColumn(name, inlier(col, lo, hi)), (lo, hi)
 
 
-def chained_iqr(df: DataFrame, steps=OUTLIER_STEPS, with_report: bool = False):
+def chained_iqr(df: DataFrame, steps=OUTLIER_STEPS):
     """Sequential IQR filters; each step's quartiles use the survivors.
+    Returns the filtered frame and the report [(step, column, k, lo, hi)].
 
-    The bounds of each step are two driver scalars, so the plan stays one scan
-    with a growing filter (no self-join per step, no lineage doubling); each
-    bound job reads only the columns filtered so far.
+    The bounds of a step are two driver scalars, so the plan stays one scan with a
+    growing filter; a step's aggregates read only the columns filtered so far.
     """
-    # One pass sizes every step's percentile map (distinct values only shrink
-    # under the filters), then one exact-quantile job per step.
-    cols = list(dict.fromkeys(c for c, _ in steps))
-    sizes = df.agg(*[F.approx_count_distinct(q(c)).alias(c) for c in cols]).first().asDict()
     cond = F.lit(True)
     report = []
     for i, (col, k) in enumerate(steps, start=1):
-        cur = df.where(cond)
-        q1, q3 = exact_quantiles(cur, col, [0.25, 0.75], distinct_hint=sizes[col])
-        if q1 is None:
-            lo = hi = None
-        else:
-            lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+        lo, hi = iqr_bounds(df.where(cond), col, k)
         cond = cond & inlier(col, lo, hi)
         report.append((i, col, float(k), lo, hi))
     return df.where(cond), report
@@ -182,21 +173,6 @@ def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.na.drop("any", subset=subset)
 
 
-_PERSISTED: list[DataFrame] = []
-_KEEP_PERSISTED = 4
-
-
-def persist_bounded(df: DataFrame) -> DataFrame:
-    """MEMORY_AND_DISK persist for multi-pass operators; a lost block is
-    recomputed from lineage. Only the most recent few stay pinned."""
-    from pyspark import StorageLevel
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    while len(_PERSISTED) > _KEEP_PERSISTED:
-        _PERSISTED.pop(0).unpersist(blocking=False)
-    return df
-
-
 def typed_readings(dirty: DataFrame) -> DataFrame:
     """A2 (reader literals) -> snake names -> C3 dates -> B1 drop junk -> C1 numbers."""
     df = na_literals(dirty)
@@ -206,44 +182,14 @@ def typed_readings(dirty: DataFrame) -> DataFrame:
     return clean_numeric(df, NUMERIC_COLUMNS, strict=True)
 
 
-# Outlier bounds already computed for an input file set in this application.
-_BOUNDS: dict[tuple, list] = {}
-
-
-def _bounds_key(spark, dirty: DataFrame, steps) -> tuple | None:
-    try:
-        files = tuple(sorted(dirty.inputFiles()))
-    except Exception:  # noqa: BLE001 - not a plain file scan: no reuse
-        return None
-    if not files:
-        return None
-    return (spark.sparkContext.applicationId, files, tuple((c, float(k)) for c, k in steps))
-
-
-def clean_readings(dirty: DataFrame, steps=OUTLIER_STEPS, persist: bool = True) -> DataFrame:
+def clean_readings(dirty: DataFrame, steps=OUTLIER_STEPS) -> DataFrame:
     """The whole cleaning chain, in the reference order.
 
     typed (A2, B2, C3, B1, C1) -> F3 chained IQR -> F5 NSM rule -> C5-C7
-    categories -> F6 drop nulls. The typed table is read once per outlier
-    step, so it is persisted while the bounds are computed (the passes then see
-    plain columns instead of re-planning the parse expressions in every
-    filter). Bounds are kept per input file set: a second cleaning of the same
-    stored file in the same application is a single filtered scan (stored
-    inputs are treated as immutable; a rewritten input gets a new path).
+    categories -> F6 drop nulls. The bounds are those of this very frame; nothing
+    is kept between calls.
     """
-    df = typed_readings(dirty)
-    key = _bounds_key(dirty.sparkSession, dirty, steps)
-    if key is not None and key in _BOUNDS:
-        cond = F.lit(True)
-        for _i, col, _k, lo, hi in _BOUNDS[key]:
-            cond = cond & inlier(col, lo, hi)
-        df = df.where(cond)
-    else:
-        if persist:
-            df = persist_bounded(df)
-        df, report = chained_iqr(df, steps)
-        if key is not None:
-            _BOUNDS[key] = report
+    df, _ = chained_iqr(typed_readings(dirty), steps)
     df = nsm_range(df)
     df = canonicalize_categoricals(df)
     return drop_nulls(df)

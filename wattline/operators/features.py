@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.ml import Transformer
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +34,14 @@ def apply_scaler(df: DataFrame, stats: dict[str, tuple[float, float]], suffix: s
 def onehot_fixed(df: DataFrame, col: str, categories: list[str], drop: str | None = "first",
                  prefix: str | None = None, unknown: str = "error") -> DataFrame:
     """Indicators for fixed categories; the dropped one is all-zero.
-    Unknown values fail (``unknown='error'``) or give all zeros ('ignore')."""
+    Unknown values, null among them, fail (``unknown='error'``) or give all zeros ('ignore')."""
     prefix = prefix or col
     keep = categories[1:] if drop == "first" else [c for c in categories if c != drop] if drop else categories
     v = F.col(q(col))
     out = df
     if unknown == "error":
-        out = out.withColumn(col, F.when(v.isNull() | v.isin(categories), v).otherwise(
-            F.raise_error(F.concat(F.lit(f"unknown category in {col}: "), v))))
+        out = out.withColumn(col, F.when(v.isin(categories), v).otherwise(
+            F.raise_error(F.concat(F.lit(f"unknown category in {col}: "), F.coalesce(v, F.lit("null"))))))
     return out.withColumns({f"{prefix}_{c}": (F.col(q(col)) == F.lit(c)).cast("double") for c in keep})
 
 
@@ -62,35 +64,48 @@ def encoded_columns() -> list[str]:
             + ["week_Weekday", "load_type_ord"])
 
 
-class ReadingsEncoder(Transformer):
-    """E5 as an ML Transformer holding train-only statistics."""
+class ReadingsEncoder(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """E5 as an ML Transformer that holds train-only statistics as parameters, so that it
+    can be saved and loaded inside a pipeline."""
 
-    def __init__(self, stats: dict[str, tuple[float, float]], output_col: str = "features"):
+    means = Param(Params._dummy(), "means", "mean of each numeric feature", TypeConverters.toListFloat)
+    scales = Param(Params._dummy(), "scales", "standard deviation of each numeric feature", TypeConverters.toListFloat)
+    outputCol = Param(Params._dummy(), "outputCol", "output vector column", TypeConverters.toString)
+
+    def __init__(self):
         super().__init__()
-        self.stats = stats
-        self.output_col = output_col
+        self._setDefault(outputCol="features")
 
     @classmethod
-    def fit_on(cls, train: DataFrame, output_col: str = "features") -> "ReadingsEncoder":
-        return cls(fit_scaler(train, list(FEATURE_NUMERIC)), output_col)
+    def fit_on(cls, train: DataFrame) -> "ReadingsEncoder":
+        stats = fit_scaler(train, list(FEATURE_NUMERIC))
+        return cls()._set(means=[stats[c][0] for c in FEATURE_NUMERIC], scales=[stats[c][1] for c in FEATURE_NUMERIC])
 
     def encode(self, df: DataFrame) -> DataFrame:
-        out = apply_scaler(df, self.stats)
+        pairs = zip(self.getOrDefault(self.means), self.getOrDefault(self.scales), strict=True)
+        out = apply_scaler(df, dict(zip(FEATURE_NUMERIC, pairs, strict=True)))
         out = onehot_fixed(out, "day_of_week", DAY_OF_WEEK_VALUES, drop="first", prefix="dow")
         out = onehot_fixed(out, "week_status", WEEK_ORDER, drop="first", prefix="week")
         return ordinal(out, "load_type", LOAD_TYPE_VALUES, name="load_type_ord")
 
     def _transform(self, df: DataFrame) -> DataFrame:
         enc = self.encode(df)
-        return VectorAssembler(inputCols=encoded_columns(), outputCol=self.output_col).transform(enc)
+        return VectorAssembler(inputCols=encoded_columns(), outputCol=self.getOrDefault(self.outputCol)).transform(enc)
+
+
+#: Most categories that become columns of their own.
+MOST_CATEGORIES = 1000
 
 
 def learned_onehot(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
-    """Categories learned from the training rows (a small distinct set per
-    column); unseen values encode as all zeros."""
+    """Categories learned from the training rows; unseen values and nulls encode as
+    all zeros. A column with over MOST_CATEGORIES values is refused (ValueError)."""
     out = df
     for c in cols:
-        cats = sorted(r[0] for r in train.select(q(c)).distinct().where(F.col(q(c)).isNotNull()).collect())
+        seen = train.select(q(c)).where(F.col(q(c)).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()
+        if len(seen) > MOST_CATEGORIES:
+            raise ValueError(f"{c} has over {MOST_CATEGORIES} values; it is not a category")
+        cats = sorted(r[0] for r in seen)
         out = out.withColumns({f"{c}_{v}": (F.col(q(c)) == F.lit(v)).cast("double") for v in cats})
         out = out.na.fill(0.0, [f"{c}_{v}" for v in cats])
     return out

@@ -1,104 +1,129 @@
-"""Exact k-nearest neighbours without materializing all pairs.
-
-Queries and training rows are cut into blocks of at most `block_rows`; each
-(query block, train block) pair is one co-grouped task that computes the
-distance block with numpy and emits only its k best candidates per query.
-Per query the k*B candidates (B train blocks, a bounded number) are merged by
-a window into the final top k. Exact for any k (no candidate cap), no
-per-row Python, and no group larger than one block pair.
+"""Exact k-nearest neighbours with pivot pruning.
+
+Training rows belong to the nearest of a bounded number of pivots (a sample of
+rows). Each query first searches its own pivot's rows, which bounds the distance of
+its k-th neighbour; by the triangle inequality only pivots at most that bound plus
+their radius away can hold a nearer row, and only those are searched. Rows meet in
+(pivot, part) groups of bounded size: a pivot with many rows is split, a query is
+sent to each part. Exact for any k; nothing is compared that the bounds exclude.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.draws import hash32
-
-
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, int(math.ceil(n / float(block_rows))))
-
-
-def _pair_fn(k: int, p: float, same_group_col: str | None, exclude_self: bool):
-    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "tid": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
-        qa = np.stack(q["qvec"].to_numpy()).astype(np.float64)
-        ta = np.stack(t["tvec"].to_numpy()).astype(np.float64)
-        d = np.empty((qa.shape[0], ta.shape[0]))
-        for s in range(0, qa.shape[0], 64):  # bounded temporary: 64 x block x dims
-            diff = np.abs(qa[s:s + 64, None, :] - ta[None, :, :])
-            if p == 1:
-                d[s:s + 64] = diff.sum(axis=2)
-            elif p == 2:
-                d[s:s + 64] = np.sqrt((diff * diff).sum(axis=2))
-            else:
-                d[s:s + 64] = (diff ** p).sum(axis=2) ** (1.0 / p)
-        qid = q["qid"].to_numpy()
-        tid = t["tid"].to_numpy()
-        mask = np.zeros_like(d, dtype=bool)
-        if same_group_col:
-            mask |= q["qgrp"].to_numpy()[:, None] != t["tgrp"].to_numpy()[None, :]
-        if exclude_self:
-            mask |= qid[:, None] == tid[None, :]
-        d = np.where(mask, np.inf, d)
-        kk = min(k, d.shape[1])
-        # order by (distance, train id) and keep the first k per query
-        order = np.lexsort((np.broadcast_to(tid, d.shape), d), axis=1)[:, :kk]
-        rows = np.repeat(np.arange(d.shape[0]), kk)
-        cols = order.reshape(-1)
-        dist = d[rows, cols]
-        keep = np.isfinite(dist)
-        return pd.DataFrame({"qid": qid[rows][keep].astype("int64"), "tid": tid[cols][keep].astype("int64"),
-                             "dist": dist[keep]})
-    return fn
+from wattline.session import checkpoint_root
+
+#: Pivots at most, rows wanted of a pivot, and rows of a (pivot, part) group.
+PIVOTS, PIVOT_ROWS, PART_ROWS = 1024, 256, 4096
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Written to the shared checkpoint folder and read from there."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _distance(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
+    """Minkowski distances of every row of a to every row of b, a few rows at a time."""
+    out = np.empty((len(a), len(b)))
+    for s in range(0, len(a), 64):
+        diff = np.abs(a[s:s + 64, None, :] - b[None, :, :])
+        if p == 1:
+            out[s:s + 64] = diff.sum(axis=2)
+        elif p == 2:
+            out[s:s + 64] = np.sqrt((diff * diff).sum(axis=2))
+        else:
+            out[s:s + 64] = (diff ** p).sum(axis=2) ** (1.0 / p)
+    return out
+
+
+def _nearest_pivot(rows: DataFrame, pivots: np.ndarray, p: float) -> DataFrame:
+    """Columns pivot and far, the distance to it, added to (id, vec, grp) rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                d = _distance(np.stack(b["vec"].to_numpy()), shared.value, p)
+                yield b.assign(pivot=d.argmin(axis=1), far=d.min(axis=1))
+
+    return rows.mapInPandas(run, "id long, vec array<double>, grp string, pivot long, far double")
+
+
+def _search(asked: DataFrame, own: DataFrame, k: int, p: float, exclude_self: bool) -> DataFrame:
+    """(id, tid, dist): per query and group of rows the k nearest, by distance and id."""
+    def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(q) and len(t):
+            tid, vec = t["id"].to_numpy(), np.stack(t["vec"].to_numpy())
+            for s in range(0, len(q), 256):
+                d = _distance(np.stack(q["vec"].to_numpy()[s:s + 256]), vec, p)
+                for row, i in zip(d, q["id"].to_numpy()[s:s + 256], strict=True):
+                    at = np.flatnonzero(tid != i) if exclude_self else np.arange(len(tid))
+                    if len(at) > k:
+                        at = at[row[at] <= np.partition(row[at], k - 1)[k - 1]]
+                    at = at[np.lexsort((tid[at], row[at]))][:k]
+                    out.append(pd.DataFrame({"id": i, "tid": tid[at], "dist": row[at]}))
+        return pd.concat(out) if out else pd.DataFrame({"id": [], "tid": [], "dist": []})
+
+    keys = ["grp", "pivot", "part"]
+    return (asked.select("id", "vec", *keys).groupBy(*keys).cogroup(own.select("id", "vec", *keys).groupBy(*keys))
+            .applyInPandas(run, "id long, tid long, dist double"))
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("id").orderBy("dist", "tid")
+    return found.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
 
 
 def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str, tvec: str, k: int,
-            p: float = 2, block_rows: int = 512, group_col: str | None = None,
-            exclude_self: bool = False) -> DataFrame:
-    """(qid, tid, dist, nn_rank) for the k nearest training rows of each query
-    (ties broken by training id). `group_col` restricts neighbours to the same
-    group (e.g. class): blocks are then formed inside each group, so no
-    cross-group distance is computed and a large group just gets more blocks.
-    `exclude_self` drops tid == qid."""
-    qsel = [F.col(qid).cast("bigint").alias("qid"), F.col(qvec).cast("array<double>").alias("qvec")]
-    tsel = [F.col(tid).cast("bigint").alias("tid"), F.col(tvec).cast("array<double>").alias("tvec")]
-    if group_col:
-        qsel.append(F.col(group_col).cast("string").alias("qgrp"))
-        tsel.append(F.col(group_col).cast("string").alias("tgrp"))
-    q = queries.select(*qsel)
-    t = train.select(*tsel)
-    if group_col:
-        # block counts per group: one row per group (bounded by the number of groups)
-        nq = {r[0]: r[1] for r in q.groupBy("qgrp").count().collect()}
-        nt = {r[0]: r[1] for r in t.groupBy("tgrp").count().collect()}
-        groups = sorted(set(nq) & set(nt), key=str)
-        qb_of = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(_blocks(nq[g], block_rows)))])
-        tb_of = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(_blocks(nt[g], block_rows)))])
-        q = q.where(F.col("qgrp").isin(groups)).withColumn("grp", F.col("qgrp"))
-        t = t.where(F.col("tgrp").isin(groups)).withColumn("grp", F.col("tgrp"))
-        QBc, TBq = F.element_at(qb_of, F.col("grp")), F.element_at(tb_of, F.col("grp"))
-        keys = ["grp", "qb", "tb"]
-    else:
-        QB, TB = _blocks(q.count(), block_rows), _blocks(t.count(), block_rows)
-        QBc, TBq = F.lit(QB), F.lit(TB)
-        keys = ["qb", "tb"]
-    q = (q.withColumn("qb", F.pmod(hash32(7, "knn.q", F.col("qid")), QBc))
-          .withColumn("tb", F.explode(F.sequence(F.lit(0).cast("bigint"), (TBq - 1).cast("bigint")))))
-    t = (t.withColumn("tb", F.pmod(hash32(7, "knn.t", F.col("tid")), TBq))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("bigint"), (QBc - 1).cast("bigint")))))
-    cand = (q.groupBy(*keys).cogroup(t.groupBy(*keys))
-             .applyInPandas(_pair_fn(k, p, group_col, exclude_self), "qid long, tid long, dist double"))
-    w = Window.partitionBy("qid").orderBy("dist", "tid")  # at most k * (train blocks) rows per query
-    return (cand.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
-                .withColumnRenamed("qid", qid).withColumnRenamed("tid", f"nn_{tid}" if tid == qid else tid))
+            p: float = 2, group_col: str | None = None, exclude_self: bool = False, seed: int = 7) -> DataFrame:
+    """(qid, tid, dist, nn_rank) for the k nearest training rows of each query (ties by
+    training id). `group_col` restricts neighbours to the same group (e.g. class);
+    `exclude_self` drops tid == qid. `p` is at least 1 (the triangle inequality)."""
+    if p < 1:
+        raise ValueError("p must be at least 1")
+    group = F.col(group_col).cast("string") if group_col else F.lit("")
+    asked = queries.select(F.col(qid).cast("bigint").alias("id"), F.col(qvec).cast("array<double>").alias("vec"), group.alias("grp"))
+    rows = train.select(F.col(tid).cast("bigint").alias("id"), F.col(tvec).cast("array<double>").alias("vec"), group.alias("grp"))
+    n = rows.count()
+    want = max(1, min(PIVOTS, n // PIVOT_ROWS))
+    pivots = np.array([r["vec"] for r in rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(want).collect()]).reshape(min(want, n), -1)
+    out_tid = f"nn_{tid}" if tid == qid else tid
+    if not n:
+        return asked.select(F.col("id").alias(qid)).limit(0).select(qid, F.lit(0).cast("bigint").alias(out_tid), F.lit(0.0).alias("dist"), F.lit(0).alias("nn_rank"))
+    placed = stored(_nearest_pivot(rows, pivots, p))
+    # One row per pivot and group of rows that has any.
+    cells = stored(placed.groupBy("grp", "pivot").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius"))
+                   .withColumn("parts", F.ceil(F.col("n") / F.lit(PART_ROWS)).cast("int")))
+    own = placed.join(cells.select("grp", "pivot", "parts"), ["grp", "pivot"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+
+    def sent(to: DataFrame) -> DataFrame:
+        return to.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    home = _nearest_pivot(asked, pivots, p).drop("far")
+    first = stored(_search(sent(home.join(cells.select("grp", "pivot", "parts"), ["grp", "pivot"])), own, k, p, exclude_self))
+    bound = _best(first, k).groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("bound"))
+    bounded = home.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
+
+    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield b.assign(apart=list(_distance(np.stack(b["vec"].to_numpy()), shared.value, p)))
+
+    reach = bounded.mapInPandas(distances, "id long, vec array<double>, grp string, pivot long, bound double, apart array<double>")
+    reach = reach.select("id", "vec", "grp", F.col("pivot").alias("home"), "bound", F.posexplode("apart").alias("pivot", "apart"))
+    others = (reach.withColumn("pivot", F.col("pivot").cast("long")).join(cells, ["grp", "pivot"])
+              .where((F.col("pivot") != F.col("home")) & (F.col("apart") - F.col("radius") <= F.col("bound") * (1 + 1e-12))))
+    found = first.unionByName(_search(sent(others), own, k, p, exclude_self))
+    return _best(found, k).select(F.col("id").alias(qid), F.col("tid").alias(out_tid), "dist", "nn_rank")
 
 
 def knn_regress(neigh: DataFrame, train_y: DataFrame, qid: str, tid: str, y: str,
@@ -109,7 +134,6 @@ def knn_regress(neigh: DataFrame, train_y: DataFrame, qid: str, tid: str, y: str
     j = neigh.join(train_y.select(F.col(tid).alias("_t"), F.col(y).alias("_y")), F.col(ncol) == F.col("_t"))
     if weights == "uniform":
         return j.groupBy(qid).agg(F.avg("_y").alias("prediction"))
-    has_zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy(qid))
-    wgt = F.when(has_zero == 1, (F.col("dist") == 0).cast("double")).otherwise(F.lit(1.0) / F.col("dist"))
-    j = j.withColumn("_w", wgt)
-    return j.groupBy(qid).agg((F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("prediction"))
+    zero = F.col("dist") == 0
+    weight = F.when(~zero, F.lit(1.0) / F.col("dist"))
+    return j.groupBy(qid).agg(F.coalesce(F.avg(F.when(zero, F.col("_y"))), F.sum(weight * F.col("_y")) / F.sum(weight)).alias("prediction"))

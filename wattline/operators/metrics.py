@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.numeric import safe_pct_error
@@ -50,10 +50,11 @@ def classification_metrics(df: DataFrame, y: str, yhat: str, by: list[str] | Non
         (F.sum(F.col("f") * F.col("support")) / tot).alias("f1"))
 
 
-def prediction_sanity(df: DataFrame, n_inputs: Column | int, yhat: str) -> DataFrame:
+def prediction_sanity(df: DataFrame, n_inputs: int, yhat: str) -> DataFrame:
     """as many predictions as inputs, no NaN, no infinity, no null."""
     p = F.col(yhat)
-    return df.agg(F.count(F.lit(1)).alias("n_predictions"),
-                  F.count(F.when(F.isnan(p), 1)).alias("n_nan"),
-                  F.count(F.when(F.abs(p) == F.lit(float("inf")), 1)).alias("n_inf"),
-                  F.count(F.when(p.isNull(), 1)).alias("n_null"))
+    counts = df.agg(F.count(F.lit(1)).alias("n_predictions"),
+                    F.count(F.when(F.isnan(p), 1)).alias("n_nan"),
+                    F.count(F.when(F.abs(p) == F.lit(float("inf")), 1)).alias("n_inf"),
+                    F.count(F.when(p.isNull(), 1)).alias("n_null"), F.lit(n_inputs).cast("bigint").alias("n_inputs"))
+    return counts.withColumn("passed", (F.col("n_predictions") == F.col("n_inputs")) & (F.col("n_nan") + F.col("n_inf") + F.col("n_null") == 0))

@@ -1,197 +1,255 @@
-"""Model fitting and scoring on Spark ML.
+"""Model fitting and scoring (M1, M3-M10) on rows with a `features` vector.
 
-Every fit is a distributed Spark job over an encoded, cached training set;
-the driver only loops over configurations (74 for the full grid) and
-collects small coefficient tables (per-leaf normal equations: k x k per leaf).
+Every fit is a distributed job over the training rows; the driver holds model sized
+tables only (coefficients, tree nodes, normal equations).
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LinearSVC, OneVsRest
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.operators import knn, trees
 from wattline.operators.metrics import regression_metrics
 
 
-def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="error").transform(df)
-
-
 # -- M1 --------------------------------------------------------------------------------------
 
-def fit_ols(train: DataFrame, features: list[str], label: str, fit_intercept: bool = True):
-    lr = LinearRegression(featuresCol="features", labelCol=label, solver="normal", regParam=0.0,
-                          elasticNetParam=0.0, fitIntercept=fit_intercept, standardization=False)
-    return lr.fit(assemble(train, features))
-
-
-# -- M3 / M4 -------------------------------------------------------------------------------------
-
-def fit_cart(train: DataFrame, features: list[str], label: str, max_depth: int = 5,
-             min_samples_leaf: int = 1, seed: int = 42):
-    """CART with a sqrt feature subset: a one-tree forest without bootstrap
-    (min_samples_split and ccp_alpha have no Spark parameter; see README)."""
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=1, bootstrap=False,
-                               featureSubsetStrategy="sqrt", maxDepth=max_depth,
-                               minInstancesPerNode=min_samples_leaf, seed=seed)
-    return rf.fit(assemble(train, features))
-
-
-def fit_forest(train: DataFrame, features: list[str], label: str, n_trees: int = 100, max_depth: int = 10,
-               min_samples_leaf: int = 1, seed: int = 42):
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees, bootstrap=True,
-                               featureSubsetStrategy="sqrt", maxDepth=max_depth,
-                               minInstancesPerNode=min_samples_leaf, seed=seed)
-    return rf.fit(assemble(train, features))
-
-
-def predict(model, df: DataFrame, features: list[str], out: str = "prediction") -> DataFrame:
-    return model.transform(assemble(df, features)).withColumnRenamed("prediction", out).drop("features")
-
-
-# -- M5 model tree (rules with linear models, committees) ------------------------------------
-
-def _leaf_models(df: DataFrame, features: list[str], target: str, leaf: str, ridge: float = 1e-8):
-    """Per-leaf least squares from aggregated normal equations (k+1 x k+1 per leaf)."""
-    xs = [F.lit(1.0)] + [F.col(c).cast("double") for c in features]
-    k = len(xs)
-    aggs = [F.sum(xs[a] * xs[b]).alias(f"xx_{a}_{b}") for a in range(k) for b in range(a, k)]
-    aggs += [F.sum(xs[a] * F.col(target)).alias(f"xy_{a}") for a in range(k)]
-    rows = df.groupBy(leaf).agg(*aggs).collect()  # one row per leaf (leaves <= rule cap)
-    coefs = {}
-    for r in rows:
-        xx = np.zeros((k, k))
-        for a in range(k):
-            for b in range(a, k):
-                xx[a, b] = xx[b, a] = r[f"xx_{a}_{b}"]
-        xy = np.array([r[f"xy_{a}"] for a in range(k)])
-        coefs[r[leaf]] = np.linalg.solve(xx + ridge * np.eye(k) * max(np.trace(xx) / k, 1.0), xy)
-    return coefs
-
-
-def _apply_leaf(df: DataFrame, features: list[str], leaf: str, coefs: dict, out: str) -> DataFrame:
-    spark = df.sparkSession
-    k = len(features) + 1
-    tbl = spark.createDataFrame([(float(lf), [float(v) for v in c]) for lf, c in coefs.items()],
-                                f"{leaf} double, _b array<double>")
-    j = df.join(F.broadcast(tbl), leaf, "left")  # one row per leaf: bounded by the rule cap
-    pred = F.col("_b")[0]
-    for i, c in enumerate(features, start=1):
-        pred = pred + F.col("_b")[i] * F.col(c).cast("double")
-    return j.withColumn(out, pred).drop("_b")
-
-
-def fit_predict_model_tree(train: DataFrame, test: DataFrame, features: list[str], label: str,
-                           committees: int = 1, rules: int = 10, seed: int = 42) -> DataFrame:
-    """Committee of model trees: tree with at most `rules` leaves (depth = ceil(log2 rules)),
-    a linear model per leaf; member m trains on 2y - yhat_{m-1}; predictions averaged."""
-    depth = max(1, int(math.ceil(math.log2(max(rules, 2)))))
-    tr = train.withColumn("_target", F.col(label).cast("double"))
-    te = test
-    preds = []
+def fit_ols(train: DataFrame, label: str, fit_intercept: bool = True):
+    return LinearRegression(featuresCol="features", labelCol=label, solver="normal", regParam=0.0,
+                            elasticNetParam=0.0, fitIntercept=fit_intercept, standardization=False).fit(train)
+
+
+# -- normal equations ----------------------------------------------------------------------------
+
+def _moments(rows: DataFrame, label: str, transform, chosen, k: int, by: str | None = None) -> dict:
+    """Per value of `by` (None: one): X'X and X'y with a leading column of ones, over
+    rows (features as array `x`) after `transform(X)`; `chosen(X, y) -> (mask, target)`
+    picks rows and what to fit. Partial sums per partition, then a grouped sum."""
+    m = k + 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            if not len(b):
+                continue
+            x, y = transform(np.stack(b["x"].to_numpy())), b[label].to_numpy(dtype=float)
+            mask, target = chosen(x, y)
+            groups = b["_by"].to_numpy()
+            for g in np.unique(groups[mask]):
+                at = mask & (groups == g)
+                one = np.column_stack([np.ones(at.sum()), x[at]])
+                sums[int(g)] = sums.get(int(g), 0) + np.column_stack([one.T @ one, one.T @ target[at]])
+        for g, s in sums.items():
+            yield pd.DataFrame({"g": g, "at": np.arange(s.size), "v": s.reshape(-1)})
+
+    rows = rows.select("x", label, (F.col(by) if by else F.lit(0)).cast("long").alias("_by"))
+    found: dict[int, np.ndarray] = {}
+    for r in rows.mapInPandas(run, "g long, at long, v double").groupBy("g", "at").agg(F.sum("v").alias("v")).collect():
+        found.setdefault(r["g"], np.zeros(m * (m + 1)))[r["at"]] = r["v"]
+    return {g: (s.reshape(m, m + 1)[:, :m], s.reshape(m, m + 1)[:, m]) for g, s in found.items()}
+
+
+def _size(df: DataFrame) -> int:
+    row = df.select(F.size("x").alias("n")).first()
+    if row is None:
+        raise ValueError("no rows to fit")
+    return row["n"]
+
+
+def _arrays(df: DataFrame) -> DataFrame:
+    return df.withColumn("x", vector_to_array("features"))
+
+
+def _apply(df: DataFrame, out: str, predict) -> DataFrame:
+    """Column `out` from predict(X), X being the rows' features."""
+    @F.pandas_udf("double")
+    def fn(x: pd.Series) -> pd.Series:
+        return pd.Series(predict(np.stack(x.to_numpy())))
+    return df.withColumn(out, fn("x"))
+
+
+def _linear(table: np.ndarray):
+    """UDF of (x, rule): the rule's row of coefficients applied to x."""
+    @F.pandas_udf("double")
+    def fn(x: pd.Series, rule: pd.Series) -> pd.Series:
+        b = table[rule.to_numpy()]
+        return pd.Series(b[:, 0] + (b[:, 1:] * np.stack(x.to_numpy())).sum(axis=1))
+    return fn
+
+
+# -- M5 committees of model trees ------------------------------------------------------------------
+
+def model_tree_committees(train: DataFrame, test: DataFrame, label: str, committees: int = 1, rules: int = 10,
+                          seed: int = 42, ridge: float = 1e-8) -> DataFrame:
+    """`test` with _p0.. _p{committees-1}: each member is a tree pruned to at most `rules`
+    leaves with a linear model per leaf, fitted to 2 y - (the member before). The mean of
+    the first m is the prediction of m committees."""
+    spark = train.sparkSession
+    depth = int(np.ceil(np.log2(max(rules, 2)))) + 1
+    tr, te = _arrays(train).withColumn("_target", F.col(label).cast("double")), _arrays(test)
+    k = _size(tr)
     for m in range(committees):
-        dt = DecisionTreeRegressor(featuresCol="features", labelCol="_target", maxDepth=depth,
-                                   maxBins=64, seed=seed + m, leafCol="_leaf")
-        model = dt.fit(assemble(tr, features))
-        tr_leaf = model.transform(assemble(tr, features)).drop("features", "prediction")
-        coefs = _leaf_models(tr_leaf, features, "_target", "_leaf")
-        te_leaf = model.transform(assemble(te, features)).drop("features", "prediction")
-        te = _apply_leaf(te_leaf, features, "_leaf", coefs, f"_p{m}").drop("_leaf")
-        preds.append(f"_p{m}")
+        model = trees.fit_trees(tr, "_target", 1, depth, max_features="all", seed=seed + m)
+        full = trees.read_trees(model, spark)[0]
+        _, merged = trees.leaf_table(full, trees.pruned(full, max_leaves=rules))
+        group = F.element_at(F.array(*[F.lit(int(g)) for g in merged]), (F.col("_leaves")[0] + 1).cast("int"))
+        tr, te = (trees.with_leaves(model, d).withColumn("_rule", group).drop("_leaves") for d in (tr, te))
+        every = lambda x, y: (np.ones(len(y), dtype=bool), y)
+        coefs = {}
+        for g, (xx, xy) in _moments(tr, "_target", lambda x: x, every, k, by="_rule").items():
+            coefs[g] = np.linalg.solve(xx + ridge * np.eye(k + 1) * max(np.trace(xx) / (k + 1), 1.0), xy)
+        linear = _linear(np.array([coefs.get(g, np.zeros(k + 1)) for g in range(max(coefs) + 1)]))
+        te = te.withColumn(f"_p{m}", linear("x", "_rule")).drop("_rule")
         if m + 1 < committees:
-            trp = _apply_leaf(tr_leaf, features, "_leaf", coefs, "_fit").drop("_leaf")
-            tr = trp.withColumn("_target", 2 * F.col(label) - F.col("_fit")).drop("_fit")
-    avg = sum((F.col(p) for p in preds), F.lit(0.0)) / F.lit(float(len(preds)))
-    return te.withColumn("prediction", avg).drop(*preds)
-
-
-# -- M6 epsilon-insensitive regression (linear, or RBF through random Fourier features) --------
-
-def rff_features(df: DataFrame, features: list[str], n_components: int, gamma: float, seed: int = 42):
-    """z_j = sqrt(2/D) cos(w_j . x + b_j), w ~ N(0, 2 gamma), b ~ U(0, 2 pi); draws keyed by (j, i)."""
-    cols = []
-    for j in range(n_components):
-        acc = F.lit(0.0)
-        for i, c in enumerate(features):
-            w = float(math.sqrt(2 * gamma)) * _host_normal(seed, f"rff.w.{j}", i)
-            acc = acc + F.lit(w) * F.col(c).cast("double")
-        b = 2 * math.pi * _host_uniform(seed, "rff.b", j)
-        cols.append((F.lit(math.sqrt(2.0 / n_components)) * F.cos(acc + F.lit(b))).alias(f"rff_{j}"))
-    return df.select("*", *cols), [f"rff_{j}" for j in range(n_components)]
-
-
-def fit_svr(train: DataFrame, features: list[str], label: str, C: float = 1.0, epsilon: float = 0.1,
-            iterations: int = 50, lr: float = 0.1):
-    """Linear SVR by full-batch subgradient descent on
-    0.5 |w|^2 + C * mean(max(0, |y - w.x - b| - eps)); one distributed aggregate per step."""
-    k = len(features)
-    w = np.zeros(k)
-    b = 0.0
-    n = train.count()
-    data = train.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("_y"))
-    for it in range(iterations):
-        pred = F.lit(b)
-        for i, c in enumerate(features):
-            pred = pred + F.lit(float(w[i])) * F.col(c)
-        r = F.col("_y") - pred
-        g = F.when(r > epsilon, F.lit(-1.0)).when(r < -epsilon, F.lit(1.0)).otherwise(F.lit(0.0))
-        row = data.agg(*[F.sum(g * F.col(c)).alias(f"g{i}") for i, c in enumerate(features)],
-                       F.sum(g).alias("gb")).first()
-        grad_w = w + C * np.array([row[f"g{i}"] for i in range(k)]) / n
-        grad_b = C * row["gb"] / n
-        step = lr / math.sqrt(it + 1)
-        w = w - step * grad_w
-        b = b - step * grad_b
-    return w, b
-
-
-def svr_predict(df: DataFrame, features: list[str], w, b, out: str = "prediction") -> DataFrame:
-    pred = F.lit(float(b))
-    for i, c in enumerate(features):
-        pred = pred + F.lit(float(w[i])) * F.col(c).cast("double")
-    return df.withColumn(out, pred)
+            tr = tr.withColumn("_target", 2 * F.col(label) - linear("x", "_rule")).drop("_rule")
+    return te.drop("x")
+
+
+# -- M6 epsilon-insensitive regression -----------------------------------------------------------
+
+@dataclass
+class SVR:
+    """Prediction: shift + scale * (b[0] + z(x) . b[1:]), z standardised or random Fourier features."""
+
+    mean: np.ndarray
+    spread: np.ndarray
+    waves: np.ndarray | None
+    phase: np.ndarray | None
+    b: np.ndarray
+    shift: float
+    scale: float
+
+    def z(self, x: np.ndarray) -> np.ndarray:
+        x = (x - self.mean) / self.spread
+        return x if self.waves is None else np.sqrt(2 / len(self.phase)) * np.cos(x @ self.waves + self.phase)
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return self.shift + self.scale * (self.b[0] + self.z(x) @ self.b[1:])
+
+
+def fit_svr(train: DataFrame, label: str, C: float = 1.0, kernel: str = "linear", gamma: str = "scale", epsilon: float = 0.1,
+            components: int = 48, seed: int = 42, rounds: int = 25, tolerance: float = 1e-6) -> SVR:
+    """Least 1/2 |w|^2 + C * sum(max(0, |y - f(x)| - epsilon)^2) over standardised rows, by
+    Newton steps: each solves the normal equations of the rows outside the tube, one
+    distributed aggregate a step, until the coefficients rest. The RBF kernel is
+    approximated with `components` random Fourier features."""
+    rows = _arrays(train)
+    k = _size(rows)
+    every = lambda x, y: (np.ones(len(y), dtype=bool), y)
+    xx, xy = _moments(rows, label, lambda x: x, every, k)[0]
+    n, mean = xx[0, 0], xx[0, 1:] / xx[0, 0]
+    variance = np.maximum(np.diag(xx)[1:] / n - mean ** 2, 0)
+    spread = np.where(variance > 1e-12 * np.maximum(1, mean ** 2), np.sqrt(variance), 1.0)
+    first = train.agg(F.avg(label).alias("m"), F.stddev_pop(label).alias("s")).first()
+    waves = phase = None
+    if kernel == "rbf":
+        total = (variance / spread ** 2).mean() or 1.0
+        g = 1 / (k * total) if gamma == "scale" else 1 / k
+        rng = np.random.default_rng(seed)
+        waves, phase = rng.normal(size=(k, components)) * np.sqrt(2 * g), rng.uniform(0, 2 * np.pi, components)
+    m = components if kernel == "rbf" else k
+    model = SVR(mean, spread, waves, phase, np.zeros(m + 1), float(first["m"]), float(first["s"] or 1.0))
+    penalty = np.eye(m + 1)
+    penalty[0, 0] = 0
+    for _ in range(rounds):
+        def outside(z, y, model=model, b=model.b.copy()):
+            target = (y - model.shift) / model.scale
+            r = target - b[0] - z @ b[1:]
+            return np.abs(r) > epsilon, target - np.sign(r) * epsilon
+
+        sums = _moments(rows, label, model.z, outside, m).get(0)
+        if sums is None:
+            break  # every row is inside the tube
+        step = np.linalg.lstsq(penalty + 2 * C * sums[0], 2 * C * sums[1], rcond=None)[0]
+        moved = np.abs(step - model.b).max()
+        model.b = step
+        if moved <= tolerance * max(1.0, np.abs(step).max()):
+            break
+    return model
 
 
 # -- M7 classification -----------------------------------------------------------------------
 
-def fit_ovr_svc(train: DataFrame, features: list[str], label: str, max_iter: int = 10, reg: float = 0.01):
-    idx = StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc").fit(train)
-    data = assemble(idx.transform(train), features)
-    ovr = OneVsRest(classifier=LinearSVC(maxIter=max_iter, regParam=reg), labelCol="_label_idx",
-                    featuresCol="features")
-    return idx, ovr.fit(data)
+def fit_svc(train: DataFrame, label: str, kernel: str = "linear", reg: float = 0.01, max_iter: int = 50, components: int = 128, seed: int = 42):
+    """(label index, one-against-rest linear SVMs, feature map); the RBF kernel by random Fourier features."""
+    rows = _arrays(train)
+    k = _size(rows)
+    index = StringIndexer(inputCol=label, outputCol="_index", stringOrderType="alphabetAsc").fit(rows)
+    rng = np.random.default_rng(seed)
+    waves, phase = rng.normal(size=(k, components)) * np.sqrt(2 / k), rng.uniform(0, 2 * np.pi, components)
 
+    @F.pandas_udf("array<double>")
+    def fourier(x: pd.Series) -> pd.Series:
+        return pd.Series(list(np.sqrt(2 / components) * np.cos(np.stack(x.to_numpy()) @ waves + phase)))
 
-def ovr_predict(idx, model, df: DataFrame, features: list[str], label: str) -> DataFrame:
-    labels = idx.labels
-    out = model.transform(assemble(idx.transform(df), features))
-    expr = None
-    for i, lab in enumerate(labels):
-        expr = F.when(F.col("prediction") == float(i), F.lit(lab)) if expr is None else \
-            expr.when(F.col("prediction") == float(i), F.lit(lab))
-    return out.withColumn("predicted_label", expr).drop("features", "rawPrediction", "_label_idx")
+    def mapped(df: DataFrame) -> DataFrame:
+        return df if kernel == "linear" else _arrays(df).withColumn("features", array_to_vector(fourier("x"))).drop("x")
 
+    svm = LinearSVC(maxIter=max_iter, regParam=reg)
+    return index, OneVsRest(classifier=svm, labelCol="_index", featuresCol="features").fit(index.transform(mapped(train))), mapped
 
-# -- M8-M10 --------------------------------------------------------------------------------------
 
-def evaluate(pred: DataFrame, label: str, out: str = "prediction") -> dict:
-    return regression_metrics(pred, label, out).first().asDict()
+def predict_class(fitted, df: DataFrame, out: str = "predicted_label") -> DataFrame:
+    index, model, mapped = fitted
+    names = F.array(*[F.lit(x) for x in index.labels])
+    return model.transform(mapped(df)).withColumn(out, F.element_at(names, (F.col("prediction") + 1).cast("int"))).drop("prediction", "rawPrediction")
 
 
-def _host_uniform(seed: int, stream: str, i: int) -> float:
-    import hashlib
-    h = int(hashlib.md5(f"{seed}:{stream}:{i}".encode()).hexdigest()[:8], 16)
-    return (h + 0.5) / 2 ** 32
+# -- M8-M10 --------------------------------------------------------------------------------------
 
+def predict_grid(name: str, configs: list[dict], train: DataFrame, test: DataFrame, label: str, key: str) -> list[DataFrame]:
+    """`test` with `prediction`, per configuration of one family. Configurations that
+    share a fit share it: tree rules are applied to one grown tree, neighbours are
+    found once for the largest number, committees are prefixes."""
+    if name == "LinearRegression":
+        return [fit_ols(train, label, c["fit_intercept"]).transform(test) for c in configs]
+    if name == "KNN":
+        found, out = {}, []
+        most = max(c["n_neighbors"] for c in configs)
+        tr, te = _arrays(train), _arrays(test)
+        for c in configs:
+            if c["p"] not in found:
+                found[c["p"]] = knn.stored(knn.nearest(te, tr, key, key, "x", "x", k=most, p=c["p"]))
+            near = found[c["p"]].where(F.col("nn_rank") <= c["n_neighbors"])
+            out.append(test.join(knn.knn_regress(near, train, key, key, label, c["weights"]), key))
+        return out
+    if name in ("CART", "RandomForest"):
+        out, fits = [], {}
+        for c in configs:
+            grown = (c["max_depth"], c["min_samples_leaf"], c.get("max_features", "sqrt"))
+            if grown not in fits:
+                number = max((x.get("n_estimators", 1) for x in configs if (x["max_depth"], x["min_samples_leaf"], x.get("max_features", "sqrt")) == grown))
+                model = trees.fit_trees(train, label, number, c["max_depth"], c["min_samples_leaf"], grown[2], name == "RandomForest")
+                fits[grown] = trees.with_leaves(model, test), trees.read_trees(model, train.sparkSession)
+            leaves, full = fits[grown]
+            tables = [trees.leaf_table(t, trees.pruned(t, c.get("min_samples_split", 2), c.get("ccp_alpha", 0.0)))[0] for t in full[:c.get("n_estimators", 1)]]
+            out.append(trees.predict_from(leaves, tables).drop("_leaves"))
+        return out
+    if name == "Cubist":
+        out, members = [], {}
+        for c in configs:
+            if c["n_rules"] not in members:
+                most = max(x["n_committees"] for x in configs if x["n_rules"] == c["n_rules"])
+                members[c["n_rules"]] = model_tree_committees(train, test, label, most, c["n_rules"]), most
+            rows, most = members[c["n_rules"]]
+            mean = sum((F.col(f"_p{m}") for m in range(c["n_committees"])), F.lit(0.0)) / F.lit(float(c["n_committees"]))
+            out.append(rows.withColumn("prediction", mean).drop(*[f"_p{m}" for m in range(most)]))
+        return out
+    if name == "SVM":
+        fitted = [fit_svr(train, label, float(c["C"]), c["kernel"], c["gamma"]) for c in configs]
+        return [_apply(_arrays(test), "prediction", m.predict).drop("x") for m in fitted]
+    raise ValueError(f"no model family {name!r}")
 
-def _host_normal(seed: int, stream: str, i: int) -> float:
-    u1, u2 = _host_uniform(seed, stream + ".a", i), _host_uniform(seed, stream + ".b", i)
-    return math.sqrt(-2 * math.log(u1)) * math.cos(2 * math.pi * u2)
 
+def evaluate(pred: DataFrame, label: str, out: str = "prediction") -> dict:
+    return regression_metrics(pred, label, out).first().asDict()

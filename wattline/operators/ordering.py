@@ -10,19 +10,29 @@ per-partition offsets from a table of at most `partitions` rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.functions.draws import hash60
+from wattline.operators.selection import before_or_at, cut_point
 from wattline.session import checkpoint_root
 
 _LOCAL_BITS = 33
 _PID, _LOC, _MID = "_wl_pid", "_wl_loc", "_wl_mid"
 
 
+#: Rows of one sorted partition.
+ROWS_PER_PARTITION = 5_000_000
+
+
 def _partitions(df: DataFrame, partitions: int | None) -> int:
+    """Enough partitions for the rows there are, and at least the session's number."""
     if partitions:
         return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(least, -(-df.count() // ROWS_PER_PARTITION))
 
 
 def _cols(cols) -> list:
@@ -89,36 +99,41 @@ def prefix_sums(df: DataFrame, order_cols, sum_cols: list[str], suffix: str = "_
     return out.drop(_PID, _LOC, "_wl_one")
 
 
-def sort_by(df: DataFrame, order_cols, tie_break: str) -> DataFrame:
-    """L1: total order with an explicit unique tie-breaker."""
-    return df.orderBy(*_cols(order_cols), F.col(tie_break))
+def _whole(c) -> Column:
+    """An order key as an integer: dates and timestamps by their microseconds."""
+    kind = c[1]
+    x = F.col(c[0])
+    return F.unix_micros(x.cast("timestamp")) if kind.startswith(("timestamp", "date")) else x.cast("long")
+
 
+def first_rows(df: DataFrame, order_cols: list[str], rows: int) -> Column:
+    """Condition that holds for the first `rows` rows in the order of these integer or
+    time columns. The row at the limit is found by counting aggregates, column by
+    column within its ties, so nothing is sorted, moved or stored."""
+    kinds = dict(df.dtypes)
+    order = [_whole((c, kinds[c])) for c in order_cols]
+    if rows <= 0:
+        return F.lit(False)
+    return before_or_at(order, cut_point(df.select(*order_cols), order, rows - 1))
 
-def time_split(df: DataFrame, order_cols: list, test_size: float = 0.2,
-               label: str = "split") -> DataFrame:
-    """L2: the last ceil(test_size * n) rows in time order are 'test'
-    (`order_cols`: the time column then a unique tie-breaker)."""
-    import math
-    numbered = row_number(df, order_cols, name="_wl_rn")
-    n = numbered.count()
-    n_test = int(math.ceil(test_size * n)) if n else 0
-    return (numbered.withColumn(label, F.when(F.col("_wl_rn") <= F.lit(n - n_test), F.lit("train"))
-                                        .otherwise(F.lit("test")))
-                    .withColumnRenamed("_wl_rn", "position"))
 
+def time_split(df: DataFrame, order_cols: list[str], test_size: float = 0.2, label: str = "split") -> DataFrame:
+    """L2: the last ceil(test_size * n) rows in time order are 'test' (`order_cols`: the
+    time column, then a unique tie-breaker; rows equal in all of them stay together).
+    Keys that are null sort last."""
+    n = df.count()
+    first = first_rows(df, order_cols, n - math.ceil(test_size * n))
+    return df.withColumn(label, F.when(F.coalesce(first, F.lit(False)), F.lit("train")).otherwise(F.lit("test")))
 
-def random_split(df: DataFrame, key: str, seed: int = 42, test_size: float = 0.2,
-                 label: str = "split") -> DataFrame:
-    """L3: order by a keyed hash, exact test count ceil(test_size * n)."""
-    import math
-    from wattline.functions.draws import hash32
-    keyed = df.withColumn("_wl_h", hash32(seed, "split", F.col(key)))
-    numbered = row_number(keyed, ["_wl_h", key], name="_wl_rn")
-    n = numbered.count()
-    n_test = int(math.ceil(test_size * n)) if n else 0
-    return (numbered.withColumn(label, F.when(F.col("_wl_rn") <= F.lit(n_test), F.lit("test"))
-                                        .otherwise(F.lit("train")))
-                    .drop("_wl_h", "_wl_rn"))
+
+def random_split(df: DataFrame, key: str, seed: int = 42, test_size: float = 0.2, label: str = "split",
+                 tie_break: list[str] | None = None) -> DataFrame:
+    """L3: exactly ceil(test_size * n) 'test' rows, the first ones by a keyed hash of the
+    integer `key` (then the key, then `tie_break`)."""
+    n = df.count()
+    keyed = df.withColumn("_wl_h", hash60(seed, "split", F.col(key)))
+    first = first_rows(keyed, ["_wl_h", key, *(tie_break or [])], math.ceil(test_size * n))
+    return keyed.withColumn(label, F.when(first, F.lit("test")).otherwise(F.lit("train"))).drop("_wl_h")
 
 
 def head(df: DataFrame, order_cols, n: int = 5) -> DataFrame:
@@ -132,11 +147,5 @@ def tail(df: DataFrame, order_cols, n: int = 5) -> DataFrame:
     return df.orderBy(*rev).limit(n)
 
 
-def sort_desc(df: DataFrame, col: str, tie_break: str | None = None) -> DataFrame:
-    """L9 descending order."""
-    cols = [F.col(col).desc()] + ([F.col(tie_break)] if tie_break else [])
-    return df.orderBy(*cols)
-
-
 def as_column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

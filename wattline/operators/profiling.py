@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.operators.quantiles import DISTINCT_LIMIT, exact_quantiles
+from wattline.operators.quantiles import column_quantiles, grouped_quantiles
 from wattline.schema import q
 
 
@@ -34,10 +34,14 @@ def per_column(df: DataFrame, cols: list[str], stats: dict) -> DataFrame:
 
 
 def value_text(c: str, dtype: T.DataType) -> Column:
-    """Stable text of a value: six decimals for floating columns."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.format_string("%.6f", F.col(q(c)))
-    return F.col(q(c)).cast("string")
+    """Text that tells every two values apart: for floating columns the shortest exact
+    decimal (with an exponent below 1e-10 and from 1e17 on)."""
+    x = F.col(q(c))
+    if not isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return x.cast("string")
+    size = F.abs(x)
+    plain = F.when(size < 1e9, x.cast("decimal(38,28)").cast("string")).otherwise(x.cast("decimal(38,12)").cast("string"))
+    return F.when((size == 0) | ((size >= 1e-10) & (size < 1e17)), F.rtrim(F.rtrim(plain, F.lit("0")), F.lit("."))).otherwise(x.cast("string"))
 
 
 def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -83,37 +87,11 @@ def structure(df: DataFrame) -> DataFrame:
 
 # -- G5, G6, G11, G15 ----------------------------------------------------------------
 
-def _quantile_table(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list]:
-    """Exact quantiles for many columns: one sizing pass, one percentile pass for
-    columns whose distinct count fits a task; distributed selection otherwise."""
-    sizes = df.agg(*[F.approx_count_distinct(q(c)).alias(c) for c in cols]).first().asDict()
-    small = [c for c in cols if sizes[c] <= DISTINCT_LIMIT]
-    out: dict[str, list] = {}
-    # one percentile job per batch of columns whose maps together fit the budget
-    batches, cur, used = [], [], 0
-    for c in sorted(small, key=lambda c: sizes[c]):
-        if cur and used + sizes[c] > DISTINCT_LIMIT:
-            batches.append(cur)
-            cur, used = [], 0
-        cur.append(c)
-        used += sizes[c]
-    if cur:
-        batches.append(cur)
-    for batch in batches:
-        row = df.agg(*[F.percentile(_num(c), float(p)).alias(f"{c}__{i}")
-                       for c in batch for i, p in enumerate(probs)]).first()
-        for c in batch:
-            out[c] = [row[f"{c}__{i}"] for i in range(len(probs))]
-    for c in cols:
-        if c not in out:
-            out[c] = exact_quantiles(df.select(_num(c).alias(c)), c, probs, distinct_hint=sizes[c])
-    return out
-
-
 def describe(df: DataFrame, cols: list[str], digits: int = 6, extended: bool = False) -> DataFrame:
-    """G5 count/mean/std/min/25/50/75/max (G6 adds skew, kurt and modes)."""
+    """G5 count/mean/std/min/25/50/75/max. G6 adds skew and kurt, and has one row per
+    column and mode (no cell grows with the number of ties)."""
     spark = df.sparkSession
-    qs = _quantile_table(df, cols, [0.25, 0.5, 0.75])
+    qs = column_quantiles(df, cols, [0.25, 0.5, 0.75])
     qrows = [(c, *[None if v is None else float(v) for v in qs[c]]) for c in cols]
     qdf = spark.createDataFrame(qrows, "column_name string, q25 double, q50 double, q75 double")
     stats = {
@@ -137,8 +115,7 @@ def describe(df: DataFrame, cols: list[str], digits: int = 6, extended: bool = F
     n = F.col("count").cast("double")
     skew = F.when(n > 2, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
-    md = modes(df, cols).groupBy("column_name").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("num", "value"))), lambda s: s["value"]), ", ").alias("modes"))
+    md = modes_table(df, cols).select("column_name", F.col("value").alias("mode"))
     return (base.select(*sel, (F.round(F.nanvl(skew, F.lit(None)), digits) + F.lit(0.0)).alias("skew"),
                         (F.round(F.nanvl(kurt, F.lit(None)), digits) + F.lit(0.0)).alias("kurt"))
                 .join(md, "column_name", "left"))
@@ -157,7 +134,7 @@ def baseline_profile(df: DataFrame, cols: list[str], digits: int = 6) -> DataFra
 def quartiles(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
     """Exact interpolated Q1 / median / Q3 per column."""
     spark = df.sparkSession
-    qs = _quantile_table(df, cols, [0.25, 0.5, 0.75])
+    qs = column_quantiles(df, cols, [0.25, 0.5, 0.75])
     rows = [(c, *[None if v is None else float(v) for v in qs[c]]) for c in cols]
     out = spark.createDataFrame(rows, "column_name string, q25 double, q50 double, q75 double")
     return out.select("column_name", *[(F.round(k, digits) + F.lit(0.0)).alias(k) for k in ("q25", "q50", "q75")])
@@ -208,7 +185,16 @@ def value_share(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
 # -- G12-G14, G16 --------------------------------------------------------------------------
 
 def _pairs(cols: list[str]) -> list[tuple[str, str]]:
-    return [(a, b) for a in cols for b in cols]
+    """Each unordered pair once, a column with itself included."""
+    return [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    """Rows of unordered pairs as the full matrix; columns x_a and x_b change places."""
+    turned = {c: c[:-1] + "ba"[c.endswith("b")] if c[-2:] in ("_a", "_b") else c for c in pairs.columns}
+    as_is, other = F.struct(*pairs.columns), F.struct(*[F.col(v).alias(c) for c, v in turned.items()])
+    rows = F.when(F.col("col_a") == F.col("col_b"), F.array(as_is)).otherwise(F.array(as_is, other))
+    return pairs.select(F.explode(rows).alias("_r")).select("_r.*")
 
 
 def corr_matrix(df: DataFrame, cols: list[str], listwise: bool = True, digits: int = 6,
@@ -220,15 +206,15 @@ def corr_matrix(df: DataFrame, cols: list[str], listwise: bool = True, digits: i
                for a, b in _pairs(cols)]
     out = src.agg(F.array(*structs).alias("_s")).select(F.explode("_s").alias("_s")).select("_s.*")
     rnd = F.bround if half_even else F.round
-    return out.withColumn("corr", rnd("corr", digits) + F.lit(0.0))
+    return _both_ways(out.withColumn("corr", rnd("corr", digits) + F.lit(0.0)))
 
 
 def cov_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Sample covariance per pair, with the mean of the first column."""
     structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                        F.covar_samp(_num(a), _num(b)).alias("cov"), F.avg(_num(a)).alias("mean_a"))
+                        F.covar_samp(_num(a), _num(b)).alias("cov"), F.avg(_num(a)).alias("mean_a"), F.avg(_num(b)).alias("mean_b"))
                for a, b in _pairs(cols)]
-    out = df.agg(F.array(*structs).alias("_s")).select(F.explode("_s").alias("_s")).select("_s.*")
+    out = _both_ways(df.agg(F.array(*structs).alias("_s")).select(F.explode("_s").alias("_s")).select("_s.*"))
     return out.select("col_a", "col_b", (F.round("cov", digits) + F.lit(0.0)).alias("cov"),
                       (F.round("mean_a", 9) + F.lit(0.0)).alias("mean_a"))
 
@@ -307,18 +293,20 @@ def pair_bins(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
 def box_stats(df: DataFrame, value: str, group_cols: list[str] | None = None,
               whis: float = 1.5, digits: int = 9, quartiles: tuple | None = None) -> DataFrame:
     """Quartiles, whiskers at the last point inside the fences,
-    outlier count; per group. Quartiles come from :func:`grouped_quantiles`
-    (per-group maps only below a checked distinct-value bound)."""
-    from wattline.operators.quantiles import grouped_quantiles
+    outlier count; per group. Null keys are a group of their own."""
     x = _num(value)
     keys = group_cols or []
     if keys:
         qs = grouped_quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     else:
-        q1, med, q3 = quartiles or exact_quantiles(df.select(x.alias("_x")), "_x", [0.25, 0.5, 0.75])
+        q1, med, q3 = quartiles or column_quantiles(df, [value], [0.25, 0.5, 0.75])[value]
         qs = df.sparkSession.createDataFrame([(q1, med, q3)], "q1 double, median double, q3 double")
     # per-group quartiles are one row per group; the planner broadcasts them when small
-    fenced = df.join(qs, keys) if keys else df.crossJoin(F.broadcast(qs))
+    if keys:
+        qs = qs.select(F.struct(*keys).alias("_g"), "q1", "median", "q3")
+        fenced = df.withColumn("_k", F.struct(*keys)).join(qs, F.col("_k") == F.col("_g"))
+    else:
+        fenced = df.crossJoin(F.broadcast(qs))
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - whis * iqr, F.col("q3") + whis * iqr
     inside = x.between(lo, hi)
@@ -359,8 +347,8 @@ def kde(df: DataFrame, value: str, group: str, grid_size: int = 200, cut: float
                      "lo", "hi")
     grid = grid.withColumn("gx", F.col("lo") - cut * F.col("bw") + F.col("gi") * (
         (F.col("hi") - F.col("lo") + 2 * cut * F.col("bw")) / F.lit(float(grid_size - 1))))
-    # groups x grid points is small and bounded: broadcast it to the weighted values
-    joined = wv.join(F.broadcast(grid.select("grp", "gi", "gx", "bw", "n")), "grp")
+    # the planner broadcasts the grid if it has measured it as small
+    joined = wv.join(grid.select("grp", "gi", "gx", "bw", "n"), "grp")
     zsc = (F.col("gx") - F.col("x")) / F.col("bw")
     dens = joined.groupBy("grp", "gi", "gx", "bw", "n").agg(F.sum(F.col("w") * F.exp(-0.5 * zsc * zsc)).alias("s"))
     out = dens.select(F.col("grp").alias(group), F.col("gi").cast("bigint").alias("grid_index"),
@@ -385,9 +373,9 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def box_stats_columns(df: DataFrame, cols: list[str], whis: float = 1.5) -> DataFrame:
-    """G20 for many columns: quartiles of all columns from one sizing pass and
-    one percentile pass, then one box aggregate per column."""
-    qs = _quantile_table(df, cols, [0.25, 0.5, 0.75])
+    """G20 for many columns: quartiles of all columns together, then one box
+    aggregate per column."""
+    qs = column_quantiles(df, cols, [0.25, 0.5, 0.75])
     out = None
     for c in cols:
         part = box_stats(df, c, whis=whis, quartiles=tuple(qs[c])).withColumn("column_name", F.lit(c))

@@ -1,12 +1,8 @@
 """Exact, linearly interpolated quantiles (pandas / ``quantile_cont`` rule).
 
-Spark's exact ``percentile`` keeps one (value -> count) map per group and
-merges the maps of a global aggregate in one task, so its memory grows with
-the number of DISTINCT values. Below a checked bound we use it (one pass).
-Above it the same exact answer is found by a distributed selection: count
-per value (map-side combined, so a hot value is one row), running counts in
-value order (range partitioned), then pick the rows holding the needed ranks.
-``percentile_approx`` is offered separately; it does not interpolate.
+The two ranks around p * (n - 1) are found by narrowing aggregates
+(:mod:`wattline.operators.selection`) or, per group, from running counts of the
+distinct values; memory of a task never depends on the number of distinct values.
 """
 
 from __future__ import annotations
@@ -17,93 +13,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.operators.ordering import prefix_sums
-
-# Distinct values one task may hold in the percentile map.
-DISTINCT_LIMIT = 2_000_000
-
-
-def _interp(lo_v: float, hi_v: float, frac: float) -> float:
-    return lo_v + frac * (hi_v - lo_v)
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: list[float],
-                    distinct_limit: int = DISTINCT_LIMIT,
-                    distinct_hint: int | None = None) -> list[float | None]:
-    """`distinct_hint`: an upper estimate of distinct values already measured
-    by the caller (saves the sizing pass)."""
-    c = F.col(col)
-    if distinct_hint is None:
-        distinct_hint = int(df.agg(F.approx_count_distinct(c)).first()[0])
-    if distinct_hint <= distinct_limit:
-        row = df.agg(*[F.percentile(c, float(p)).alias(f"p{i}") for i, p in enumerate(probs)]).first()
-        return [None if v is None else float(v) for v in row]
-    n = int(df.agg(F.count(c)).first()[0])
-    if n == 0:
-        return [None] * len(probs)
-    return _selection_quantiles(df, col, probs, n)
-
-
-def _selection_quantiles(df: DataFrame, col: str, probs: list[float], n: int) -> list[float]:
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))
-    cum = prefix_sums(counts, [col], ["cnt"])
-    ranks = set()
-    for p in probs:
-        pos = p * (n - 1)
-        ranks.update({int(math.floor(pos)), int(math.ceil(pos))})
-    cond = None
-    for r in sorted(ranks):
-        hit = (F.col("cnt_cum") - F.col("cnt") <= F.lit(r)) & (F.lit(r) < F.col("cnt_cum"))
-        cond = hit if cond is None else (cond | hit)
-    rows = cum.where(cond).select(col, "cnt", "cnt_cum").collect()  # <= 2 rows per prob
-
-    def value_at(r: int) -> float:
-        for row in rows:
-            if row["cnt_cum"] - row["cnt"] <= r < row["cnt_cum"]:
-                return float(row[col])
-        raise RuntimeError("rank not found")
-
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
-        out.append(_interp(value_at(lo), value_at(hi), pos - lo))
+from wattline.operators.selection import select_ranks
+from wattline.schema import q
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Quantiles of several columns together; [None, ..] for a column without values."""
+    def ranks(n: int) -> list[int]:
+        return [r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
+
+    found = select_ranks(df, {c: F.col(q(c)).cast("double") for c in cols}, ranks)
+    out = {}
+    for c in cols:
+        n, at = found[c].n, found[c].at
+        out[c] = [None] * len(probs)
+        for i, p in enumerate(probs if n else []):
+            pos = p * (n - 1)
+            lo, hi = float(at[math.floor(pos)][0]), float(at[math.ceil(pos)][0])
+            out[c][i] = lo if lo == hi else lo + (pos - math.floor(pos)) * (hi - lo)
     return out
 
 
-def approx_quantiles(df: DataFrame, col: str, probs: list[float],
-                     accuracy: int = 10000) -> list[float | None]:
-    """Opt-in sketch quantiles for very large inputs (no interpolation)."""
-    row = df.agg(F.percentile_approx(col, [float(p) for p in probs], accuracy).alias("q")).first()
-    return list(row["q"]) if row["q"] is not None else [None] * len(probs)
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
+    return column_quantiles(df, [col], probs)[col]
 
 
-def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                      names: list[str], distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
+def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str]) -> DataFrame:
     """Exact interpolated quantiles per group: (keys..., names...).
 
-    A group's distinct values never exceed the column's, so when the column's
-    distinct count fits a task, Spark's per-group ``percentile`` maps are safe.
-    Otherwise: count per (group, value) (a hot group collapses to its distinct
-    values), running counts in (group, value) order, and pick the two ranks
-    around p * (n - 1) in every group by range conditions, with no per-group
-    collection anywhere.
+    Counts per (group, value), so a hot group collapses to its distinct values, then
+    running counts in (group, value) order, and the two ranks around p * (n - 1) of
+    every group by range conditions. Null keys are a group like others; a group
+    without a non-null value has null quantiles.
     """
-    x = F.col(value).cast("double")
-    d = int(df.agg(F.approx_count_distinct(x)).first()[0])
-    if d <= distinct_limit:
-        return df.groupBy(*keys).agg(*[F.percentile(x, float(p)).alias(n) for p, n in zip(probs, names)])
-    counts = df.where(x.isNotNull()).groupBy(*keys, x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    pre = prefix_sums(counts, keys + ["_v"], ["_c"])
-    base = pre.groupBy(*keys).agg(F.min(F.col("_c_cum") - F.col("_c")).alias("_b"), F.sum("_c").alias("_n"))
-    loc = pre.join(base, keys).withColumn("_end", F.col("_c_cum") - F.col("_b")) \
-             .withColumn("_start", F.col("_end") - F.col("_c"))
-    out = base.select(*keys, "_n")
-    for p, n in zip(probs, names):
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
+    x = F.nanvl(F.col(q(value)).cast("double"), F.lit(None).cast("double"))
+    rows = df.select(F.struct(*keys).alias("_g"), x.alias("_v"))  # a struct: null keys compare equal
+    groups = rows.groupBy("_g").agg(F.count("_v").alias("_n"))
+    counts = rows.where(F.col("_v").isNotNull()).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    pre = prefix_sums(counts, ["_g", "_v"], ["_c"])
+    base = pre.groupBy("_g").agg(F.min(F.col("_c_cum") - F.col("_c")).alias("_b"), F.sum("_c").alias("_m"))
+    loc = pre.join(base, "_g").select("_g", "_v", "_m", (F.col("_c_cum") - F.col("_b")).alias("_end"),
+                                      (F.col("_c_cum") - F.col("_b") - F.col("_c")).alias("_start"))
+    picks = []
+    for p, n in zip(probs, names, strict=True):
+        pos = F.lit(float(p)) * (F.col("_m") - 1)
         for side, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            pick = loc.where((F.col("_start") <= r) & (r < F.col("_end"))).select(*keys, F.col("_v").alias(f"_{side}_{n}"))
-            out = out.join(pick, keys, "left")
-        frac = pos - F.floor(pos)
-        out = out.withColumn(n, F.col(f"_lo_{n}") + frac * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))) \
-                 .drop(f"_lo_{n}", f"_hi_{n}")
-    return out.drop("_n")
+            picks.append(F.max(F.when((F.col("_start") <= r) & (r < F.col("_end")), F.col("_v"))).alias(f"_{side}_{n}"))
+    picked = loc.groupBy("_g").agg(*picks).withColumnRenamed("_g", "_h")
+    out = groups.join(picked, F.col("_g") == F.col("_h"), "left")
+    for p, n in zip(probs, names, strict=True):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        lo, hi = F.col(f"_lo_{n}"), F.col(f"_hi_{n}")
+        out = out.withColumn(n, F.when(lo == hi, lo).otherwise(lo + (pos - F.floor(pos)) * (hi - lo)))
+    return out.select(*[F.col("_g")[k].alias(k) for k in keys], *names)

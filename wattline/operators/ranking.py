@@ -1,10 +1,11 @@
-"""Model-result tables: summaries, rankings, best-by-criterion, run and
-registry views (W1, W2, L4-L7, K3-K5, C14, P4).
+"""Model-result tables: summaries, rankings, best-by-criterion and the runs view
+(W1, W2, L4-L6, K3-K5, C14).
 
 A results table has one row per fitted configuration: ``run_ord`` (input
 order), ``model``, ``params`` MAP<STRING,STRING>, ``rmse``, ``mae``, ``r2``,
 ``cv``. It has as many rows as configurations (74 for the full grid), so
 the windows here rank a table whose size is fixed by the grid, not the data.
+Every ranking comes from one pass over the table, one row per criterion.
 """
 
 from __future__ import annotations
@@ -33,17 +34,12 @@ def summary(results: DataFrame) -> DataFrame:
 
 def rankings(results: DataFrame) -> DataFrame:
     """The four rankings in long form; ties keep input order (row_number)."""
-    parts = []
-    for crit, (metric, asc) in CRITERIA.items():
-        w = Window.orderBy(*_order(metric, asc))
-        parts.append(results.select(F.lit(crit).alias("criterion"),
-                                    F.row_number().over(w).alias("rank"), "model",
-                                    params_to_string("params").alias("hyperparameters"),
-                                    F.col(metric).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    each = F.explode(F.array(*[F.struct(F.lit(crit).alias("criterion"), F.col(metric).alias("value"),
+                                        (F.col(metric) * (1 if asc else -1)).alias("key"))
+                               for crit, (metric, asc) in CRITERIA.items()]))
+    rows = results.select("run_ord", "model", params_to_string("params").alias("hyperparameters"), each.alias("_c"))
+    w = Window.partitionBy("_c.criterion").orderBy(F.col("_c.key").asc_nulls_last(), "run_ord")
+    return rows.select("_c.criterion", F.row_number().over(w).alias("rank"), "model", "hyperparameters", "_c.value")
 
 
 def best_per_model(results: DataFrame, metric: str = "rmse") -> DataFrame:
@@ -53,25 +49,18 @@ def best_per_model(results: DataFrame, metric: str = "rmse") -> DataFrame:
 
 
 def best_by_criterion(results: DataFrame, criterion: str = "RMSE") -> DataFrame:
-    """L4: the best row for one criterion; unknown criteria fail."""
+    """L4: the best row for one criterion; other names are refused."""
     if criterion not in CRITERIA:
-        raise ValueError(f"Unknown criterion: {criterion}")
+        raise ValueError(f"no ranking by {criterion!r}; there are {', '.join(CRITERIA)}")
     metric, asc = CRITERIA[criterion]
     return results.orderBy(*_order(metric, asc)).limit(1)
 
 
 def best_by_criterion_table(results: DataFrame) -> DataFrame:
     """K4: Criterion, Best_Model, Hyperparameters, Value (4 rows)."""
-    parts = []
-    for crit, (metric, _asc) in CRITERIA.items():
-        b = best_by_criterion(results, crit)
-        parts.append(b.select(F.lit(crit).alias("Criterion"), F.col("model").alias("Best_Model"),
-                              params_to_string("params").alias("Hyperparameters"),
-                              F.col(metric).alias("Value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rankings(results).where("rank = 1").select(
+        F.col("criterion").alias("Criterion"), F.col("model").alias("Best_Model"),
+        F.col("hyperparameters").alias("Hyperparameters"), F.col("value").alias("Value"))
 
 
 def compare_models(results: DataFrame) -> DataFrame:
@@ -104,34 +93,3 @@ def best_finished_run(runs: DataFrame) -> DataFrame:
     """Status FINISHED, lowest RMSE (nulls last); empty input is an error upstream."""
     return (runs.where(F.col("status") == "FINISHED")
                 .orderBy(F.col("rmse").asc_nulls_last(), F.col("run_ord")).limit(1))
-
-
-def registry(runs: DataFrame) -> DataFrame:
-    """Model registry view: each finished run of a model is a version (in run
-    order); the model's best run is in 'Production', the others 'Archived'."""
-    w = Window.partitionBy("model").orderBy("run_ord")
-    best = best_per_model(runs.where(F.col("status") == "FINISHED")).select("run_id", F.lit(True).alias("_best"))
-    fin = runs.where(F.col("status") == "FINISHED").withColumn("version", F.row_number().over(w))
-    return (fin.join(best, "run_id", "left")
-               .select(F.col("model").alias("name"), "version", "run_id", "params", "rmse", "mae", "r2",
-                       F.when(F.col("_best"), F.lit("Production")).otherwise(F.lit("Archived")).alias("stage")))
-
-
-def latest_versions(reg: DataFrame, stage: str | None = None) -> DataFrame:
-    """Latest version per (name, stage), optionally of one stage."""
-    w = Window.partitionBy("name", "stage").orderBy(F.col("version").desc())
-    out = reg.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
-    return out.where(F.col("stage") == stage) if stage else out
-
-
-def versions_of(reg: DataFrame, name: str | None = None) -> DataFrame:
-    """All versions of a model name (or of every name), newest first."""
-    out = reg.where(F.col("name") == name) if name else reg
-    return out.select("name", "version", "run_id", "stage").orderBy("name", F.col("version").desc())
-
-
-def model_info(reg: DataFrame, stage: str = "Production") -> DataFrame:
-    """Name, version, parameters, metrics, model type (default 'regression')."""
-    latest = latest_versions(reg, stage)
-    return latest.select("name", "version", params_to_string("params").alias("params"),
-                         "rmse", "mae", "r2", F.lit("regression").alias("model_type"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.draws import hash32
+from wattline.functions.draws import hash60
 from wattline.operators.ordering import row_number
 
 IDX = "_src"
@@ -32,23 +32,18 @@ def positions(spark, n: int | None = None, like: DataFrame | None = None, col: s
 def sample_with_replacement(idx: DataFrame, n_src: int, pos: DataFrame, seed: int = 42,
                             stream: str = "sample", col: str = "i") -> DataFrame:
     """For each position i a uniformly drawn source row."""
-    draws = pos.withColumn(IDX, F.pmod(hash32(seed, stream, F.col(col)), F.lit(n_src)))
+    draws = pos.withColumn(IDX, F.pmod(hash60(seed, stream, F.col(col)), F.lit(n_src)))
     return draws.join(idx, IDX).drop(IDX)
 
 
 def random_pair(pos: DataFrame, n_src: int, seed: int, col: str = "i"):
     """Two different source indexes per position: r1 uniform, r2 = (r1 + 1 + h' mod (N-1)) mod N."""
-    r1 = F.pmod(hash32(seed, "pair.1", F.col(col)), F.lit(n_src))
-    step = F.pmod(hash32(seed, "pair.2", F.col(col)), F.lit(max(n_src - 1, 1)))
+    r1 = F.pmod(hash60(seed, "pair.1", F.col(col)), F.lit(n_src))
+    step = F.pmod(hash60(seed, "pair.2", F.col(col)), F.lit(max(n_src - 1, 1)))
     return pos.withColumn("_r1", r1).withColumn("_r2", F.pmod(F.col("_r1") + 1 + step, F.lit(n_src)))
 
 
 def shuffle(df: DataFrame, key: str, seed: int = 42, stream: str = "shuffle", name: str = "position") -> DataFrame:
     """A reproducible permutation: order by hash(seed, key) with the key as tie-break."""
-    keyed = df.withColumn("_h", hash32(seed, stream, F.col(key)))
+    keyed = df.withColumn("_h", hash60(seed, stream, F.col(key)))
     return row_number(keyed, ["_h", key], name=name, base=0).drop("_h")
-
-
-def sample_without_replacement(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """S11 with n: the first n rows of the permutation (a sampling limit)."""
-    return shuffle(df, key, seed).where(F.col("position") < n)

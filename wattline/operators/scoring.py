@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,27 +35,27 @@ def request_to_model_row(df: DataFrame, key: str = "request_id") -> DataFrame:
 
 
 class UsageModel:
-    """Encoder (train statistics) + least squares on the 14 encoded features."""
+    """A stored pipeline: encoder (train statistics), then least squares on the 14
+    encoded features."""
 
-    def __init__(self, encoder: ReadingsEncoder, model):
-        self.encoder, self.model = encoder, model
+    def __init__(self, pipeline: PipelineModel):
+        self.pipeline = pipeline
 
     @classmethod
     def fit(cls, train: DataFrame, label: str = "usage_kwh") -> "UsageModel":
-        enc = ReadingsEncoder.fit_on(train)
-        lr = fit_ols(enc.encode(train), _encoded(), label)
-        return cls(enc, lr)
+        encoder = ReadingsEncoder.fit_on(train)
+        return cls(PipelineModel([encoder, fit_ols(encoder.transform(train), label)]))
 
-    def predict(self, rows: DataFrame, out: str = "prediction") -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
-        enc = self.encoder.encode(rows)
-        feats = VectorAssembler(inputCols=_encoded(), outputCol="features").transform(enc)
-        return self.model.transform(feats).withColumnRenamed("prediction", out).drop("features")
+    def save(self, path: str) -> str:
+        self.pipeline.write().overwrite().save(path)
+        return path
 
+    @classmethod
+    def load(cls, path: str) -> "UsageModel":
+        return cls(PipelineModel.load(path))
 
-def _encoded():
-    from wattline.operators.features import encoded_columns
-    return encoded_columns()
+    def predict(self, rows: DataFrame, out: str = "prediction") -> DataFrame:
+        return self.pipeline.transform(rows).withColumnRenamed("prediction", out).drop("features")
 
 
 def score_batch(model: UsageModel, valid_requests: DataFrame, key: str = "request_id") -> DataFrame:

@@ -76,10 +76,10 @@ def _cdf_ctes(cols, src="readings_tagged"):
             "WINDOW w AS (PARTITION BY column_name ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"]
 
 
-@register("w3_two_sample_cdf", S.with_(TAG + _cdf_ctes(NUM[:3]),
+@register("w3_two_sample_cdf", S.with_(TAG + _cdf_ctes(NUM),
     f"SELECT column_name, value, {S.r('f1', 9)} AS f1, {S.r('f2', 9)} AS f2, next_value FROM cdf"))
 def w3_two_sample_cdf(spark, sf_dir):
-    cdf = cp.cdf_table(tagged(spark, sf_dir), NUM[:3], "dataset", A, B)
+    cdf = cp.cdf_table(tagged(spark, sf_dir), NUM, "dataset", A, B)
     return cdf.select("column_name", "value", (F.round("f1", 9) + F.lit(0.0)).alias("f1"),
                       (F.round("f2", 9) + F.lit(0.0)).alias("f2"), "next_value")
 

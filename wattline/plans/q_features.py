@@ -10,7 +10,7 @@ from wattline.operators.ordering import time_split
 from wattline.plans import sqlgen as S
 from wattline.plans.q_cleaning import CLEAN, clean
 from wattline.plans.registry import register
-from wattline.schema import DAY_OF_WEEK_VALUES, FEATURE_NUMERIC, LOAD_TYPE_VALUES
+from wattline.schema import DAY_OF_WEEK_VALUES, FEATURE_NUMERIC, LOAD_TYPE_VALUES, NUMERIC_COLUMNS
 
 SPLIT_CLEAN = CLEAN + [
     "cs AS (SELECT *, row_number() OVER (ORDER BY date, reading_id) AS position, count(*) OVER () AS n FROM readings_clean)",
@@ -83,18 +83,17 @@ def e5_assembled_features(spark, sf_dir):
                                       for j in range(len(fe.encoded_columns()))])
 
 
-E6_CATS = {"load_type": sorted(LOAD_TYPE_VALUES), "week_status": ["Weekday", "Weekend"]}
-E6_NUM = ["usage_kwh", "lagging_current_reactive_power_kvarh"]
+E6_CATS = {"load_type": sorted(LOAD_TYPE_VALUES), "week_status": ["Weekday", "Weekend"], "day_of_week": sorted(DAY_OF_WEEK_VALUES)}
+E6_NUM = NUMERIC_COLUMNS
 
 
 @register("e6_learned_onehot", S.with_(SPLIT_CLEAN + [
-    "st6 AS (SELECT avg(usage_kwh) AS m0, stddev_pop(usage_kwh) AS s0, avg(lagging_current_reactive_power_kvarh) AS m1, "
-    "stddev_pop(lagging_current_reactive_power_kvarh) AS s1 FROM csp WHERE split = 'train')"],
+    "st6 AS (SELECT " + ", ".join(f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s{i}"
+                                  for i, c in enumerate(E6_NUM)) + " FROM csp WHERE split = 'train')"],
     "SELECT reading_id, " + ", ".join(f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS {c}_{v}"
                                       for c, vs in E6_CATS.items() for v in vs)
-    + f", {S.r('(usage_kwh - m0) / s0')} AS usage_kwh, {S.r('(lagging_current_reactive_power_kvarh - m1) / s1')} "
-    "AS lagging_current_reactive_power_kvarh, CAST(hour(date) AS BIGINT) AS hour, CAST(month(date) AS BIGINT) AS month "
-    "FROM csp, st6"))
+    + ", " + ", ".join(f"{S.r(f'({c} - m{i}) / s{i}')} AS {c}" for i, c in enumerate(E6_NUM))
+    + ", CAST(hour(date) AS BIGINT) AS hour, CAST(month(date) AS BIGINT) AS month FROM csp, st6"))
 def e6_learned_onehot(spark, sf_dir):
     sp = clean_split(spark, sf_dir).withColumn("hour", F.hour("date").cast("bigint")) \
                                     .withColumn("month", F.month("date").cast("bigint"))

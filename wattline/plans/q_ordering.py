@@ -29,13 +29,13 @@ def l1_sort_by_date(spark, sf_dir):
     return od.row_number(df, ["date", "reading_id"], "position")
 
 
-@register("l2_time_split", S.with_(SPLIT_CTES, f"SELECT {KEYS}, position, split FROM sp"))
+@register("l2_time_split", S.with_(SPLIT_CTES, f"SELECT {KEYS}, split FROM sp"))
 def l2_time_split(spark, sf_dir):
-    return lineitem_split(spark, sf_dir).select(*LINEITEM_KEYS, "position", "split")
+    return lineitem_split(spark, sf_dir).select(*LINEITEM_KEYS, "split")
 
 
 L3_SQL = S.with_([
-    f"h AS (SELECT {KEYS}, {S.hash32(42, 'split', 'l_orderkey * 100 + l_linenumber')} AS hv, "
+    f"h AS (SELECT {KEYS}, {S.hash60(42, 'split', 'l_orderkey * 100 + l_linenumber')} AS hv, "
     "l_orderkey * 100 + l_linenumber AS k FROM lineitem)",
     "o AS (SELECT *, row_number() OVER (ORDER BY hv, k, l_partkey) AS rn, count(*) OVER () AS n FROM h)"],
     f"SELECT {KEYS}, CASE WHEN rn <= CAST(ceil(CAST(0.2 AS DOUBLE) * n) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM o")
@@ -43,16 +43,8 @@ L3_SQL = S.with_([
 
 @register("l3_random_split", L3_SQL)
 def l3_random_split(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem").select(*LINEITEM_KEYS)
-    li = li.withColumn("_k", F.col("l_orderkey") * 100 + F.col("l_linenumber"))
-    from wattline.functions.draws import hash32
-    keyed = li.withColumn("_h", hash32(42, "split", F.col("_k")))
-    numbered = od.row_number(keyed, ["_h", "_k", "l_partkey"], "_rn")
-    import math
-    n = numbered.count()
-    n_test = int(math.ceil(0.2 * n))
-    return numbered.select(*LINEITEM_KEYS, F.when(F.col("_rn") <= n_test, F.lit("test"))
-                           .otherwise(F.lit("train")).alias("split"))
+    li = load(spark, sf_dir, "lineitem").select(*LINEITEM_KEYS, (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("_k"))
+    return od.random_split(li, "_k", 42, 0.2, tie_break=["l_partkey"]).select(*LINEITEM_KEYS, "split")
 
 
 @register("l8_head_tail", S.with_(CLEAN, "SELECT * FROM (SELECT 'head' AS part, reading_id, date FROM readings_clean "

@@ -25,7 +25,7 @@ def U(cols, tmpl):
 def vtext(c):
     """SQL text of a value, as :func:`wattline.operators.profiling.value_text`."""
     if SPARK_TYPES.get(c) == "double":
-        return f"printf('%.6f', {c})"
+        return f"rtrim(rtrim(CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,28)) AS VARCHAR), '0'), '.')"
     return f"CAST({c} AS VARCHAR)"
 
 
@@ -87,9 +87,8 @@ MODES_CTES = [_vc_cte(NUM, "readings_clean"),
 
 
 @register("g6_describe_extended", S.with_(CLEAN + MODES_CTES + [
-    "d AS (" + U(NUM, lambda c: _describe_sql(c, extended=True)) + ")",
-    "m AS (SELECT column_name, string_agg(value, ', ' ORDER BY num, value) AS modes FROM modes GROUP BY 1)"],
-    "SELECT d.*, m.modes FROM d LEFT JOIN m USING (column_name)"))
+    "d AS (" + U(NUM, lambda c: _describe_sql(c, extended=True)) + ")"],
+    "SELECT d.*, modes.value AS mode FROM d LEFT JOIN modes USING (column_name)"))
 def g6_describe_extended(spark, sf_dir):
     return pr.describe(clean(spark, sf_dir), NUM, extended=True)
 
@@ -202,11 +201,11 @@ def g17_histogram(spark, sf_dir):
     return pr.histogram(clean(spark, sf_dir), NUM, bins=30)
 
 
-@register("g18_log_histogram", S.with_(CLEAN + _hist_ctes(["usage_kwh"], "readings_clean", 50),
+@register("g18_log_histogram", S.with_(CLEAN + _hist_ctes(NUM, "readings_clean", 50),
     "SELECT column_name, bin, lo_edge, hi_edge, count, "
     + S.r("CASE WHEN count > 0 THEN log10(count) END", 9) + " AS log10_count FROM hist"))
 def g18_log_histogram(spark, sf_dir):
-    return pr.histogram(clean(spark, sf_dir), ["usage_kwh"], bins=50, log_counts=True)
+    return pr.histogram(clean(spark, sf_dir), NUM, bins=50, log_counts=True)
 
 
 G19_BODY = ("SELECT 'original' AS dataset, column_name, bin, lo_edge, hi_edge, count, "
@@ -215,11 +214,11 @@ G19_BODY = ("SELECT 'original' AS dataset, column_name, bin, lo_edge, hi_edge, c
             + S.r("count / (n * w)", 9) + " AS density FROM hist_c")
 
 
-@register("g19_density_histogram", S.with_(CLEAN + _hist_ctes(NUM[:4], "readings", 30, "_o")
-                                           + _hist_ctes(NUM[:4], "readings_clean", 30, "_c"), G19_BODY))
+@register("g19_density_histogram", S.with_(CLEAN + _hist_ctes(NUM, "readings", 30, "_o")
+                                           + _hist_ctes(NUM, "readings_clean", 30, "_c"), G19_BODY))
 def g19_density_histogram(spark, sf_dir):
-    a = pr.histogram(readings(spark, sf_dir), NUM[:4], bins=30, density=True).withColumn("dataset", F.lit("original"))
-    b = pr.histogram(clean(spark, sf_dir), NUM[:4], bins=30, density=True).withColumn("dataset", F.lit("cleaned"))
+    a = pr.histogram(readings(spark, sf_dir), NUM, bins=30, density=True).withColumn("dataset", F.lit("original"))
+    b = pr.histogram(clean(spark, sf_dir), NUM, bins=30, density=True).withColumn("dataset", F.lit("cleaned"))
     return a.unionByName(b)
 
 
@@ -325,7 +324,7 @@ def g24_kde(spark, sf_dir):
     return pr.kde(clean(spark, sf_dir), "usage_kwh", "load_type")
 
 
-PAIR_COLS = ["usage_kwh", "lagging_current_reactive_power_kvarh", "co2_tco2", "lagging_current_power_factor"]
+PAIR_COLS = NUM
 
 
 def _pair_sql():

@@ -1,5 +1,5 @@
-"""Queries over model results: metrics, rankings, selection, runs and registry
-views, summary sinks (K1-K5, W1, W2, L4-L7, C14, P4, A7-A9, B11)."""
+"""Queries over model results: metrics, rankings, selection, the runs view and
+summary sinks (K1-K5, W1, W2, L4-L6, C14, A7-A9, B11)."""
 
 from __future__ import annotations
 
@@ -76,9 +76,17 @@ def k3_all_runs_summary(spark, sf_dir):
                      *[(F.round(c, _rm(c.lower())) + F.lit(0.0)).alias(c) for c in ("RMSE", "MAE", "R2", "CV")])
 
 
-@register("c14_params_to_string", S.with_(RESULT_CTES, "SELECT run_ord, hyperparameters FROM results"))
+C14_KEYS = ["load_type", "week_status", "day_of_week"]
+
+
+@register("c14_params_to_string", S.with_(S.clean_ctes(), "SELECT load_type, 'week_status=' || week_status || ', day_of_week=' || "
+          "day_of_week || ', readings=' || CAST(count(*) AS VARCHAR) AS settings FROM readings_clean "
+          "GROUP BY load_type, week_status, day_of_week"))
 def c14_params_to_string(spark, sf_dir):
-    return results(spark, sf_dir).select("run_ord", params_to_string("params").alias("hyperparameters"))
+    from wattline.plans.q_cleaning import clean
+    counts = clean(spark, sf_dir).groupBy(*C14_KEYS).agg(F.count(F.lit(1)).alias("readings"))
+    settings = F.create_map(*[x for c in [*C14_KEYS[1:], "readings"] for x in (F.lit(c), F.col(c).cast("string"))])
+    return counts.select("load_type", params_to_string(settings).alias("settings"))
 
 
 def _value_round(crit_col, v):
@@ -112,12 +120,19 @@ def w2_best_per_model(spark, sf_dir):
                     (F.round("rmse", 4) + F.lit(0.0)).alias("rmse"))
 
 
-@register("l4_best_by_criterion", S.with_(RESULT_CTES, "SELECT model, hyperparameters, " + S.r("r2", 9)
-                                          + " AS r2 FROM results ORDER BY r2 DESC NULLS LAST, run_ord LIMIT 1"))
+L4_SQL = " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{c}' AS criterion, model, hyperparameters, {S.r(m, _rm(m))} AS value FROM results "
+    f"ORDER BY {m} {'ASC' if asc else 'DESC'} NULLS LAST, run_ord LIMIT 1)" for c, (m, asc) in rk.CRITERIA.items())
+
+
+@register("l4_best_by_criterion", S.with_(RESULT_CTES, L4_SQL))
 def l4_best_by_criterion(spark, sf_dir):
-    b = rk.best_by_criterion(results(spark, sf_dir), "R2")
-    return b.select("model", params_to_string("params").alias("hyperparameters"),
-                    (F.round("r2", 9) + F.lit(0.0)).alias("r2"))
+    res, out = results(spark, sf_dir), None
+    for c, (m, _) in rk.CRITERIA.items():
+        one = rk.best_by_criterion(res, c).select(
+            F.lit(c).alias("criterion"), "model", params_to_string("params").alias("hyperparameters"), (F.round(m, _rm(m)) + F.lit(0.0)).alias("value"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 K4_SQL = " UNION ALL ".join(
@@ -170,39 +185,6 @@ def l6_best_finished_run(spark, sf_dir):
     return b.select("run_id", "model", (F.round("rmse", 4) + F.lit(0.0)).alias("rmse"))
 
 
-REG_CTES = RUNS_CTES + [
-    "bestr AS (SELECT run_id FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY rmse NULLS LAST, run_ord) AS r "
-    "FROM runs WHERE status = 'FINISHED') WHERE r = 1)",
-    "reg AS (SELECT model AS name, row_number() OVER (PARTITION BY model ORDER BY run_ord) AS version, r.run_id, "
-    "hyperparameters, rmse, mae, r2, CASE WHEN b.run_id IS NOT NULL THEN 'Production' ELSE 'Archived' END AS stage "
-    "FROM runs r LEFT JOIN bestr b ON r.run_id = b.run_id WHERE status = 'FINISHED')",
-    "latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, stage ORDER BY version DESC) AS k "
-    "FROM reg) WHERE k = 1)"]
-
-
-@register("l7_latest_model_version", S.with_(REG_CTES, "SELECT name, stage, CAST(version AS INTEGER) AS version, run_id FROM latest"))
-def l7_latest_model_version(spark, sf_dir):
-    reg = rk.registry(rk.runs_table(results(spark, sf_dir)))
-    return rk.latest_versions(reg).select("name", "stage", "version", "run_id")
-
-
-@register("l7_all_versions", S.with_(REG_CTES, "SELECT name, CAST(version AS INTEGER) AS version, run_id, stage FROM reg"))
-def l7_all_versions(spark, sf_dir):
-    reg = rk.registry(rk.runs_table(results(spark, sf_dir)))
-    return rk.versions_of(reg)
-
-
-@register("p4_model_info", S.with_(REG_CTES, "SELECT name, CAST(version AS INTEGER) AS version, hyperparameters AS params, "
-                                   + S.r("rmse", 4) + " AS rmse, " + S.r("mae", 4) + " AS mae, " + S.r("r2", 9)
-                                   + " AS r2, 'regression' AS model_type FROM latest WHERE stage = 'Production'"))
-def p4_model_info(spark, sf_dir):
-    reg = rk.registry(rk.runs_table(results(spark, sf_dir)))
-    info = rk.model_info(reg)
-    return info.select("name", "version", "params", (F.round("rmse", 4) + F.lit(0.0)).alias("rmse"),
-                       (F.round("mae", 4) + F.lit(0.0)).alias("mae"), (F.round("r2", 9) + F.lit(0.0)).alias("r2"),
-                       "model_type")
-
-
 KEYS = "l_orderkey, l_linenumber, l_partkey"
 
 
@@ -220,13 +202,13 @@ def a7_prediction_sink(spark, sf_dir):
                        (F.round("residual", 6) + F.lit(0.0)).alias("residual"))
 
 
-@register("b11_residuals", S.with_(RESULT_CTES, f"SELECT {KEYS}, " + S.r("y - yhat", 6) + " AS residual, "
+@register("b11_residuals", S.with_(RESULT_CTES, f"SELECT CAST(run_ord AS INTEGER) AS run_ord, {KEYS}, " + S.r("y - yhat", 6) + " AS residual, "
                                    + S.r("100.0 * (y - yhat) / CASE WHEN y = 0 THEN NULL ELSE y END", 6)
-                                   + " AS pct_error FROM lp WHERE run_ord = 4"))
+                                   + " AS pct_error FROM lp"))
 def b11_residuals(spark, sf_dir):
     long = bl.long_predictions(bl.family_predictions(bl.lineitem_split(spark, sf_dir)))
-    out = mt.residual_columns(long.where(F.col("run_ord") == 4), "y", "yhat")
-    return out.select(*bl.LINEITEM_KEYS, (F.round("residual", 6) + F.lit(0.0)).alias("residual"),
+    out = mt.residual_columns(long, "y", "yhat")
+    return out.select("run_ord", *bl.LINEITEM_KEYS, (F.round("residual", 6) + F.lit(0.0)).alias("residual"),
                       (F.round("pct_error", 6) + F.lit(0.0)).alias("pct_error"))
 
 
@@ -247,22 +229,38 @@ def a8_evaluation_sink(spark, sf_dir):
                        (F.round("residual", 6) + F.lit(0.0)).alias("residual"))
 
 
-@register("a9_summary_sinks", S.with_(RESULT_CTES, "SELECT artifact, CAST(n_rows AS BIGINT) AS n_rows FROM (VALUES "
-                                      "('models_metrics_summary', (SELECT count(*) FROM results)), "
-                                      "('best_models_by_criterion', 4), ('rmse_ranking', (SELECT count(*) FROM results)), "
-                                      "('mae_ranking', (SELECT count(*) FROM results)), ('r2_ranking', (SELECT count(*) FROM results)), "
-                                      "('cv_ranking', (SELECT count(*) FROM results))) t(artifact, n_rows)"))
+def _a9_sql():
+    def ranked(m, asc):
+        return f"row_number() OVER (ORDER BY {m} {'ASC' if asc else 'DESC'} NULLS LAST, run_ord)"
+    parts = [f"SELECT 'models_metrics_summary' AS artifact, CAST(run_ord AS BIGINT) AS row_no, model, hyperparameters, {S.r('rmse', 4)} AS value FROM results"]
+    parts += [f"SELECT 'best_models_by_criterion', {i}, model, hyperparameters, {S.r(m, _rm(m))} FROM (SELECT *, {ranked(m, asc)} AS k FROM results) WHERE k = 1"
+              for i, (m, asc) in enumerate(rk.CRITERIA.values(), 1)]
+    parts += [f"SELECT '{c.lower()}_ranking', {ranked(m, asc)}, model, hyperparameters, {S.r(m, _rm(m))} FROM results" for c, (m, asc) in rk.CRITERIA.items()]
+    return " UNION ALL ".join(parts)
+
+
+@register("a9_summary_sinks", S.with_(RESULT_CTES, _a9_sql()))
 def a9_summary_sinks(spark, sf_dir):
+    """The contents of the six files, as read back."""
     res = results(spark, sf_dir)
     ranks = rk.rankings(res)
-    tables = [("models_metrics_summary", rk.summary(res)), ("best_models_by_criterion", rk.best_by_criterion_table(res))]
-    tables += [(f"{c.lower()}_ranking", ranks.where(F.col("criterion") == c)) for c in rk.CRITERIA]
+    tables = [("models_metrics_summary", rk.summary(res).select("run_ord", "Model", "Hyperparameters", "RMSE")),
+              ("best_models_by_criterion", ranks.where("rank = 1").select(
+                  (F.array_position(F.array(*[F.lit(c) for c in rk.CRITERIA]), F.col("criterion"))).alias("run_ord"), "model", "hyperparameters", "value"))]
+    tables += [(f"{c.lower()}_ranking", ranks.where(F.col("criterion") == c).select("rank", "model", "hyperparameters", "value")) for c in rk.CRITERIA]
     root = scratch_path(spark, "summary")
     out = None
     for name, t in tables:
+        t = t.toDF("row_no", "model", "hyperparameters", "value")
         files.write_csv(t, f"{root}/{name}")
-        back = spark.read.option("header", "true").csv(f"{root}/{name}")
-        part = back.agg(F.lit(name).alias("artifact"), F.count(F.lit(1)).alias("n_rows"))
+        back = files.read_csv_typed(spark, f"{root}/{name}", "row_no long, model string, hyperparameters string, value double")
+        m = rk.CRITERIA[name.split("_")[0].upper()][0] if name.endswith("_ranking") else "rmse"
+        digits = F.lit(_rm(m))
+        if name == "best_models_by_criterion":
+            value = F.element_at(F.array(*[F.round("value", _rm(x)) for x, _ in rk.CRITERIA.values()]), F.col("row_no").cast("int"))
+        else:
+            value = F.round("value", digits)
+        part = back.select(F.lit(name).alias("artifact"), "row_no", "model", "hyperparameters", (value + F.lit(0.0)).alias("value"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -80,7 +80,7 @@ def f10_expectation_suite(spark, sf_dir):
     return va.expectation_suite(clean(spark, sf_dir), REQUIRED, NUMERIC_COLUMNS, "nsm", NON_NEG, CLEAN_DOMAINS)
 
 
-F11_COLS = NUMERIC_COLUMNS[:6]
+F11_COLS = NUMERIC_COLUMNS
 
 
 def _f11_sql():
@@ -96,17 +96,19 @@ def _f11_sql():
 
 @register("f11_outlier_rate", _f11_sql())
 def f11_outlier_rate(spark, sf_dir):
-    from wattline.operators.profiling import _quantile_table
+    from wattline.operators.quantiles import column_quantiles
     df = clean(spark, sf_dir)
-    qs = _quantile_table(df, F11_COLS, [0.25, 0.75])  # two passes for all columns
+    qs = column_quantiles(df, F11_COLS, [0.25, 0.75])
     bounds = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, q3) in qs.items()}
     return va.outlier_rate(df, F11_COLS, bounds)
 
 
 @register("f12_prediction_sanity", S.with_(RESULT_CTES, "SELECT count(*) AS n_predictions, count(*) FILTER (WHERE isnan(yhat)) AS n_nan, "
-                                           "count(*) FILTER (WHERE isinf(yhat)) AS n_inf, count(*) FILTER (WHERE yhat IS NULL) AS n_null FROM lp"))
+                                           "count(*) FILTER (WHERE isinf(yhat)) AS n_inf, count(*) FILTER (WHERE yhat IS NULL) AS n_null, "
+                                           f"(SELECT count(*) * {len(bl.FAMILY)} FROM te)::BIGINT AS n_inputs, "
+                                           f"count(*) = (SELECT count(*) * {len(bl.FAMILY)} FROM te) AND count(*) = count(*) FILTER (WHERE isfinite(yhat)) AS passed FROM lp"))
 def f12_prediction_sanity(spark, sf_dir):
     from wattline.operators.metrics import prediction_sanity
-    long = bl.long_predictions(bl.family_predictions(bl.lineitem_split(spark, sf_dir)))
-    return prediction_sanity(long, 0, "yhat")
-
+    split = bl.lineitem_split(spark, sf_dir)
+    inputs = split.where(F.col("split") == "test").count() * len(bl.FAMILY)  # one prediction per row and configuration
+    return prediction_sanity(bl.long_predictions(bl.family_predictions(split)), inputs, "yhat")

@@ -19,7 +19,7 @@ MODULES = [
     "wattline.plans.q_ordering",
     "wattline.plans.q_validate",
     "wattline.plans.q_features",
-    "wattline.plans.q_drift",
+    "wattline.plans.q_sampling",
     "wattline.plans.q_models",
     "wattline.plans.q_scoring",
 ]

@@ -151,13 +151,17 @@ def clean_ctes(steps=OUTLIER_STEPS) -> list[str]:
 
 # -- reproducible draws (same formulas as wattline.functions.draws) -----------------
 
-def hash32(seed: int, stream: str, i_expr: str) -> str:
+def _digits(seed: int, stream: str, i_expr: str, n: int) -> str:
     return (f"CAST(('0x' || substr(md5(concat({lit(str(seed))}, ':', {lit(stream)}, ':', "
-            f"CAST({i_expr} AS VARCHAR))), 1, 8)) AS BIGINT)")
+            f"CAST({i_expr} AS VARCHAR))), 1, {n})) AS BIGINT)")
+
+
+def hash60(seed: int, stream: str, i_expr: str) -> str:
+    return _digits(seed, stream, i_expr, 15)
 
 
 def uniform(seed: int, stream: str, i_expr: str) -> str:
-    return f"((CAST({hash32(seed, stream, i_expr)} AS DOUBLE) + 0.5) / 4294967296.0)"
+    return f"((CAST({_digits(seed, stream, i_expr, 13)} AS DOUBLE) + 0.5) / {float(2 ** 52)!r}::DOUBLE)"
 
 
 def normal(seed: int, stream: str, i_expr: str) -> str:
@@ -166,12 +170,7 @@ def normal(seed: int, stream: str, i_expr: str) -> str:
     return f"(sqrt(-2.0 * ln({u1})) * cos({2 * math.pi!r} * {u2}))"
 
 
-def beta_sym(seed: int, stream: str, i_expr: str, alpha: float, tries: int = 8) -> str:
-    inv = repr(1.0 / alpha)
-    cands = []
-    for t in range(tries):
-        a = f"pow({uniform(seed, f'{stream}.{t}.a', i_expr)}, {inv})"
-        b = f"pow({uniform(seed, f'{stream}.{t}.b', i_expr)}, {inv})"
-        cands.append(f"CASE WHEN {a} + {b} <= 1.0 THEN {a} / ({a} + {b}) END")
-    cands.append(uniform(seed, f"{stream}.fallback", i_expr))
-    return "coalesce(" + ", ".join(cands) + ")"
+def beta_sym(seed: int, stream: str, i_expr: str, alpha: float) -> str:
+    c = f"cos({2 * math.pi!r} * {uniform(seed, stream + '.b', i_expr)})"
+    square = f"((pow({uniform(seed, stream + '.a', i_expr)}, {-1.0 / alpha!r}) - 1.0) * {c} * {c})"
+    return f"(CASE WHEN {square} > 0 THEN 0.5 + 0.5 * sign({c}) / sqrt(1.0 + 1.0 / {square}) ELSE 0.5 END)"

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from wattline.functions.dates import format_day_first
 from wattline.schema import q
-from wattline.session import scratch_path
 
 CSV_TEXT_OPTIONS = {
     "header": "true",
@@ -22,14 +21,16 @@ CSV_TEXT_OPTIONS = {
     "escape": '"',
 }
 
-# Materialized dirty files, one per (application, sf_dir).
-_DIRTY_CACHE: dict[tuple[str, str], str] = {}
+#: The header must name the expected columns, and a row with too many or too few
+#: fields fails the read instead of shifting or losing values.
+CSV_STRICT_OPTIONS = {"mode": "FAILFAST", "enforceSchema": "false"}
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A1: every column as STRING; fails if the path is missing or has no rows."""
+    """A1: every column as STRING; fails if the path is missing, has no rows, or its
+    header or a row doesn't fit the columns."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    df = spark.read.schema(schema).options(**CSV_TEXT_OPTIONS).csv(path)
+    df = spark.read.schema(schema).options(**CSV_TEXT_OPTIONS, **CSV_STRICT_OPTIONS).csv(path)
     if df.isEmpty():
         raise ValueError(f"no rows in {path}")
     return df
@@ -37,8 +38,9 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> Data
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str,
                    timestamp_format: str | None = None) -> DataFrame:
-    """A3 / A4: typed CSV scan (dates parsed by the reader)."""
-    reader = spark.read.schema(schema).option("header", "true")
+    """A3 / A4: typed CSV scan (dates parsed by the reader); a cell that can't be read
+    as its type fails the read."""
+    reader = spark.read.schema(schema).option("header", "true").options(**CSV_STRICT_OPTIONS)
     if timestamp_format:
         reader = reader.option("timestampNTZFormat", timestamp_format)
     return reader.csv(path)
@@ -68,17 +70,3 @@ def with_rendered_dates(df: DataFrame, date_cols: list[str]) -> DataFrame:
             if c in kinds and isinstance(kinds[c], (T.TimestampType, T.TimestampNTZType,
                                                     T.DateType))]
     return df.withColumns({c: format_day_first(F.col(q(c))) for c in todo})
-
-
-def materialized(spark: SparkSession, sf_dir: str, name: str, build, fmt: str = "parquet") -> str:
-    """Write a derived table once per application (under the shared checkpoint
-    folder) and reuse its path; later scans prune columns and push filters."""
-    key = (spark.sparkContext.applicationId, sf_dir, name, fmt)
-    if key not in _DIRTY_CACHE:
-        path = scratch_path(spark, f"{name}_{fmt}")
-        if fmt == "csv":
-            write_csv(build(), path)
-        else:
-            write_parquet(build(), path)
-        _DIRTY_CACHE[key] = path
-    return _DIRTY_CACHE[key]

@@ -13,8 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.functions.numeric import nan_to_null
 from wattline.schema import LOAD_TYPE_VALUES, RAW_COLUMNS, q
+from wattline.session import scratch_path
 from wattline.sources.dirty_rules import dirty_select_list
+from wattline.sources.files import write_csv, write_parquet
 from wattline.sources.tables import load
 
 
@@ -25,7 +28,8 @@ def readings(spark: SparkSession, sf_dir: str, with_tag: bool = False) -> DataFr
 
 def readings_from_events(events: DataFrame, with_tag: bool = False) -> DataFrame:
     """The mapping as a projection (works on batch and streaming frames)."""
-    ev = events.select("event_id", "ts", "user_id", "value", "props", "event_type")
+    # A NaN is a missing value from here on: aggregates would count it otherwise.
+    ev = events.select("event_id", "ts", "user_id", nan_to_null(F.col("value").cast("double")).alias("value"), "props", "event_type")
     k = F.regexp_extract("props", r'"k":\s*(-?[0-9.]+)', 1).try_cast("double")
     uid = F.col("user_id")
     day = F.date_format("ts", "EEEE")
@@ -60,20 +64,24 @@ def dirty_columns() -> list[str]:
     return [name for _, name in dirty_select_list("spark")]
 
 
+# Where this application has stored the dirty readings of a table with this content.
+_STORED: dict[tuple, str] = {}
+
+
 def readings_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty readings as a stored all-string table (written once from
-    ``events``). Stored as Parquet so each pass reads only the columns it needs;
-    :func:`readings_dirty_csv` is the same file as CSV for the text scan (A1)."""
-    from wattline.sources.files import materialized
-    path = materialized(spark, sf_dir, "readings_dirty", lambda: render_dirty(spark, sf_dir))
-    return spark.read.parquet(path)
+    """The dirty readings as a stored all-string table: the stand-in for the raw file, so
+    it is written once per application and content of ``events`` (row count and hash)."""
+    events = load(spark, sf_dir, "events")
+    mark = events.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*events.columns).cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, sf_dir, *mark)
+    if key not in _STORED:
+        _STORED[key] = write_parquet(render_dirty(spark, sf_dir), scratch_path(spark, "readings_dirty"))
+    return spark.read.parquet(_STORED[key])
 
 
 def readings_dirty_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the dirty readings written as a CSV text file."""
-    from wattline.sources.files import materialized
-    return materialized(spark, sf_dir, "readings_dirty", lambda: render_dirty(spark, sf_dir),
-                        fmt="csv")
+    """Path of the dirty readings written as a CSV text file (A1)."""
+    return write_csv(render_dirty(spark, sf_dir), scratch_path(spark, "readings_dirty_csv"))
 
 
 def raw_name_columns(df: DataFrame) -> list:

@@ -23,9 +23,15 @@ DOMAINS = {"Day_of_week": DAY_OF_WEEK_VALUES, "WeekStatus": WEEK_STATUS_VALUES,
 
 
 def event_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/events.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(source_dir))
+    """All Parquet files of the `events` table, and those added later: the files of the
+    folder `events.parquet`, or `events*.parquet` files beside each other."""
+    path = f"{source_dir.rstrip('/')}/events.parquet"
+    table = spark.read.parquet(path)
+    first = table.select(F.input_file_name().alias("f")).first()
+    reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
+    if first is not None and first["f"].rsplit("/", 1)[-1] == "events.parquet":
+        return reader.option("pathGlobFilter", "events*.parquet").parquet(source_dir)
+    return reader.parquet(path)
 
 
 def run(spark: SparkSession, source_dir: str, model: UsageModel | None, out_root: str | None = None):
@@ -39,7 +45,6 @@ def run(spark: SparkSession, source_dir: str, model: UsageModel | None, out_root
     def sink(batch: DataFrame, epoch: int) -> None:
         # foreachBatch may re-run an epoch after a failure: each epoch owns one
         # partition directory and overwrites it, so a retry replaces, not duplicates.
-        batch = batch.persist()
         part = f"epoch={epoch}"
         batch.select("request_id", "is_valid", F.array_join("errors", "; ").alias("errors")) \
              .write.mode("overwrite").parquet(f"{paths['checked']}/{part}")
@@ -47,7 +52,6 @@ def run(spark: SparkSession, source_dir: str, model: UsageModel | None, out_root
         if model is not None:
             score_batch(model, batch.where(F.col("is_valid"))).write.mode("overwrite") \
                 .parquet(f"{paths['predictions']}/{part}")
-        batch.unpersist()
 
     q = (checked.writeStream.foreachBatch(sink).option("checkpointLocation", paths["checkpoint"])
          .trigger(availableNow=True).start())
