@@ -55,7 +55,7 @@ def _named_apart(recipes: DataFrame, chunked: DataFrame, doubtful: DataFrame, di
     rows = chunked.select("doc_id", "text_sha256", F.posexplode("_chunks").alias("at", "chunk")).distinct()
     named = rows.withColumn("digest", digest(F.col("chunk"))).join(doubtful, ["digest", "chunk"], "left").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "at",
-        F.concat("digest", F.coalesce(F.col("variant").cast("binary"), F.lit(b""))).alias("name"))
+        F.concat("digest", F.coalesce(F.col("variant").cast("string"), F.lit("")).cast("binary")).alias("name"))
     lists = named.groupBy("_id", "_sha").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias("_names"))
     same = recipes["doc_id"].eqNullSafe(lists["_id"]) & (recipes["text_sha256"] == lists["_sha"])
     return recipes.join(lists, same, "left").select("doc_id", "text_sha256", F.coalesce("_names", "recipe").alias("recipe"), "row_no")

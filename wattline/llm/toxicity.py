@@ -32,6 +32,8 @@ from wattline.llm.common import cut, id_and_text, is_held_out, map_texts
 TRAIN_TOXIC, TRAIN_CLEAN, CANDIDATES, ENTRIES = 4000, 8000, 20_000, 500
 #: Least log odds of an entry; covers wanted of a toxic document; stem lengths.
 LEAST_WEIGHT, COVERS, STEMS = 2.0, 3, (4, 5, 6)
+#: Words that may turn into candidates by their exception phrases.
+DOUBTFUL = 2000
 
 # Signs and letters that stand for Latin letters. i, l and 1 are one.
 _LOOKALIKES = {
@@ -58,10 +60,22 @@ _FOLD = _fold_table()
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Signs that also end a sentence or a cell stand for letters only before one.
+_END = re.compile(r"[!|](?!\w)")
+
+
 def fold(text: str) -> str:
+    if "!" in text or "|" in text:
+        text = _END.sub(" ", text)
     return text.lower().translate(_FOLD)
 
 
+def _phrases(folded: str, start: int, end: int) -> list[str]:
+    """The word at start:end with the word before it, and with the one after it."""
+    before, after = re.search(r"([^\W\d_]+) $", folded[max(0, start - 40):start]), re.match(r" ([^\W\d_]+)", folded[end:end + 40])
+    return ([f"{before[1]} {folded[start:end]}"] if before else []) + ([f"{folded[start:end]} {after[1]}"] if after else [])
+
+
 def _entries(word: str) -> list[str]:
     """Lexicon entries that a folded word can match."""
     return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
@@ -119,18 +133,10 @@ class Lexicon:
         return 1 / (1 + math.exp(-x)) if x < 700 else 1.0
 
     def phrases(self, text: str) -> set[str]:
-        """Each hit's word with the word before it, and with the one after it."""
+        """Each hit's whole word with each of its neighbours."""
         folded = fold(text)
-        out = set()
-        for s, e, _ in self.hits(folded):
-            word = _WORD.match(folded, s)
-            end = word.end() if word else e
-            before, after = re.search(r"([^\W\d_]+) $", folded[max(0, s - 40):s]), re.match(r" ([^\W\d_]+)", folded[end:end + 40])
-            if before:
-                out.add(f"{before[1]} {folded[s:end]}")
-            if after:
-                out.add(f"{folded[s:end]} {after[1]}")
-        return out
+        words = (_WORD.match(folded, s) for s, _, _ in self.hits(folded))
+        return {p for m in words if m for p in _phrases(folded, m.start(), m.end())}
 
 
 def _greedy(docs: list[list[list[int]]], weight: list[float], least: int) -> list[int]:
@@ -156,6 +162,43 @@ def _greedy(docs: list[list[list[int]]], weight: list[float], least: int) -> lis
     return chosen
 
 
+def _with_exceptions(sample: DataFrame, known: DataFrame, candidates: list[tuple[str, float]], n_toxic: int, n_clean: int):
+    """Candidates and, per word, its harmless phrases. A word of the toxic documents that
+    clean ones use mostly in the same few phrases, never found in toxic ones, is a
+    candidate without them."""
+    doubtful = (known.filter((F.col("weight") > 0) & (F.col("weight") < LEAST_WEIGHT) & ~F.col("entry").endswith("*"))
+                .orderBy(F.desc(F.col("weight") * F.col("bad")), "entry").limit(DOUBTFUL).collect())
+    good = {r["entry"]: (r["bad"], r["good"]) for r in doubtful}
+    if not good:
+        return candidates, {}
+    shared = sample.sparkSession.sparkContext.broadcast(frozenset(good))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for t, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                folded = fold(t)
+                counts.update({(m[0], p, toxic) for m in _WORD.finditer(folded) if m[0] in shared.value for p in _phrases(folded, m.start(), m.end())})
+            columns = [pa.array([k[i] for k in counts], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts.values(), pa.int64())], names=["entry", "phrase", "toxic", "n"])
+
+    phrases = (sample.select("text", "toxic").mapInArrow(run, "entry string, phrase string, toxic int, n long").groupBy("entry", "phrase")
+               .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
+               .filter("bad = 0 and good >= 3").join(known.select("entry", F.col("good").alias("all_good")), "entry")
+               .filter(F.col("good") >= F.col("all_good") / 4).select("entry", "phrase", "good").collect())  # at most 8 for each doubtful word
+    harmless: dict[str, list[str]] = {}
+    spared: Counter = Counter()
+    for r in phrases:
+        harmless.setdefault(r["entry"], []).append(r["phrase"])
+        spared[r["entry"]] += r["good"]
+    for entry in sorted(harmless):
+        bad, all_good = good[entry]
+        weight = math.log((bad + 0.5) / (n_toxic + 1)) - math.log((max(0, all_good - spared[entry]) + 0.5) / (n_clean + 1))
+        if weight >= LEAST_WEIGHT:
+            candidates.append((entry, weight))
+    return candidates, harmless
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Lexicon:
     """Learn from the labelled rows that aren't held out; without a toxic or a clean
     one the lexicon is empty and every score 0 or next to it."""
@@ -184,12 +227,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     counted = sample.mapInArrow(count, "entry string, toxic int, n long").groupBy("entry").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
+    counted = cut(counted)
     odds = F.log((F.col("bad") + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(n_clean + 1.0))
     least = max(2, n_toxic // 100)
-    candidates = (counted.withColumn("weight", odds).filter((F.col("bad") >= least) & (F.col("weight") >= LEAST_WEIGHT))
+    known = counted.withColumn("weight", odds).filter(F.col("bad") >= least)
+    candidates = (known.filter(F.col("weight") >= LEAST_WEIGHT)
                   .orderBy(F.desc(F.col("weight") * F.col("bad")), "entry").limit(CANDIDATES).select("entry", "weight").collect())
-    number = {r["entry"]: i for i, r in enumerate(candidates)}
-    weight = [r["weight"] for r in candidates]
+    candidates, harmless = _with_exceptions(sample, known, [(r["entry"], r["weight"]) for r in candidates], n_toxic, n_clean)
+    number = {entry: i for i, (entry, _) in enumerate(candidates)}
+    weight = [w for _, w in candidates]
     shared = sample.sparkSession.sparkContext.broadcast(number)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +249,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     found = sample.filter("toxic = 1").select("doc_id", "text").mapInArrow(matched, "words array<array<int>>").collect()
     chosen = _greedy(sorted(r["words"] for r in found), weight, least)
-    lexicon = Lexicon({candidates[i]["entry"]: weight[i] for i in chosen})
+    entries = {candidates[i][0]: weight[i] for i in chosen}
+    lexicon = Lexicon(entries, tuple(sorted(p for e in entries for p in harmless.get(e, ()))))
 
     def judged(lexicon: Lexicon):
         model = sample.sparkSession.sparkContext.broadcast(lexicon)
@@ -219,9 +266,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     rows = judged(lexicon)
     clean, bad = (Counter(p for r in rows if r["toxic"] == t for p in r["phrases"]) for t in (0, 1))
-    lexicon.exceptions = tuple(sorted(p for p, n in clean.items() if n >= 2 and p not in bad))
-    if lexicon.exceptions:
-        rows = judged(Lexicon(lexicon.weights, lexicon.exceptions))
+    more = {p for p, n in clean.items() if n >= 2 and p not in bad}
+    if more:
+        lexicon = Lexicon(entries, tuple(sorted(more.union(lexicon.exceptions))))
+        rows = judged(lexicon)
     # The threshold with the fewest errors; of equal ones, the middle of the widest gap.
     points = sorted((r["density"], r["toxic"]) for r in rows)
     wrong, best = n_clean, []
