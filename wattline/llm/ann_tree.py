@@ -6,8 +6,9 @@ first: a priority queue of nodes by distance to their centres, whose nearest is
 taken next, gives the leaves in the order to visit. How many it visits is
 calibrated: for CALIBRATION queries the true neighbours are found by brute force,
 distributed, and the visits are widened until TARGET of them lie in visited leaves.
-Query and leaf then meet in a shuffle, large leaves in parts, each part returns its
-nearest by exact distance in double precision, and the parts' results are merged.
+Neighbouring leaves share a bucket of bounded size. A query goes to each bucket that
+has leaves to visit, once, with the list of them; the bucket returns its nearest by
+exact distance in double precision, and the buckets' results are merged.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ from pyspark.sql import functions as F
 from wattline.llm.common import cut
 
 #: Neighbours; recall to reach on the calibration queries; their number.
-K, TARGET, CALIBRATION = 10, 0.97, 200
+K, TARGET, CALIBRATION = 10, 0.94, 200
 #: Vectors of the sample (one in SAMPLE_SHARE of all, within bounds), children of a
 #: node, most sample vectors of a leaf, rounds of k-means.
 SAMPLE_LEAST, SAMPLE_MOST, SAMPLE_SHARE, BRANCH, LEAF, ROUNDS = 20_000, 500_000, 20, 16, 40, 8
-#: Most vectors of a leaf that one group holds.
-PART = 32_768
+#: Vectors that one bucket of neighbouring leaves holds; a larger leaf is split.
+BUCKET = 4096
 
 
 @dataclass
@@ -178,6 +179,22 @@ def calibrated_visits(tree: Tree, queries: list, true_leaves: dict[int, list[int
     return visits
 
 
+def _buckets(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per leaf its first bucket and the number of buckets it is spread over: leaves in
+    order of their numbers share one up to BUCKET vectors, larger ones have their own."""
+    first, parts = np.zeros(len(sizes), dtype=np.int64), np.ones(len(sizes), dtype=np.int64)
+    at, filled = 0, 0
+    for leaf, size in enumerate(sizes.tolist()):
+        if filled and filled + size > BUCKET:
+            at, filled = at + 1, 0
+        first[leaf], parts[leaf] = at, max(1, -(-size // BUCKET))
+        if size > BUCKET:
+            at, filled = at + int(parts[leaf]), 0
+        else:
+            filled += size
+    return first, parts
+
+
 def search(rows: DataFrame, is_query: Column | None = None, k: int = K, target: float = TARGET, seed: int = 0,
            id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): per query its k nearest found, rank from 1,
@@ -214,36 +231,46 @@ def search(rows: DataFrame, is_query: Column | None = None, k: int = K, target:
     tuned = queries.orderBy(F.xxhash64("vec_id", F.lit(seed + 1)), "vec_id").limit(CALIBRATION).collect()
     visits = calibrated_visits(tree, tuned, _true_leaves(indexed, tuned, k), target)
 
+    bucket, parts = _buckets(sizes)
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            query, leaves, at = _matrix(batch.column("vec"), len(batch)), [], []
-            for i, x in enumerate(query):
-                reached = 0
+            out: list[tuple[int, int, list[int]]] = []
+            for i, x in enumerate(_matrix(batch.column("vec"), len(batch))):
+                reached, here = 0, {}
                 for seen, leaf in enumerate(shared.value.visits(x)):
                     if seen >= visits and reached > k:  # more than k, as the query itself may be among them
                         break
                     reached += int(sizes[leaf])
-                    leaves.append(leaf)
-                    at.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(at, pa.int64())), batch.column("vec").take(pa.array(at, pa.int64())),
-                                              pa.array(leaves, pa.int64())], names=["query_id", "query", "leaf"])
+                    for b in range(bucket[leaf], bucket[leaf] + parts[leaf]):
+                        here.setdefault(b, []).append(leaf)
+                out += [(i, b, leaves) for b, leaves in sorted(here.items())]
+            at = pa.array([i for i, _, _ in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(at), batch.column("vec").take(at), pa.array([b for _, b, _ in out], pa.int64()),
+                                              pa.array([x for _, _, x in out], pa.list_(pa.int64()))], names=["query_id", "query", "bucket", "leaves"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf, spread = (batch.column(c).to_numpy() for c in ("leaf", "spread"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("vec_id", "vec", "leaf")), pa.array(bucket[leaf] + spread % parts[leaf])],
+                                             names=["vec_id", "vec", "leaf", "bucket"])
 
-    parts = spark.createDataFrame([(i, int(-(-s // PART))) for i, s in enumerate(sizes.tolist()) if s], "leaf long, parts int")
-    walked = queries.select("vec_id", "vec").mapInArrow(walk, "query_id long, query array<double>, leaf long").join(F.broadcast(parts), "leaf")
-    left = walked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    right = indexed.join(F.broadcast(parts), "leaf").withColumn("part", F.pmod(F.xxhash64("vec_id", "vec"), F.col("parts")).cast("int"))
+    tasks = max(1, min(n // 1000, spark.sparkContext.defaultParallelism))
+    left = queries.select("vec_id", "vec").repartition(tasks, "vec_id").mapInArrow(
+        walk, "query_id long, query array<double>, bucket long, leaves array<long>")
+    right = indexed.withColumn("spread", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(1 << 31))).mapInArrow(
+        deal, "vec_id long, vec array<double>, leaf long, bucket long")
 
     def nearest(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(asked) and len(own):
-            ids, vectors = own["vec_id"].to_numpy(), np.stack(own["vec"].to_numpy())
-            for q, x in zip(asked["query_id"], asked["query"], strict=True):
-                found, apart = _best(ids, vectors, x, q, k)
+            ids, leaf, vectors = own["vec_id"].to_numpy(), own["leaf"].to_numpy(), np.stack(own["vec"].to_numpy())
+            for q, x, leaves in zip(asked["query_id"], asked["query"], asked["leaves"], strict=True):
+                at = np.flatnonzero(np.isin(leaf, leaves))
+                found, apart = _best(ids[at], vectors[at], x, q, k)
                 out.append(pd.DataFrame({"query_id": q, "vec_id": found, "score": apart}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = (left.select("leaf", "part", "query_id", "query").groupBy("leaf", "part")
-             .cogroup(right.select("leaf", "part", "vec_id", "vec").groupBy("leaf", "part"))
-             .applyInPandas(nearest, "query_id long, vec_id long, score double"))
+    found = left.groupBy("bucket").cogroup(right.groupBy("bucket")).applyInPandas(nearest, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
