@@ -21,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import id_and_text, is_held_out, map_texts
+from wattline.llm.common import cut, id_and_text, is_held_out, map_texts, small_batches, text_groups
 
-#: Bounds of the training sample (documents a language, on average) and of the model.
-TRAIN_DOCS, WORDS, GRAMS, NGRAM = 3000, 100_000, 60_000, 4
+#: Bounds of the training sample (documents a language, on average; most frequent
+#: languages) and of the model.
+TRAIN_DOCS, LANGUAGES, WORDS, GRAMS, NGRAM = 3000, 1000, 100_000, 60_000, 4
 UNKNOWN = "und"
 #: Unseen words whose scores a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -100,11 +101,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Learn from text and non-null language of the rows that aren't held out."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~is_held_out(F.col(id_col))).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = F.broadcast(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
     share = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = rows.join(sizes, "lang").filter(share * F.col("n") < F.lit(TRAIN_DOCS))
-    words = (sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-             .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).persist())
+    words = cut(sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+                .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(NGRAM)), lambda n: F.transform(
         F.when(F.char_length(padded) >= n, F.sequence(F.lit(1), F.char_length(padded) - n + 1)).otherwise(F.array().cast("array<int>")),
@@ -117,7 +118,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     sums = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     word_rows, gram_rows = top(words, WORDS, 2), top(counted, GRAMS, 2)
-    words.unpersist()
     languages = sorted(sums, key=lambda x: (-sums[x], x))
     place = {lang: i for i, lang in enumerate(languages)}
     tables, index = [], []
@@ -158,12 +158,13 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """`docs`, all columns, without the rows whose language can't be told (no letter)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col))
 
     def keep(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            kept = [x != UNKNOWN for x, _ in shared.value.predict(texts)]
+            named = pa.RecordBatch.from_arrays([batch.column(id_col), batch.column(text_col)], names=["doc_id", "text"])
+            kept = [x != UNKNOWN for _, texts in text_groups(named) for x, _ in shared.value.predict(texts)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
