@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wattline.session import checkpoint_root
 
 #: Text handled together inside one Python task, in characters.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +24,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of one Arrow batch between the JVM and a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit for Arrow batches: long texts fill the default of 64 MB,
+    of which JVM and worker hold several copies for each task."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark.conf.get(name).rstrip("b")
+    if not size.isdigit() or int(size) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text) with null texts as empty; every other column is left out."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
@@ -49,8 +63,8 @@ def keep_rows(docs: DataFrame, keys: DataFrame, key: Column, text_col: str) -> D
             .withColumn("__llm_no", F.row_number().over(order)).filter("__llm_no = 1").select(*docs.columns))
 
 
-def text_groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
-    """(ids, texts) of a (doc_id, text) batch in groups of about GROUP_CHARS."""
+def text_groups(batch: pa.RecordBatch, chars: int = GROUP_CHARS) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(ids, texts) of a (doc_id, text) batch in groups of about `chars` characters."""
     ids, col = batch.column("doc_id"), batch.column("text")
     size = 0
     first, texts = 0, []
@@ -58,7 +72,7 @@ def text_groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
         t = col[i].as_py() or ""
         texts.append(t)
         size += len(t)
-        if size >= GROUP_CHARS:
+        if size >= chars:
             yield ids.slice(first, i + 1 - first), texts
             first, texts, size = i + 1, [], 0
     if texts:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import id_and_text, map_texts, text_groups
+from wattline.llm.common import id_and_text, map_texts, small_batches, text_groups
 from wattline.llm.pieces import SPACE, Vocab, pretokens, read_model, run_and_core, vocab
 
 #: Pre-tokens (twice as many) and piece pairs that a worker remembers.
@@ -200,6 +200,7 @@ def encode(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id
 
 def decode(encoded: DataFrame, model_path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, text) of rows of ids; null or empty ids give an empty text."""
+    small_batches(encoded.sparkSession)
     model = encoded.sparkSession.sparkContext.broadcast(read_model(model_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
