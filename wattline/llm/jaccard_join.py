@@ -19,10 +19,11 @@ it rarely makes a key of its own.
 
 Candidates and verification. Within each key's nodes the least is the pivot, and
 the pairs (pivot, node) are checked: by size, by the Hamming distance of one-bit
-parity sketches, then exactly on the hash sets. Links make components. A second
-round takes the pairs of one key that are neither pivot pairs nor in one component
-yet, in blocks, so no link that matters is lost while a group of thousands of near
-copies costs a few checks a node instead of all pairs.
+parity sketches, then exactly on the hash sets. Links make components. Further rounds
+take other pivots for the keys whose nodes aren't in one component yet, as long as
+that finds links. The last round takes all pairs of one key in different components,
+in blocks: no link that matters is lost, while a group of thousands of near copies
+costs a few checks a node instead of all pairs.
 """
 
 from __future__ import annotations
@@ -34,17 +35,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import cut, keep_rows, row_key, text_groups
+from wattline.llm.common import cut, keep_rows, row_key, small_batches, text_groups
 
 #: Words of a shingle and least percentage of the union that the intersection must be.
 WORDS, THRESHOLD = 5, 75
-#: Nodes of one key that are compared together in the second round.
-BLOCK = 1024
+#: Nodes of one key that are compared together in the last round; rounds of pivots before it.
+BLOCK, ROUNDS = 1024, 4
 #: Slots of the bitmap that tells workers which nodes' sets are wanted, and the most
 #: of them that are sent; with more, all sets are made and the join alone selects.
 BITMAP, MOST_SLOTS = 1 << 23, 1 << 20
 #: Nodes whose keys a task remembers having sent.
 REMEMBERED = 500_000
+#: Characters shingled together (their arrays take some 100 bytes each).
+GROUP = 1_000_000
 
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -55,7 +58,7 @@ _BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]  # A-Z count as a-z
 _P = int(_rng.integers(0, 1 << 62)) * 4 + 3
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _G = _U(0x9E3779B97F4A7C15)
-_HASH_BLOCK = 1 << 22
+_HASH_BLOCK = 1 << 19
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -171,8 +174,8 @@ def band_keys(hashes: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
 
 
 def parity_sketch(hashes: np.ndarray) -> bytes:
-    """One parity bit for each value of the hashes' low bits, about 1 to 2 bits a token."""
-    size = max(64, 2 << (len(hashes).bit_length() - 1))
+    """One parity bit for each value of the hashes' low bits, 2 to 4 bits a token."""
+    size = max(64, 4 << (len(hashes).bit_length() - 1))
     odd = np.bincount((hashes & _U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -199,6 +202,7 @@ def links(inter: int, n_a: int, n_b: int, threshold: int = THRESHOLD) -> bool:
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
 
@@ -211,7 +215,7 @@ def shingled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for ids, texts in text_groups(batch):
+            for ids, texts in text_groups(batch, GROUP):
                 sets = shingle_sets(texts, words)
                 yield pa.RecordBatch.from_arrays([
                     ids, batch.column("key").slice(at, len(ids)), pa.array([len(s) for s in sets], pa.int64()),
@@ -229,7 +233,7 @@ def _keyed(docs: DataFrame, text_col: str, words: int, threshold: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
-            for _, texts in text_groups(batch):
+            for _, texts in text_groups(batch, GROUP):
                 nodes, keys = [], []
                 for s in shingle_sets(texts, words):
                     node = node_of(s) if len(s) else None
@@ -298,7 +302,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allowed, sent = np.unpackbits(shared.value).astype(bool), set()
         for batch in batches:
-            for _, texts in text_groups(batch):
+            for _, texts in text_groups(batch, GROUP):
                 nodes, sets = [], []
                 for s in shingle_sets(texts, words):
                     node = node_of(s) if len(s) else None
@@ -315,10 +319,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> Data
     return made.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, text_col: str, words: int, threshold: int) -> DataFrame:
+def _stored_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
+    """The sets, stored by node, so that joins on it don't move them again."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(_sets(docs, wanted, text_col, words).repartition(parts, "node"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) that link, by their exact sets."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    sets = cut(_sets(docs, wanted, text_col, words))
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("h_b")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("h_a")), "a").select("a", "b", "h_a", "h_b"))
 
@@ -333,6 +341,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, text_col: str, words: int, thre
     return both.mapInArrow(run, "a long, b long")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of undirected edges (a, b); the component is its
     least node. Alternating large-star and small-star steps, each a grouped minimum
@@ -355,14 +367,27 @@ def components(edges: DataFrame) -> DataFrame:
         now = cut(small.select(F.col("e.a").alias("a"), F.col("e.m").alias("b")).filter("a <> b").distinct())
 
 
-def _second_round(stars: DataFrame, found: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of one key, neither the pivot, in different components so far,
-    that sizes and sketches allow."""
-    members = stars.select("key", "node").join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
-    several = (members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-               .filter("lo <> hi").select("key", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")))
-    rows = members.join(several, "key").join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _divided(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, node, component, size) of the keys whose nodes are in several components."""
+    rows = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    several = (rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
+               .filter("lo <> hi").select("key", "size"))
+    return rows.join(several, "key")
+
+
+def _other_stars(members: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b) of each key's pivot in this round with its nodes of other components.
+    Pivots are the least by a hash that changes with the round."""
+    order = F.xxhash64("node", F.lit(number))
+    pivot = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("node"), F.col("component"))).alias("p"))
+    both = members.join(pivot, "key").filter(F.col("component") != F.col("p.component"))
+    return both.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+
+
+def _last_round(members: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of one key in different components that sizes and sketches allow."""
+    members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
+    rows = members.join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A large key's nodes are split; each two blocks meet in one group.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("other", other).select(
@@ -412,16 +437,29 @@ def _pairs_within(table: pa.Table, bounds: np.ndarray, threshold: int) -> pa.Rec
 def node_components(docs: DataFrame, nodes: DataFrame, text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(node, component) of the nodes that link with another one."""
     stars = cut(_stars(_keyed(docs, text_col, words, threshold)))
-    pairs = stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    edges = cut(_verified(docs, cut(_near(pairs, nodes, threshold)), text_col, words, threshold))
-    found = cut(components(edges))
-    rest = cut(_second_round(stars, found, nodes, threshold))
+    members = stars.select("key", "node").union(stars.select("key", F.col("pivot").alias("node")).distinct())
+    near = cut(_near(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), nodes, threshold))
+    known = cut(_ends(near))
+    sets = _stored_sets(docs, known, text_col, words)
+    found = cut(components(_linked(near, sets, threshold)))
+    # The further rounds take the nodes that were near another one; the last takes all.
+    few = cut(nodes.join(known, "node", "left_semi"))
+    divided = cut(_divided(members.join(known, "node", "left_semi"), found))
+    for number in range(ROUNDS):
+        more = cut(_linked(_near(_other_stars(divided, number), few, threshold), sets, threshold))
+        if more.isEmpty():
+            break
+        found = cut(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
+        divided = cut(_divided(divided, found))
+    members = cut(_divided(members, found))
+    rest = cut(_last_round(members, nodes, threshold))
     if rest.isEmpty():
         return found
-    more = cut(_verified(docs, rest, text_col, words, threshold))
-    if more.isEmpty():
-        return found
-    return cut(components(edges.union(more)))
+    missing = cut(_ends(rest).join(known, "node", "left_anti"))
+    if not missing.isEmpty():
+        sets = sets.union(_stored_sets(docs, missing, text_col, words))
+    more = cut(_linked(rest, sets, threshold))
+    return found if more.isEmpty() else cut(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: int, with_key: bool = False) -> DataFrame:
