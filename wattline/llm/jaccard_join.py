@@ -17,9 +17,9 @@ joins on a key common to all such nodes of its band.) Blocks of many tokens come
 first in the order: a passage that many documents share rarely fills one alone, so
 it rarely makes a key of its own.
 
-Candidates and verification. Within each key's nodes the least is the pivot, and
-the pairs (pivot, node) are checked: by size, by the Hamming distance of one-bit
-parity sketches, then exactly on the hash sets. Links make components. Further rounds
+Candidates and verification. Within each key's nodes the least is the pivot. A node
+is checked against the pivot that it shares most keys with: by size, by the Hamming
+distance of one-bit parity sketches, then exactly on the hash sets. Links make components. Further rounds
 take other pivots for the keys whose nodes aren't in one component yet, as long as
 that finds links. The last round takes all pairs of one key in different components,
 in blocks: no link that matters is lost, while a group of thousands of near copies
@@ -381,7 +381,14 @@ def _other_stars(members: DataFrame, number: int) -> DataFrame:
     order = F.xxhash64("node", F.lit(number))
     pivot = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("node"), F.col("component"))).alias("p"))
     both = members.join(pivot, "key").filter(F.col("component") != F.col("p.component"))
-    return both.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+    return _best_pivots(both.select(F.col("p.node").alias("pivot"), "node"))
+
+
+def _best_pivots(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b: every node with the pivot that it shares most keys with."""
+    shared = rows.groupBy("pivot", "node").agg(F.count(F.lit(1)).alias("n"))
+    best = shared.groupBy("node").agg(F.max(F.struct("n", "pivot")).alias("p")).select("node", F.col("p.pivot").alias("pivot"))
+    return best.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def _last_round(members: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
@@ -438,7 +445,7 @@ def node_components(docs: DataFrame, nodes: DataFrame, text_col: str = "text", w
     """(node, component) of the nodes that link with another one."""
     stars = cut(_stars(_keyed(docs, text_col, words, threshold)))
     members = stars.select("key", "node").union(stars.select("key", F.col("pivot").alias("node")).distinct())
-    near = cut(_near(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), nodes, threshold))
+    near = cut(_near(_best_pivots(stars.select("pivot", "node")), nodes, threshold))
     known = cut(_ends(near))
     sets = _stored_sets(docs, known, text_col, words)
     found = cut(components(_linked(near, sets, threshold)))
