@@ -1,6 +1,5 @@
 """Scalar cleaning rules, parsing, rendering and reproducible draws."""
 
-import math
 
 import pytest
 from pyspark.sql import functions as F
