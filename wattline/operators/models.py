@@ -180,7 +180,7 @@ def fit_svr(train: DataFrame, label: str, C: float = 1.0, kernel: str = "linear"
 
 # -- M7 classification -----------------------------------------------------------------------
 
-def fit_svc(train: DataFrame, label: str, kernel: str = "linear", reg: float = 0.01, max_iter: int = 50, components: int = 128, seed: int = 42):
+def fit_svc(train: DataFrame, label: str, kernel: str = "linear", reg: float = 0.01, max_iter: int = 20, components: int = 128, seed: int = 42):
     """(label index, one-against-rest linear SVMs, feature map); the RBF kernel by random Fourier features."""
     rows = _arrays(train)
     k = _size(rows)
