@@ -44,6 +44,15 @@ def test_language_of_odd_rows(spark, table, odd_rows):
     assert {r["lang_pred"] for r in L.identify(docs, L.fit(nothing)).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_stage_drops_only_texts_without_a_letter(spark, table, odd_rows, lang):
+    rows = [(i, "the cat sat on the mat", lang) for i in range(20)] + odd_rows
+    want = sorted(str(r[:2]) for r in rows if any(c.isalpha() for c in r[1] or ""))
+    assert sorted(str((r["doc_id"], r["text"])) for r in L.drop_unknown(table(rows)).collect()) == want
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert L.drop_unknown(table([(i, "die katze", "de") for i in held])).count() == len(held)
+
+
 def test_backoff_takes_the_longest_known_ngrams():
     model = L.LanguageModel(["a", "b"], {"word": 0}, {"^w": 1, "w": 2, "q": 3}, np.zeros((4, 2), dtype=np.float32))
     assert model._backoff("wq") == [1] and model._backoff("q") == [3] and model._backoff("zz") == []

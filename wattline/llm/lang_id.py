@@ -156,15 +156,22 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return map_texts(id_and_text(docs, id_col, text_col), per_group, "lang_pred string; score double")
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """`docs`, all columns, without the rows whose language can't be told (no letter)."""
+    """`docs`, all columns, without the rows whose language can't be told: null texts and
+    those without a letter. A text with a letter stays even if it is `und` because nothing
+    could be learned, or because `und` is one of the labels."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col))
 
     def keep(batches):
         for batch in batches:
             named = pa.RecordBatch.from_arrays([batch.column(id_col), batch.column(text_col)], names=["doc_id", "text"])
-            kept = [x != UNKNOWN for _, texts in text_groups(named) for x, _ in shared.value.predict(texts)]
+            kept = [x != UNKNOWN or has_letter(t) for _, texts in text_groups(named)
+                    for t, (x, _) in zip(texts, shared.value.predict(texts), strict=True)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
