@@ -99,6 +99,27 @@ def test_lexicon_is_learned_and_odd_rows_are_scored(spark, table, odd_rows):
     assert X.score_toxicity(table([]), lexicon).count() == 0
 
 
+def test_rare_terms_are_learned_whatever_the_sample(spark, table):
+    rng = random.Random(9)
+    plain = ["p%s" % "".join(rng.choice("bcdf") for _ in range(3)) for _ in range(40)]
+    terms = [f"{a}{b}{c}" for a in "vwxyz" for b in "vwxyz" for c in "vwxyzk"]  # 150, three toxic documents each
+    rows = [(i, " ".join(rng.choices(plain, k=20) + ([terms[i // 4 % 150]] if i % 4 == 0 else []))) for i in range(2250)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    lexicon = X.fit(table(rows), labels)
+    got = {r["doc_id"]: r["predicted"] for r in X.score_toxicity(table(rows), lexicon).collect()}
+    learned = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    times = {t: sum(rows[i][1].endswith(t) for i in learned) for t in terms}
+    known = [i for i in learned if i % 4 or times[terms[i // 4 % 150]] >= 2]
+    assert sum(n >= 2 for n in times.values()) > 140
+    assert all(got[i] == (i % 4 == 0) for i in known)
+
+
+def test_greedy_covers_every_document_that_can_be():
+    docs = [[[0], [1]], [[0], [1]], [[1], [2]], [[2]], [[3]], []]
+    assert X._greedy(docs, [9.0, 9.0, 3.0, 3.0], [True] * 4) == [1, 2, 3, 0]
+    assert X._greedy(docs, [9.0, 9.0, 3.0, 3.0], [False] * 4) == [1, 2, 3]
+
+
 # -- nearest neighbours
 
 

@@ -7,9 +7,9 @@ exception phrase doesn't count. The sum of the weights, divided by the square ro
 of the length, against a threshold gives the score.
 
 The lexicon is learned from a bounded sample of labelled documents: Spark counts
-words and stems per class, and entries are chosen greedily until each toxic
-document is covered a few times, so that words which only happen to stand in copied
-toxic documents stay out.
+words and stems per class, and entries are chosen greedily until each toxic document
+that can be covered is, then a few times more by entries whose log odds are sure, so
+that words which only happen to stand in copied toxic documents stay out.
 """
 
 from __future__ import annotations
@@ -30,8 +30,11 @@ from wattline.llm.common import cut, id_and_text, is_held_out, map_texts
 
 #: Bounds of the training sample (documents of each class), of the candidates and the lexicon.
 TRAIN_TOXIC, TRAIN_CLEAN, CANDIDATES, ENTRIES = 4000, 8000, 20_000, 500
-#: Least log odds of an entry; covers wanted of a toxic document; stem lengths.
-LEAST_WEIGHT, COVERS, STEMS = 2.0, 3, (4, 5, 6)
+#: Least log odds of an entry, and toxic documents it stands in, whatever the sample's size;
+#: covers wanted of a toxic document; stem lengths.
+LEAST_WEIGHT, LEAST_TOXIC, COVERS, STEMS = 2.0, 2, 3, (4, 5, 6)
+#: Standard errors by which the log odds of an entry for a further cover exceed 0.
+SURE = 2.0
 #: Words that may turn into candidates by their exception phrases.
 DOUBTFUL = 2000
 
@@ -139,30 +142,47 @@ class Lexicon:
         return {p for m in words if m for p in _phrases(folded, m.start(), m.end())}
 
 
-def _greedy(docs: list[list[list[int]]], weight: list[float], least: int) -> list[int]:
+def _is_sure(weight: float, bad: float, good: float) -> bool:
+    return weight >= SURE * math.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+
+
+def _greedy(docs: list[list[list[int]]], weight: list[float], sure: list[bool]) -> list[int]:
     """Candidates chosen one by one. docs: per toxic document, per word, the candidates
-    that match it. Each choice covers most words that are uncovered in documents with
-    under COVERS covered words, at one word a document, weighed by log odds."""
+    that match it. Each choice covers most words, at one word a document, weighed by log
+    odds: first in documents without a covered word, until none of them can be covered;
+    then, `sure` candidates that cover two or more, in those with one, and so on to COVERS."""
     open_words = [list(words) for words in docs]
     covered = [0] * len(docs)
+    having: dict[int, list[int]] = {}
+    for d, words in enumerate(docs):
+        for x in {x for w in words for x in w}:
+            having.setdefault(x, []).append(d)
     chosen: list[int] = []
-    while len(chosen) < ENTRIES:
+    for want in range(1, COVERS + 1):
         gain: Counter = Counter()
         for words, c in zip(open_words, covered, strict=True):
-            if c < COVERS:
-                gain.update({x for w in words for x in w})
-        best = max(gain, key=lambda x: (gain[x] * weight[x], -x), default=None)
-        if best is None or gain[best] < least:
-            break
-        chosen.append(best)
-        for d, words in enumerate(open_words):
-            rest = [w for w in words if best not in w]
-            covered[d] += len(rest) < len(words)
-            open_words[d] = rest
+            if c < want:
+                gain.update({x for w in words for x in w if want == 1 or sure[x]})
+        while len(chosen) < ENTRIES:
+            best = max(gain, key=lambda x: (gain[x] * weight[x], -x), default=None)
+            if best is None or gain[best] < min(want, 2):
+                break
+            chosen.append(best)
+            for d in having[best]:
+                rest = [w for w in open_words[d] if best not in w]
+                if len(rest) == len(open_words[d]):
+                    continue
+                if covered[d] < want:
+                    before = {x for w in open_words[d] for x in w}
+                    covered[d] += 1
+                    gain.subtract(before - {x for w in rest for x in w} if covered[d] < want else before)
+                else:
+                    covered[d] += 1
+                open_words[d] = rest
     return chosen
 
 
-def _with_exceptions(sample: DataFrame, known: DataFrame, candidates: list[tuple[str, float]], n_toxic: int, n_clean: int):
+def _with_exceptions(sample: DataFrame, known: DataFrame, candidates: list[tuple[str, float, bool]], n_toxic: int, n_clean: int):
     """Candidates and, per word, its harmless phrases. A word of the toxic documents that
     clean ones use mostly in the same few phrases, never found in toxic ones, is a
     candidate without them."""
@@ -193,9 +213,10 @@ def _with_exceptions(sample: DataFrame, known: DataFrame, candidates: list[tuple
         spared[r["entry"]] += r["good"]
     for entry in sorted(harmless):
         bad, all_good = good[entry]
-        weight = math.log((bad + 0.5) / (n_toxic + 1)) - math.log((max(0, all_good - spared[entry]) + 0.5) / (n_clean + 1))
+        rest = max(0, all_good - spared[entry])
+        weight = math.log((bad + 0.5) / (n_toxic + 1)) - math.log((rest + 0.5) / (n_clean + 1))
         if weight >= LEAST_WEIGHT:
-            candidates.append((entry, weight))
+            candidates.append((entry, weight, _is_sure(weight, bad, rest)))
     return candidates, harmless
 
 
@@ -229,13 +250,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
     counted = cut(counted)
     odds = F.log((F.col("bad") + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(n_clean + 1.0))
-    least = max(2, n_toxic // 100)
-    known = counted.withColumn("weight", odds).filter(F.col("bad") >= least)
+    known = counted.withColumn("weight", odds).filter(F.col("bad") >= LEAST_TOXIC)
     candidates = (known.filter(F.col("weight") >= LEAST_WEIGHT)
-                  .orderBy(F.desc(F.col("weight") * F.col("bad")), "entry").limit(CANDIDATES).select("entry", "weight").collect())
-    candidates, harmless = _with_exceptions(sample, known, [(r["entry"], r["weight"]) for r in candidates], n_toxic, n_clean)
-    number = {entry: i for i, (entry, _) in enumerate(candidates)}
-    weight = [w for _, w in candidates]
+                  .orderBy(F.desc(F.col("weight") * F.col("bad")), "entry").limit(CANDIDATES).select("entry", "weight", "bad", "good").collect())
+    candidates = [(r["entry"], r["weight"], _is_sure(r["weight"], r["bad"], r["good"])) for r in candidates]
+    candidates, harmless = _with_exceptions(sample, known, candidates, n_toxic, n_clean)
+    number = {entry: i for i, (entry, *_) in enumerate(candidates)}
+    weight, sure = [w for _, w, _ in candidates], [x for *_, x in candidates]
     shared = sample.sparkSession.sparkContext.broadcast(number)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +269,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.list_(pa.int32())))], names=["words"])
 
     found = sample.filter("toxic = 1").select("doc_id", "text").mapInArrow(matched, "words array<array<int>>").collect()
-    chosen = _greedy(sorted(r["words"] for r in found), weight, least)
+    chosen = _greedy(sorted(r["words"] for r in found), weight, sure)
     entries = {candidates[i][0]: weight[i] for i in chosen}
     lexicon = Lexicon(entries, tuple(sorted(p for e in entries for p in harmless.get(e, ()))))
 
