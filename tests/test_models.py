@@ -59,6 +59,30 @@ def test_families_predict_every_row_and_beat_the_mean(rows, name, configs):
         md.predict_grid("XGBoost", [{}], rows, rows, "y", "id")
 
 
+def test_model_queries_run_whole_grids():
+    from wattline.operators import grid as gr
+    from wattline.plans import q_models as q
+    every = [(m, c) for m in gr.MODELS_TO_RUN for c in gr.combinations(m)]
+    assert q.M9 == q.M10 == every and len(every) == 74
+    for name, family in (("M3", "CART"), ("M4", "RandomForest"), ("M5", "Cubist"), ("M6", "SVM")):
+        assert getattr(q, name) == gr.combinations(family)
+
+
+def test_a_failing_configuration_is_recorded_alone(rows, monkeypatch):
+    from wattline.plans import q_models as q
+    data, fit = rows.withColumnsRenamed({"y": q.Y, "id": q.KEY}), md.predict_grid
+
+    def failing(name, configs, *rest):
+        if any(c["fit_intercept"] == "bad" for c in configs):
+            raise ValueError("bad")
+        return fit(name, configs, *rest)
+
+    monkeypatch.setattr(md, "predict_grid", failing)
+    got = q.isolated("LinearRegression", [dict(fit_intercept=x) for x in (True, "bad", False)], data, data)
+    assert [(r[1], *r[2:]) for r in got] == [("fit_intercept=True", "FINISHED", True, 20), ("fit_intercept=bad", "FAILED", None, None),
+                                             ("fit_intercept=False", "FINISHED", True, 20)]
+
+
 def test_pruning_rules():
     from wattline.operators.trees import Tree, leaf_table, pruned
     # root (8 rows) -> 1 (4 rows: leaves 3, 4), 2 (4 rows: leaves 5, 6)

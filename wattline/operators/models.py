@@ -111,7 +111,8 @@ def model_tree_committees(train: DataFrame, test: DataFrame, label: str, committ
         linear = _linear(np.array([coefs.get(g, np.zeros(k + 1)) for g in range(max(coefs) + 1)]))
         te = te.withColumn(f"_p{m}", linear("x", "_rule")).drop("_rule")
         if m + 1 < committees:
-            tr = tr.withColumn("_target", 2 * F.col(label) - linear("x", "_rule")).drop("_rule")
+            # stored, or each member would compute all those before it anew in every pass
+            tr = knn.stored(tr.withColumn("_target", 2 * F.col(label) - linear("x", "_rule")).drop("_rule"))
     return te.drop("x")
 
 

@@ -15,7 +15,7 @@ from wattline.operators import features as fe
 from wattline.operators import grid as gr
 from wattline.operators import knn
 from wattline.operators import models as md
-from wattline.operators.metrics import classification_metrics, regression_metrics
+from wattline.operators.metrics import classification_metrics
 from wattline.operators.ordering import time_split
 from wattline.plans import sqlgen as S
 from wattline.plans.q_features import SPLIT_CLEAN, clean_split
@@ -56,8 +56,7 @@ def sanity_sql(rows: list[tuple[str, dict]]) -> str:
         "FROM csp WHERE split = 'test'" for m, p in rows))
 
 
-def grid_rows(name: str, configs: list[dict], spark, sf_dir):
-    train, test = encoded_split(spark, sf_dir)
+def grid_rows(name: str, configs: list[dict], train, test):
     out = None
     for params, pred in zip(configs, md.predict_grid(name, configs, train, test, Y, KEY), strict=True):
         row = sanity(pred, name, params)
@@ -145,36 +144,36 @@ def m2_knn_regression(spark, sf_dir):
     return out
 
 
-M3 = [dict(max_depth=5, min_samples_split=2, min_samples_leaf=1, ccp_alpha=0.0), dict(max_depth=5, min_samples_split=2, min_samples_leaf=1, ccp_alpha=1.0)]
+M3 = gr.combinations("CART")
 
 
 @register("m3_cart", sanity_sql([("CART", c) for c in M3]))
 def m3_cart(spark, sf_dir):
-    return grid_rows("CART", M3, spark, sf_dir)
+    return grid_rows("CART", M3, *encoded_split(spark, sf_dir))
 
 
-M4 = [dict(n_estimators=100, max_depth=10, min_samples_split=2, min_samples_leaf=1)]
+M4 = gr.combinations("RandomForest")
 
 
 @register("m4_random_forest", sanity_sql([("RandomForest", c) for c in M4]))
 def m4_random_forest(spark, sf_dir):
-    return grid_rows("RandomForest", M4, spark, sf_dir)
+    return grid_rows("RandomForest", M4, *encoded_split(spark, sf_dir))
 
 
-M5 = [dict(n_committees=n, n_rules=10) for n in (1, 5)]
+M5 = gr.combinations("Cubist")
 
 
 @register("m5_model_tree", sanity_sql([("Cubist", c) for c in M5]))
 def m5_model_tree(spark, sf_dir):
-    return grid_rows("Cubist", M5, spark, sf_dir)
+    return grid_rows("Cubist", M5, *encoded_split(spark, sf_dir))
 
 
-M6 = [dict(C=1, kernel="linear", gamma="scale"), dict(C=1, kernel="rbf", gamma="scale")]
+M6 = gr.combinations("SVM")
 
 
 @register("m6_svr", sanity_sql([("SVM", c) for c in M6]))
 def m6_svr(spark, sf_dir):
-    return grid_rows("SVM", M6, spark, sf_dir)
+    return grid_rows("SVM", M6, *encoded_split(spark, sf_dir))
 
 
 M7_SQL = ("WITH " + EMB_SPLIT + " " + " UNION ALL ".join(
@@ -210,39 +209,41 @@ def m8_fit_one_config(spark, sf_dir):
     return pred.select(KEY, F.col(Y).alias("actual"), finite.alias("predicted"))
 
 
-#: Families whose whole grid runs in the query; the other three (40 configurations, of up
-#: to 200 trees) run by the same function.
-M9_FAMILIES = ["LinearRegression", "KNN", "CART"]
+#: Every configuration of all six families, as the comparison of the reference trains them.
+M9 = [(m, c) for m in gr.MODELS_TO_RUN for c in gr.combinations(m)]
 
 
-@register("m9_fit_model_grid", sanity_sql([(m, c) for m in M9_FAMILIES for c in gr.combinations(m)]))
+@register("m9_fit_model_grid", sanity_sql(M9))
 def m9_fit_model_grid(spark, sf_dir):
-    out = None
-    for m in M9_FAMILIES:
-        rows = grid_rows(m, gr.combinations(m), spark, sf_dir)
+    split, out = encoded_split(spark, sf_dir), None
+    for m in gr.MODELS_TO_RUN:
+        rows = grid_rows(m, gr.combinations(m), *split)
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-M10 = [("LinearRegression", dict(fit_intercept=True)), ("KNN", dict(n_neighbors=5, weights="distance", p=1)),
-       ("CART", dict(max_depth=5, min_samples_split=2, min_samples_leaf=1, ccp_alpha=0.0)),
-       ("RandomForest", dict(n_estimators=20, max_depth=10, min_samples_split=2, min_samples_leaf=1)),
-       ("Cubist", dict(n_committees=1, n_rules=10)), ("SVM", dict(C=1, kernel="linear", gamma="scale"))]
+M10 = M9
+
+
+def isolated(name: str, configs: list[dict], train, test) -> list[tuple]:
+    """(model, hyperparameters, status, beats_mean, n_test) per configuration. They share
+    fits; if one fails, each is fitted alone, and a failure is recorded, not raised."""
+    try:
+        found = grid_rows(name, configs, train, test).collect()
+        return [(r["model"], r["hyperparameters"], "FINISHED", None if r["beats_mean"] is None else r["beats_mean"] and not r["n_bad"], r["n_test"]) for r in found]
+    except Exception:  # noqa: BLE001 - the failure is the recorded result
+        if len(configs) == 1:
+            return [(name, text_of(configs[0]), "FAILED", None, None)]
+        return [row for c in configs for row in isolated(name, [c], train, test)]
 
 
 @register("m10_compare_models", S.with_(SPLIT_CLEAN, " UNION ALL ".join(
     f"SELECT '{m}' AS model, {S.lit(text_of(p))} AS hyperparameters, 'FINISHED' AS status, {'CAST(NULL AS BOOLEAN)' if m == 'CART' else 'true'} AS beats_mean, CAST(1.0 AS DOUBLE) AS success_ratio, "
     "count(*) AS n_test FROM csp WHERE split = 'test'" for m, p in M10)))
 def m10_compare_models(spark, sf_dir):
-    """All six families, each in isolation: a fit that fails is recorded, not raised."""
+    """The whole grids of all six families, each configuration in isolation."""
     train, test = encoded_split(spark, sf_dir)
-    rows = []
-    for name, params in M10:
-        try:
-            met = regression_metrics(md.predict_grid(name, [params], train, test, Y, KEY)[0], Y, "prediction").first()
-            rows.append((name, text_of(params), "FINISHED", None if name == "CART" else met["r2"] > 0, met["n"]))
-        except Exception:  # noqa: BLE001 - the failure is the recorded result
-            rows.append((name, text_of(params), "FAILED", None, None))
+    rows = [row for m in gr.MODELS_TO_RUN for row in isolated(m, gr.combinations(m), train, test)]
     done = sum(r[2] == "FINISHED" for r in rows) / len(rows)
     df = spark.createDataFrame(rows, "model string, hyperparameters string, status string, beats_mean boolean, n_test long")
     return df.withColumn("success_ratio", F.lit(done))
