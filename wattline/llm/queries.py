@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattline.llm import ann_tree, exact_dedup, jaccard_join, lang_id, piece_codec, secret_scan, sharding, source_mix, token_count, toxicity
+from wattline.llm import (ann_tree, exact_dedup, jaccard_join, lang_id, piece_codec, secret_scan, sharding, source_mix, spelling,
+                          token_count, toxicity)
 from wattline.llm.common import is_held_out, load
 
 QUERIES = {}
@@ -121,3 +122,8 @@ def op9_jaccard_join(spark, sf_dir):
 @query
 def op10_nearest_neighbours(spark, sf_dir):
     return ann_tree.search(load(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(load(spark, sf_dir, "documents"))
