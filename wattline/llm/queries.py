@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattline.llm import (ann_tree, exact_dedup, jaccard_join, lang_id, piece_codec, secret_scan, sharding, source_mix, spelling,
+from wattline.llm import (ann_tree, exact_dedup, jaccard_join, lang_id, phrases, piece_codec, secret_scan, sharding, source_mix, spelling,
                           token_count, toxicity)
 from wattline.llm.common import is_held_out, load
 
@@ -124,6 +124,31 @@ def op10_nearest_neighbours(spark, sf_dir):
     return ann_tree.search(load(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_phrases(spark, sf_dir):
+    return phrases.collocations(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrases"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS v(m) WHERE len(ws) >= m),
+f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 10),
+k AS (SELECT c.*, v.k FROM c, (VALUES (1), (2)) AS v(k) WHERE v.k < c.m),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r, (1000000 * a * a) // (x.f * y.f) AS score
+      FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.ws[1:k.k], ' ') JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.ws[k.k + 1:k.m], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT lang, array_to_string(ws[i:i + 1], ' ') AS phrase, max(a) AS longer FROM c, (VALUES (1), (2)) AS v(i) WHERE m = 3 GROUP BY ALL),
+e AS (SELECT b.* FROM b LEFT JOIN o USING (lang, phrase) WHERE NOT coalesce(100 * longer >= 50 * a, false)),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM e)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM z JOIN t USING (lang) WHERE rank <= 2000"""
+
+
 @query
 def op12_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(load(spark, sf_dir, "documents"))
