@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattline.llm import (ann_tree, exact_dedup, jaccard_join, lang_id, phrases, piece_codec, secret_scan, sharding, source_mix, spelling,
+from wattline.llm import (ann_tree, exact_dedup, jaccard_join, lang_id, phrases, piece_codec, pii, secret_scan, sharding, source_mix, spelling,
                           token_count, toxicity)
 from wattline.llm.common import is_held_out, load
 
@@ -152,3 +152,18 @@ FROM z JOIN t USING (lang) WHERE rank <= 2000"""
 @query
 def op12_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(load(spark, sf_dir, "documents"))
+
+
+@query
+def op13_pii(spark, sf_dir):
+    spans = F.col("spans")
+
+    def digest(kept):
+        return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["strict"] & (s["kind"] == kind))).cast("long")
+
+    rows = pii.find_pii(load(spark, sf_dir, "documents"))
+    return rows.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+                       _hex(digest(F.filter(spans, lambda s: s["strict"]))).alias("base_sha256"), digest(spans).alias("spans"))
