@@ -213,7 +213,7 @@ def test_grouped_quantiles_match_numpy_and_keep_null_groups(spark):
         assert np.allclose(got[k], np.quantile([v for g, v in rows if g == k], [0.25, 0.5]))
 
 
-def test_selection_by_narrowing(spark, monkeypatch):
+def test_selection_by_sketch_and_bracket(spark, monkeypatch):
     from wattline.operators import selection as se
     monkeypatch.setattr(se, "FEW", 5)
     rng = np.random.default_rng(4)
@@ -221,14 +221,59 @@ def test_selection_by_narrowing(spark, monkeypatch):
                np.array([1e308, -1e308, 0.0, 5.0] * 10), np.append(rng.normal(size=500), [np.inf, -np.inf, np.inf])):
         df = spark.createDataFrame([(float(v), None) for v in xs] + [(None, None), (float("nan"), None)], "x double, y double")
         ranks = sorted({0, 1, len(xs) // 3, len(xs) // 2, len(xs) - 1})
-        found = se.select_ranks(df, {"x": F.col("x"), "y": F.col("y")}, lambda n: ranks)
+        found = se.select_ranks(df, {"x": F.col("x"), "y": F.col("y")}, lambda name, n, rows: ranks)
         assert found["x"].n == len(xs) and found["y"].n == 0
         for r in ranks:
             v = np.sort(xs)[r]
             assert found["x"].at[r] == (v, (xs < v).sum(), (xs == v).sum())
     whole = rng.integers(-2 ** 59, 2 ** 59, 3000)
     df = spark.createDataFrame([(int(v),) for v in whole], "x long")
-    assert se.select_ranks(df, {"x": F.col("x")}, lambda n: [1234])["x"].at[1234][0] == int(np.sort(whole)[1234])
+    assert se.select_ranks(df, {"x": F.col("x")}, lambda name, n, rows: [1234])["x"].at[1234][0] == int(np.sort(whole)[1234])
+
+
+def test_selection_takes_three_passes_whatever_the_range(spark, monkeypatch):
+    """Values over 600 decades, all equal but one, two far clusters: the number of passes
+    depends on the number of rows only."""
+    from wattline.operators import selection as se
+    passes = []
+    monkeypatch.setattr(se, "FEW", 2_000)
+    for name in ("_narrowed", "_picked"):
+        real = getattr(se, name)
+        monkeypatch.setattr(se, name, lambda *a, real=real: (passes.append(1), real(*a))[1])
+    n = 100_000
+    for value in ("pow(10D, (id * 7919 % 100000) / 100000D * 600 - 300)", "if(id = 5, 1e300D, 1D)", "if(id % 2 = 0, -1e200D, 1e-200D) * (1 + id)"):
+        df = spark.range(n).selectExpr(f"{value} AS x")
+        passes.clear()
+        ranks = [0, n // 4, n // 2, 3 * n // 4, n - 1]
+        found = se.select_ranks(df, {"x": F.col("x")}, lambda *_: ranks)["x"].at
+        xs = np.sort([r["x"] for r in df.collect()])
+        assert {r: found[r][0] for r in ranks} == {r: xs[r] for r in ranks}
+        assert len(passes) <= 2  # and the first sketch
+
+
+def test_a_sketch_that_errs_costs_a_pass_only(spark, monkeypatch):
+    from wattline.operators import selection as se
+    monkeypatch.setattr(se, "ERROR", 0.0)
+    monkeypatch.setattr(se, "SKETCH_K", 8)
+    df = spark.range(20_000).selectExpr("(id * 7919 % 20011) AS x", "if(id % 3 = 0, null, cast(id as double)) AS y")
+    found = se.select_ranks(df, {"x": F.col("x"), "y": F.col("y")}, lambda *_: [0, 17, 9_999, 13_332])
+    xs = np.sort([r["x"] for r in df.collect()])
+    assert {r: found["x"].at[r][0] for r in (0, 17, 9_999, 13_332)} == {r: xs[r] for r in (0, 17, 9_999, 13_332)}
+    assert found["y"].n == 13_333 and found["y"].at[13_332][0] == 19_999.0
+
+
+def test_splits_with_null_keys(spark):
+    """Nulls sort last in every key: they are the latest rows of a time split."""
+    from wattline.operators.ordering import random_split, time_split
+    rows = [(None if i % 10 < 3 else i % 20, None if i % 7 == 0 else i, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "t long, k long, id long")
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0, r[2]))
+    for size in (0.2, 0.3, 0.5, 0.75):
+        got = {r["id"] for r in time_split(df, ["t", "k", "id"], size).where("split = 'test'").collect()}
+        assert got == {r[2] for r in order[-math.ceil(size * 100):]}
+        assert random_split(df, "t", test_size=size, tie_break=["k", "id"]).where("split = 'test'").count() == math.ceil(size * 100)
+    assert time_split(df.where("t is null"), ["t", "k", "id"], 0.2).where("split = 'train'").count() == 24
+    assert time_split(df.where("id < 0"), ["t", "k", "id"], 0.2).count() == 0
 
 
 def test_cleaning_a_filtered_table_uses_its_own_bounds(spark, sf_dir):

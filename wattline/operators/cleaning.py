@@ -13,6 +13,8 @@ from wattline.operators.quantiles import exact_quantiles
 from wattline.schema import (CATEGORICAL_COLUMNS, DAY_OF_WEEK_MAP, JUNK_COLUMN, KEY,
                              LOAD_TYPE_MAP, NSM_MAX, NUMERIC_COLUMNS, OUTLIER_STEPS,
                              RAW_COLUMNS, SNAKE_COLUMNS, WEEK_STATUS_MAP, q)
+from wattline.session import scratch_path
+from wattline.sources.files import write_parquet
 
 CATEGORY_MAPS = {"week_status": WEEK_STATUS_MAP, "day_of_week": DAY_OF_WEEK_MAP,
                  "load_type": LOAD_TYPE_MAP}
@@ -186,10 +188,12 @@ def clean_readings(dirty: DataFrame, steps=OUTLIER_STEPS) -> DataFrame:
     """The whole cleaning chain, in the reference order.
 
     typed (A2, B2, C3, B1, C1) -> F3 chained IQR -> F5 NSM rule -> C5-C7
-    categories -> F6 drop nulls. The bounds are those of this very frame; nothing
-    is kept between calls.
+    categories -> F6 drop nulls. The text is parsed once, into a stored typed table
+    from which every later pass reads only the columns that it needs. The bounds are
+    those of this very frame; nothing is kept between calls.
     """
-    df, _ = chained_iqr(typed_readings(dirty), steps)
+    typed = write_parquet(typed_readings(dirty), scratch_path(dirty.sparkSession, "readings_typed"))
+    df, _ = chained_iqr(dirty.sparkSession.read.parquet(typed), steps)
     df = nsm_range(df)
     df = canonicalize_categoricals(df)
     return drop_nulls(df)

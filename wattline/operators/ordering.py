@@ -11,12 +11,13 @@ per-partition offsets from a table of at most `partitions` rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.draws import hash60
-from wattline.operators.selection import before_or_at, cut_point
+from wattline.operators.selection import before_or_at, cut_point, cut_points
 from wattline.session import checkpoint_root
 
 _LOCAL_BITS = 33
@@ -106,33 +107,41 @@ def _whole(c) -> Column:
     return F.unix_micros(x.cast("timestamp")) if kind.startswith(("timestamp", "date")) else x.cast("long")
 
 
-def first_rows(df: DataFrame, order_cols: list[str], rows: int) -> Column:
-    """Condition that holds for the first `rows` rows in the order of these integer or
-    time columns. The row at the limit is found by counting aggregates, column by
-    column within its ties, so nothing is sorted, moved or stored."""
+def first_rows(df: DataFrame, order_cols: list[str], rows: int | Callable[[int], int]) -> Column:
+    """Condition that holds for the first `rows` rows (a number, or a function of how many
+    there are) in the order of these integer or time columns, nulls last. The row at the
+    limit is found by counting aggregates, column by column within its ties, so nothing
+    is sorted, moved or stored."""
     kinds = dict(df.dtypes)
     order = [_whole((c, kinds[c])) for c in order_cols]
-    if rows <= 0:
-        return F.lit(False)
-    return before_or_at(order, cut_point(df.select(*order_cols), order, rows - 1))
+    number = rows if callable(rows) else lambda n: rows
+    return before_or_at(order, cut_point(df.select(*order_cols), order, lambda n: min(n, number(n)) - 1))
+
+
+def after_positions(df: DataFrame, order_cols: list[str], positions: Callable[[int], list[int]]) -> Column:
+    """How many of positions(n) (ascending, n rows) a row lies behind, in the order of these
+    columns as in `first_rows`; the limits are found together."""
+    kinds = dict(df.dtypes)
+    order = [_whole((c, kinds[c])) for c in order_cols]
+    limits = cut_points(df.select(*order_cols), order, lambda n: [min(n, m) - 1 for m in positions(n)])
+    return sum(((~before_or_at(order, values)).cast("int") for values in limits), F.lit(0))
 
 
 def time_split(df: DataFrame, order_cols: list[str], test_size: float = 0.2, label: str = "split") -> DataFrame:
     """L2: the last ceil(test_size * n) rows in time order are 'test' (`order_cols`: the
     time column, then a unique tie-breaker; rows equal in all of them stay together).
     Keys that are null sort last."""
-    n = df.count()
-    first = first_rows(df, order_cols, n - math.ceil(test_size * n))
-    return df.withColumn(label, F.when(F.coalesce(first, F.lit(False)), F.lit("train")).otherwise(F.lit("test")))
+    first = first_rows(df, order_cols, lambda n: n - math.ceil(test_size * n))
+    return df.withColumn(label, F.when(first, F.lit("train")).otherwise(F.lit("test")))
 
 
 def random_split(df: DataFrame, key: str, seed: int = 42, test_size: float = 0.2, label: str = "split",
                  tie_break: list[str] | None = None) -> DataFrame:
     """L3: exactly ceil(test_size * n) 'test' rows, the first ones by a keyed hash of the
-    integer `key` (then the key, then `tie_break`)."""
-    n = df.count()
+    integer `key` (then the key, then `tie_break`); a null key hashes to null, which sorts last."""
     keyed = df.withColumn("_wl_h", hash60(seed, "split", F.col(key)))
-    first = first_rows(keyed, ["_wl_h", key, *(tie_break or [])], math.ceil(test_size * n))
+    keyed = keyed.withColumn("_wl_h", F.when(F.col(key).isNotNull(), F.col("_wl_h")))
+    first = first_rows(keyed, ["_wl_h", key, *(tie_break or [])], lambda n: math.ceil(test_size * n))
     return keyed.withColumn(label, F.when(first, F.lit("test")).otherwise(F.lit("train"))).drop("_wl_h")
 
 
@@ -146,6 +155,3 @@ def tail(df: DataFrame, order_cols, n: int = 5) -> DataFrame:
     rev = [(c if isinstance(c, Column) else F.col(c)).desc() for c in order_cols]
     return df.orderBy(*rev).limit(n)
 
-
-def as_column(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -1,6 +1,6 @@
 """Exact, linearly interpolated quantiles (pandas / ``quantile_cont`` rule).
 
-The two ranks around p * (n - 1) are found by narrowing aggregates
+The two ranks around p * (n - 1) are found by sketch and bracket
 (:mod:`wattline.operators.selection`) or, per group, from running counts of the
 distinct values; memory of a task never depends on the number of distinct values.
 """
@@ -19,7 +19,7 @@ from wattline.schema import q
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
     """Quantiles of several columns together; [None, ..] for a column without values."""
-    def ranks(n: int) -> list[int]:
+    def ranks(_name: str, n: int, _rows: int) -> list[int]:
         return [r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
 
     found = select_ranks(df, {c: F.col(q(c)).cast("double") for c in cols}, ranks)

@@ -1,11 +1,13 @@
-"""Exact order statistics without a sort (quantiles, split points).
-
-The value of a given rank is found by narrowing: one aggregate counts rows per
-equal-width bin of the open interval, the bin that holds the rank becomes the next
-interval, and once few rows are left their values are counted one by one. Every
-round is a map-side combined aggregate over the rows still in question, whose result
-has at most BINS (or FEW) rows per open interval, whatever the input; data is never
-moved or sorted.
+"""Exact order statistics without a sort (quantiles, split points), by sketch and bracket.
+
+One pass builds a mergeable quantile sketch (KLL) of every column; it tells between
+which two values a rank must lie. The next pass counts the rows below that bracket
+exactly and, if the bracket is small, its rows by value, where the rank is found by a
+running sum; a large bracket is sketched once more. A pass leaves less than a
+hundredth of the rows in question whatever the distribution, so 10^9 rows take three
+passes and 10^11 take four. Partial aggregates only: data is never moved or sorted.
+A sketch may err with a small probability; the exact counts show it, and such a rank
+is looked for again in a wider bracket.
 """
 
 from __future__ import annotations
@@ -14,118 +16,219 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 1024
-#: Rows of an interval from which on its values are counted one by one.
-FEW = 10_000
+#: Size of a sketch, and the rank error (as a share of the rows) that is allowed for.
+SKETCH_K = 4096
+ERROR = 0.003
+#: Quantiles that are read from a sketch.
+GRID = 512
+#: Expected rows of a bracket from which on they are counted by value, one task a bracket.
+FEW = 1_000_000
 
 
 @dataclass
-class Interval:
-    """Open part of a column: values in [lo, hi], `below` rows before it, `rows` in it."""
+class Bracket:
+    """Part of a column that holds some ranks: values in [lo, hi] (None: open), and the
+    rows expected there, those that share the value of an end left out."""
 
     column: str
-    lo: float | int
-    hi: float | int
-    below: int
-    rows: int
+    lo: float | int | None
+    hi: float | int | None
+    rows: float
     ranks: list[int]
 
 
 @dataclass
 class Selected:
-    """n non-null values; rank (from 0) -> (value, rows below it, rows equal to it)."""
+    """`rows` rows, `n` of them not null; rank (from 0) -> (value, rows below it, rows equal to it)."""
 
+    rows: int
     n: int
     at: dict[int, tuple[float | int, int, int]]
 
 
-def _bin(x: Column, lo, hi) -> Column:
-    if isinstance(lo, int):
-        return F.floor((x - F.lit(lo)) / F.lit((hi - lo) // BINS + 1)).cast("int")
-    if math.isinf(lo) or math.isinf(hi):  # infinities stand alone in the outer bins
-        return F.when(x == F.lit(float("-inf")), 0).when(x == F.lit(float("inf")), 2).otherwise(1)
-    if math.isinf(hi - lo):  # a range beyond a double
-        return (x > 0).cast("int")
-    return F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(BINS))), F.lit(BINS - 1)).cast("int")
-
-
-def select_ranks(df: DataFrame, columns: dict[str, Column], ranks: Callable[[int], list[int]]) -> dict[str, Selected]:
-    """For each named column expression (all long-like or all double), the values at
-    ranks(n), n being its number of non-null values. A NaN counts as null."""
-    names = list(columns)
-    rows = df.select(*[columns[c].alias(f"v{i}") for i, c in enumerate(names)])
-    kinds = {c: kind for c, (_, kind) in zip(names, rows.dtypes, strict=True)}
-    real = {c: F.nanvl(F.col(f"v{i}").cast("double"), F.lit(None).cast("double")) if kinds[c] in ("double", "float") else F.col(f"v{i}").cast("long")
-            for i, c in enumerate(names)}
-    first = rows.agg(*[f(real[c]).alias(f"{k}{i}") for i, c in enumerate(names) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
-    out, todo = {}, []
-    for i, c in enumerate(names):
-        n, lo, hi = first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]
-        out[c] = Selected(n, {})
-        if n:
-            wanted = sorted({r for r in ranks(n) if 0 <= r < n})
-            todo.append(Interval(c, lo, hi, 0, n, wanted))
-    while todo:
-        for t in [t for t in todo if t.lo == t.hi]:
-            out[t.column].at.update((r, (t.lo, t.below, t.rows)) for r in t.ranks)
-        todo = [t for t in todo if t.lo != t.hi and t.ranks]
+def _grid(sketch: str, whole: bool) -> Column:
+    kind = "bigint" if whole else "double"
+    shares = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
+    return F.expr(f"CASE WHEN kll_sketch_get_n_{kind}({sketch}) > 0 THEN kll_sketch_get_quantile_{kind}({sketch}, array({shares})) END")
+
+
+def _brackets(column: str, grid: list, n: int, below: int, ranks: list[int], error: float) -> list[Bracket]:
+    """The brackets of these ranks in a sketch of n rows that have `below` rows before them."""
+    found: dict[tuple[int, int], list[int]] = {}
+    for r in ranks:
+        share = (r - below + 0.5) / n
+        ends = max(0, math.floor((share - error) * GRID)), min(GRID, math.ceil((share + error) * GRID))
+        found.setdefault(ends, []).append(r)
+    return [Bracket(column, None if i == 0 else grid[i], None if j == GRID else grid[j], n * ((j - i) / GRID + 2 * error), some)
+            for (i, j), some in found.items()]
+
+
+def _inside(x: Column, b: Bracket) -> Column:
+    out = x.isNotNull()
+    if b.lo is not None:
+        out = out & (x >= F.lit(b.lo))
+    return out if b.hi is None else out & (x <= F.lit(b.hi))
+
+
+class _Columns:
+    """The columns of a selection as v0, v1, ..: NaN as null, whole numbers as long."""
+
+    def __init__(self, df: DataFrame, columns: dict[str, Column]):
+        kinds = df.select(*[c.alias(f"v{i}") for i, c in enumerate(columns.values())]).dtypes
+        self.whole = {c: kind not in ("double", "float") for c, (_, kind) in zip(columns, kinds, strict=True)}
+        self.at = {c: F.col(f"v{i}") for i, c in enumerate(columns)}
+        self.rows = df.select(*[(x.cast("long") if self.whole[c] else F.nanvl(x.cast("double"), F.lit(None).cast("double"))).alias(f"v{i}")
+                                for i, (c, x) in enumerate(columns.items())])
+
+    def sketch(self, c: str, where: Column | None = None) -> Column:
+        x = self.at[c] if where is None else F.when(where, self.at[c])
+        return (F.kll_sketch_agg_bigint if self.whole[c] else F.kll_sketch_agg_double)(x, F.lit(SKETCH_K))
+
+
+def _narrowed(cols: _Columns, todo: list[Bracket]) -> tuple[list[Bracket], list[tuple]]:
+    """One pass over all these brackets: exact counts below, at the ends and between
+    them, and a sketch of what is strictly between (a value that very many rows share
+    would stay in every bracket otherwise). The narrower brackets, and the ranks that
+    lie at an end as (column, rank, value, below, equal); ranks outside are left out."""
+    aggs, grids = [], []
+    for k, b in enumerate(todo):
+        x, none = cols.at[b.column], F.lit(0).cast("long")
+        between = x.isNotNull()
+        if b.lo is not None:
+            between = between & (x > F.lit(b.lo))
+        if b.hi is not None:
+            between = between & (x < F.lit(b.hi))
+        aggs += [(none if b.lo is None else F.count(F.when(x < F.lit(b.lo), 1))).alias(f"b{k}"),
+                 (none if b.lo is None else F.count(F.when(x == F.lit(b.lo), 1))).alias(f"l{k}"),
+                 F.count(F.when(between, 1)).alias(f"n{k}"),
+                 (none if b.hi is None or b.hi == b.lo else F.count(F.when(x == F.lit(b.hi), 1))).alias(f"h{k}"),
+                 cols.sketch(b.column, between).alias(f"s{k}")]
+        grids += [*(F.col(f"{c}{k}") for c in "blnh"), _grid(f"s{k}", cols.whole[b.column]).alias(f"g{k}")]
+    got = cols.rows.agg(*aggs).select(*grids).first()
+    out, found = [], []
+    for k, b in enumerate(todo):
+        first, inner = got[f"b{k}"], got[f"b{k}"] + got[f"l{k}"]
+        last = inner + got[f"n{k}"]
+        found += [(b.column, r, b.lo, first, got[f"l{k}"]) for r in b.ranks if first <= r < inner]
+        found += [(b.column, r, b.hi, last, got[f"h{k}"]) for r in b.ranks if last <= r < last + got[f"h{k}"]]
+        ranks = [r for r in b.ranks if inner <= r < last]
+        for new in _brackets(b.column, got[f"g{k}"], got[f"n{k}"], inner, ranks, ERROR) if ranks else []:
+            new.lo, new.hi = b.lo if new.lo is None else new.lo, b.hi if new.hi is None else new.hi
+            out.append(new)
+    return out, found
+
+
+def _picked(cols: _Columns, todo: list[Bracket]) -> list[tuple[str, int, float | int, int, int]]:
+    """(column, rank, value, below, equal) of the ranks that lie in these brackets: one
+    aggregate by value (rows below a bracket are one group), then running sums inside it."""
+    cells = []
+    for k, b in enumerate(todo):
+        x, none = cols.at[b.column], F.lit(None)
+        real, whole = (none, x) if cols.whole[b.column] else (x, none)
+        inside = _inside(x, b)
+        cells.append(F.when(x.isNotNull() if b.hi is None else x <= F.lit(b.hi), F.struct(
+            F.lit(k).alias("k"), F.when(inside, real).cast("double").alias("real"), F.when(inside, whole).cast("long").alias("whole"))))
+    cell = cols.rows.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("s")).select("s.*")
+    counted = cell.groupBy("k", "real", "whole").agg(F.count(F.lit(1)).alias("n"))
+    end = F.sum("n").over(Window.partitionBy("k").orderBy("real", "whole").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = F.lit(None).cast("array<long>")
+    for k, b in enumerate(todo):
+        wanted = F.when(F.col("k") == k, F.array(*[F.lit(r).cast("long") for r in b.ranks])).otherwise(wanted)
+    rank = F.explode(F.filter(wanted, lambda r: (r >= F.col("end") - F.col("n")) & (r < F.col("end"))))
+    rows = counted.withColumn("end", end).where("real is not null or whole is not null").select("k", "real", "whole", "n", "end", rank.alias("rank")).collect()
+    return [(todo[r["k"]].column, r["rank"], r["whole"] if r["real"] is None else r["real"], r["end"] - r["n"], r["n"]) for r in rows]
+
+
+def select_ranks(df: DataFrame, columns: dict[str, Column], ranks: Callable[[str, int, int], list[int]]) -> dict[str, Selected]:
+    """For each named column expression (long-like or double), the values at
+    ranks(name, n, rows), n being its number of non-null values. A NaN counts as null."""
+    cols = _Columns(df, columns)
+    first = cols.rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(cols.at[c]).alias(f"n{i}") for i, c in enumerate(columns)],
+                          *[cols.sketch(c).alias(f"s{i}") for i, c in enumerate(columns)])
+    first = first.select("rows", *[f"n{i}" for i in range(len(columns))], *[_grid(f"s{i}", cols.whole[c]).alias(f"g{i}") for i, c in enumerate(columns)]).first()
+    out = {c: Selected(first["rows"], first[f"n{i}"], {}) for i, c in enumerate(columns)}
+    wanted = {c: {r for r in ranks(c, s.n, s.rows) if 0 <= r < s.n} for c, s in out.items()}
+    error = ERROR
+    while True:
+        todo = []
+        for i, c in enumerate(columns):
+            missing = sorted(wanted[c] - set(out[c].at))
+            todo += _brackets(c, first[f"g{i}"], out[c].n, 0, missing, error) if missing else []
         if not todo:
-            break
-        last = all(t.rows <= FEW for t in todo)
-        cells = [F.when((real[t.column] >= F.lit(t.lo)) & (real[t.column] <= F.lit(t.hi)), F.struct(
-            F.lit(k).alias("k"), (F.lit(0) if last else _bin(real[t.column], t.lo, t.hi)).alias("bin"),
-            (real[t.column] if last else F.lit(None).cast("double")).cast("double").alias("real"),
-            (real[t.column] if last and kinds[t.column] not in ("double", "float") else F.lit(None)).cast("long").alias("whole"),
-            real[t.column].cast("double").alias("x"), (real[t.column] if kinds[t.column] not in ("double", "float") else F.lit(None)).cast("long").alias("i")))
-            for k, t in enumerate(todo)]
-        cell = rows.select(F.explode(F.filter(F.array(*cells), lambda s: s.isNotNull())).alias("s")).select("s.*")
-        counted = cell.groupBy("k", "bin", "real", "whole").agg(
-            F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("i").alias("ilo"), F.max("i").alias("ihi")).collect()
-        found: dict[int, list] = {}
-        for r in counted:
-            lo, hi = (r["ilo"], r["ihi"]) if r["ilo"] is not None else (r["lo"], r["hi"])
-            found.setdefault(r["k"], []).append((lo, hi, r["n"]))
-        narrower = []
-        for k, t in enumerate(todo):
-            below = t.below
-            for lo, hi, n in sorted(found[k]):
-                inside = [r for r in t.ranks if below <= r < below + n]
-                if inside:
-                    narrower.append(Interval(t.column, lo, hi, below, n, inside))
-                below += n
-        todo = narrower
-    return out
+            return out
+        while todo:
+            small, large = [b for b in todo if b.rows <= FEW], [b for b in todo if b.rows > FEW]
+            found = _picked(cols, small) if small else []
+            todo, at_ends = _narrowed(cols, large) if large else ([], [])
+            for c, rank, *rest in found + at_ends:
+                out[c].at[rank] = tuple(rest)
+        error = min(1.0, max(error, 1 / GRID) * 8)
+
+
+@dataclass
+class _Cut:
+    """A row looked for: its rank among the `rows` rows whose first keys have these values."""
+
+    values: list
+    rank: int
+    rows: int
+    ties: Column
+    done: bool = False
 
 
-def cut_point(df: DataFrame, order: list[Column], rank: int) -> list:
-    """The values of the row at `rank` (from 0) in the order of these long-like
-    expressions: the first one's value at that rank, then the second one's among its
-    ties, and so on. None if there are not that many rows."""
-    values: list = []
-    left = rank
-    rows = df
+def cut_points(df: DataFrame, order: list[Column], ranks: Callable[[int], list[int]]) -> list[list]:
+    """For each rank of ranks(rows), the values of the row there (from 0) in the order of
+    these long-like expressions, nulls last in each: the first one's value at that rank,
+    then the second one's among its ties, and so on. All ranks are selected together, key
+    by key. [] for a rank that no row has."""
+    cuts: list[_Cut] = []
     for c in order:
-        found = select_ranks(rows, {"c": c}, lambda n: [left])["c"]
-        if left not in found.at:
-            return []
-        value, below, equal = found.at[left]
-        values.append(value)
-        rows, left = rows.where(c == F.lit(value)), left - below
-        if equal == 1:
-            break
-    return values
+        if not cuts:
+            wanted: list[int] = []
+
+            def first(_name: str, n: int, rows: int) -> list[int]:
+                wanted[:] = ranks(rows)
+                return [r for r in wanted if 0 <= r < n]
+
+            one = select_ranks(df, {"": c}, first)[""]
+            cuts = [_Cut([], r, one.rows, F.lit(True), not 0 <= r < one.rows) for r in wanted]
+            found = {i: one for i in range(len(cuts))}
+        else:
+            still = {str(i): F.when(x.ties, c) for i, x in enumerate(cuts) if not x.done}
+            if not still:
+                break
+            found = {int(k): v for k, v in select_ranks(df, still, lambda k, n, _: [cuts[int(k)].rank]).items()}
+        for i, x in enumerate(cuts):
+            if x.done:
+                continue
+            if x.rank >= found[i].n:  # among the nulls of this key
+                x.values.append(None)
+                x.ties, x.rank, x.rows = x.ties & c.isNull(), x.rank - found[i].n, x.rows - found[i].n
+            else:
+                value, below, equal = found[i].at[x.rank]
+                x.values.append(value)
+                x.ties, x.rank, x.rows = x.ties & F.coalesce(c == F.lit(value), F.lit(False)), x.rank - below, equal
+            x.done = x.rows == 1
+    return [x.values for x in cuts]
+
+
+def cut_point(df: DataFrame, order: list[Column], rank: Callable[[int], int]) -> list:
+    """The values of the row at rank(rows); see `cut_points`."""
+    return cut_points(df, order, lambda n: [rank(n)])[0]
 
 
 def before_or_at(order: list[Column], values: list) -> Column:
-    """Whether a row's keys are lexicographically at most these values (shorter lists
-    leave later keys free)."""
+    """Whether a row's keys are lexicographically at most these values, nulls last
+    (shorter lists leave later keys free). Never null."""
     if not values:
         return F.lit(False)
-    out = None
+    out = F.lit(True)
     for c, v in reversed(list(zip(order, values, strict=False))):
-        rest = F.lit(True) if out is None else out
-        out = (c < F.lit(v)) | ((c == F.lit(v)) & rest)
+        if v is None:
+            out = c.isNotNull() | out
+        else:
+            out = F.coalesce(c < F.lit(v), F.lit(False)) | (F.coalesce(c == F.lit(v), F.lit(False)) & out)
     return out

@@ -9,7 +9,7 @@ from wattline.operators import ranking as rk
 from wattline.operators import scoring as sc
 from wattline.operators import validate as va
 from wattline.operators.metrics import regression_metrics
-from wattline.operators.ordering import first_rows
+from wattline.operators.ordering import after_positions
 from wattline.plans import sqlgen as S
 from wattline.plans.q_features import SPLIT_CLEAN
 from wattline.plans.q_ranking import RESULT_CTES, SPLIT_CTES, results
@@ -139,10 +139,8 @@ def x1_time_series_cv(spark, sf_dir, n_splits: int = 5):
     """Fold f trains on the rows before its test block. The blocks' limits are found by
     counting; one aggregate per (block, flag) then gives every fold's training means."""
     li = load(spark, sf_dir, "lineitem").select(*bl.LINEITEM_ORDER, "l_extendedprice", "l_returnflag")
-    n = li.count()
-    size = n // (n_splits + 1)
-    limits = [n - (n_splits - f) * size for f in range(n_splits)]  # rows before the test block of fold f
-    block = sum(((~first_rows(li, bl.LINEITEM_ORDER, m)).cast("int") for m in limits), F.lit(0))  # 0, then fold + 1
+    # rows before the test block of each fold; a row's block is 0, then fold + 1
+    block = after_positions(li, bl.LINEITEM_ORDER, lambda n: [n - (n_splits - f) * (n // (n_splits + 1)) for f in range(n_splits)])
     rows = li.withColumn("block", block)
     sums = rows.groupBy("block", "l_returnflag").agg(F.sum("l_extendedprice").alias("s"), F.count(F.lit(1)).alias("c"))
     # (n_splits + 1) * flags rows from here on

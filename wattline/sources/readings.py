@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions.numeric import nan_to_null
-from wattline.schema import LOAD_TYPE_VALUES, RAW_COLUMNS, q
+from wattline.schema import LOAD_TYPE_VALUES
 from wattline.session import scratch_path
 from wattline.sources.dirty_rules import dirty_select_list
 from wattline.sources.files import write_csv, write_parquet
-from wattline.sources.tables import load
+from wattline.sources.tables import load, table_version
 
 
 def readings(spark: SparkSession, sf_dir: str, with_tag: bool = False) -> DataFrame:
@@ -70,10 +70,8 @@ _STORED: dict[tuple, str] = {}
 
 def readings_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty readings as a stored all-string table: the stand-in for the raw file, so
-    it is written once per application and content of ``events`` (row count and hash)."""
-    events = load(spark, sf_dir, "events")
-    mark = events.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*events.columns).cast("decimal(38,0)"))).first()
-    key = (spark.sparkContext.applicationId, sf_dir, *mark)
+    it is written once per application and version of the files of ``events``."""
+    key = (spark.sparkContext.applicationId, sf_dir, table_version(spark, sf_dir, "events"))
     if key not in _STORED:
         _STORED[key] = write_parquet(render_dirty(spark, sf_dir), scratch_path(spark, "readings_dirty"))
     return spark.read.parquet(_STORED[key])
@@ -83,7 +81,3 @@ def readings_dirty_csv(spark: SparkSession, sf_dir: str) -> str:
     """Path of the dirty readings written as a CSV text file (A1)."""
     return write_csv(render_dirty(spark, sf_dir), scratch_path(spark, "readings_dirty_csv"))
 
-
-def raw_name_columns(df: DataFrame) -> list:
-    """Backticked raw column references (dots and parentheses in names)."""
-    return [F.col(q(c)) for c in RAW_COLUMNS]
