@@ -82,6 +82,7 @@ def test_fingerprints_do_not_depend_on_the_place():
 
 def test_long_texts_are_cut_between_pieces(monkeypatch):
     monkeypatch.setattr(phrases, "CHUNK", 50)
+    monkeypatch.setattr(phrases, "HASHED", 33)
     text = b"several words here, and more. " * 20 + b"w" * 200 + b" end without a stop " * 5
     parts = list(phrases._parts(text))
     assert b"".join(parts) == text and all(p[-1:] in phrases.PIECE_ENDS.decode().encode() for p in parts[:-1]) and len(parts) > 10

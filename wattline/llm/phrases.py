@@ -34,12 +34,16 @@ TOP = 2000
 #: A phrase goes if a longer one around it has this share of its occurrences, in percent.
 ABSORBED = 50
 
-#: Bytes of text that a task hashes at a time (longer only where a single piece is).
+#: Bytes of text that a task holds at a time (longer only where a single piece is), and
+#: that it hashes at a time (longer only where a single word is).
 CHUNK = 4 << 20
-#: Bits of a set of frequent fingerprints: 2^26 are 8 MB.
-SET_BITS = 26
-#: Parts that the rows of single words are split into: they meet the most phrases.
-SALT = 16
+HASHED = 1 << 18
+#: Bits of a set of frequent fingerprints: 2^27 are 16 MB.
+SET_BITS = 27
+#: Bits of a fingerprint that are shuffled. They only tell which n-grams may be frequent.
+SENT_BITS = 48
+#: Words with at least this share of all words are at most that many; they meet the most phrases.
+HOT_WORDS = 10_000
 
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _END = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
@@ -62,8 +66,8 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             out[0] = 1
             both.append(np.cumprod(out, dtype=np.uint64))
         made = (both[0], both[1])
-        if n > 2 * CHUNK:
-            return made  # a single huge piece: not kept
+        if n > CHUNK:
+            return made  # a single huge word or piece: not kept
         _POWERS[base] = made
     up, down = _POWERS[base]
     return up[:n], down[:n]
@@ -95,8 +99,12 @@ class Chunk:
         lang_of = np.array([number[lang] for lang, _ in texts], dtype=np.int64)
         self.lang = lang_of[np.searchsorted(text_at, self.start, "right") - 1]
         self.salt = np.array([_hash(lang.encode()) for lang in self.langs], dtype=np.uint64)
-        sums, shift = _sums(self.bytes.astype(np.uint64) + np.uint64(1), BYTE_BASE)
-        self.word = mixed((sums[self.end] - sums[self.start]) * shift[self.start])
+        self.word = np.zeros(len(self.start), dtype=np.uint64)
+        edges = np.unique(np.searchsorted(self.start, np.arange(0, len(raw) + HASHED, HASHED)))
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            low = self.start[i]
+            sums, shift = _sums(self.bytes[low:self.end[j - 1]].astype(np.uint64) + np.uint64(1), BYTE_BASE)
+            self.word[i:j] = mixed((sums[self.end[i:j] - low] - sums[self.start[i:j] - low]) * shift[self.start[i:j] - low])
         self.sums, self.shift = _sums(self.word, WORD_BASE)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,11 +200,11 @@ def frequent_fingerprints(texts: DataFrame, n: int, below, min_count: int, bits:
                 shorter, _ = chunk.grams(n - 1)
                 known = _known(below.value, shorter, bits)
                 wanted = wanted & known[:len(h)] & known[1:len(h) + 1]
-            found, count = np.unique(h[wanted], return_counts=True)
+            found, count = np.unique(h[wanted] >> np.uint64(64 - SENT_BITS), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], names=["h", "c"])
 
     counted = texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= min_count)
-    return bit_set(counted, F.shiftrightunsigned("h", 64 - bits), 1 << bits)
+    return bit_set(counted, F.shiftrightunsigned("h", SENT_BITS - bits), 1 << bits)
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
@@ -241,13 +249,14 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     return counted.where((F.col("words") == 0) | (F.col("f") >= min_count))
 
 
-def _with_count(rows: DataFrame, grams: DataFrame, part: str, words: Column, name: str) -> DataFrame:
-    """`rows` with `name`, the count of the phrase in column `part`. Single words are
-    met by very many phrases: their rows stand SALT times."""
-    salt = F.when(F.col("words") == 1, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
-    side = grams.select("lang", F.col("phrase").alias(part), F.col("f").alias(name), F.explode(salt).alias("_salt"))
-    keyed = rows.withColumn("_salt", F.when(words == 1, F.pmod(F.xxhash64("phrase"), F.lit(SALT)).cast("int")).otherwise(F.lit(0)))
-    return keyed.join(side, ["lang", part, "_salt"]).drop("_salt")
+def _with_count(rows: DataFrame, grams: DataFrame, hot: DataFrame, part: str, name: str) -> DataFrame:
+    """`rows` with `name`, the count of the phrase in column `part`. The rows of the words
+    in `hot` are answered by it, and spread over keys that match nothing in the join."""
+    known = hot.select("lang", F.col("phrase").alias(part), F.col("f").alias("_hot"))
+    keyed = rows.join(F.broadcast(known), ["lang", part], "left")
+    keyed = keyed.withColumn("_key", F.when(F.col("_hot").isNull(), F.col(part)).otherwise(F.concat(F.lit(" "), F.xxhash64("phrase").cast("string"))))
+    side = grams.select("lang", F.col("phrase").alias("_key"), F.col("f").alias("_f"))
+    return keyed.join(side, ["lang", "_key"], "left").withColumn(name, F.coalesce("_hot", "_f")).drop("_key", "_hot", "_f")
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
@@ -269,8 +278,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     k = F.col("k")
     cuts = found.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).select(
         "lang", "phrase", "words", "a", "k", F.array_join(F.slice("w", 1, k), " ").alias("left"), F.array_join(F.slice("w", k + 1, F.col("words") - k), " ").alias("right"))
-    cuts = _with_count(cuts, grams, "left", k, "l")
-    cuts = _with_count(cuts, grams, "right", F.col("words") - k, "r")
+    words = totals.agg(F.sum("n").alias("all"))
+    hot = grams.where("words = 1").crossJoin(F.broadcast(words)).where(F.col("f") * HOT_WORDS >= F.col("all"))  # at most HOT_WORDS rows
+    cuts = _with_count(cuts, grams, hot, "left", "l")
+    cuts = _with_count(cuts, grams, hot, "right", "r")
     big = {c: F.col(c).cast("decimal(18,0)") for c in ("a", "l", "r")}
     cuts = cuts.select("lang", "phrase", "a", "k", "l", "r", (big["a"] * big["a"] * F.lit(1_000_000).cast("decimal(7,0)")).alias("top"), (big["l"] * big["r"]).alias("bottom"))
     cuts = cuts.withColumn("score", F.expr("top div bottom"))
