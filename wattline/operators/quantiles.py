@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.operators.ordering import prefix_sums
-from wattline.operators.selection import select_ranks
+from wattline.operators.selection import around, select_ranks
 from wattline.schema import q
 
 
@@ -22,7 +22,7 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict
     def ranks(_name: str, n: int, _rows: int) -> list[int]:
         return [r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
 
-    found = select_ranks(df, {c: F.col(q(c)).cast("double") for c in cols}, ranks)
+    found = select_ranks(df, {c: F.col(q(c)).cast("double") for c in cols}, ranks, around(probs))
     out = {}
     for c in cols:
         n, at = found[c].n, found[c].at
