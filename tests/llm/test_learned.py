@@ -37,8 +37,10 @@ def test_language_of_odd_rows(spark, table, odd_rows):
     assert sum(r["lang_pred"] == "und" for r in got) == want_und and all(r["score"] == 0 for r in got if r["lang_pred"] == "und")
     assert {r["lang_pred"] for r in got} == {"en", "de", "und"}
     assert [x for x, _ in model.predict(["the mat", "der matte", "catter", "½ 12", "", "漢字"])] == ["en", "de", "en", "und", "und", model.languages[0]]
-    kept = L.drop_unknown(docs)
+    kept = L.with_language(docs)
     assert kept.columns == docs.columns and kept.count() == len(rows) - want_und
+    told = {(r["doc_id"], r["text"]): r["lang"] for r in kept.collect()}
+    assert told == {(r["doc_id"], t): r["lang_pred"] for r, t in zip(got, [x[1] for x in rows], strict=True) if r["lang_pred"] != "und"}
     nothing = table([])
     assert L.identify(nothing, L.fit(nothing)).count() == 0
     assert {r["lang_pred"] for r in L.identify(docs, L.fit(nothing)).collect()} == {"und"}
@@ -48,9 +50,9 @@ def test_language_of_odd_rows(spark, table, odd_rows):
 def test_stage_drops_only_texts_without_a_letter(spark, table, odd_rows, lang):
     rows = [(i, "the cat sat on the mat", lang) for i in range(20)] + odd_rows
     want = sorted(str(r[:2]) for r in rows if any(c.isalpha() for c in r[1] or ""))
-    assert sorted(str((r["doc_id"], r["text"])) for r in L.drop_unknown(table(rows)).collect()) == want
+    assert sorted(str((r["doc_id"], r["text"])) for r in L.with_language(table(rows)).collect()) == want
     held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
-    assert L.drop_unknown(table([(i, "die katze", "de") for i in held])).count() == len(held)
+    assert L.with_language(table([(i, "die katze", "de") for i in held])).count() == len(held)
 
 
 def test_backoff_takes_the_longest_known_ngrams():

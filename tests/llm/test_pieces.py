@@ -68,9 +68,11 @@ def test_long_words_and_runs(model, library):
 
 
 def test_small_caches_change_nothing(model, library, monkeypatch):
-    monkeypatch.setattr(C, "CACHE_WORDS", 5)
+    monkeypatch.setattr(C, "CACHE_BYTES", 1000)
+    monkeypatch.setattr(C, "CACHE_LONGEST", 8)
     monkeypatch.setattr(C, "CACHE_PAIRS", 5)
-    monkeypatch.setattr(T, "CACHE_WORDS", 5)
+    monkeypatch.setattr(T, "CACHE_BYTES", 1000)
+    monkeypatch.setattr(T, "CACHE_LONGEST", 8)
     monkeypatch.setattr(T, "MERGE_CHARS", 7)
     c, m = C.PieceCodec(C.vocab(model)), T.RankMerger(T.vocab(model))
     for t in texts(300, 5):

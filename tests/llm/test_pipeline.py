@@ -43,6 +43,10 @@ def test_each_stage_on_what_the_one_before_kept(spark, sf_dir, tmp_path):
             assert docs.columns == columns
     ids = {n: Counter(r["doc_id"] for r in rows) for n, rows in kept.items()}
     assert ids["language_id"] == Counter(r["doc_id"] for r in before if any(c.isalpha() for c in r["text"] or ""))
+    from wattline.llm import lang_id
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    told = {r["doc_id"]: r["lang_pred"] for r in lang_id.identify(table, lang_id.fit(table)).collect()}
+    assert all(r["lang"] == told[r["doc_id"]] for r in kept["language_id"])
     groups = defaultdict(list)
     for r in kept["language_id"]:
         groups[r["text"].translate(LOWER)].append(r["doc_id"])
@@ -73,7 +77,7 @@ def test_stages_on_odd_rows(spark, table, odd_rows):
 
 def test_queries_are_registered_and_optional():
     names = [n for n in E.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
     code = ("import sys; sys.modules['wattline.llm'] = None; import __spark_entry__ as E; "
             "assert len(E.queries()) > 100 and set(E.oracle_sql()) <= set(E.queries()) and 'pipeline' not in E.queries()")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(E.__file__))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wattline.session import checkpoint_root
 
 #: Text handled together inside one Python task, in characters.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -35,15 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.llm.bitmaps import bit_set
 from wattline.llm.common import cut, keep_rows, row_key, small_batches, text_groups
 
 #: Words of a shingle and least percentage of the union that the intersection must be.
 WORDS, THRESHOLD = 5, 75
 #: Nodes of one key that are compared together in the last round; rounds of pivots before it.
 BLOCK, ROUNDS = 1024, 4
-#: Slots of the bitmap that tells workers which nodes' sets are wanted, and the most
-#: of them that are sent; with more, all sets are made and the join alone selects.
-BITMAP, MOST_SLOTS = 1 << 23, 1 << 20
+#: Slots of the bitmap that tells workers which nodes' sets are wanted.
+BITMAP = 1 << 23
 #: Nodes whose keys a task remembers having sent.
 REMEMBERED = 500_000
 #: Characters shingled together (their arrays take some 100 bytes each).
@@ -292,15 +292,10 @@ def _near(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
     """(node, hashes) of the wanted nodes. A bitmap of bounded size keeps most other
     nodes' sets from leaving their task; the join makes it exact."""
-    slots = [r[0] for r in wanted.select(F.pmod("node", F.lit(BITMAP)).alias("slot")).distinct().limit(MOST_SLOTS + 1).collect()]
-    bitmap = np.ones(BITMAP, dtype=bool)
-    if len(slots) <= MOST_SLOTS:
-        bitmap[:] = False
-        bitmap[slots] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_set(wanted, F.pmod("node", F.lit(BITMAP)), BITMAP))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        allowed, sent = np.unpackbits(shared.value).astype(bool), set()
+        allowed, sent = np.unpackbits(shared.value, bitorder="little").astype(bool), set()
         for batch in batches:
             for _, texts in text_groups(batch, GROUP):
                 nodes, sets = [], []

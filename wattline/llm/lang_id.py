@@ -160,18 +160,23 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """`docs`, all columns, without the rows whose language can't be told: null texts and
-    those without a letter. A text with a letter stays even if it is `und` because nothing
-    could be learned, or because `und` is one of the labels."""
+def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """`docs`, all columns, with the identified language in `lang_col` (a string), and
+    without the rows whose language can't be told: null texts and those without a letter.
+    A text with a letter stays even if nothing could be learned, or if `und` is one of
+    the labels; it keeps its label if the prediction is `und`."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col))
+    typed = docs.withColumn(lang_col, F.col(lang_col).cast("string")).select(*docs.columns)
+    place = docs.columns.index(lang_col)
 
     def keep(batches):
         for batch in batches:
             named = pa.RecordBatch.from_arrays([batch.column(id_col), batch.column(text_col)], names=["doc_id", "text"])
-            kept = [x != UNKNOWN or has_letter(t) for _, texts in text_groups(named)
+            told = [(x, x != UNKNOWN or has_letter(t)) for _, texts in text_groups(named)
                     for t, (x, _) in zip(texts, shared.value.predict(texts), strict=True)]
-            yield batch.filter(pa.array(kept, pa.bool_()))
+            labels = batch.column(lang_col).to_pylist()
+            found = pa.array([old if x == UNKNOWN else x for old, (x, _) in zip(labels, told, strict=True)], pa.string())
+            yield batch.set_column(place, lang_col, found).filter(pa.array([k for _, k in told], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return typed.mapInArrow(keep, typed.schema)

@@ -12,6 +12,7 @@ merge with nothing, so they end a stretch.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, groupby
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 from wattline.llm.common import id_and_text, map_texts, small_batches, text_groups
 from wattline.llm.pieces import SPACE, Vocab, pretokens, read_model, run_and_core, vocab
 
-#: Pre-tokens (twice as many) and piece pairs that a worker remembers.
-CACHE_WORDS, CACHE_PAIRS = 300_000, 400_000
+#: Bytes of pre-tokens with their ids (twice as many) that a worker remembers, estimated;
+#: the longest one that it does, in characters; and piece pairs.
+CACHE_BYTES, CACHE_LONGEST, CACHE_PAIRS = 40 << 20, 64, 100_000
 
 
 class PieceCodec:
@@ -41,6 +43,7 @@ class PieceCodec:
         self.fits: dict[tuple[str, str], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
         self.text = [p.replace(SPACE, " ") for p in v.piece]
         for i in v.control:
             self.text[i] = v.unknown if i == v.unknown_id else ""
@@ -122,11 +125,17 @@ class PieceCodec:
         out: list[int] = []
         for pre in pretokens(text):
             new = set(pre).difference(self.words)
-            if new and len(self.words) + len(new) > CACHE_WORDS:
-                self.older, self.words, new = self.words, {}, set(pre)
+            if new and self.held > CACHE_BYTES:
+                self.older, self.words, self.held, new = self.words, {}, 0, set(pre)
+            long: dict[str, tuple[int, ...]] = {}  # kept for this list only
             for w in new:
-                self.words[w] = self.older.get(w) or self.encode_word(w)
-            out.extend(chain.from_iterable(map(self.words.__getitem__, pre)))
+                if len(w) > CACHE_LONGEST:
+                    long[w] = self.encode_word(w)
+                    continue
+                ids = self.words[w] = self.older.get(w) or self.encode_word(w)
+                self.held += 200 + 4 * len(w) + 8 * len(ids)
+            words = self.words if not long else ChainMap(long, self.words)
+            out.extend(chain.from_iterable(map(words.__getitem__, pre)))
         return out
 
     # -- decoding

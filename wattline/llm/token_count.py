@@ -25,10 +25,12 @@ from wattline.llm.common import id_and_text, map_texts
 from wattline.llm.pieces import SPACE, Vocab, pretokens, read_model, run_and_core, vocab
 
 _NONE = np.iinfo(np.int64).max
-#: Distinct pre-tokens remembered by a worker, and characters merged in one go.
-CACHE_WORDS, MERGE_CHARS = 500_000, 2_000_000
-#: Longest pre-token, in characters, that goes into the arrays.
-LONG = 256
+#: Bytes of pre-tokens and counts that a worker remembers, estimated; the longest one that
+#: it does, in characters; and characters merged in one go.
+CACHE_BYTES, CACHE_LONGEST, MERGE_CHARS = 80 << 20, 64, 1_000_000
+#: Longest stretch, in characters, that goes into the arrays: their rounds are as many as
+#: a stretch has different merges.
+LONG = 2048
 
 
 class RankMerger:
@@ -48,6 +50,14 @@ class RankMerger:
         for side in (self.keys // n, self.keys % n):
             self.one_by_one[side[self.made < side]] = True
         self.counts: dict[str, int] = {}
+        self.held = 0
+        #: characters that stand side by side in a piece; no merge crosses other places
+        self.side = {piece[i:i + 2] for piece in v.rank for i in range(len(piece) - 1)}
+
+    def stretches(self, word: str) -> list[str]:
+        """A word cut where no piece holds both neighbours: its merges are those of the parts."""
+        at = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.side), len(word)]
+        return [word[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
     def _ranks(self, sym: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Rank of the pair that starts at each place; _NONE where there is none."""
@@ -127,10 +137,9 @@ class RankMerger:
 
     def learn(self, words: set[str]) -> None:
         """Count the words not met before, a bounded number of characters at a time."""
+        if self.held > CACHE_BYTES:
+            self.counts, self.held = {}, 0
         new = [w for w in words if w not in self.counts]
-        if len(self.counts) + len(new) > CACHE_WORDS:
-            self.counts.clear()
-            new = list(words)
         at = 0
         while at < len(new):
             end, chars = at, 0
@@ -138,17 +147,28 @@ class RankMerger:
                 chars += len(new[end])
                 end += 1
             part = [run_and_core(w) for w in new[at:end]]
-            cores = [c for _, c in part if c]
-            counts, alone = self.merge([c for c in cores if len(c) <= LONG])
+            pieces = [self.stretches(c) if c else [] for _, c in part]
+            flat = [x for some in pieces for x in some]
+            counts, alone = self.merge([x for x in flat if len(x) <= LONG])
             short = zip(counts.tolist(), alone.tolist(), strict=True)
-            merged = (next(short) if len(c) <= LONG else self.merge_long(c) for c in cores)
-            for word, (run, core) in zip(new[at:end], part, strict=True):
-                n, free = next(merged) if core else (0, False)
+            merged = (next(short) if len(x) <= LONG else self.merge_long(x) for x in flat)
+            for word, (run, _), some in zip(new[at:end], part, pieces, strict=True):
+                n, free = 0, False
+                for i in range(len(some)):
+                    size, first = next(merged)
+                    n, free = n + size, first if i == 0 else free
                 if run and free:  # the word left its space mark alone: it joins the run
                     run, n = run + 1, n - 1
                 self.counts[word] = n + len(self.v.run_ids(run))
+                self.held += 150 + 4 * len(word)
             at = end
 
+    def forget_long(self, words: set[str]) -> None:
+        """Long pre-tokens are remembered for one group of texts only."""
+        for w in words:
+            if len(w) > CACHE_LONGEST and self.counts.pop(w, None) is not None:
+                self.held -= 150 + 4 * len(w)
+
 
 @lru_cache(maxsize=2)
 def merger(model: bytes) -> RankMerger:
@@ -170,8 +190,10 @@ def count_tokens(docs: DataFrame, model_path: str | None = None, limit: int = 40
     def per_group(texts):
         m = merger(model.value)
         words = [list(pretokens(t)) for t in texts]
-        m.learn({w for lists in words for pre in lists for w in pre})
+        distinct = {w for lists in words for pre in lists for w in pre}
+        m.learn(distinct)
         totals = [sum(m.count(pre) for pre in lists) for lists in words]
+        m.forget_long(distinct)
         return {"n_bytes": pa.array([len(t.encode()) for t in texts], pa.int64()), "n_tokens": pa.array(totals, pa.int64())}
 
     out = map_texts(id_and_text(docs, id_col, text_col), per_group, "n_bytes long; n_tokens long")
