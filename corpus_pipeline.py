@@ -14,8 +14,9 @@ from wattline.session import scratch_path
 
 
 def identify_language(spark, docs, sf_dir):
-    """Documents without a letter, whose language can't be told, go."""
-    return lang_id.drop_unknown(docs)
+    """Documents without a letter, whose language can't be told, go; the others carry the
+    identified language in `lang`."""
+    return lang_id.with_language(docs)
 
 
 def drop_exact_copies(spark, docs, sf_dir):
