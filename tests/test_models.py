@@ -70,21 +70,21 @@ def test_model_queries_run_whole_grids():
 
 def test_a_failing_configuration_is_recorded_alone(rows, monkeypatch):
     from wattline.plans import q_models as q
-    data, fit = rows.withColumnsRenamed({"y": q.Y, "id": q.KEY}), md.predict_grid
+    data, fit = rows.withColumnsRenamed({"y": q.Y, "id": q.KEY}), md.predict_long
 
     def failing(name, configs, *rest):
         if any(c["fit_intercept"] == "bad" for c in configs):
             raise ValueError("bad")
         return fit(name, configs, *rest)
 
-    monkeypatch.setattr(md, "predict_grid", failing)
+    monkeypatch.setattr(md, "predict_long", failing)
     got = q.isolated("LinearRegression", [dict(fit_intercept=x) for x in (True, "bad", False)], data, data)
     assert [(r[1], *r[2:]) for r in got] == [("fit_intercept=True", "FINISHED", True, 20), ("fit_intercept=bad", "FAILED", None, None),
                                              ("fit_intercept=False", "FINISHED", True, 20)]
 
 
 def test_pruning_rules():
-    from wattline.operators.trees import Tree, leaf_table, pruned
+    from wattline.operators.trees import Tree, pruned
     # root (8 rows) -> 1 (4 rows: leaves 3, 4), 2 (4 rows: leaves 5, 6)
     t = Tree(np.array([8.0, 4, 4, 2, 2, 2, 2]), np.array([10.0, 1, 4, 0, 0, 0, 0]), np.arange(7.0),
              np.array([1, 3, 5, -1, -1, -1, -1]), np.array([2, 4, 6, -1, -1, -1, -1]))
@@ -93,8 +93,6 @@ def test_pruning_rules():
     assert pruned(t, ccp_alpha=0.5).below(0) == [1, 5, 6]      # gain of 1: 1 * 4 / 8 = 0.5
     assert pruned(t, max_leaves=2).below(0) == [1, 2]
     assert pruned(t, ccp_alpha=99).below(0) == [0]
-    values, merged = leaf_table(t, pruned(t, ccp_alpha=0.5))
-    assert values.tolist() == [1, 1, 5, 6] and merged.tolist() == [0, 0, 1, 2]
 
 
 def test_model_is_stored_and_loaded(spark, sf_dir, tmp_path):

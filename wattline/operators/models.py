@@ -18,8 +18,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.operators import knn, trees
-from wattline.operators.metrics import regression_metrics
+from wattline.operators import forest, knn
 
 
 # -- M1 --------------------------------------------------------------------------------------
@@ -70,50 +69,64 @@ def _arrays(df: DataFrame) -> DataFrame:
     return df.withColumn("x", vector_to_array("features"))
 
 
-def _apply(df: DataFrame, out: str, predict) -> DataFrame:
-    """Column `out` from predict(X), X being the rows' features."""
-    @F.pandas_udf("double")
-    def fn(x: pd.Series) -> pd.Series:
-        return pd.Series(predict(np.stack(x.to_numpy())))
-    return df.withColumn(out, fn("x"))
+# -- M5 committees of model trees ------------------------------------------------------------------
 
+@dataclass
+class Member:
+    """Of one committee member, per rule setting: the tree, and coefficients per leaf node."""
 
-def _linear(table: np.ndarray):
-    """UDF of (x, rule): the rule's row of coefficients applied to x."""
-    @F.pandas_udf("double")
-    def fn(x: pd.Series, rule: pd.Series) -> pd.Series:
-        b = table[rule.to_numpy()]
-        return pd.Series(b[:, 0] + (b[:, 1:] * np.stack(x.to_numpy())).sum(axis=1))
-    return fn
+    trees: forest.Applied
+    coefficients: list[np.ndarray]
 
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """Per row and setting, the node of its (merged) leaf."""
+        return np.stack([leaf[at][:, j] for j, (at, leaf, _) in enumerate(self.trees.ends(x))], axis=1)
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        at = self.leaves(x)
+        return np.stack([(c := table[at[:, j]])[:, 0] + (c[:, 1:] * x).sum(axis=1) for j, table in enumerate(self.coefficients)], axis=1)
 
-# -- M5 committees of model trees ------------------------------------------------------------------
 
-def model_tree_committees(train: DataFrame, test: DataFrame, label: str, committees: int = 1, rules: int = 10,
-                          seed: int = 42, ridge: float = 1e-8) -> DataFrame:
-    """`test` with _p0.. _p{committees-1}: each member is a tree pruned to at most `rules`
-    leaves with a linear model per leaf, fitted to 2 y - (the member before). The mean of
-    the first m is the prediction of m committees."""
-    spark = train.sparkSession
-    depth = int(np.ceil(np.log2(max(rules, 2)))) + 1
-    tr, te = _arrays(train).withColumn("_target", F.col(label).cast("double")), _arrays(test)
+def _udf(kind: str, fn):
+    """Column from fn(X), X being the rows' features in `x`; arrays a row if `kind` is an array."""
+    @F.pandas_udf(kind)
+    def apply(x: pd.Series) -> pd.Series:
+        return pd.Series(list(fn(np.stack(x.to_numpy()))))
+    return apply("x")
+
+
+def fit_committees(train: DataFrame, label: str, committees: int, rules: list[int], ridge: float = 1e-8) -> list[Member]:
+    """Committees of model trees for several rule settings together: each member is a tree
+    pruned to at most so many leaves with a least-squares model per leaf (of at least two
+    rows a coefficient), fitted to 2 y - (the member before). What is kept is bounded:
+    `committees` * sum(`rules`) leaves."""
+    y = F.col(label).cast("double")
+    tr = _arrays(train).select("x", y.alias("y"), F.array(*[y] * len(rules)).alias("t"))
     k = _size(tr)
+    cuts = [forest.Cut(max_depth=int(np.ceil(np.log2(max(r, 2)))) + 1, max_leaves=r) for r in rules]
+    members = []
+    every = lambda x, y: (np.ones(len(y), dtype=bool), y)
     for m in range(committees):
-        model = trees.fit_trees(tr, "_target", 1, depth, max_features="all", seed=seed + m)
-        full = trees.read_trees(model, spark)[0]
-        _, merged = trees.leaf_table(full, trees.pruned(full, max_leaves=rules))
-        group = F.element_at(F.array(*[F.lit(int(g)) for g in merged]), (F.col("_leaves")[0] + 1).cast("int"))
-        tr, te = (trees.with_leaves(model, d).withColumn("_rule", group).drop("_leaves") for d in (tr, te))
-        every = lambda x, y: (np.ones(len(y), dtype=bool), y)
-        coefs = {}
-        for g, (xx, xy) in _moments(tr, "_target", lambda x: x, every, k, by="_rule").items():
-            coefs[g] = np.linalg.solve(xx + ridge * np.eye(k + 1) * max(np.trace(xx) / (k + 1), 1.0), xy)
-        linear = _linear(np.array([coefs.get(g, np.zeros(k + 1)) for g in range(max(coefs) + 1)]))
-        te = te.withColumn(f"_p{m}", linear("x", "_rule")).drop("_rule")
+        rows = tr.select("x", F.posexplode("t").alias("tree", "y")).select("tree", F.lit(1.0).alias("w"), "y", "x")
+        nodes = forest.grow(rows, max(c.max_depth for c in cuts), min_leaf=2 * (k + 1))
+        found = forest.variants(nodes, cuts).toPandas()  # len(rules) trees of the depth above
+        member = Member(forest.Applied(found), [np.zeros((int((found["tree"] == j).sum()), k + 1)) for j in range(len(rules))])
+        at = tr.withColumn("_leaf", _udf("array<int>", member.leaves))
+        flat = at.select("x", F.posexplode(F.arrays_zip("t", "_leaf")).alias("j", "z")).select("x", F.col("z.t").alias("y"), (F.col("j") * (1 << 20) + F.col("z._leaf")).alias("_by"))
+        for g, (xx, xy) in _moments(flat, "y", lambda x: x, every, k, by="_by").items():
+            member.coefficients[g >> 20][g & ((1 << 20) - 1)] = np.linalg.solve(xx + ridge * np.eye(k + 1) * max(np.trace(xx) / (k + 1), 1.0), xy)
+        members.append(member)
         if m + 1 < committees:
             # stored, or each member would compute all those before it anew in every pass
-            tr = knn.stored(tr.withColumn("_target", 2 * F.col(label) - linear("x", "_rule")).drop("_rule"))
-    return te.drop("x")
+            tr = knn.stored(tr.withColumn("_p", _udf("array<double>", member.predict)).withColumn("t", F.transform("_p", lambda p: 2 * F.col("y") - p)).drop("_p"))
+    return members
+
+
+def committee_predictions(members: list[Member], sizes: list[tuple[int, int]], x: np.ndarray) -> np.ndarray:
+    """Per row and (setting, committees): the mean of the first members' predictions."""
+    each = np.stack([m.predict(x) for m in members])
+    sums = np.cumsum(each, axis=0)
+    return np.stack([sums[n - 1][:, j] / n for j, n in sizes], axis=1)
 
 
 # -- M6 epsilon-insensitive regression -----------------------------------------------------------
@@ -208,12 +221,26 @@ def predict_class(fitted, df: DataFrame, out: str = "predicted_label") -> DataFr
 
 # -- M8-M10 --------------------------------------------------------------------------------------
 
-def predict_grid(name: str, configs: list[dict], train: DataFrame, test: DataFrame, label: str, key: str) -> list[DataFrame]:
-    """`test` with `prediction`, per configuration of one family. Configurations that
-    share a fit share it: tree rules are applied to one grown tree, neighbours are
-    found once for the largest number, committees are prefixes."""
+def _long(test: DataFrame, arrays: DataFrame, column: str) -> DataFrame:
+    """One row per test row and configuration from an array of predictions."""
+    return arrays.select(*test.columns, F.posexplode(column).alias("config", "prediction"))
+
+
+def _united(frames: list[DataFrame], test: DataFrame) -> DataFrame:
+    out = None
+    for i, f in enumerate(frames):
+        f = f.select(*test.columns, F.lit(i).alias("config"), "prediction")
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+def predict_long(name: str, configs: list[dict], train: DataFrame, test: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
+    """`test` with `config` (place in `configs`) and `prediction`: a row per test row and
+    configuration of one family. Configurations that share a fit share it: tree rules cut
+    one grown forest, neighbours are found once for the largest number, committees are
+    prefixes."""
     if name == "LinearRegression":
-        return [fit_ols(train, label, c["fit_intercept"]).transform(test) for c in configs]
+        return _united([fit_ols(train, label, c["fit_intercept"]).transform(test) for c in configs], test)
     if name == "KNN":
         found, out = {}, []
         most = max(c["n_neighbors"] for c in configs)
@@ -223,34 +250,39 @@ def predict_grid(name: str, configs: list[dict], train: DataFrame, test: DataFra
                 found[c["p"]] = knn.stored(knn.nearest(te, tr, key, key, "x", "x", k=most, p=c["p"]))
             near = found[c["p"]].where(F.col("nn_rank") <= c["n_neighbors"])
             out.append(test.join(knn.knn_regress(near, train, key, key, label, c["weights"]), key))
-        return out
+        return _united(out, test)
     if name in ("CART", "RandomForest"):
-        out, fits = [], {}
-        for c in configs:
-            grown = (c["max_depth"], c["min_samples_leaf"], c.get("max_features", "sqrt"))
-            if grown not in fits:
-                number = max((x.get("n_estimators", 1) for x in configs if (x["max_depth"], x["min_samples_leaf"], x.get("max_features", "sqrt")) == grown))
-                model = trees.fit_trees(train, label, number, c["max_depth"], c["min_samples_leaf"], grown[2], name == "RandomForest")
-                fits[grown] = trees.with_leaves(model, test), trees.read_trees(model, train.sparkSession)
-            leaves, full = fits[grown]
-            tables = [trees.leaf_table(t, trees.pruned(t, c.get("min_samples_split", 2), c.get("ccp_alpha", 0.0)))[0] for t in full[:c.get("n_estimators", 1)]]
-            out.append(trees.predict_from(leaves, tables).drop("_leaves"))
-        return out
+        k = _size(_arrays(train))
+        out = []
+        kinds = sorted({(c["min_samples_leaf"], c.get("max_features", "sqrt")) for c in configs})
+        for leaf, features in kinds:
+            some = [(i, c) for i, c in enumerate(configs) if (c["min_samples_leaf"], c.get("max_features", "sqrt")) == (leaf, features)]
+            numbers = sorted({c.get("n_estimators", 1) for _, c in some})
+            rows = forest.bootstrap_rows(train, label, key, numbers[-1], seed, bootstrap=name == "RandomForest")
+            nodes = forest.grow(rows, max(c["max_depth"] for _, c in some), leaf, max(1, int(np.sqrt(k))) if features == "sqrt" else None, seed)
+            rule = lambda c: (c["max_depth"], c.get("min_samples_split", 2), c.get("ccp_alpha", 0.0))
+            rules = sorted({rule(c) for _, c in some})
+            cut = knn.stored(forest.variants(nodes, [forest.Cut(*r) for r in rules]))
+            place = {rules.index(rule(c)) * len(numbers) + numbers.index(c.get("n_estimators", 1)): i for i, c in some}
+            rows = _long(test, forest.predictions(cut, test, numbers), "predictions")
+            config = F.element_at(F.array(*[F.lit(place.get(j, -1)) for j in range(len(rules) * len(numbers))]), F.col("config") + 1)
+            out.append(rows.withColumn("config", config).where("config >= 0"))
+        whole = out[0]
+        for f in out[1:]:
+            whole = whole.unionByName(f)
+        return whole
     if name == "Cubist":
-        out, members = [], {}
-        for c in configs:
-            if c["n_rules"] not in members:
-                most = max(x["n_committees"] for x in configs if x["n_rules"] == c["n_rules"])
-                members[c["n_rules"]] = model_tree_committees(train, test, label, most, c["n_rules"]), most
-            rows, most = members[c["n_rules"]]
-            mean = sum((F.col(f"_p{m}") for m in range(c["n_committees"])), F.lit(0.0)) / F.lit(float(c["n_committees"]))
-            out.append(rows.withColumn("prediction", mean).drop(*[f"_p{m}" for m in range(most)]))
-        return out
+        rules = sorted({c["n_rules"] for c in configs})
+        members = fit_committees(train, label, max(c["n_committees"] for c in configs), rules)
+        sizes = [(rules.index(c["n_rules"]), c["n_committees"]) for c in configs]
+        return _long(test, _arrays(test).withColumn("_p", _udf("array<double>", lambda x: committee_predictions(members, sizes, x))), "_p")
     if name == "SVM":
         fitted = [fit_svr(train, label, float(c["C"]), c["kernel"], c["gamma"]) for c in configs]
-        return [_apply(_arrays(test), "prediction", m.predict).drop("x") for m in fitted]
+        return _long(test, _arrays(test).withColumn("_p", _udf("array<double>", lambda x: np.stack([m.predict(x) for m in fitted], axis=1))), "_p")
     raise ValueError(f"no model family {name!r}")
 
 
-def evaluate(pred: DataFrame, label: str, out: str = "prediction") -> dict:
-    return regression_metrics(pred, label, out).first().asDict()
+def predict_grid(name: str, configs: list[dict], train: DataFrame, test: DataFrame, label: str, key: str) -> list[DataFrame]:
+    """`test` with `prediction`, per configuration of one family."""
+    rows = knn.stored(predict_long(name, configs, train, test, label, key))
+    return [rows.where(F.col("config") == i).drop("config") for i in range(len(configs))]

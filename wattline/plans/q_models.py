@@ -39,15 +39,17 @@ def text_of(params: dict) -> str:
     return ", ".join(f"{k}={v}" for k, v in params.items()) or "default"
 
 
-def sanity(pred, model: str, params: dict, label: str = Y):
-    """One row: rows predicted, predictions that aren't finite, and whether the error is
-    below that of the rows' mean (null for a lone tree on random subsets of the features,
-    which may be worse on few rows)."""
-    p = F.col("prediction")
+def grid_rows(name: str, configs: list[dict], train, test, label: str = Y):
+    """One row per configuration: rows predicted, predictions that aren't finite, and
+    whether the error is below that of the rows' mean (null for a lone tree on random
+    subsets of the features, which may be worse on few rows)."""
+    p, y = F.col("prediction"), F.col(label)
     bad = F.count(F.when(p.isNull() | F.isnan(p) | (F.abs(p) == float("inf")), 1))
-    r2 = 1 - F.sum((F.col(label) - p) * (F.col(label) - p)) / (F.var_pop(label) * F.count(F.lit(1)))
-    return pred.agg(F.lit(model).alias("model"), F.lit(text_of(params)).alias("hyperparameters"), F.count(F.lit(1)).alias("n_test"),
-                    bad.alias("n_bad"), (F.lit(None).cast("boolean") if model == "CART" else r2 > 0).alias("beats_mean"))
+    r2 = 1 - F.sum((y - p) * (y - p)) / (F.var_pop(label) * F.count(F.lit(1)))
+    rows = md.predict_long(name, configs, train, test, label, KEY).groupBy("config").agg(
+        F.count(F.lit(1)).alias("n_test"), bad.alias("n_bad"), (F.lit(None).cast("boolean") if name == "CART" else r2 > 0).alias("beats_mean"))
+    names = F.array(*[F.lit(text_of(c)) for c in configs])
+    return rows.select(F.lit(name).alias("model"), F.element_at(names, F.col("config") + 1).alias("hyperparameters"), "n_test", "n_bad", "beats_mean")
 
 
 def sanity_sql(rows: list[tuple[str, dict]]) -> str:
@@ -56,14 +58,6 @@ def sanity_sql(rows: list[tuple[str, dict]]) -> str:
         "FROM csp WHERE split = 'test'" for m, p in rows))
 
 
-def grid_rows(name: str, configs: list[dict], train, test):
-    out = None
-    for params, pred in zip(configs, md.predict_grid(name, configs, train, test, Y, KEY), strict=True):
-        row = sanity(pred, name, params)
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 M1_SQL = S.with_(SPLIT_CTES + ["tr AS (SELECT * FROM sp WHERE split = 'train')"],
                  "SELECT true AS fit_intercept, " + S.r("regr_slope(l_extendedprice, l_quantity)", 4) + " AS coef, "
                  + S.r("regr_intercept(l_extendedprice, l_quantity)", 2) + " AS intercept FROM tr UNION ALL "
