@@ -111,3 +111,18 @@ def test_oracle(spark, sf_dir):
     names = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     want = con.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLES['op11_phrases']})").fetchall()
     assert found(queries.op11_phrases(spark, sf_dir)) == set(want) and len(want) > 50
+
+
+def test_held_counts_add_up(monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", 40)
+    rng, held, got, want = np.random.default_rng(1), phrases._Counts(), Counter(), Counter()
+    batches = []
+    for _ in range(60):
+        h, c = np.unique(rng.integers(0, 90, 25).astype(np.uint64), return_counts=True)
+        want.update(dict(zip(h.tolist(), c.tolist())))
+        batches += held.add(h, c)
+    batches += held.rows()
+    for b in batches:
+        for h, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            got[h] += c
+    assert got == want and held.rows() == []

@@ -45,6 +45,12 @@ SENT_BITS = 48
 #: Words with at least this share of all words are at most that many; they meet the most phrases.
 HOT_WORDS = 10_000
 
+#: Input partitions that a task takes (as long as every core has a task): the more text
+#: in a task, the fewer n-grams are sent by several of them.
+SPLITS = 4
+#: Fingerprints that a task holds with their counts before it sends them.
+HELD = 4_000_000
+
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _END = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
 
@@ -185,25 +191,59 @@ def _known(packed: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    small_batches(docs.sparkSession)
-    return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang"),
+    spark = docs.sparkSession
+    small_batches(spark)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-docs.rdd.getNumPartitions() // SPLITS))
+    return docs.coalesce(tasks).select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang"),
                        F.col(text_col).cast("string").cast("binary").alias("text")).where("octet_length(text) > 0")
 
 
+class _Counts:
+    """Sorted fingerprints with counts; `add` returns those to send once there are too many."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.merged = 0
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        h, c = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
+        order = np.argsort(h, kind="stable")
+        h, c = h[order], c[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, dtype=np.int64)
+        return h[first], np.add.reduceat(c, first) if len(first) else c
+
+    def add(self, h: np.ndarray, c: np.ndarray) -> list[pa.RecordBatch]:
+        self.parts.append((h, c))
+        self.size += len(h)
+        if self.size < self.merged + HELD // 2:
+            return []
+        both = self.merge()
+        self.parts, self.size, self.merged = [both], len(both[0]), len(both[0])
+        return self.rows() if self.size > HELD else []
+
+    def rows(self) -> list[pa.RecordBatch]:
+        h, c = self.merge() if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.parts, self.size, self.merged = [], 0, 0
+        step = 200_000
+        return [pa.RecordBatch.from_arrays([pa.array(h[i:i + step].view(np.int64)), pa.array(c[i:i + step])], names=["h", "c"]) for i in range(0, len(h), step)]
+
+
 def frequent_fingerprints(texts: DataFrame, n: int, below, min_count: int, bits: int = SET_BITS) -> np.ndarray:
     """Bit set of the n-gram fingerprints that occur `min_count` times; `below` is the
     broadcast set of the (n-1)-grams (None for n = 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Counts()
         for chunk in chunks(batches):
             h, wanted = chunk.grams(n)
             if below is not None:
                 shorter, _ = chunk.grams(n - 1)
                 known = _known(below.value, shorter, bits)
                 wanted = wanted & known[:len(h)] & known[1:len(h) + 1]
-            found, count = np.unique(h[wanted] >> np.uint64(64 - SENT_BITS), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], names=["h", "c"])
+            yield from held.add(*np.unique(h[wanted] >> np.uint64(64 - SENT_BITS), return_counts=True))
+        yield from held.rows()
 
-    counted = texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= min_count)
+    # The tasks have added up what they hold, so the rows are dealt out as they are.
+    counted = texts.mapInArrow(run, "h long, c long").repartition("h").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= min_count)
     return bit_set(counted, F.shiftrightunsigned("h", SENT_BITS - bits), 1 << bits)
 
 
