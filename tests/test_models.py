@@ -2,6 +2,7 @@
 reproducibility, request -> model-row mapping and streaming = batch."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -79,8 +80,8 @@ def test_a_failing_configuration_is_recorded_alone(rows, monkeypatch):
 
     monkeypatch.setattr(md, "predict_long", failing)
     got = q.isolated("LinearRegression", [dict(fit_intercept=x) for x in (True, "bad", False)], data, data)
-    assert [(r[1], *r[2:]) for r in got] == [("fit_intercept=True", "FINISHED", True, 20), ("fit_intercept=bad", "FAILED", None, None),
-                                             ("fit_intercept=False", "FINISHED", True, 20)]
+    assert [r[1:] for r in got] == [("fit_intercept=True", "FINISHED", True, 20, None), ("fit_intercept=bad", "FAILED", None, None, "ValueError: bad"),
+                                    ("fit_intercept=False", "FINISHED", True, 20, None)]
 
 
 def test_pruning_rules():
@@ -105,6 +106,30 @@ def test_model_is_stored_and_loaded(spark, sf_dir, tmp_path):
     assert a == b and len(a) > 0
 
 
+def test_a_later_application_finds_only_what_is_committed(spark, tmp_path):
+    """Two sessions with one shared folder: the first writes and publishes, the second reads."""
+    import subprocess
+    import sys
+    code = """
+import sys
+from pyspark.sql import SparkSession
+from wattline.sources import store
+s = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate())
+if sys.argv[2] == "write":
+    assert store.published(s, "t", "v1") is None
+    lost = store.new_path(s, "t")
+    s.range(3).write.parquet(lost)  # written, never committed
+    path = store.new_path(s, "t")
+    s.range(5).write.parquet(path)
+    store.publish(s, "t", "v1", path)
+else:
+    assert s.read.parquet(store.published(s, "t", "v1")).count() == 5
+    assert store.published(s, "t", "v2") is None
+"""
+    for step in ("write", "read"):
+        subprocess.run([sys.executable, "-c", code, str(tmp_path), step], check=True, cwd=os.path.dirname(os.path.dirname(__file__)), timeout=120)
+
+
 def test_request_to_model_row(spark):
     from wattline.operators.scoring import request_to_model_row
     from wattline.sources.requests import REQUEST_NUMERIC

@@ -320,3 +320,42 @@ def test_time_split_takes_the_latest_ceil_share(spark):
     test = sorted((r["t"], r["k"]) for r in out.where(F.col("split") == "test").collect())
     assert len(test) == math.ceil(0.2 * 33) == 7
     assert test == sorted((k % 7, k) for k in range(33))[-7:]  # the latest rows in (t, k) order
+
+
+def test_binned_density_is_near_the_exact_one(spark):
+    from wattline.operators.profiling import kde
+    rng = np.random.default_rng(5)
+    xs = np.concatenate([rng.gamma(2, 10, 900), [400.0], np.full(50, 7.0)]).round(2)
+    got = kde(spark.createDataFrame([(float(x), "a") for x in xs] + [(1.0, "b"), (None, "a")], "x double, g string"), "x", "g").orderBy("grid_index").collect()
+    bw = xs.std(ddof=1) * len(xs) ** -0.2
+    grid = np.linspace(xs.min() - 3 * bw, xs.max() + 3 * bw, 200)
+    exact = np.exp(-0.5 * ((grid[:, None] - xs) / bw) ** 2).sum(axis=1) / (len(xs) * bw * math.sqrt(2 * math.pi))
+    assert len(got) == 200 and np.allclose([r["x"] for r in got], grid, atol=1e-8)
+    assert np.abs(np.array([r["density"] for r in got]) - exact).max() < 1e-5 * exact.max() * 10
+    assert kde(spark.createDataFrame([], "x double, g string"), "x", "g").count() == 0
+
+
+def test_bootstrap_interval_covers_like_the_normal_one(spark):
+    from wattline.operators.profiling import POISSON_STEPS, mean_ci
+    assert POISSON_STEPS[0] == round(4096 / math.e)
+    rng = np.random.default_rng(6)
+    xs = rng.normal(50, 10, 2000)
+    df = spark.createDataFrame([(i, float(x), None if i % 4 == 0 else "k") for i, x in enumerate(xs)] + [(9999, None, "k")], "id long, x double, k string")
+    for part in (df, df.repartition(5)):
+        rows = {r["key"]: r for r in mean_ci(part, "x", F.col("k"), "id").collect()}
+        for key, own in ((None, xs[::4]), ("k", np.delete(xs, np.arange(0, 2000, 4)))):
+            half = 1.96 * own.std(ddof=1) / math.sqrt(len(own))
+            assert rows[key]["n"] == len(own)
+            assert abs(rows[key]["ci_lo"] - (own.mean() - half)) < 0.35 * half and abs(rows[key]["ci_hi"] - (own.mean() + half)) < 0.35 * half
+
+
+def test_sparse_indicators_of_many_categories(spark):
+    from wattline.operators.features import sparse_indicators
+    df = spark.range(3000).selectExpr("id", "if(id % 100 = 0, null, concat('v', id % 2500)) AS c", "cast(id % 3 AS string) AS d")
+    out = sparse_indicators(df.where("id < 2000"), df, ["c", "d"])
+    seen = sorted({f"v{i % 2500}" for i in range(2000) if i % 100})
+    for r in out.where("id in (0, 1, 1999, 2400, 2999)").collect():
+        i = r["id"]
+        want = ([seen.index(f"v{i % 2500}")] if i % 100 and f"v{i % 2500}" in seen else []) + [len(seen) + i % 3]
+        assert (r["indicators"]["size"], r["indicators"]["indices"], r["indicators"]["values"]) == (len(seen) + 3, want, [1.0] * len(want))
+    assert out.count() == 3000

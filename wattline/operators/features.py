@@ -13,6 +13,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.operators.ordering import row_number
 from wattline.schema import DAY_OF_WEEK_VALUES, FEATURE_NUMERIC, LOAD_TYPE_VALUES, q
 
 
@@ -98,8 +99,9 @@ MOST_CATEGORIES = 1000
 
 
 def learned_onehot(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
-    """Categories learned from the training rows; unseen values and nulls encode as
-    all zeros. A column with over MOST_CATEGORIES values is refused (ValueError)."""
+    """Categories learned from the training rows, a column each; unseen values and nulls
+    encode as all zeros. A column with over MOST_CATEGORIES values is refused (ValueError):
+    `sparse_indicators` takes any number."""
     out = df
     for c in cols:
         seen = train.select(q(c)).where(F.col(q(c)).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()
@@ -109,3 +111,30 @@ def learned_onehot(train: DataFrame, df: DataFrame, cols: list[str]) -> DataFram
         out = out.withColumns({f"{c}_{v}": (F.col(q(c)) == F.lit(v)).cast("double") for v in cats})
         out = out.na.fill(0.0, [f"{c}_{v}" for v in cats])
     return out
+
+
+def category_dictionary(train: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, index): the categories of each column in the training rows, by column
+    (as listed), then value, numbered from 0. Nulls are no category. A table of any size."""
+    seen = None
+    for i, c in enumerate(cols):
+        one = train.select(F.lit(i).alias("place"), F.col(q(c)).cast("string").alias("value")).where("value is not null").distinct()
+        seen = one if seen is None else seen.unionByName(one)
+    names = F.array(*[F.lit(c) for c in cols])
+    return row_number(seen, ["place", "value"], "index", base=0).select(F.get(names, F.col("place")).alias("column"), "value", "index")
+
+
+def sparse_indicators(train: DataFrame, df: DataFrame, cols: list[str], out: str = "indicators") -> DataFrame:
+    """E6 for columns of any number of categories: `out` holds a row's indicators as a sparse
+    vector, a struct (size, indices, values) with ascending indices of `category_dictionary`.
+    Unseen values and nulls have none. The dictionary is joined, never broadcast unmeasured."""
+    known = category_dictionary(train, cols)
+    size = known.agg(F.count(F.lit(1)).cast("int").alias("_size"))
+    rows = df
+    for i, c in enumerate(cols):
+        one = known.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("index").cast("int").alias(f"_i{i}"))
+        rows = rows.join(one, F.col(q(c)).cast("string") == F.col("_v"), "left").drop("_v")
+    found = F.array_compact(F.array(*[F.col(f"_i{i}") for i in range(len(cols))]))
+    rows = rows.crossJoin(F.broadcast(size))  # one row
+    return rows.withColumn(out, F.struct(F.col("_size").alias("size"), found.alias("indices"), F.transform(found, lambda _: F.lit(1.0)).alias("values"))) \
+               .drop("_size", *[f"_i{i}" for i in range(len(cols))])

@@ -319,43 +319,83 @@ def box_stats(df: DataFrame, value: str, group_cols: list[str] | None = None,
                       "n_outliers", "n")
 
 
-def mean_ci(df: DataFrame, value: str, key: Column, key_name: str = "key",
-            z: float = 1.96, digits: int = 6) -> DataFrame:
-    """Mean with a normal 95% interval, mean +- z s / sqrt(n)."""
+#: Thresholds of 12 random bits for Poisson(1) counts: rounded 4096 * P(count <= k).
+POISSON_STEPS = [round(4096 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(6)]
+#: Replicates that one md5 of 32 hex digits gives.
+PER_HASH = 10
+
+
+def bootstrap_weights(row_id: str, replicates: int, seed: int) -> Column:
+    """Array of Poisson(1) counts of a row, one a replicate, from md5("seed:boot.h:id"); 3
+    hex digits each. They don't depend on partitions or retries."""
+    hashes = [F.md5(F.concat_ws(":", F.lit(f"{seed}:boot.{h}"), F.col(row_id).cast("string"))) for h in range(-(-replicates // PER_HASH))]
+    bits = F.flatten(F.transform(F.array(*hashes), lambda m: F.transform(
+        F.sequence(F.lit(0), F.lit(PER_HASH - 1)), lambda j: F.conv(F.substr(m, 3 * j + 1, F.lit(3)), 16, 10).cast("int"))))
+    steps = F.array(*[F.lit(t) for t in POISSON_STEPS])
+    return F.transform(F.slice(bits, 1, replicates), lambda u: F.size(F.filter(steps, lambda t: u >= t)))
+
+
+def mean_ci(df: DataFrame, value: str, key: Column, row_id: str, key_name: str = "key", replicates: int = 200, seed: int = 42,
+            level: float = 0.95, digits: int = 6) -> DataFrame:
+    """Mean with a bootstrap percentile interval. Every row counts Poisson(1) times in
+    each replicate, so a replicate's mean is a quotient of two sums and all replicates are
+    one aggregate, however large a group is. Null values are left out."""
     x = _num(value)
-    agg = df.groupBy(key.alias(key_name)).agg(F.count(x).alias("n"), F.avg(x).alias("mean"),
-                                              F.stddev_samp(x).alias("sd"))
-    half = F.lit(z) * F.col("sd") / F.sqrt(F.col("n").cast("double"))
+    rows = df.select(key.alias(key_name), x.alias("_x"), F.col(row_id).alias("_id")).where("_x is not null")
+    means = rows.groupBy(key_name).agg(F.count("_x").alias("n"), F.avg("_x").alias("mean"))
+    drawn = rows.select(key_name, "_x", F.posexplode(bootstrap_weights("_id", replicates, seed)).alias("_b", "_w")).where("_w > 0")
+    each = drawn.groupBy(key_name, "_b").agg((F.sum(F.col("_w") * F.col("_x")) / F.sum("_w")).alias("_m"))
+    # at most `replicates` means a group from here on
+    sorted_means = each.groupBy(F.col(key_name).alias("_k")).agg(F.sort_array(F.collect_list("_m")).alias("_s"))
+
+    def at(p: float) -> Column:
+        place = F.lit(p) * (F.size("_s") - 1)
+        lo, hi = F.get("_s", F.floor(place).cast("int")), F.get("_s", F.ceil(place).cast("int"))
+        return lo + (place - F.floor(place)) * (hi - lo)
+
     rd = lambda e, n: (F.round(e, digits) + F.lit(0.0)).alias(n)
-    return agg.select(key_name, "n", (F.round("mean", 9) + F.lit(0.0)).alias("mean"), rd(F.col("mean") - half, "ci_lo"),
-                      rd(F.col("mean") + half, "ci_hi"))
+    out = means.join(sorted_means, F.col(key_name).eqNullSafe(F.col("_k")), "left")
+    return out.select(key_name, "n", (F.round("mean", 9) + F.lit(0.0)).alias("mean"), rd(at((1 - level) / 2), "ci_lo"), rd(at((1 + level) / 2), "ci_hi"))
+
+
+#: Bins of a density per bandwidth, and how many bandwidths the kernel reaches: beyond it
+#: lies less than 10^-17 of its weight.
+BINS_PER_WIDTH, REACH = 64, 9.0
 
 
 def kde(df: DataFrame, value: str, group: str, grid_size: int = 200, cut: float = 3.0,
         digits: int = 9) -> DataFrame:
     """Gaussian density per group on a grid from min - cut*bw to max + cut*bw,
-    Scott bandwidth bw = s * n^(-1/5) (s = sample std)."""
+    Scott bandwidth bw = s * n^(-1/5) (s = sample std).
+
+    Values are shared between the two nearest points of a fine grid of bw / BINS_PER_WIDTH
+    (linear binning: a relative error of the order of its square / 8), so a group has at
+    most range / bw * BINS_PER_WIDTH rows after one aggregate; each of them meets the grid
+    points within REACH bandwidths."""
     x = _num(value)
-    wv = (df.where(x.isNotNull()).groupBy(F.col(group).alias("grp"), x.alias("x"))
-            .agg(F.count(F.lit(1)).alias("w")))  # weighted distinct values
-    st = (df.where(x.isNotNull()).groupBy(F.col(group).alias("grp"))
-            .agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"),
-                 F.max(x).alias("hi"))
-            .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-            .where(F.col("bw") > 0))
-    grid = st.select("grp", "n", "bw", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("gi"),
-                     "lo", "hi")
-    grid = grid.withColumn("gx", F.col("lo") - cut * F.col("bw") + F.col("gi") * (
-        (F.col("hi") - F.col("lo") + 2 * cut * F.col("bw")) / F.lit(float(grid_size - 1))))
-    # the planner broadcasts the grid if it has measured it as small
-    joined = wv.join(grid.select("grp", "gi", "gx", "bw", "n"), "grp")
-    zsc = (F.col("gx") - F.col("x")) / F.col("bw")
-    dens = joined.groupBy("grp", "gi", "gx", "bw", "n").agg(F.sum(F.col("w") * F.exp(-0.5 * zsc * zsc)).alias("s"))
-    out = dens.select(F.col("grp").alias(group), F.col("gi").cast("bigint").alias("grid_index"),
-                      (F.round(F.col("gx"), digits) + F.lit(0.0)).alias("x"),
-                      (F.round(F.col("s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))), digits)
-                       + F.lit(0.0)).alias("density"))
-    return out
+    rows = df.select(F.col(group).alias("grp"), x.alias("x")).where("x is not null")
+    st = (rows.groupBy("grp").agg(F.count("x").alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+          .withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).where(F.col("bw") > 0)
+          .withColumn("fine", F.col("bw") / F.lit(float(BINS_PER_WIDTH)))
+          .withColumn("g0", F.col("lo") - cut * F.col("bw"))
+          .withColumn("gs", (F.col("hi") - F.col("lo") + 2 * cut * F.col("bw")) / F.lit(float(grid_size - 1))))
+    # the planner broadcasts the groups if it has measured them as small
+    t = (F.col("x") - F.col("lo")) / F.col("fine")
+    cell = rows.join(st.select("grp", "lo", "fine"), "grp").select("grp", F.floor(t).alias("j"), (t - F.floor(t)).alias("f"))
+    binned = cell.groupBy("grp", "j").agg(F.count(F.lit(1)).alias("c"), F.sum("f").alias("f"))
+    both = F.array(F.struct(F.col("j").alias("j"), (F.col("c") - F.col("f")).alias("w")), F.struct((F.col("j") + 1).alias("j"), F.col("f").alias("w")))
+    points = binned.select("grp", F.inline(both)).groupBy("grp", "j").agg(F.sum("w").alias("w")).join(st, "grp")
+    at = F.col("lo") + F.col("j") * F.col("fine")
+    first = F.greatest(F.lit(0), F.ceil((at - REACH * F.col("bw") - F.col("g0")) / F.col("gs"))).cast("int")
+    last = F.least(F.lit(grid_size - 1), F.floor((at + REACH * F.col("bw") - F.col("g0")) / F.col("gs"))).cast("int")
+    near = points.select("grp", "w", "bw", "g0", "gs", at.alias("at"), F.explode(F.when(first <= last, F.sequence(first, last))).alias("gi"))
+    z = (F.col("g0") + F.col("gi") * F.col("gs") - F.col("at")) / F.col("bw")
+    dens = near.groupBy("grp", "gi").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
+    grid = st.select("grp", "n", "bw", "g0", "gs", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("gi"))
+    density = F.coalesce("s", F.lit(0.0)) / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
+    return grid.join(dens, ["grp", "gi"], "left").select(
+        F.col("grp").alias(group), F.col("gi").cast("bigint").alias("grid_index"), (F.round(F.col("g0") + F.col("gi") * F.col("gs"), digits) + F.lit(0.0)).alias("x"),
+        (F.round(density, digits) + F.lit(0.0)).alias("density"))
 
 
 def retention(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -6,11 +6,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wattline.operators import features as fe
+from wattline.operators.baselines import LINEITEM_ORDER
 from wattline.operators.ordering import time_split
 from wattline.plans import sqlgen as S
 from wattline.plans.q_cleaning import CLEAN, clean
+from wattline.plans.q_ranking import SPLIT_CTES
 from wattline.plans.registry import register
 from wattline.schema import DAY_OF_WEEK_VALUES, FEATURE_NUMERIC, LOAD_TYPE_VALUES, NUMERIC_COLUMNS
+from wattline.sources.tables import load
 
 SPLIT_CLEAN = CLEAN + [
     "cs AS (SELECT *, row_number() OVER (ORDER BY date, reading_id) AS position, count(*) OVER () AS n FROM readings_clean)",
@@ -103,3 +106,21 @@ def e6_learned_onehot(spark, sf_dir):
     out = fe.apply_scaler(out, stats)  # calendar parts pass through unscaled
     cols = [f"{c}_{v}" for c, vs in E6_CATS.items() for v in vs]
     return out.select("reading_id", *cols, *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in E6_NUM], "hour", "month")
+
+
+E6_SPARSE = ["l_returnflag", "l_suppkey", "l_partkey"]
+
+
+@register("e6_sparse_indicators", S.with_(SPLIT_CTES + [
+    "tl AS (SELECT l.*, sp.split FROM lineitem l JOIN sp USING (l_orderkey, l_linenumber, l_partkey))",
+    "dict AS (SELECT c, v, row_number() OVER (ORDER BY c, v) - 1 AS i FROM (" + " UNION ".join(
+        f"SELECT {j} AS c, CAST({c} AS VARCHAR) AS v FROM tl WHERE split = 'train' AND {c} IS NOT NULL" for j, c in enumerate(E6_SPARSE)) + "))"],
+    "SELECT l_orderkey, l_linenumber, l_partkey, (SELECT count(*) FROM dict)::INT AS size, concat_ws(',', "
+    + ", ".join(f"d{j}.i" for j in range(len(E6_SPARSE))) + ") AS indices FROM tl "
+    + " ".join(f"LEFT JOIN dict d{j} ON d{j}.c = {j} AND d{j}.v = CAST({c} AS VARCHAR)" for j, c in enumerate(E6_SPARSE))))
+def e6_sparse_indicators(spark, sf_dir):
+    """Flags, suppliers and parts of lineitem, learned from the training rows."""
+    li = load(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER, "l_returnflag", "l_suppkey")
+    sp = time_split(li, LINEITEM_ORDER, 0.2)
+    out = fe.sparse_indicators(sp.where(F.col("split") == "train"), sp, E6_SPARSE)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "indicators.size", F.array_join("indicators.indices", ",").alias("indices"))

@@ -7,11 +7,14 @@ model beats the mean of the training rows.
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from wattline.operators import baselines as bl
 from wattline.operators import features as fe
+from wattline.operators import forest
 from wattline.operators import grid as gr
 from wattline.operators import knn
 from wattline.operators import models as md
@@ -21,7 +24,8 @@ from wattline.plans import sqlgen as S
 from wattline.plans.q_features import SPLIT_CLEAN, clean_split
 from wattline.plans.q_ranking import SPLIT_CTES
 from wattline.plans.registry import register
-from wattline.sources.tables import load
+from wattline.sources import store
+from wattline.sources.tables import load, table_version
 
 FEATS = ["l_quantity", "l_discount", "l_tax"]
 Y, KEY = "usage_kwh", "reading_id"
@@ -146,6 +150,39 @@ def m3_cart(spark, sf_dir):
     return grid_rows("CART", M3, *encoded_split(spark, sf_dir))
 
 
+def _best_split_sql(name: str, rows: str) -> list[str]:
+    """CTEs of the best split of every node of `rows` (node, f0.., y): `{name}`(node, f, thr, gain)."""
+    long = " UNION ALL ".join(f"SELECT node, {j} AS f, f{j} AS v, y FROM {rows}" for j in range(len(FEATS)))
+    return [f"{name}_c AS (SELECT node, f, v, count(*) AS n, sum(y) AS s FROM ({long}) GROUP BY 1, 2, 3)",
+            f"{name}_r AS (SELECT node, f, v, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER (PARTITION BY node, f) AS an, sum(s) OVER (PARTITION BY node, f) AS tot, "
+            f"lead(v) OVER w AS nv FROM {name}_c WINDOW w AS (PARTITION BY node, f ORDER BY v))",
+            f"{name} AS (SELECT node, f, (v + nv) / 2 AS thr FROM (SELECT *, ls * ls / ln + (tot - ls) * (tot - ls) / (an - ln) - tot * tot / an AS gain FROM {name}_r "
+            "WHERE nv IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1)"]
+
+
+def _side(split: str, rows: str) -> str:
+    value = "CASE b.f " + " ".join(f"WHEN {j} THEN f{j}" for j in range(len(FEATS))) + " END"
+    return f"SELECT r.* REPLACE (2 * r.node + CASE WHEN {value} <= b.thr THEN 0 ELSE 1 END AS node) FROM {rows} r JOIN {split} b ON b.node = r.node"
+
+
+M3_EXACT_SQL = S.with_(
+    ["li AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS position, count(*) OVER () AS total FROM lineitem)",
+     "r1 AS (SELECT 1 AS node, " + ", ".join(f"{c} AS f{j}" for j, c in enumerate(FEATS))
+     + ", l_extendedprice AS y FROM li WHERE position <= total - CAST(ceil(CAST(0.2 AS DOUBLE) * total) AS BIGINT))"]
+    + _best_split_sql("b1", "r1") + [f"r2 AS ({_side('b1', 'r1')})"] + _best_split_sql("b2", "r2") + [f"r3 AS ({_side('b2', 'r2')})",
+     "every AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3)", "best AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2)"],
+    "SELECT CAST(e.node AS BIGINT) AS node, CAST(count(*) AS DOUBLE) AS n_rows, " + S.r("avg(y)", 4) + " AS value, CAST(coalesce(any_value(best.f), -1) AS INT) AS feature, "
+    + S.r("coalesce(any_value(best.thr), 0)", 6) + " AS threshold FROM every e LEFT JOIN best ON best.node = e.node GROUP BY e.node")
+
+
+@register("m3_exact_splits", M3_EXACT_SQL)
+def m3_exact_splits(spark, sf_dir):
+    """A tree of depth 2 on lineitem: thresholds, sizes and means of all its nodes."""
+    train = lineitem_train(spark, sf_dir, FEATS).withColumn("_key", F.lit(0).cast("long"))
+    nodes = forest.grow(forest.bootstrap_rows(train, "l_extendedprice", "_key", 1, bootstrap=False), 2)
+    return nodes.select("node", F.col("rows").alias("n_rows"), (F.round("value", 4) + F.lit(0.0)).alias("value"), "feature", (F.round("threshold", 6) + F.lit(0.0)).alias("threshold"))
+
+
 M4 = gr.combinations("RandomForest")
 
 
@@ -218,29 +255,44 @@ def m9_fit_model_grid(spark, sf_dir):
 
 M10 = M9
 
+RUNS = "model string, hyperparameters string, status string, beats_mean boolean, n_test long, reason string"
+
 
 def isolated(name: str, configs: list[dict], train, test) -> list[tuple]:
-    """(model, hyperparameters, status, beats_mean, n_test) per configuration. They share
-    fits; if one fails, each is fitted alone, and a failure is recorded, not raised."""
+    """(model, hyperparameters, status, beats_mean, n_test, reason) per configuration. They
+    share fits; if one can't be fitted, each is fitted alone, and the failure is recorded
+    with its reason, not raised. Lost executors and programming errors are raised."""
     try:
         found = grid_rows(name, configs, train, test).collect()
-        return [(r["model"], r["hyperparameters"], "FINISHED", None if r["beats_mean"] is None else r["beats_mean"] and not r["n_bad"], r["n_test"]) for r in found]
-    except Exception:  # noqa: BLE001 - the failure is the recorded result
+        return [(r["model"], r["hyperparameters"], "FINISHED", None if r["beats_mean"] is None else r["beats_mean"] and not r["n_bad"], r["n_test"], None) for r in found]
+    except (ValueError, ArithmeticError, np.linalg.LinAlgError, IllegalArgumentException) as e:
         if len(configs) == 1:
-            return [(name, text_of(configs[0]), "FAILED", None, None)]
+            return [(name, text_of(configs[0]), "FAILED", None, None, f"{type(e).__name__}: {e}")]
         return [row for c in configs for row in isolated(name, [c], train, test)]
 
 
+def stored_runs(spark, sf_dir):
+    """The runs of all families on this version of the readings, from the store; fitted and
+    published first if no application has done so."""
+    version = table_version(spark, sf_dir, "events")
+    path = store.published(spark, "model-runs", version)
+    if path is None:
+        train, test = encoded_split(spark, sf_dir)
+        rows = [row for m in gr.MODELS_TO_RUN for row in isolated(m, gr.combinations(m), train, test)]
+        path = store.new_path(spark, "model-runs")
+        spark.createDataFrame(rows, RUNS).coalesce(1).write.parquet(path)
+        store.publish(spark, "model-runs", version, path)
+    return spark.read.schema(RUNS).parquet(path)
+
+
 @register("m10_compare_models", S.with_(SPLIT_CLEAN, " UNION ALL ".join(
     f"SELECT '{m}' AS model, {S.lit(text_of(p))} AS hyperparameters, 'FINISHED' AS status, {'CAST(NULL AS BOOLEAN)' if m == 'CART' else 'true'} AS beats_mean, CAST(1.0 AS DOUBLE) AS success_ratio, "
     "count(*) AS n_test FROM csp WHERE split = 'test'" for m, p in M10)))
 def m10_compare_models(spark, sf_dir):
     """The whole grids of all six families, each configuration in isolation."""
-    train, test = encoded_split(spark, sf_dir)
-    rows = [row for m in gr.MODELS_TO_RUN for row in isolated(m, gr.combinations(m), train, test)]
-    done = sum(r[2] == "FINISHED" for r in rows) / len(rows)
-    df = spark.createDataFrame(rows, "model string, hyperparameters string, status string, beats_mean boolean, n_test long")
-    return df.withColumn("success_ratio", F.lit(done))
+    runs = stored_runs(spark, sf_dir).drop("reason")
+    done = runs.agg((F.sum((F.col("status") == "FINISHED").cast("double")) / F.count(F.lit(1))).alias("success_ratio"))
+    return runs.crossJoin(F.broadcast(done))  # one row
 
 
 def _s9_sql(k=5, seed=42):

@@ -271,16 +271,29 @@ G22_KEYS = [("day", "strftime(date, '%Y-%m-%d')", lambda: F.date_format("date",
             ("month", "CAST(month(date) AS VARCHAR)", lambda: F.month("date").cast("string"))]
 
 
-@register("g22_mean_ci", S.with_(CLEAN, " UNION ALL ".join(
-    f"SELECT '{g}' AS grain, key, n, {S.r('mean', 9)} AS mean, {S.r('mean - 1.96 * sd / sqrt(n)')} AS ci_lo, "
-    f"{S.r('mean + 1.96 * sd / sqrt(n)')} AS ci_hi FROM (SELECT {k} AS key, count(usage_kwh) AS n, "
-    "avg(usage_kwh) AS mean, stddev_samp(usage_kwh) AS sd FROM readings_clean GROUP BY 1)"
-    for g, k, _ in G22_KEYS)))
+def _g22_sql(replicates=200, seed=42):
+    hashes = -(-replicates // pr.PER_HASH)
+    u = f"('0x' || substr(md5('{seed}:boot.' || h || ':' || reading_id), 3 * j + 1, 3))::INT"
+    weight = " + ".join(f"(u >= {t})::INT" for t in pr.POISSON_STEPS)
+    parts = []
+    for g, k, _ in G22_KEYS:
+        parts.append(
+            f"SELECT '{g}' AS grain, a.key, a.n, {S.r('a.mean', 9)} AS mean, {S.r('c.lo')} AS ci_lo, {S.r('c.hi')} AS ci_hi FROM "
+            f"(SELECT {k} AS key, count(usage_kwh) AS n, avg(usage_kwh) AS mean FROM readings_clean WHERE usage_kwh IS NOT NULL GROUP BY 1) a JOIN "
+            f"(SELECT key, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM (SELECT {k} AS key, b, sum(w * usage_kwh) / sum(w) AS m "
+            "FROM drawn WHERE w > 0 GROUP BY 1, 2) GROUP BY key) c ON c.key = a.key")
+    return S.with_(CLEAN + [
+        f"bits AS (SELECT date, usage_kwh, h * {pr.PER_HASH} + j AS b, {u} AS u FROM readings_clean, range({hashes}) x(h), range({pr.PER_HASH}) y(j) "
+        f"WHERE usage_kwh IS NOT NULL AND h * {pr.PER_HASH} + j < {replicates})",
+        f"drawn AS (SELECT *, {weight} AS w FROM bits)"], " UNION ALL ".join(parts))
+
+
+@register("g22_mean_ci", _g22_sql())
 def g22_mean_ci(spark, sf_dir):
     df = clean(spark, sf_dir)
     out = None
     for g, _, key in G22_KEYS:
-        part = pr.mean_ci(df, "usage_kwh", key()).withColumn("grain", F.lit(g))
+        part = pr.mean_ci(df, "usage_kwh", key(), "reading_id").withColumn("grain", F.lit(g))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -309,14 +322,15 @@ def g23_mean_two_keys(spark, sf_dir):
 
 
 G24_SQL = S.with_(CLEAN + [
-    "wv AS (SELECT load_type AS grp, usage_kwh AS x, count(*) AS w FROM readings_clean WHERE usage_kwh IS NOT NULL GROUP BY 1, 2)",
-    "st AS (SELECT load_type AS grp, count(usage_kwh) AS n, stddev_samp(usage_kwh) * pow(CAST(count(usage_kwh) AS DOUBLE), -0.2) AS bw, "
-    "min(usage_kwh) AS lo, max(usage_kwh) AS hi FROM readings_clean WHERE usage_kwh IS NOT NULL GROUP BY 1)",
-    "grid AS (SELECT grp, n, bw, CAST(gi AS BIGINT) AS gi, lo - 3.0 * bw + gi * ((hi - lo + 2 * 3.0 * bw) / 199.0) AS gx "
-    "FROM st, range(200) t(gi) WHERE bw > 0)"],
+    "v AS (SELECT load_type AS grp, usage_kwh AS x FROM readings_clean WHERE usage_kwh IS NOT NULL)",
+    "st AS (SELECT *, bw / 64.0 AS fine, lo - 3.0 * bw AS g0, (hi - lo + 2 * 3.0 * bw) / 199.0 AS gs FROM (SELECT grp, count(x) AS n, "
+    "stddev_samp(x) * pow(CAST(count(x) AS DOUBLE), -0.2) AS bw, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1) WHERE bw > 0)",
+    "cell AS (SELECT v.grp, floor((x - lo) / fine) AS j, (x - lo) / fine - floor((x - lo) / fine) AS f FROM v JOIN st ON v.grp = st.grp)",
+    "fine AS (SELECT grp, j, sum(w) AS w FROM (SELECT grp, j, 1 - f AS w FROM cell UNION ALL SELECT grp, j + 1, f FROM cell) GROUP BY 1, 2)",
+    "grid AS (SELECT grp, n, bw, lo, fine AS h, CAST(gi AS BIGINT) AS gi, g0 + gi * gs AS gx FROM st, range(200) t(gi))"],
     "SELECT g.grp AS load_type, g.gi AS grid_index, " + S.r("g.gx", 9) + " AS x, "
-    + S.r("sum(w * exp(-0.5 * ((g.gx - x) / g.bw) * ((g.gx - x) / g.bw))) / (g.n * g.bw * sqrt(2 * pi()))", 9)
-    + " AS density FROM wv JOIN grid g ON wv.grp = g.grp GROUP BY g.grp, g.gi, g.gx, g.bw, g.n")
+    + S.r("sum(w * exp(-0.5 * ((gx - (lo + j * h)) / bw) * ((gx - (lo + j * h)) / bw))) / (n * bw * sqrt(2 * pi()))", 9)
+    + " AS density FROM grid g JOIN fine f ON f.grp = g.grp GROUP BY g.grp, gi, gx, bw, n")
 
 
 @register("g24_kde", G24_SQL)

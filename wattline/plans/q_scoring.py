@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from wattline.operators import baselines as bl
@@ -9,16 +10,16 @@ from wattline.operators import ranking as rk
 from wattline.operators import scoring as sc
 from wattline.operators import validate as va
 from wattline.operators.metrics import regression_metrics
+from wattline.operators.models import fit_ols
 from wattline.operators.ordering import after_positions
 from wattline.plans import sqlgen as S
 from wattline.plans.q_features import SPLIT_CLEAN
 from wattline.plans.q_ranking import RESULT_CTES, SPLIT_CTES, results
 from wattline.plans.q_validate import REQ_DOMAINS, REQUESTS_CTE, error_cases_sql
 from wattline.plans.registry import register
-from wattline.session import scratch_path
-from wattline.sources.readings import readings
+from wattline.sources import store
 from wattline.sources.requests import REQUEST_NUMERIC, requests
-from wattline.sources.tables import load
+from wattline.sources.tables import load, table_version
 
 B9_SQL = S.with_([S.READINGS, REQUESTS_CTE], "SELECT request_id, TIMESTAMP '2024-01-01 00:00:00' AS date, " + ", ".join(
     (f"TRY_CAST({S.qi(a)} AS BIGINT) AS {b}" if b == "nsm" else f"{S.qi(a)} AS {b}") for a, b in sc.REQUEST_TO_MODEL)
@@ -30,21 +31,16 @@ def b9_request_to_row(spark, sf_dir):
     return sc.request_to_model_row(requests(spark, sf_dir))
 
 
-#: Stored model per application and training data (row count and content hash).
-_STORED: dict[tuple, str] = {}
-
-
 def stored_model(spark, sf_dir):
-    """The model for this table, loaded from the shared folder; fitted and saved first
-    if no model of the same training readings has been stored by this application."""
-    raw = readings(spark, sf_dir)
-    mark = raw.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*raw.columns).cast("decimal(38,0)"))).first()
-    key = (spark.sparkContext.applicationId, *mark)
-    if key not in _STORED:
+    """The model for this version of the readings, loaded from the store; fitted, saved
+    and published first if no application has done so."""
+    version = table_version(spark, sf_dir, "events")
+    path = store.published(spark, "usage-model", version)
+    if path is None:
         from wattline.plans.q_features import clean_split
         train = clean_split(spark, sf_dir).where(F.col("split") == "train")
-        _STORED[key] = sc.UsageModel.fit(train).save(scratch_path(spark, "usage-model"))
-    return sc.UsageModel.load(_STORED[key])
+        path = store.publish(spark, "usage-model", version, sc.UsageModel.fit(train).save(store.new_path(spark, "usage-model")))
+    return sc.UsageModel.load(path)
 
 
 #: co2 is usage / 1000 in the derived readings, so least squares reproduces it from there.
@@ -155,17 +151,24 @@ def x1_time_series_cv(spark, sf_dir, n_splits: int = 5):
 
 
 X2_SQL = S.with_(SPLIT_CTES + [
-    "g AS (SELECT l_returnflag, avg(ln(1 + l_extendedprice)) AS ml FROM sp WHERE split = 'train' GROUP BY 1)",
-    "p AS (SELECT l_extendedprice AS y, exp(g.ml) - 1 AS yhat FROM sp JOIN g USING (l_returnflag) WHERE split = 'test')"],
-    "SELECT " + S.r("sqrt(avg((y - yhat) * (y - yhat)))", 4) + " AS rmse, " + S.r("avg(abs(y - yhat))", 4) + " AS mae FROM p")
+    "tr AS (SELECT * FROM sp WHERE split = 'train')",
+    "g AS (SELECT l_returnflag, avg(ln(1 + l_extendedprice)) AS ml FROM tr GROUP BY 1)",
+    "b AS (SELECT regr_slope(ln(1 + l_extendedprice), l_quantity) AS b1, regr_intercept(ln(1 + l_extendedprice), l_quantity) AS b0 FROM tr)",
+    "p AS (SELECT 'group mean' AS model, l_extendedprice AS y, exp(g.ml) - 1 AS yhat FROM sp JOIN g USING (l_returnflag) WHERE split = 'test' "
+    "UNION ALL SELECT 'least squares', l_extendedprice, exp(b0 + b1 * l_quantity) - 1 FROM sp, b WHERE split = 'test')"],
+    "SELECT model, " + S.r("sqrt(avg((y - yhat) * (y - yhat)))", 4) + " AS rmse, " + S.r("avg(abs(y - yhat))", 4) + " AS mae FROM p GROUP BY model")
 
 
 @register("x2_log1p_target", X2_SQL)
 def x2_log1p_target(spark, sf_dir):
-    sp = bl.lineitem_split(spark, sf_dir)
-    g = sp.where(F.col("split") == "train").groupBy("l_returnflag").agg(F.avg(F.log1p("l_extendedprice")).alias("ml"))
-    p = sp.where(F.col("split") == "test").join(g, "l_returnflag").select(
-        F.col("l_extendedprice").alias("y"), F.expm1("ml").alias("yhat"))
+    """Models of log(1 + y), their predictions transformed back: group means, and least
+    squares on the quantity."""
+    sp = bl.lineitem_split(spark, sf_dir).withColumn("log_y", F.log1p("l_extendedprice"))
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    g = train.groupBy("l_returnflag").agg(F.avg("log_y").alias("ml"))
+    means = test.join(g, "l_returnflag").select(F.lit("group mean").alias("model"), F.col("l_extendedprice").alias("y"), F.expm1("ml").alias("yhat"))
+    vector = lambda df: df.withColumn("features", array_to_vector(F.array("l_quantity")))
+    line = fit_ols(vector(train), "log_y").transform(vector(test)).select(F.lit("least squares").alias("model"), F.col("l_extendedprice").alias("y"), F.expm1("prediction").alias("yhat"))
     e = F.col("y") - F.col("yhat")
-    return p.agg((F.round(F.sqrt(F.avg(e * e)), 4) + F.lit(0.0)).alias("rmse"),
-                 (F.round(F.avg(F.abs(e)), 4) + F.lit(0.0)).alias("mae"))
+    return means.unionByName(line).groupBy("model").agg((F.round(F.sqrt(F.avg(e * e)), 4) + F.lit(0.0)).alias("rmse"),
+                                                        (F.round(F.avg(F.abs(e)), 4) + F.lit(0.0)).alias("mae"))

@@ -1,8 +1,8 @@
-"""Session construction and the shared scratch / checkpoint location.
+"""Session construction and the shared scratch / checkpoint / store location.
 
 On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
-store); lineage cuts and scratch tables go there. Only when the session has
-none (local runs, tests) do we create one.
+store); lineage cuts, scratch tables and stored models go there. Only a local
+session without one (tests, trials) gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -45,17 +45,20 @@ def build_session(master: str | None = None, app: str = "wattline",
     return spark
 
 
+def _configured(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; created locally only if unset."""
+    """This application's checkpoint folder, under the shared one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = _configured(spark)
     if not configured:
-        # Unset (tests, local runs): a private folder of our own.
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wattline-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
@@ -64,3 +67,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     return f"{checkpoint_root(spark)}/wattline-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def store_root(spark: SparkSession) -> str:
+    """Folder of what outlives an application: the shared one itself, while
+    `checkpoint_root` is a folder in it that Spark makes for each application."""
+    shared = _configured(spark) or checkpoint_root(spark).rsplit("/", 1)[0]
+    return f"{shared.rstrip('/')}/wattline-store"

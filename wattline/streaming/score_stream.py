@@ -23,21 +23,21 @@ DOMAINS = {"Day_of_week": DAY_OF_WEEK_VALUES, "WeekStatus": WEEK_STATUS_VALUES,
 
 
 def event_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    """All Parquet files of the `events` table, and those added later: the files of the
-    folder `events.parquet`, or `events*.parquet` files beside each other."""
+    """The Parquet files of the `events` table: those of the folder `events.parquet`, also
+    if added later, or the one file of that name."""
     path = f"{source_dir.rstrip('/')}/events.parquet"
     table = spark.read.parquet(path)
     first = table.select(F.input_file_name().alias("f")).first()
     reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
     if first is not None and first["f"].rsplit("/", 1)[-1] == "events.parquet":
-        return reader.option("pathGlobFilter", "events*.parquet").parquet(source_dir)
+        return reader.option("pathGlobFilter", "events.parquet").parquet(source_dir)
     return reader.parquet(path)
 
 
 def run(spark: SparkSession, source_dir: str, model: UsageModel | None, out_root: str | None = None):
     """Drain the available files (availableNow) and return the three table paths."""
     out_root = out_root or scratch_path(spark, "stream")
-    paths = {"checked": f"{out_root}/checked", "predictions": f"{out_root}/predictions",
+    paths = {"batch": f"{out_root}/batch", "checked": f"{out_root}/checked", "predictions": f"{out_root}/predictions",
              "quarantine": f"{out_root}/quarantine", "checkpoint": f"{out_root}/_checkpoint"}
     checked = request_errors(requests_from_readings(readings_from_events(event_stream(spark, source_dir))),
                              REQUEST_NUMERIC, "NSM", DOMAINS)
@@ -46,11 +46,14 @@ def run(spark: SparkSession, source_dir: str, model: UsageModel | None, out_root
         # foreachBatch may re-run an epoch after a failure: each epoch owns one
         # partition directory and overwrites it, so a retry replaces, not duplicates.
         part = f"epoch={epoch}"
-        batch.select("request_id", "is_valid", F.array_join("errors", "; ").alias("errors")) \
-             .write.mode("overwrite").parquet(f"{paths['checked']}/{part}")
-        batch.where(~F.col("is_valid")).write.mode("overwrite").parquet(f"{paths['quarantine']}/{part}")
+        # The batch is read and checked once; the other tables come from its stored rows.
+        batch.write.mode("overwrite").parquet(f"{paths['batch']}/{part}")
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(f"{paths['batch']}/{part}")
+        stored.select("request_id", "is_valid", F.array_join("errors", "; ").alias("errors")) \
+              .write.mode("overwrite").parquet(f"{paths['checked']}/{part}")
+        stored.where(~F.col("is_valid")).write.mode("overwrite").parquet(f"{paths['quarantine']}/{part}")
         if model is not None:
-            score_batch(model, batch.where(F.col("is_valid"))).write.mode("overwrite") \
+            score_batch(model, stored.where(F.col("is_valid"))).write.mode("overwrite") \
                 .parquet(f"{paths['predictions']}/{part}")
 
     q = (checked.writeStream.foreachBatch(sink).option("checkpointLocation", paths["checkpoint"])
