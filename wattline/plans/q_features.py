@@ -10,7 +10,6 @@ from wattline.operators.baselines import LINEITEM_ORDER
 from wattline.operators.ordering import time_split
 from wattline.plans import sqlgen as S
 from wattline.plans.q_cleaning import CLEAN, clean
-from wattline.plans.q_ranking import SPLIT_CTES
 from wattline.plans.registry import register
 from wattline.schema import DAY_OF_WEEK_VALUES, FEATURE_NUMERIC, LOAD_TYPE_VALUES, NUMERIC_COLUMNS
 from wattline.sources.tables import load
@@ -111,8 +110,9 @@ def e6_learned_onehot(spark, sf_dir):
 E6_SPARSE = ["l_returnflag", "l_suppkey", "l_partkey"]
 
 
-@register("e6_sparse_indicators", S.with_(SPLIT_CTES + [
-    "tl AS (SELECT l.*, sp.split FROM lineitem l JOIN sp USING (l_orderkey, l_linenumber, l_partkey))",
+@register("e6_sparse_indicators", S.with_([
+    "tl AS (SELECT *, CASE WHEN position <= n - CAST(ceil(CAST(0.2 AS DOUBLE) * n) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM (SELECT *, "
+    "row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS position, count(*) OVER () AS n FROM lineitem))",
     "dict AS (SELECT c, v, row_number() OVER (ORDER BY c, v) - 1 AS i FROM (" + " UNION ".join(
         f"SELECT {j} AS c, CAST({c} AS VARCHAR) AS v FROM tl WHERE split = 'train' AND {c} IS NOT NULL" for j, c in enumerate(E6_SPARSE)) + "))"],
     "SELECT l_orderkey, l_linenumber, l_partkey, (SELECT count(*) FROM dict)::INT AS size, concat_ws(',', "
