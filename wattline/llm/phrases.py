@@ -49,7 +49,7 @@ HOT_WORDS = 10_000
 #: in a task, the fewer n-grams are sent by several of them.
 SPLITS = 4
 #: Fingerprints that a task holds with their counts before it sends them.
-HELD = 4_000_000
+HELD = 2_000_000
 
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _END = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")

@@ -28,7 +28,7 @@ from wattline.llm.pieces import SPACE, Vocab, pretokens, read_model, run_and_cor
 
 #: Bytes of pre-tokens with their ids (twice as many) that a worker remembers, estimated;
 #: the longest one that it does, in characters; and piece pairs.
-CACHE_BYTES, CACHE_LONGEST, CACHE_PAIRS = 40 << 20, 64, 100_000
+CACHE_BYTES, CACHE_LONGEST, CACHE_PAIRS = 80 << 20, 64, 400_000
 
 
 class PieceCodec:
