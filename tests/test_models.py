@@ -159,3 +159,44 @@ def test_stream_equals_batch(spark, sf_dir):
         .select("request_id", "is_valid", F.array_join("errors", "; ").alias("errors"))
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_svr_gap_and_loss(spark):
+    """Every configuration's gap is below the limit, and no nearby coefficients are better."""
+    from pyspark.ml.functions import array_to_vector
+    from wattline.operators import grid as gr
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3)) * [1, 20, 0] + [0, 5, 7]  # a constant feature too
+    y = x[:, 0] * 2 + np.sin(x[:, 1] / 10) + rng.standard_t(2, 400)
+    df = spark.createDataFrame([(i, float(t), [float(v) for v in r]) for i, (t, r) in enumerate(zip(y, x))], "id long, y double, x array<double>")
+    configs = [c for c in gr.combinations("SVM") if c["C"] != 1 and c["gamma"] == "scale"]
+    models = md.fit_svrs(df.select("id", "y", array_to_vector("x").alias("features")), "y", configs)
+    for c, m in zip(configs, models, strict=True):
+        assert 0 <= m.gap <= md.GAP
+        z, t = m.features.z(x), (y - m.shift) / m.scale
+        value = lambda w: 0.5 * w @ w + c["C"] * np.maximum(np.abs(t - z @ w) - 0.1, 0).sum()
+        assert all(value(m.w) <= value(m.w + rng.normal(size=len(m.w)) * s) * (1 + md.GAP) for s in (1e-3, 1e-2, 0.1) for _ in range(20))
+        r = t - z @ m.w
+        assert np.abs(m.predict(x) - (m.shift + m.scale * (z @ m.w))).max() < 1e-9 and (np.abs(r) <= 0.1).any()
+    flat = df.select("id", F.lit(2.0).alias("y"), array_to_vector("x").alias("features"))
+    assert np.allclose(md.fit_svrs(flat, "y", configs[:1])[0].predict(x), 2.0)
+
+
+@pytest.mark.parametrize("p, group", [(2, None), (1, None), (2, "g")])
+def test_neighbours_equal_brute_force(spark, monkeypatch, p, group):
+    """Many small balls, ties, repeated rows, groups of a row or two, parts of a ball."""
+    from wattline.operators import knn
+    monkeypatch.setattr(knn, "PIVOT_ROWS", 8)
+    monkeypatch.setattr(knn, "PART_ROWS", 16)
+    rng = np.random.default_rng(p)
+    x = np.concatenate([rng.normal(size=(150, 3)).round(1), np.zeros((40, 3)), rng.normal(size=(60, 3)) * 0.01 + 50])
+    g = [["a", "b", "c", "one"][0 if i % 3 else (1 if i % 2 else 2)] for i in range(249)] + ["one"]
+    rows = [(i, [float(v) for v in r], k) for i, (r, k) in enumerate(zip(x, g))]
+    df = spark.createDataFrame(rows, "id long, v array<double>, g string")
+    got = {}
+    for r in knn.nearest(df, df, "id", "id", "v", "v", k=5, p=p, group_col=group, exclude_self=True).collect():
+        got.setdefault(r["id"], []).append((r["nn_rank"], r["nn_id"]))
+    for i in range(250):
+        d = np.abs(x - x[i]).sum(axis=1) if p == 1 else np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        others = sorted((d[j], j) for j in range(250) if j != i and (group is None or g[j] == g[i]))[:5]
+        assert [t for _, t in sorted(got.get(i, []))] == [j for _, j in others], i

@@ -1,16 +1,20 @@
-"""Exact k-nearest neighbours with pivot pruning.
-
-Training rows belong to the nearest of a bounded number of pivots (a sample of
-rows). Each query first searches its own pivot's rows, which bounds the distance of
-its k-th neighbour; by the triangle inequality only pivots at most that bound plus
-their radius away can hold a nearer row, and only those are searched. Rows meet in
-(pivot, part) groups of bounded size: a pivot with many rows is split, a query is
-sent to each part. Exact for any k; nothing is compared that the bounds exclude.
+"""Exact k-nearest neighbours with a tree of balls.
+
+A sample of rows makes up to PIVOTS pivots, which are grouped around some of them: a
+tree of two levels and of bounded size, broadcast once. A training row goes down it to a
+pivot near it; a pivot's ball reaches to the farthest of its rows, a group's ball to the
+farthest of its pivots' balls. Each query first searches the rows of its own pivot, which
+bounds the distance of its k-th neighbour; by the triangle inequality only balls that
+reach within that bound can hold a nearer row. The descent with this bound happens in
+the task that holds the query: only the pivots that are left become rows. Rows meet in
+(pivot, part) groups of bounded size: a pivot with many rows is split, a query is sent
+to each part. Exact for any k; nothing is compared that the bounds exclude.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,8 +23,9 @@ from pyspark.sql import functions as F
 
 from wattline.session import checkpoint_root
 
-#: Pivots at most, rows wanted of a pivot, and rows of a (pivot, part) group.
-PIVOTS, PIVOT_ROWS, PART_ROWS = 1024, 256, 4096
+#: Pivots at most (their vectors come to the driver), rows wanted of a pivot, and rows of a
+#: (pivot, part) group.
+PIVOTS, PIVOT_ROWS, PART_ROWS = 16_384, 256, 4096
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -43,15 +48,67 @@ def _distance(a: np.ndarray, b: np.ndarray, p: float) -> np.ndarray:
     return out
 
 
-def _nearest_pivot(rows: DataFrame, pivots: np.ndarray, p: float) -> DataFrame:
+@dataclass
+class Balls:
+    """Pivots in groups: `heads` are the groups' centres, `members[g]` the pivots of group g.
+    `radius` and `reach` (pivots' and groups' balls) are known once rows have been placed."""
+
+    pivots: np.ndarray
+    heads: np.ndarray
+    members: list[np.ndarray]
+    radius: np.ndarray | None = None
+    reach: np.ndarray | None = None
+
+    @classmethod
+    def around(cls, pivots: np.ndarray, p: float) -> "Balls":
+        heads = pivots[:max(1, int(np.sqrt(len(pivots))))]
+        group = np.concatenate([_distance(pivots[i:i + 256], heads, p).argmin(axis=1) for i in range(0, len(pivots), 256)])
+        return cls(pivots, heads, [np.flatnonzero(group == g) for g in range(len(heads))])
+
+    def place(self, x: np.ndarray, p: float) -> tuple[np.ndarray, np.ndarray]:
+        """A pivot near each row (the nearest one of the nearest group) and its distance."""
+        group = _distance(x, self.heads, p).argmin(axis=1)
+        pivot, far = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+        for g in np.unique(group):
+            at, some = np.flatnonzero(group == g), self.members[g]
+            d = _distance(x[at], self.pivots[some], p)
+            pivot[at], far[at] = some[d.argmin(axis=1)], d.min(axis=1)
+        return pivot, far
+
+    def with_radius(self, radius: np.ndarray, p: float) -> "Balls":
+        """Pivots without rows have radius -1 and are never reached."""
+        reach = np.full(len(self.heads), -np.inf)
+        for g, some in enumerate(self.members):
+            used = some[radius[some] >= 0]
+            if len(used):
+                reach[g] = (_distance(self.heads[g][None, :], self.pivots[used], p)[0] + radius[used]).max()
+        return Balls(self.pivots, self.heads, self.members, radius, reach)
+
+    def within(self, x: np.ndarray, bound: np.ndarray, p: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, pivot, distance) of the pivots whose ball comes within a row's bound."""
+        limit = bound * (1 + 1e-12)
+        rows, pivots, dists = [], [], []
+        to_heads = _distance(x, self.heads, p)
+        for g, some in enumerate(self.members):
+            near = np.flatnonzero(to_heads[:, g] - self.reach[g] <= limit + 1e-9 * np.abs(to_heads[:, g]))
+            if len(near) and np.isfinite(self.reach[g]):
+                d = _distance(x[near], self.pivots[some], p)
+                r, c = np.nonzero((d - self.radius[some] <= limit[near, None]) & (self.radius[some] >= 0))
+                rows.append(near[r])
+                pivots.append(some[c])
+                dists.append(d[r, c])
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return np.concatenate(rows), np.concatenate(pivots), np.concatenate(dists)
+
+
+def _placed(rows: DataFrame, shared, p: float) -> DataFrame:
     """Columns pivot and far, the distance to it, added to (id, vec, grp) rows."""
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                d = _distance(np.stack(b["vec"].to_numpy()), shared.value, p)
-                yield b.assign(pivot=d.argmin(axis=1), far=d.min(axis=1))
+                pivot, far = shared.value.place(np.stack(b["vec"].to_numpy()), p)
+                yield b.assign(pivot=pivot, far=far)
 
     return rows.mapInPandas(run, "id long, vec array<double>, grp string, pivot long, far double")
 
@@ -98,7 +155,10 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     out_tid = f"nn_{tid}" if tid == qid else tid
     if not n:
         return asked.select(F.col("id").alias(qid)).limit(0).select(qid, F.lit(0).cast("bigint").alias(out_tid), F.lit(0.0).alias("dist"), F.lit(0).alias("nn_rank"))
-    placed = stored(_nearest_pivot(rows, pivots, p))
+    sc = rows.sparkSession.sparkContext
+    balls = Balls.around(pivots, p)
+    shared = sc.broadcast(balls)
+    placed = stored(_placed(rows, shared, p))
     # One row per pivot and group of rows that has any.
     cells = stored(placed.groupBy("grp", "pivot").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("radius"))
                    .withColumn("parts", F.ceil(F.col("n") / F.lit(PART_ROWS)).cast("int")))
@@ -107,21 +167,25 @@ def nearest(queries: DataFrame, train: DataFrame, qid: str, tid: str, qvec: str,
     def sent(to: DataFrame) -> DataFrame:
         return to.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
-    home = _nearest_pivot(asked, pivots, p).drop("far")
+    home = _placed(asked, shared, p).drop("far")
     first = stored(_search(sent(home.join(cells.select("grp", "pivot", "parts"), ["grp", "pivot"])), own, k, p, exclude_self))
     bound = _best(first, k).groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("bound"))
     bounded = home.join(bound, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    shared = rows.sparkSession.sparkContext.broadcast(pivots)
+    radius = np.full(len(pivots), -1.0)
+    for r in cells.groupBy("pivot").agg(F.max("radius").alias("radius")).collect():  # at most PIVOTS rows
+        radius[r["pivot"]] = r["radius"]
+    reaching = sc.broadcast(balls.with_radius(radius, p))
 
-    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                yield b.assign(apart=list(_distance(np.stack(b["vec"].to_numpy()), shared.value, p)))
-
-    reach = bounded.mapInPandas(distances, "id long, vec array<double>, grp string, pivot long, bound double, apart array<double>")
-    reach = reach.select("id", "vec", "grp", F.col("pivot").alias("home"), "bound", F.posexplode("apart").alias("pivot", "apart"))
-    others = (reach.withColumn("pivot", F.col("pivot").cast("long")).join(cells, ["grp", "pivot"])
-              .where((F.col("pivot") != F.col("home")) & (F.col("apart") - F.col("radius") <= F.col("bound") * (1 + 1e-12))))
+            for s in range(0, len(b), 512):
+                part = b.iloc[s:s + 512]
+                row, pivot, apart = reaching.value.within(np.stack(part["vec"].to_numpy()), part["bound"].to_numpy(), p)
+                away = pivot != part["pivot"].to_numpy()[row]
+                yield part.iloc[row[away]].assign(pivot=pivot[away], apart=apart[away])
+
+    reach = bounded.select("id", "vec", "grp", "pivot", "bound").mapInPandas(reached, "id long, vec array<double>, grp string, pivot long, bound double, apart double")
+    others = reach.join(cells, ["grp", "pivot"]).where(F.col("apart") - F.col("radius") <= F.col("bound") * (1 + 1e-12))
     found = first.unionByName(_search(sent(others), own, k, p, exclude_self))
     return _best(found, k).select(F.col("id").alias(qid), F.col("tid").alias(out_tid), "dist", "nn_rank")
 

@@ -15,6 +15,7 @@ from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,65 +132,182 @@ def committee_predictions(members: list[Member], sizes: list[tuple[int, int]], x
 
 # -- M6 epsilon-insensitive regression -----------------------------------------------------------
 
+#: Rows that the RBF kernel is expanded around, and the constant feature that stands for
+#: the intercept (so large that its share of the penalty is slight).
+LANDMARKS, CONSTANT = 64, 10.0
+#: Largest duality gap, as a share of the objective, at which a fit ends; most rounds.
+GAP, ROUNDS = 1e-3, 100
+#: Step lengths that are tried together.
+STEPS = np.array([1.0, 0.6, 0.3, 0.1, 0.03, 0.01, 0.002])
+
+
 @dataclass
-class SVR:
-    """Prediction: shift + scale * (b[0] + z(x) . b[1:]), z standardised or random Fourier features."""
+class FeatureMap:
+    """Standardised features, or the Nystroem features of an RBF kernel at some landmarks;
+    a constant one first."""
 
     mean: np.ndarray
     spread: np.ndarray
-    waves: np.ndarray | None
-    phase: np.ndarray | None
-    b: np.ndarray
-    shift: float
-    scale: float
+    gamma: float | None = None
+    landmarks: np.ndarray | None = None
+    root: np.ndarray | None = None
+
+    def _kernel(self, x: np.ndarray) -> np.ndarray:
+        square = (x * x).sum(axis=1)[:, None] - 2 * x @ self.landmarks.T + (self.landmarks ** 2).sum(axis=1)
+        return np.exp(-self.gamma * np.maximum(square, 0))
+
+    def with_kernel(self, gamma: float, rows: np.ndarray) -> "FeatureMap":
+        out = FeatureMap(self.mean, self.spread, gamma, (rows - self.mean) / self.spread)
+        values, vectors = np.linalg.eigh(out._kernel(out.landmarks))
+        kept = values > 1e-8 * values.max()
+        out.root = vectors[:, kept] / np.sqrt(values[kept])
+        return out
 
     def z(self, x: np.ndarray) -> np.ndarray:
         x = (x - self.mean) / self.spread
-        return x if self.waves is None else np.sqrt(2 / len(self.phase)) * np.cos(x @ self.waves + self.phase)
+        z = x if self.gamma is None else self._kernel(x) @ self.root
+        return np.column_stack([np.full(len(x), CONSTANT), z])
+
+    def size(self) -> int:
+        return 1 + (len(self.mean) if self.gamma is None else self.root.shape[1])
+
+
+@dataclass
+class SVR:
+    """Prediction: shift + scale * z(x) . w. `gap` is the relative duality gap of the fit."""
+
+    features: FeatureMap
+    w: np.ndarray
+    shift: float
+    scale: float
+    gap: float
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        return self.shift + self.scale * (self.b[0] + self.z(x) @ self.b[1:])
+        return self.shift + self.scale * (self.features.z(x) @ self.w)
 
 
-def fit_svr(train: DataFrame, label: str, C: float = 1.0, kernel: str = "linear", gamma: str = "scale", epsilon: float = 0.1,
-            components: int = 48, seed: int = 42, rounds: int = 25, tolerance: float = 1e-6) -> SVR:
-    """Least 1/2 |w|^2 + C * sum(max(0, |y - f(x)| - epsilon)^2) over standardised rows, by
-    Newton steps: each solves the normal equations of the rows outside the tube, one
-    distributed aggregate a step, until the coefficients rest. The RBF kernel is
-    approximated with `components` random Fourier features."""
-    rows = _arrays(train)
+@dataclass
+class _Problem:
+    """min 1/2 |w|^2 + C sum(max(0, |y - z.w| - epsilon)), followed along a smoothed loss
+    whose corner has the width `mu`."""
+
+    C: float
+    features: int
+    w: np.ndarray
+    mu: float = 1.0
+    step: np.ndarray | None = None
+    gap: float = np.inf
+
+
+def _sums(rows: DataFrame, per_batch, kinds: int) -> dict[int, np.ndarray]:
+    """The sums over all rows of per_batch(X, y) -> {kind: vector}: partial sums in each
+    task, added up by Spark in two steps so that no task adds up all others'."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            if len(b):
+                for kind, v in per_batch(np.stack(b["x"].to_numpy()), b["y"].to_numpy(dtype=float)).items():
+                    total[kind] = total.get(kind, 0) + v
+        yield pd.DataFrame({"kind": list(total), "v": list(total.values())})
+
+    parts = rows.mapInPandas(run, "kind int, v array<double>").select("kind", (F.spark_partition_id() % 256).alias("part"), array_to_vector("v").alias("v"))
+    once = parts.groupBy("kind", "part").agg(Summarizer.sum(F.col("v")).alias("v"))
+    return {r["kind"]: r["v"].toArray() for r in once.groupBy("kind").agg(Summarizer.sum(F.col("v")).alias("v")).collect()}
+
+
+def _tubes(r: np.ndarray, epsilon: float, mu: np.ndarray | float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per residual: the loss, the smoothed loss and its slope in |r|."""
+    t = np.abs(r) - epsilon
+    slope = np.clip(t / mu, 0, 1)
+    return np.maximum(t, 0), np.where(t < mu, slope * t / 2, t - mu / 2), slope
+
+
+def fit_svrs(train: DataFrame, label: str, configs: list[dict], epsilon: float = 0.1, seed: int = 42) -> list[SVR]:
+    """The epsilon-insensitive loss for all configurations (C, kernel, gamma) together, on
+    standardised rows. Newton steps on a smoothed loss, whose corner is narrowed until the
+    duality gap is below GAP: the slopes of the smoothed loss are a feasible point of the
+    dual, so the gap bounds the distance from the optimum. A round is one aggregate of
+    gradients and curvatures and one of the loss at several step lengths. The RBF kernel
+    is expanded around LANDMARKS rows (Nystroem), drawn by a hash."""
+    rows = _arrays(train).select("x", F.col(label).cast("double").alias("y"))
     k = _size(rows)
-    every = lambda x, y: (np.ones(len(y), dtype=bool), y)
-    xx, xy = _moments(rows, label, lambda x: x, every, k)[0]
-    n, mean = xx[0, 0], xx[0, 1:] / xx[0, 0]
-    variance = np.maximum(np.diag(xx)[1:] / n - mean ** 2, 0)
+    first = _sums(rows, lambda x, y: {0: np.concatenate([[len(y), y.sum(), (y * y).sum()], x.sum(axis=0), (x * x).sum(axis=0)])}, 1)[0]
+    n, shift = first[0], first[1] / first[0]
+    scale = float(np.sqrt(max(first[2] / n - shift ** 2, 0))) or 1.0
+    mean = first[3:3 + k] / n
+    variance = np.maximum(first[3 + k:] / n - mean ** 2, 0)
     spread = np.where(variance > 1e-12 * np.maximum(1, mean ** 2), np.sqrt(variance), 1.0)
-    first = train.agg(F.avg(label).alias("m"), F.stddev_pop(label).alias("s")).first()
-    waves = phase = None
-    if kernel == "rbf":
-        total = (variance / spread ** 2).mean() or 1.0
-        g = 1 / (k * total) if gamma == "scale" else 1 / k
-        rng = np.random.default_rng(seed)
-        waves, phase = rng.normal(size=(k, components)) * np.sqrt(2 * g), rng.uniform(0, 2 * np.pi, components)
-    m = components if kernel == "rbf" else k
-    model = SVR(mean, spread, waves, phase, np.zeros(m + 1), float(first["m"]), float(first["s"] or 1.0))
-    penalty = np.eye(m + 1)
-    penalty[0, 0] = 0
-    for _ in range(rounds):
-        def outside(z, y, model=model, b=model.b.copy()):
-            target = (y - model.shift) / model.scale
-            r = target - b[0] - z @ b[1:]
-            return np.abs(r) > epsilon, target - np.sign(r) * epsilon
-
-        sums = _moments(rows, label, model.z, outside, m).get(0)
-        if sums is None:
-            break  # every row is inside the tube
-        step = np.linalg.lstsq(penalty + 2 * C * sums[0], 2 * C * sums[1], rcond=None)[0]
-        moved = np.abs(step - model.b).max()
-        model.b = step
-        if moved <= tolerance * max(1.0, np.abs(step).max()):
+    plain = FeatureMap(mean, spread)
+    some = np.stack([r["x"] for r in rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(LANDMARKS).collect()])
+    some = np.unique(some, axis=0)
+    total = (variance / spread ** 2).mean() or 1.0
+    width = {"scale": 1 / (k * total), "auto": 1 / k}
+    maps: list[FeatureMap] = []
+    places: dict[tuple, int] = {}
+    problems: dict[tuple, _Problem] = {}
+    order = []
+    for c in configs:
+        gamma = width[c["gamma"]] if c["kernel"] == "rbf" else None
+        if gamma not in places:
+            places[gamma] = len(maps)
+            maps.append(plain if gamma is None else plain.with_kernel(gamma, some))
+        at = places[gamma]
+        order.append((float(c["C"]), at))
+        problems.setdefault(order[-1], _Problem(float(c["C"]), at, np.zeros(maps[at].size())))
+    every = list(problems.values())
+
+    def scaled(y: np.ndarray) -> np.ndarray:
+        return (y - shift) / scale
+
+    for _ in range(ROUNDS):
+        todo = [(i, q) for i, q in enumerate(every) if q.gap > GAP]
+        if not todo:
             break
-    return model
+
+        def slopes(x, y, todo=todo):
+            z, out = {j: maps[j].z(x) for j in {q.features for _, q in todo}}, {}
+            for i, q in todo:
+                zq, r = z[q.features], scaled(y) - z[q.features] @ q.w
+                loss, smooth, slope = _tubes(r, epsilon, q.mu)
+                a = slope * np.sign(r)
+                bent = zq[(slope > 0) & (slope < 1)]
+                out[i] = np.concatenate([[loss.sum(), smooth.sum(), (a * scaled(y)).sum(), slope.sum()], a @ zq, (bent.T @ bent).reshape(-1)])
+            return out
+
+        got = _sums(rows, slopes, len(every))
+        for i, q in todo:
+            m = len(q.w)
+            loss, _, ay, a1 = got[i][:4]
+            az, curve = q.C * got[i][4:4 + m], got[i][4 + m:].reshape(m, m)
+            primal = 0.5 * q.w @ q.w + q.C * loss
+            dual = q.C * (ay - epsilon * a1) - 0.5 * az @ az
+            q.gap = (primal - dual) / max(primal, 1e-12)
+            gradient = q.w - az
+            # primal - dual is half the gradient's square and, for the rest, the corner's
+            if 0.5 * gradient @ gradient <= 0.2 * (primal - dual):
+                q.mu, q.step = 0.3 * q.mu, None
+            else:
+                q.step = -np.linalg.solve(np.eye(m) + q.C / q.mu * curve, gradient)
+        todo = [(i, q) for i, q in todo if q.gap > GAP and q.step is not None]
+        if not todo:
+            continue
+
+        def along(x, y, todo=todo):
+            z, out = {j: maps[j].z(x) for j in {q.features for _, q in todo}}, {}
+            for i, q in todo:
+                r, d = scaled(y) - z[q.features] @ q.w, z[q.features] @ q.step
+                out[i] = _tubes(r[:, None] - d[:, None] * np.append(0.0, STEPS), epsilon, q.mu)[1].sum(axis=0)
+            return out
+
+        got = _sums(rows, along, len(every))
+        for i, q in todo:
+            lengths = np.append(0.0, STEPS)
+            value = [0.5 * (q.w + s * q.step) @ (q.w + s * q.step) + q.C * v for s, v in zip(lengths, got[i], strict=True)]
+            best = int(np.argmin(value))
+            if best == 0:  # only rounding is left
+                q.mu *= 0.3
+            q.w = q.w + lengths[best] * q.step
+    return [SVR(maps[q.features], q.w, float(shift), scale, float(q.gap)) for q in (problems[o] for o in order)]
 
 
 # -- M7 classification -----------------------------------------------------------------------
@@ -277,7 +395,7 @@ def predict_long(name: str, configs: list[dict], train: DataFrame, test: DataFra
         sizes = [(rules.index(c["n_rules"]), c["n_committees"]) for c in configs]
         return _long(test, _arrays(test).withColumn("_p", _udf("array<double>", lambda x: committee_predictions(members, sizes, x))), "_p")
     if name == "SVM":
-        fitted = [fit_svr(train, label, float(c["C"]), c["kernel"], c["gamma"]) for c in configs]
+        fitted = fit_svrs(train, label, configs, seed=seed)
         return _long(test, _arrays(test).withColumn("_p", _udf("array<double>", lambda x: np.stack([m.predict(x) for m in fitted], axis=1))), "_p")
     raise ValueError(f"no model family {name!r}")
 
