@@ -162,3 +162,23 @@ def test_stored_map_is_edited_not_recomputed(spark, table, tmp_path):
     assert sum(nine[i]["shard"] != 8 for i in moved) < 0.05 * len(moved)
     assert {r["shard"] for r in S.shard_by_bytes(first, 5, 512, path).collect()} == set(range(5))
     assert S.read_map(spark, path, 1).count() == S.read_map(spark, path).count() == 512
+
+
+def test_a_grown_shard_is_rebalanced(spark, table, tmp_path):
+    """New rows fall into the slots of one shard: some of these move, no others."""
+    rows = [(i, "x" * 90) for i in range(3000)]
+    path = str(tmp_path / "map")
+    S.save_map(S.first_map(S.slot_table(S.records(table(rows), 256)), 6), path)
+    before = {r["doc_id"]: r["shard"] for r in S.shard_by_bytes(table(rows), 6, 256, path).collect()}
+    more = [(i, "x" * 90) for i in range(3000, 9000)]
+    slot = {r["doc_id"]: r["virtual_slot"] for r in S.records(table(more), 256).collect()}
+    hot = {r["virtual_slot"] for r in S.read_map(spark, path).where("shard = 0").collect()}
+    grown = rows + [r for r in more if slot[r[0]] in hot]
+    after = S.shard_by_bytes(table(grown), 6, 256, path).collect()
+    assert {r["map_version"] for r in after} == {2}
+    loads = defaultdict(int)
+    for r in after:
+        loads[r["shard"]] += r["size"]
+    assert max(loads.values()) < 1.06 * sum(loads.values()) / 6
+    assert {before[r["doc_id"]] for r in after if r["doc_id"] in before and before[r["doc_id"]] != r["shard"]} == {0}
+    assert {r["map_version"] for r in S.shard_by_bytes(table(grown), 6, 256, path).collect()} == {2}

@@ -87,7 +87,9 @@ def with_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs`, all columns, with one row of each group of equal texts."""
+    """`docs`, all columns, with one row of each group of equal texts: the one with the
+    largest id. A null text is equal to an empty one; of rows that repeat id and text one
+    stays; null ids come last; an empty table gives no rows."""
     kept = with_groups(docs, id_col, text_col).filter("kept")
     keys = kept.select(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_sha256").alias("key"))
     return keep_rows(docs, keys, row_key(F.col(id_col).cast("long"), normalised(F.col(text_col))), text_col)

@@ -58,6 +58,10 @@ def _dealt(loose: DataFrame, loads: Column) -> DataFrame:
             .select("pick.virtual_slot", "pick.shard"))
 
 
+#: Share by which a shard may exceed the mean before a stored map is edited.
+TOLERANCE = 0.05
+
+
 def first_map(slots: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Version 1 of the map: (version, virtual_slot, shard)."""
     dealt = _dealt(slots, F.array_repeat(F.lit(0).cast("long"), shards))
@@ -108,12 +112,20 @@ def place(rows: DataFrame, slots: DataFrame, slot_map: DataFrame) -> DataFrame:
     return numbered.join(F.broadcast(offsets), "virtual_slot").withColumn("slot", (F.col("_offset") + F.col("_no")).cast("long")).drop("_offset", "_no")
 
 
+def largest_shard(slots: DataFrame, slot_map: DataFrame) -> int:
+    """Bytes of the shard that has most of them."""
+    sums = slots.join(F.broadcast(slot_map.select("virtual_slot", "shard")), "virtual_slot").groupBy("shard").agg(F.sum("bytes").alias("n"))
+    return sums.agg(F.max("n")).first()[0] or 0
+
+
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, n_slots: int = SLOTS, map_path: str | None = None,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", tolerance: float = TOLERANCE) -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot, map_version, shard, slot) of every
     document, sizes near equal between shards. The map is stored under `map_path`
     (the shared scratch folder by default); a map found there is edited if it has
-    another number of shards or lacks a slot, and used as it is otherwise.
+    another number of shards, lacks a slot, or if a shard's present bytes exceed the mean
+    by more than `tolerance` and an edit makes the largest shard smaller; it is used as
+    it is otherwise. Equal texts are records of their own and may go to several shards.
 
     Null texts have no bytes; null ids and repeated rows are records like others; an
     empty table gives no rows; columns other than the two named are ignored.
@@ -129,6 +141,12 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, n_slots: int = SLOTS,
         lacks = slots.join(F.broadcast(old), "virtual_slot", "left_anti").limit(1).count()
         if lacks or old.agg(F.max("shard")).first()[0] != shards - 1:
             save_map(cut(edited_map(old, slots, shards)), map_path)
+        else:
+            most, mean = largest_shard(slots, old), (slots.agg(F.sum("bytes")).first()[0] or 0) / shards
+            if most > mean * (1 + tolerance):
+                new = cut(edited_map(old, slots, shards))
+                if largest_shard(slots, new) < most:
+                    save_map(new, map_path)
     slot_map = read_map(spark, map_path)
     version = slot_map.agg(F.max("version")).first()[0]
     return place(rows, slots, slot_map.drop("version")).withColumn("map_version", F.lit(version))

@@ -202,7 +202,9 @@ def mix(docs: DataFrame, sources: Column | None = None, weights=WEIGHTS, share:
 
 def mixed_documents(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """`docs`, all columns, each document as often as the mix takes it (0 to `passes`
-    times; one taken in part counts if at least half is)."""
+    times; one taken in part counts if at least half is). Null and empty texts and texts
+    without a word have size 0 and are left out; a null source is a source of its own;
+    rows that repeat an id count on their own; an empty table gives no rows."""
     mixed = mix(docs, F.col(source_col), id_col=id_col, text_col=text_col, keep=F.struct(*[F.col(c) for c in docs.columns]), **options)
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")).otherwise(F.lit(0))
     return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select("carried.*")
