@@ -52,6 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """The result of the last stage: doc_id, n_tokens, ids. Documents with a null text or
+    without a letter go in the first stage, so no later one meets them; repeated rows go in
+    the second; null ids stay; an empty table gives no rows."""
     docs = load(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
