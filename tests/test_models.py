@@ -80,8 +80,8 @@ def test_a_failing_configuration_is_recorded_alone(rows, monkeypatch):
 
     monkeypatch.setattr(md, "predict_long", failing)
     got = q.isolated("LinearRegression", [dict(fit_intercept=x) for x in (True, "bad", False)], data, data)
-    assert [r[1:] for r in got] == [("fit_intercept=True", "FINISHED", True, 20, None), ("fit_intercept=bad", "FAILED", None, None, "ValueError: bad"),
-                                    ("fit_intercept=False", "FINISHED", True, 20, None)]
+    assert [r[1:] for r in got] == [("fit_intercept=True", "FINISHED", True, 20, 0, None), ("fit_intercept=bad", "FAILED", None, None, None, "ValueError: bad"),
+                                    ("fit_intercept=False", "FINISHED", True, 20, 0, None)]
 
 
 def test_pruning_rules():

@@ -130,17 +130,22 @@ def iqr_mask(df: DataFrame, col: str, k: float = 1.5, name: str = "is_inlier"):
     return df.withColumn(name, inlier(col, lo, hi)), (lo, hi)
 
 
-def chained_iqr(df: DataFrame, steps=OUTLIER_STEPS):
+def chained_iqr(df: DataFrame, steps=OUTLIER_STEPS, stored: bool = False):
     """Sequential IQR filters; each step's quartiles use the survivors.
-    Returns the filtered frame and the report [(step, column, k, lo, hi)].
+    Returns the filtered frame and the report [(step, column, k, lo, hi)]. `stored`:
+    `df` is a scan of a stored table.
 
     The bounds of a step are two driver scalars, so the plan stays one scan with a
-    growing filter; a step's aggregates read only the columns filtered so far.
+    growing filter. The columns of the steps are computed once and stored; a step's
+    aggregates read only those filtered so far.
     """
     cond = F.lit(True)
     report = []
+    names = list(dict.fromkeys(col for col, _ in steps))
+    spark = df.sparkSession
+    narrow = df if stored else spark.read.parquet(write_parquet(df.select(*[q(c) for c in names]), scratch_path(spark, "iqr_columns")))
     for i, (col, k) in enumerate(steps, start=1):
-        lo, hi = iqr_bounds(df.where(cond), col, k)
+        lo, hi = iqr_bounds(narrow.where(cond), col, k)
         cond = cond & inlier(col, lo, hi)
         report.append((i, col, float(k), lo, hi))
     return df.where(cond), report
@@ -193,7 +198,7 @@ def clean_readings(dirty: DataFrame, steps=OUTLIER_STEPS) -> DataFrame:
     those of this very frame; nothing is kept between calls.
     """
     typed = write_parquet(typed_readings(dirty), scratch_path(dirty.sparkSession, "readings_typed"))
-    df, _ = chained_iqr(dirty.sparkSession.read.parquet(typed), steps)
+    df, _ = chained_iqr(dirty.sparkSession.read.parquet(typed), steps, stored=True)
     df = nsm_range(df)
     df = canonicalize_categoricals(df)
     return drop_nulls(df)

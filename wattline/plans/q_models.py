@@ -246,43 +246,42 @@ M9 = [(m, c) for m in gr.MODELS_TO_RUN for c in gr.combinations(m)]
 
 @register("m9_fit_model_grid", sanity_sql(M9))
 def m9_fit_model_grid(spark, sf_dir):
-    split, out = encoded_split(spark, sf_dir), None
-    for m in gr.MODELS_TO_RUN:
-        rows = grid_rows(m, gr.combinations(m), *split)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Fits all configurations, each in isolation, and publishes the runs."""
+    return fit_runs(spark, sf_dir).select("model", "hyperparameters", "n_test", "n_bad", "beats_mean")
 
 
 M10 = M9
 
-RUNS = "model string, hyperparameters string, status string, beats_mean boolean, n_test long, reason string"
+RUNS = "model string, hyperparameters string, status string, beats_mean boolean, n_test long, n_bad long, reason string"
 
 
 def isolated(name: str, configs: list[dict], train, test) -> list[tuple]:
-    """(model, hyperparameters, status, beats_mean, n_test, reason) per configuration. They
-    share fits; if one can't be fitted, each is fitted alone, and the failure is recorded
+    """A row of RUNS per configuration. They share fits; if one can't be fitted, each is fitted alone, and the failure is recorded
     with its reason, not raised. Lost executors and programming errors are raised."""
     try:
         found = grid_rows(name, configs, train, test).collect()
-        return [(r["model"], r["hyperparameters"], "FINISHED", None if r["beats_mean"] is None else r["beats_mean"] and not r["n_bad"], r["n_test"], None) for r in found]
+        return [(r["model"], r["hyperparameters"], "FINISHED", None if r["beats_mean"] is None else r["beats_mean"] and not r["n_bad"], r["n_test"], r["n_bad"], None) for r in found]
     except (ValueError, ArithmeticError, np.linalg.LinAlgError, IllegalArgumentException) as e:
         if len(configs) == 1:
-            return [(name, text_of(configs[0]), "FAILED", None, None, f"{type(e).__name__}: {e}")]
+            return [(name, text_of(configs[0]), "FAILED", None, None, None, f"{type(e).__name__}: {e}")]
         return [row for c in configs for row in isolated(name, [c], train, test)]
 
 
-def stored_runs(spark, sf_dir):
-    """The runs of all families on this version of the readings, from the store; fitted and
-    published first if no application has done so."""
+def fit_runs(spark, sf_dir):
+    """All configurations of all families fitted on this version of the readings; the runs
+    are written to the store and published."""
     version = table_version(spark, sf_dir, "events")
-    path = store.published(spark, "model-runs", version)
-    if path is None:
-        train, test = encoded_split(spark, sf_dir)
-        rows = [row for m in gr.MODELS_TO_RUN for row in isolated(m, gr.combinations(m), train, test)]
-        path = store.new_path(spark, "model-runs")
-        spark.createDataFrame(rows, RUNS).coalesce(1).write.parquet(path)
-        store.publish(spark, "model-runs", version, path)
-    return spark.read.schema(RUNS).parquet(path)
+    train, test = encoded_split(spark, sf_dir)
+    rows = [row for m in gr.MODELS_TO_RUN for row in isolated(m, gr.combinations(m), train, test)]
+    path = store.new_path(spark, "model-runs")
+    spark.createDataFrame(rows, RUNS).coalesce(1).write.parquet(path)
+    return spark.read.schema(RUNS).parquet(store.publish(spark, "model-runs", version, path))
+
+
+def stored_runs(spark, sf_dir):
+    """The published runs on this version of the readings; fitted first if there are none."""
+    path = store.published(spark, "model-runs", table_version(spark, sf_dir, "events"))
+    return fit_runs(spark, sf_dir) if path is None else spark.read.schema(RUNS).parquet(path)
 
 
 @register("m10_compare_models", S.with_(SPLIT_CLEAN, " UNION ALL ".join(
@@ -290,7 +289,7 @@ def stored_runs(spark, sf_dir):
     "count(*) AS n_test FROM csp WHERE split = 'test'" for m, p in M10)))
 def m10_compare_models(spark, sf_dir):
     """The whole grids of all six families, each configuration in isolation."""
-    runs = stored_runs(spark, sf_dir).drop("reason")
+    runs = stored_runs(spark, sf_dir).drop("n_bad", "reason")
     done = runs.agg((F.sum((F.col("status") == "FINISHED").cast("double")) / F.count(F.lit(1))).alias("success_ratio"))
     return runs.crossJoin(F.broadcast(done))  # one row
 
