@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.operators import forest, knn
+from wattline.operators import rules as rules_of
+from wattline.operators.grams import Gram, grams
 
 
 # -- M1 --------------------------------------------------------------------------------------
@@ -29,36 +31,6 @@ def fit_ols(train: DataFrame, label: str, fit_intercept: bool = True):
                             elasticNetParam=0.0, fitIntercept=fit_intercept, standardization=False).fit(train)
 
 
-# -- normal equations ----------------------------------------------------------------------------
-
-def _moments(rows: DataFrame, label: str, transform, chosen, k: int, by: str | None = None) -> dict:
-    """Per value of `by` (None: one): X'X and X'y with a leading column of ones, over
-    rows (features as array `x`) after `transform(X)`; `chosen(X, y) -> (mask, target)`
-    picks rows and what to fit. Partial sums per partition, then a grouped sum."""
-    m = k + 1
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for b in batches:
-            if not len(b):
-                continue
-            x, y = transform(np.stack(b["x"].to_numpy())), b[label].to_numpy(dtype=float)
-            mask, target = chosen(x, y)
-            groups = b["_by"].to_numpy()
-            for g in np.unique(groups[mask]):
-                at = mask & (groups == g)
-                one = np.column_stack([np.ones(at.sum()), x[at]])
-                sums[int(g)] = sums.get(int(g), 0) + np.column_stack([one.T @ one, one.T @ target[at]])
-        for g, s in sums.items():
-            yield pd.DataFrame({"g": g, "at": np.arange(s.size), "v": s.reshape(-1)})
-
-    rows = rows.select("x", label, (F.col(by) if by else F.lit(0)).cast("long").alias("_by"))
-    found: dict[int, np.ndarray] = {}
-    for r in rows.mapInPandas(run, "g long, at long, v double").groupBy("g", "at").agg(F.sum("v").alias("v")).collect():
-        found.setdefault(r["g"], np.zeros(m * (m + 1)))[r["at"]] = r["v"]
-    return {g: (s.reshape(m, m + 1)[:, :m], s.reshape(m, m + 1)[:, m]) for g, s in found.items()}
-
-
 def _size(df: DataFrame) -> int:
     row = df.select(F.size("x").alias("n")).first()
     if row is None:
@@ -70,22 +42,16 @@ def _arrays(df: DataFrame) -> DataFrame:
     return df.withColumn("x", vector_to_array("features"))
 
 
-# -- M5 committees of model trees ------------------------------------------------------------------
+# -- M5 committees of rule sets --------------------------------------------------------------------
 
 @dataclass
 class Member:
-    """Of one committee member, per rule setting: the tree, and coefficients per leaf node."""
-
-    trees: forest.Applied
-    coefficients: list[np.ndarray]
+    """Of one committee member, a rule set per rule setting."""
 
-    def leaves(self, x: np.ndarray) -> np.ndarray:
-        """Per row and setting, the node of its (merged) leaf."""
-        return np.stack([leaf[at][:, j] for j, (at, leaf, _) in enumerate(self.trees.ends(x))], axis=1)
+    sets: list[rules_of.RuleSet]
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        at = self.leaves(x)
-        return np.stack([(c := table[at[:, j]])[:, 0] + (c[:, 1:] * x).sum(axis=1) for j, table in enumerate(self.coefficients)], axis=1)
+        return np.stack([s.predict(x) for s in self.sets], axis=1)
 
 
 def _udf(kind: str, fn):
@@ -96,30 +62,32 @@ def _udf(kind: str, fn):
     return apply("x")
 
 
-def fit_committees(train: DataFrame, label: str, committees: int, rules: list[int], ridge: float = 1e-8) -> list[Member]:
-    """Committees of model trees for several rule settings together: each member is a tree
-    pruned to at most so many leaves with a least-squares model per leaf (of at least two
-    rows a coefficient), fitted to 2 y - (the member before). What is kept is bounded:
-    `committees` * sum(`rules`) leaves."""
+def fit_committees(train: DataFrame, label: str, committees: int, rules: list[int]) -> list[Member]:
+    """Committees of rule sets for several rule settings together: each member's rules come
+    from a tree pruned to at most so many leaves (of at least two rows a coefficient),
+    fitted to 2 y - (the member before). What is kept is bounded: `committees` *
+    sum(`rules`) rules."""
     y = F.col(label).cast("double")
     tr = _arrays(train).select("x", y.alias("y"), F.array(*[y] * len(rules)).alias("t"))
     k = _size(tr)
     cuts = [forest.Cut(max_depth=int(np.ceil(np.log2(max(r, 2)))) + 1, max_leaves=r) for r in rules]
     members = []
-    every = lambda x, y: (np.ones(len(y), dtype=bool), y)
     for m in range(committees):
         rows = tr.select("x", F.posexplode("t").alias("tree", "y")).select("tree", F.lit(1.0).alias("w"), "y", "x")
         nodes = forest.grow(rows, max(c.max_depth for c in cuts), min_leaf=2 * (k + 1))
         found = forest.variants(nodes, cuts).toPandas()  # len(rules) trees of the depth above
-        member = Member(forest.Applied(found), [np.zeros((int((found["tree"] == j).sum()), k + 1)) for j in range(len(rules))])
-        at = tr.withColumn("_leaf", _udf("array<int>", member.leaves))
+        trees = forest.Applied(found)
+        leaves = lambda x, trees=trees: np.stack([leaf[at][:, j] for j, (at, leaf, _) in enumerate(trees.ends(x))], axis=1)
+        at = tr.withColumn("_leaf", _udf("array<int>", leaves))
         flat = at.select("x", F.posexplode(F.arrays_zip("t", "_leaf")).alias("j", "z")).select("x", F.col("z.t").alias("y"), (F.col("j") * (1 << 20) + F.col("z._leaf")).alias("_by"))
-        for g, (xx, xy) in _moments(flat, "y", lambda x: x, every, k, by="_by").items():
-            member.coefficients[g >> 20][g & ((1 << 20) - 1)] = np.linalg.solve(xx + ridge * np.eye(k + 1) * max(np.trace(xx) / (k + 1), 1.0), xy)
-        members.append(member)
+        sums: list[dict[int, Gram]] = [{} for _ in rules]
+        for g, s in grams(flat, "_by").items():
+            sums[g >> 20][g & ((1 << 20) - 1)] = s
+        sets = [rules_of.tree_rules(feature, threshold, left, right, leaf[:, j], sums[j]) for j, (feature, threshold, left, right, leaf, _) in enumerate(trees.trees)]
+        members.append(Member(rules_of.with_fewer_conditions(sets, tr)))
         if m + 1 < committees:
             # stored, or each member would compute all those before it anew in every pass
-            tr = knn.stored(tr.withColumn("_p", _udf("array<double>", member.predict)).withColumn("t", F.transform("_p", lambda p: 2 * F.col("y") - p)).drop("_p"))
+            tr = knn.stored(tr.withColumn("_p", _udf("array<double>", members[-1].predict)).withColumn("t", F.transform("_p", lambda p: 2 * F.col("y") - p)).drop("_p"))
     return members
 
 
@@ -130,6 +98,11 @@ def committee_predictions(members: list[Member], sizes: list[tuple[int, int]], x
     return np.stack([sums[n - 1][:, j] / n for j, n in sizes], axis=1)
 
 
+def committee_column(members: list[Member], sizes: list[tuple[int, int]], df: DataFrame, out: str = "predictions") -> DataFrame:
+    """`df` with array column `out`: the prediction for each (setting, committees)."""
+    return _arrays(df).withColumn(out, _udf("array<double>", lambda x: committee_predictions(members, sizes, x))).drop("x")
+
+
 # -- M6 epsilon-insensitive regression -----------------------------------------------------------
 
 #: Rows that the RBF kernel is expanded around, and the constant feature that stands for
@@ -393,7 +366,7 @@ def predict_long(name: str, configs: list[dict], train: DataFrame, test: DataFra
         rules = sorted({c["n_rules"] for c in configs})
         members = fit_committees(train, label, max(c["n_committees"] for c in configs), rules)
         sizes = [(rules.index(c["n_rules"]), c["n_committees"]) for c in configs]
-        return _long(test, _arrays(test).withColumn("_p", _udf("array<double>", lambda x: committee_predictions(members, sizes, x))), "_p")
+        return _long(test, committee_column(members, sizes, test), "predictions")
     if name == "SVM":
         fitted = fit_svrs(train, label, configs, seed=seed)
         return _long(test, _arrays(test).withColumn("_p", _udf("array<double>", lambda x: np.stack([m.predict(x) for m in fitted], axis=1))), "_p")

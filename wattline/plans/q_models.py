@@ -18,7 +18,8 @@ from wattline.operators import forest
 from wattline.operators import grid as gr
 from wattline.operators import knn
 from wattline.operators import models as md
-from wattline.operators.metrics import classification_metrics
+from wattline.operators import rules as ru
+from wattline.operators.metrics import classification_metrics, regression_metrics, residual_columns
 from wattline.operators.ordering import time_split
 from wattline.plans import sqlgen as S
 from wattline.plans.q_features import SPLIT_CLEAN, clean_split
@@ -199,6 +200,57 @@ def m5_model_tree(spark, sf_dir):
     return grid_rows("Cubist", M5, *encoded_split(spark, sf_dir))
 
 
+def _adjusted_sql(sse: str, n: str, v: str) -> str:
+    return f"sqrt(greatest({sse}, 0) / ({n})) * (({n}) + ({v})) / (({n}) - ({v}))"
+
+
+RULE_CTES = ["li AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS position, count(*) OVER () AS total FROM lineitem)",
+             "sp AS (SELECT l_orderkey, l_linenumber, l_partkey, 1 AS node, l_quantity AS f0, l_extendedprice AS y, position <= total - CAST(ceil(CAST(0.2 AS DOUBLE) * total) AS BIGINT) AS is_train FROM li)",
+             "r1 AS (SELECT node, f0, y FROM sp WHERE is_train)",
+             "c AS (SELECT f0 AS v, count(*) AS n, sum(y) AS s FROM r1 GROUP BY 1)",
+             "run AS (SELECT v, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER () AS an, sum(s) OVER () AS tot, lead(v) OVER w AS nv FROM c WINDOW w AS (ORDER BY v))",
+             "b AS (SELECT (v + nv) / 2 AS thr FROM (SELECT *, ls * ls / ln + (tot - ls) * (tot - ls) / (an - ln) AS gain FROM run WHERE nv IS NOT NULL AND ln >= 4 AND an - ln >= 4) ORDER BY gain DESC, v LIMIT 1)",
+             # of all rows (0) and of either side: count, the fits of a line and of a constant
+             "side AS (SELECT 0 AS rule, f0, y FROM r1 UNION ALL SELECT CASE WHEN f0 <= thr THEN 1 ELSE 2 END, f0, y FROM r1, b)",
+             "m AS (SELECT rule, count(*) AS n, regr_slope(y, f0) AS s1, regr_intercept(y, f0) AS s0, avg(y) AS ybar, regr_syy(y, f0) AS syy, regr_sxy(y, f0) AS sxy, regr_sxx(y, f0) AS sxx FROM side GROUP BY 1)",
+             f"k AS (SELECT *, {_adjusted_sql('syy', 'n', '1')} > {_adjusted_sql('syy - sxy * sxy / sxx', 'n', '2')} AS line FROM m)",
+             "fit AS (SELECT rule, n, CASE WHEN line THEN s1 ELSE 0 END AS c1, CASE WHEN line THEN s0 ELSE ybar END AS c0 FROM k)",
+             "sm AS (SELECT a.rule, (a.n * a.c1 + 15 * r.c1) / (a.n + 15) AS c1, (a.n * a.c0 + 15 * r.c0) / (a.n + 15) AS c0 FROM fit a, fit r WHERE a.rule > 0 AND r.rule = 0)",
+             "err AS (SELECT sm.rule, any_value(c0) AS c0, any_value(c1) AS c1, count(*) AS na, sum((y - c0 - c1 * f0) ** 2) AS qa, count(*) FILTER ((f0 <= thr) = (sm.rule = 1)) AS ns, "
+             "sum((y - c0 - c1 * f0) ** 2) FILTER ((f0 <= thr) = (sm.rule = 1)) AS qs, any_value(thr) AS thr, any_value(CASE WHEN c1 <> 0 THEN 2 ELSE 1 END) AS v FROM sm, r1, b GROUP BY sm.rule)",
+             f"ad AS (SELECT *, {_adjusted_sql('qa', 'na', 'v')} AS ea, {_adjusted_sql('qs', 'ns', 'v')} AS es FROM err)",
+             "rules AS (SELECT rule, CASE WHEN ea <= es THEN '' WHEN rule = 1 THEN '<=' ELSE '>' END AS op, thr, CASE WHEN ea <= es THEN na ELSE ns END AS n_rows, least(ea, es) AS error, c0, c1 FROM ad)"]
+
+
+def lineitem_rules(spark, sf_dir):
+    """(rule set of at most two rules on one feature, training rows, test rows)."""
+    li = load(spark, sf_dir, "lineitem").select(*bl.LINEITEM_ORDER, "l_extendedprice", "l_quantity")
+    sp = time_split(li, bl.LINEITEM_ORDER, 0.2).withColumn("features", array_to_vector(F.array("l_quantity")))
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    return md.fit_committees(train, "l_extendedprice", 1, [2]), train, test
+
+
+@register("m5_rule_table", S.with_(RULE_CTES, "SELECT CAST(rule - 1 AS INT) AS rule, CASE WHEN op = '' THEN '' ELSE 'l_quantity ' || op || ' ' || CAST(CAST(thr AS DECIMAL(18, 2)) AS VARCHAR) END AS conditions, n_rows, "
+                                   + S.r("error", 4) + " AS error, " + S.r("c0", 3) + " AS intercept, " + S.r("c1", 4) + " AS l_quantity FROM rules"))
+def m5_rule_table(spark, sf_dir):
+    """The rules of one member of at most two: conditions left, rows covered, adjusted
+    error, pruned and smoothed model."""
+    members, _, _ = lineitem_rules(spark, sf_dir)
+    table = ru.rule_table(spark, [m.sets[0] for m in members], ["l_quantity"])
+    text = F.array_join(F.transform("conditions", lambda c: F.concat_ws(" ", c["feature"], c["op"], c["value"].cast("decimal(18,2)").cast("string"))), " and ")
+    return table.select("rule", text.alias("conditions"), "n_rows", (F.round("error", 4) + F.lit(0.0)).alias("error"), (F.round("intercept", 3) + F.lit(0.0)).alias("intercept"),
+                        (F.round(F.coalesce(F.col("coefficients")["l_quantity"], F.lit(0.0)), 4) + F.lit(0.0)).alias("l_quantity"))
+
+
+@register("m5_rule_predictions", S.with_(RULE_CTES, "SELECT l_orderkey, l_linenumber, l_partkey, " + S.r("avg(c0 + c1 * f0)", 3) + " AS prediction FROM sp JOIN rules ON op = '' OR (op = '<=' AND f0 <= thr) OR (op = '>' AND f0 > thr) "
+                                         "WHERE NOT is_train GROUP BY ALL"))
+def m5_rule_predictions(spark, sf_dir):
+    """The test rows' predictions: the mean over the rules that cover a row."""
+    members, _, test = lineitem_rules(spark, sf_dir)
+    pred = md.committee_column(members, [(0, 1)], test)
+    return pred.select(*bl.LINEITEM_KEYS, (F.round(F.element_at("predictions", 1), 3) + F.lit(0.0)).alias("prediction"))
+
+
 M6 = gr.combinations("SVM")
 
 
@@ -240,6 +292,39 @@ def m8_fit_one_config(spark, sf_dir):
     return pred.select(KEY, F.col(Y).alias("actual"), finite.alias("predicted"))
 
 
+RUN_CTES = SPLIT_CTES + ["fit AS (SELECT true AS fit_intercept, regr_slope(l_extendedprice, l_quantity) AS c1, regr_intercept(l_extendedprice, l_quantity) AS c0 FROM sp WHERE split = 'train' "
+                         "UNION ALL SELECT false, sum(l_quantity * l_extendedprice) / sum(l_quantity * l_quantity), 0 FROM sp WHERE split = 'train')",
+                         "run AS (SELECT fit_intercept, l_orderkey, l_linenumber, l_partkey, l_extendedprice AS y, c0 + c1 * l_quantity AS p FROM sp, fit WHERE split = 'test')"]
+
+
+def lineitem_run(spark, sf_dir):
+    """Predictions of a linear run, with and without an intercept, of the test rows."""
+    li = load(spark, sf_dir, "lineitem").select(*bl.LINEITEM_ORDER, "l_extendedprice", "l_quantity")
+    sp = time_split(li, bl.LINEITEM_ORDER, 0.2).withColumn("features", array_to_vector(F.array("l_quantity")))
+    configs = gr.combinations("LinearRegression")
+    rows = md.predict_long("LinearRegression", configs, sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"), "l_extendedprice", "l_orderkey")
+    flags = F.array(*[F.lit(c["fit_intercept"]) for c in configs])
+    return rows.withColumn("fit_intercept", F.element_at(flags, F.col("config") + 1))
+
+
+@register("m8_run_errors", S.with_(RUN_CTES, "SELECT fit_intercept, l_orderkey, l_linenumber, l_partkey, " + S.r("y", 2) + " AS actual, " + S.r("p", 3) + " AS predicted, " + S.r("y - p", 3)
+                                   + " AS residual, " + S.r("CASE WHEN y <> 0 THEN 100 * (y - p) / y END", 4) + " AS pct_error FROM run"))
+def m8_run_errors(spark, sf_dir):
+    """Per test row of a fitted run: actual, predicted, residual, percentage error."""
+    rows = residual_columns(lineitem_run(spark, sf_dir), "l_extendedprice", "prediction")
+    rounded = lambda c, d: F.round(c, d) + F.lit(0.0)
+    return rows.select("fit_intercept", *bl.LINEITEM_KEYS, rounded("l_extendedprice", 2).alias("actual"), rounded("prediction", 3).alias("predicted"), rounded("residual", 3).alias("residual"),
+                       rounded("pct_error", 4).alias("pct_error"))
+
+
+@register("m8_run_metrics", S.with_(RUN_CTES, "SELECT fit_intercept, count(*) AS n, " + S.r("sqrt(avg((y - p) ** 2))", 4) + " AS rmse, " + S.r("avg(abs(y - p))", 4) + " AS mae, "
+                                    + S.r("1 - sum((y - p) ** 2) / (var_pop(y) * count(*))", 6) + " AS r2, " + S.r("100 * sqrt(avg((y - p) ** 2)) / avg(y)", 5) + " AS cv FROM run GROUP BY fit_intercept"))
+def m8_run_metrics(spark, sf_dir):
+    """The metrics of a fitted run."""
+    met = regression_metrics(lineitem_run(spark, sf_dir), "l_extendedprice", "prediction", by=["fit_intercept"])
+    return met.select("fit_intercept", "n", *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in (("rmse", 4), ("mae", 4), ("r2", 6), ("cv", 5))])
+
+
 #: Every configuration of all six families, as the comparison of the reference trains them.
 M9 = [(m, c) for m in gr.MODELS_TO_RUN for c in gr.combinations(m)]
 

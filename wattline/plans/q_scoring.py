@@ -9,6 +9,7 @@ from wattline.operators import baselines as bl
 from wattline.operators import ranking as rk
 from wattline.operators import scoring as sc
 from wattline.operators import validate as va
+from wattline.operators.grams import expanding_folds, grams
 from wattline.operators.metrics import regression_metrics
 from wattline.operators.models import fit_ols
 from wattline.operators.ordering import after_positions
@@ -150,6 +151,33 @@ def x1_time_series_cv(spark, sf_dir, n_splits: int = 5):
                                   (F.round(-F.sqrt(F.avg(e * e)), 4) + F.lit(0.0)).alias("neg_rmse"))
 
 
+def _x1_regression_sql(n_splits=5):
+    folds, a, b, y = n_splits + 1, "l_quantity", "l_discount", "l_extendedprice"
+    li = SPLIT_CTES[0].replace("l_quantity, ", "l_quantity, l_discount, ", 1)
+    det = "(vaa * vbb - vab * vab)"
+    return S.with_([li, f"fz AS (SELECT n // {folds} AS ts, n - {n_splits} * (n // {folds}) AS first FROM li LIMIT 1)",
+                    f"fl AS (SELECT CAST(f AS BIGINT) AS fold, first + f * ts AS start, ts FROM fz, range({n_splits}) t(f))",
+                    f"st AS (SELECT fold, count(*) AS n_train, avg({a}) AS ma, avg({b}) AS mb, avg({y}) AS my, var_pop({a}) AS vaa, var_pop({b}) AS vbb, covar_pop({a}, {b}) AS vab, "
+                    f"covar_pop({a}, {y}) AS vay, covar_pop({b}, {y}) AS vby FROM li, fl WHERE position <= start GROUP BY 1)",
+                    f"cf AS (SELECT *, (vay * vbb - vby * vab) / {det} AS ca, (vby * vaa - vay * vab) / {det} AS cb FROM st)",
+                    f"te AS (SELECT fl.fold, n_train, ca, cb, my - ca * ma - cb * mb AS c0, {y} - my - ca * ({a} - ma) - cb * ({b} - mb) AS e FROM li JOIN fl ON position > start AND position <= start + ts "
+                    "JOIN cf ON cf.fold = fl.fold)"],
+                   "SELECT fold, max(n_train) AS n_train, count(*) AS n_test, " + S.r("max(c0)", 2) + " AS intercept, " + S.r("max(ca)", 3) + " AS quantity, " + S.r("max(cb)", 2) + " AS discount, "
+                   + S.r("-sqrt(avg(e * e))", 3) + " AS neg_rmse FROM te GROUP BY fold")
+
+
+@register("x1_fold_regression", _x1_regression_sql())
+def x1_fold_regression(spark, sf_dir, n_splits: int = 5):
+    """Cross-validation of least squares: sums of squares and products per block of time,
+    from which all folds' coefficients and errors follow (one pass after the limits)."""
+    li = load(spark, sf_dir, "lineitem").select(*bl.LINEITEM_ORDER, "l_extendedprice", "l_quantity", "l_discount")
+    block = after_positions(li, bl.LINEITEM_ORDER, lambda n: [n - (n_splits - f) * (n // (n_splits + 1)) for f in range(n_splits)])
+    rows = li.select(F.array(F.col("l_quantity").cast("double"), F.col("l_discount").cast("double")).alias("x"), F.col("l_extendedprice").alias("y"), block.alias("block"))
+    folds = [(f.fold, f.n_train, f.n_test, *map(float, f.coefficients), -f.rmse) for f in expanding_folds(grams(rows, "block"), n_splits)]
+    out = spark.createDataFrame(folds, "fold long, n_train long, n_test long, intercept double, quantity double, discount double, neg_rmse double")
+    return out.select("fold", "n_train", "n_test", *[(F.round(c, d) + F.lit(0.0)).alias(c) for c, d in (("intercept", 2), ("quantity", 3), ("discount", 2), ("neg_rmse", 3))])
+
+
 X2_SQL = S.with_(SPLIT_CTES + [
     "tr AS (SELECT * FROM sp WHERE split = 'train')",
     "g AS (SELECT l_returnflag, avg(ln(1 + l_extendedprice)) AS ml FROM tr GROUP BY 1)",
