@@ -111,7 +111,7 @@ LANDMARKS, CONSTANT = 64, 10.0
 #: Largest duality gap, as a share of the objective, at which a fit ends; most rounds.
 GAP, ROUNDS = 1e-3, 100
 #: Step lengths that are tried together.
-STEPS = np.array([1.0, 0.6, 0.3, 0.1, 0.03, 0.01, 0.002])
+STEPS = np.array([1.0, 0.6, 0.3, 0.1, 0.03, 0.01, 3e-3, 1e-3, 3e-4, 1e-4, 1e-5])
 
 
 @dataclass
@@ -161,8 +161,8 @@ class SVR:
 
 @dataclass
 class _Problem:
-    """min 1/2 |w|^2 + C sum(max(0, |y - z.w| - epsilon)), followed along a smoothed loss
-    whose corner has the width `mu`."""
+    """min 1/2 |w|^2 + C sum(loss), followed along a smoothed loss whose corner has the width
+    `mu`. A classifier's problem is between the two classes of `pair`."""
 
     C: float
     features: int
@@ -170,9 +170,11 @@ class _Problem:
     mu: float = 1.0
     step: np.ndarray | None = None
     gap: float = np.inf
+    pair: tuple[int, int] | None = None
+    wide: bool = False
 
 
-def _sums(rows: DataFrame, per_batch, kinds: int) -> dict[int, np.ndarray]:
+def _sums(rows: DataFrame, per_batch) -> dict[int, np.ndarray]:
     """The sums over all rows of per_batch(X, y) -> {kind: vector}: partial sums in each
     task, added up by Spark in two steps so that no task adds up all others'."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,77 +190,45 @@ def _sums(rows: DataFrame, per_batch, kinds: int) -> dict[int, np.ndarray]:
     return {r["kind"]: r["v"].toArray() for r in once.groupBy("kind").agg(Summarizer.sum(F.col("v")).alias("v")).collect()}
 
 
-def _tubes(r: np.ndarray, epsilon: float, mu: np.ndarray | float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per residual: the loss, the smoothed loss and its slope in |r|."""
-    t = np.abs(r) - epsilon
-    slope = np.clip(t / mu, 0, 1)
-    return np.maximum(t, 0), np.where(t < mu, slope * t / 2, t - mu / 2), slope
+def _newton(rows: DataFrame, maps: list[FeatureMap], problems: list[_Problem], side) -> None:
+    """Minimises 1/2 |w|^2 + C sum(max(0, t)) for all problems together, where
+    t = c - s * (z . w) and `side(q, f, y) -> (s, c)` per value f of z . w (rows x columns).
+    Newton steps on a smoothed loss, whose corner is narrowed until the duality gap is below
+    GAP: the slopes of the smoothed loss are a feasible point of the dual, so the gap bounds
+    the distance from the optimum. A round is one aggregate of gradients and curvatures and
+    one of the loss at several step lengths."""
+    lengths = np.append(0.0, STEPS)
 
-
-def fit_svrs(train: DataFrame, label: str, configs: list[dict], epsilon: float = 0.1, seed: int = 42) -> list[SVR]:
-    """The epsilon-insensitive loss for all configurations (C, kernel, gamma) together, on
-    standardised rows. Newton steps on a smoothed loss, whose corner is narrowed until the
-    duality gap is below GAP: the slopes of the smoothed loss are a feasible point of the
-    dual, so the gap bounds the distance from the optimum. A round is one aggregate of
-    gradients and curvatures and one of the loss at several step lengths. The RBF kernel
-    is expanded around LANDMARKS rows (Nystroem), drawn by a hash."""
-    rows = _arrays(train).select("x", F.col(label).cast("double").alias("y"))
-    k = _size(rows)
-    first = _sums(rows, lambda x, y: {0: np.concatenate([[len(y), y.sum(), (y * y).sum()], x.sum(axis=0), (x * x).sum(axis=0)])}, 1)[0]
-    n, shift = first[0], first[1] / first[0]
-    scale = float(np.sqrt(max(first[2] / n - shift ** 2, 0))) or 1.0
-    mean = first[3:3 + k] / n
-    variance = np.maximum(first[3 + k:] / n - mean ** 2, 0)
-    spread = np.where(variance > 1e-12 * np.maximum(1, mean ** 2), np.sqrt(variance), 1.0)
-    plain = FeatureMap(mean, spread)
-    some = np.stack([r["x"] for r in rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(LANDMARKS).collect()])
-    some = np.unique(some, axis=0)
-    total = (variance / spread ** 2).mean() or 1.0
-    width = {"scale": 1 / (k * total), "auto": 1 / k}
-    maps: list[FeatureMap] = []
-    places: dict[tuple, int] = {}
-    problems: dict[tuple, _Problem] = {}
-    order = []
-    for c in configs:
-        gamma = width[c["gamma"]] if c["kernel"] == "rbf" else None
-        if gamma not in places:
-            places[gamma] = len(maps)
-            maps.append(plain if gamma is None else plain.with_kernel(gamma, some))
-        at = places[gamma]
-        order.append((float(c["C"]), at))
-        problems.setdefault(order[-1], _Problem(float(c["C"]), at, np.zeros(maps[at].size())))
-    every = list(problems.values())
-
-    def scaled(y: np.ndarray) -> np.ndarray:
-        return (y - shift) / scale
+    def parts(q, f, y):
+        s, c = side(q, f, y)
+        t = c - s * f
+        return t, np.clip(t / q.mu, 0, 1), s, c
 
     for _ in range(ROUNDS):
-        todo = [(i, q) for i, q in enumerate(every) if q.gap > GAP]
+        todo = [(i, q) for i, q in enumerate(problems) if q.gap > GAP]
         if not todo:
             break
 
         def slopes(x, y, todo=todo):
             z, out = {j: maps[j].z(x) for j in {q.features for _, q in todo}}, {}
             for i, q in todo:
-                zq, r = z[q.features], scaled(y) - z[q.features] @ q.w
-                loss, smooth, slope = _tubes(r, epsilon, q.mu)
-                a = slope * np.sign(r)
-                bent = zq[(slope > 0) & (slope < 1)]
-                out[i] = np.concatenate([[loss.sum(), smooth.sum(), (a * scaled(y)).sum(), slope.sum()], a @ zq, (bent.T @ bent).reshape(-1)])
+                zq = z[q.features]
+                t, slope, s, c = (np.broadcast_to(v, (len(x), 1))[:, 0] for v in parts(q, (zq @ q.w)[:, None], y))
+                bent = zq[s != 0] if q.wide else zq[(slope > 0) & (slope < 1)]
+                out[i] = np.concatenate([[np.maximum(t, 0).sum(), (slope * c).sum()], (slope * s) @ zq, (bent.T @ bent).reshape(-1)])
             return out
 
-        got = _sums(rows, slopes, len(every))
+        got = _sums(rows, slopes)
         for i, q in todo:
             m = len(q.w)
-            loss, _, ay, a1 = got[i][:4]
-            az, curve = q.C * got[i][4:4 + m], got[i][4 + m:].reshape(m, m)
-            primal = 0.5 * q.w @ q.w + q.C * loss
-            dual = q.C * (ay - epsilon * a1) - 0.5 * az @ az
+            az, curve = q.C * got[i][2:2 + m], got[i][2 + m:].reshape(m, m)
+            primal = 0.5 * q.w @ q.w + q.C * got[i][0]
+            dual = q.C * got[i][1] - 0.5 * az @ az
             q.gap = (primal - dual) / max(primal, 1e-12)
             gradient = q.w - az
             # primal - dual is half the gradient's square and, for the rest, the corner's
             if 0.5 * gradient @ gradient <= 0.2 * (primal - dual):
-                q.mu, q.step = 0.3 * q.mu, None
+                q.mu, q.step = 0.1 * q.mu, None
             else:
                 q.step = -np.linalg.solve(np.eye(m) + q.C / q.mu * curve, gradient)
         todo = [(i, q) for i, q in todo if q.gap > GAP and q.step is not None]
@@ -268,18 +238,66 @@ def fit_svrs(train: DataFrame, label: str, configs: list[dict], epsilon: float =
         def along(x, y, todo=todo):
             z, out = {j: maps[j].z(x) for j in {q.features for _, q in todo}}, {}
             for i, q in todo:
-                r, d = scaled(y) - z[q.features] @ q.w, z[q.features] @ q.step
-                out[i] = _tubes(r[:, None] - d[:, None] * np.append(0.0, STEPS), epsilon, q.mu)[1].sum(axis=0)
+                zq = z[q.features]
+                t, slope, _, _ = parts(q, (zq @ q.w)[:, None] + (zq @ q.step)[:, None] * lengths, y)
+                out[i] = np.where(t < q.mu, slope * t / 2, t - q.mu / 2).sum(axis=0)
             return out
 
-        got = _sums(rows, along, len(every))
+        got = _sums(rows, along)
         for i, q in todo:
-            lengths = np.append(0.0, STEPS)
             value = [0.5 * (q.w + s * q.step) @ (q.w + s * q.step) + q.C * v for s, v in zip(lengths, got[i], strict=True)]
             best = int(np.argmin(value))
-            if best == 0:  # only rounding is left
+            if best == 0 and q.wide:  # only rounding is left
                 q.mu *= 0.3
+            # no row's curvature is above that of the corner: a step by all rows' descends
+            q.wide = best == 0 and not q.wide
             q.w = q.w + lengths[best] * q.step
+
+
+def _standard(rows: DataFrame, k: int) -> tuple[FeatureMap, np.ndarray, dict[str, float]]:
+    """(standardising map, [count, sum and squares of y], RBF width by its name)."""
+    first = _sums(rows, lambda x, y: {0: np.concatenate([[len(y), y.sum(), (y * y).sum()], x.sum(axis=0), (x * x).sum(axis=0)])})[0]
+    n = first[0]
+    mean = first[3:3 + k] / n
+    variance = np.maximum(first[3 + k:] / n - mean ** 2, 0)
+    spread = np.where(variance > 1e-12 * np.maximum(1, mean ** 2), np.sqrt(variance), 1.0)
+    total = (variance / spread ** 2).mean() or 1.0
+    return FeatureMap(mean, spread), first[:3], {"scale": 1 / (k * total), "auto": 1 / k}
+
+
+def _landmarks(rows: DataFrame, number: int, seed: int) -> np.ndarray:
+    """Distinct feature vectors of `number` rows (at most) drawn by a hash."""
+    return np.unique(np.stack([r["x"] for r in rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(number).collect()]), axis=0)
+
+
+def fit_svrs(train: DataFrame, label: str, configs: list[dict], epsilon: float = 0.1, seed: int = 42) -> list[SVR]:
+    """The epsilon-insensitive loss for all configurations (C, kernel, gamma) together, on
+    standardised rows (see `_newton`). The RBF kernel is expanded around LANDMARKS rows
+    (Nystroem), drawn by a hash."""
+    rows = _arrays(train).select("x", F.col(label).cast("double").alias("y"))
+    plain, first, width = _standard(rows, _size(rows))
+    shift = first[1] / first[0]
+    scale = float(np.sqrt(max(first[2] / first[0] - shift ** 2, 0))) or 1.0
+    some = _landmarks(rows, LANDMARKS, seed)
+    maps: list[FeatureMap] = []
+    places: dict[float | None, int] = {}
+    problems: dict[tuple, _Problem] = {}
+    order = []
+    for c in configs:
+        gamma = width[c["gamma"]] if c["kernel"] == "rbf" else None
+        if gamma not in places:
+            places[gamma] = len(maps)
+            maps.append(plain if gamma is None else plain.with_kernel(gamma, some))
+        at = places[gamma]
+        order.append((float(c["C"]), at))
+        problems.setdefault(order[-1], _Problem(float(c["C"]), at, np.zeros(maps[at].size())))
+
+    def side(q, f, y):
+        scaled = ((y - shift) / scale)[:, None]
+        s = np.sign(scaled - f)
+        return s, s * scaled - epsilon
+
+    _newton(rows, maps, list(problems.values()), side)
     return [SVR(maps[q.features], q.w, float(shift), scale, float(q.gap)) for q in (problems[o] for o in order)]
 
 
@@ -310,6 +328,58 @@ def predict_class(fitted, df: DataFrame, out: str = "predicted_label") -> DataFr
     return model.transform(mapped(df)).withColumn(out, F.element_at(names, (F.col("prediction") + 1).cast("int"))).drop("prediction", "rawPrediction")
 
 
+@dataclass
+class KernelSVC:
+    """Soft-margin classifiers between every two classes; `w[j]` and `gaps[j]` belong to
+    `pairs[j]`, a positive value speaks for the first of the two."""
+
+    classes: list[str]
+    pairs: list[tuple[int, int]]
+    features: FeatureMap
+    w: list[np.ndarray]
+    gaps: list[float]
+
+    def votes(self, x: np.ndarray) -> np.ndarray:
+        z, out = self.features.z(x), np.zeros((len(x), len(self.classes)), dtype=np.int64)
+        for (a, b), w in zip(self.pairs, self.w, strict=True):
+            first = z @ w > 0
+            out[:, a] += first
+            out[:, b] += ~first
+        return out
+
+    def predict(self, df: DataFrame, out: str = "predicted_label") -> DataFrame:
+        """`df` with the class of most votes, ties to the first in order."""
+        names = F.array(*[F.lit(c) for c in self.classes])
+        place = _udf("int", lambda x: self.votes(x).argmax(axis=1))
+        return _arrays(df).withColumn(out, F.element_at(names, place + 1)).drop("x")
+
+
+def fit_kernel_svc(train: DataFrame, label: str, C: float = 1.0, kernel: str = "rbf", gamma: str = "scale", landmarks: int = LANDMARKS, seed: int = 42) -> KernelSVC:
+    """The hinge loss between every two classes, all pairs together (see `_newton`), on
+    standardised rows. The RBF kernel is expanded around `landmarks` rows of each class
+    (Nystroem): on overlapping classes the support vectors grow with the rows, so they are
+    never gathered. Rows whose label is null take no part; a single class is always predicted."""
+    classes = sorted(r[0] for r in train.select(F.col(label).cast("string")).where(F.col(label).isNotNull()).distinct().collect())
+    if not classes:
+        raise ValueError("no rows to fit")
+    place = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("string")) - 1
+    rows = _arrays(train).where(F.col(label).isNotNull()).select("x", place.cast("double").alias("y"))
+    plain, _, width = _standard(rows, _size(rows))
+    features = plain
+    if kernel == "rbf":
+        some = np.unique(np.concatenate([_landmarks(rows.where(F.col("y") == i), landmarks, seed) for i in range(len(classes))]), axis=0)
+        features = plain.with_kernel(width[gamma], some)
+    # at first every row lies in the corner, which is then narrowed
+    problems = [_Problem(float(C), 0, np.zeros(features.size()), mu=2.0, pair=(a, b)) for b in range(len(classes)) for a in range(b)]
+
+    def side(q, f, y):
+        s = ((y == q.pair[0]).astype(float) - (y == q.pair[1]))[:, None]
+        return s, np.abs(s)
+
+    _newton(rows, [features], problems, side)
+    return KernelSVC(classes, [q.pair for q in problems], features, [q.w for q in problems], [float(q.gap) for q in problems])
+
+
 # -- M8-M10 --------------------------------------------------------------------------------------
 
 def _long(test: DataFrame, arrays: DataFrame, column: str) -> DataFrame:
