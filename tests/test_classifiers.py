@@ -66,3 +66,19 @@ def test_synthetic_rows_lie_between_neighbours_of_their_class(rings, spark):
     assert oversampled(lone.repartition(5), "id", "x", "label", k=5).exceptAll(spark.createDataFrame(rows, oversampled(lone, "id", "x", "label").schema)).count() == 0
     assert oversampled(df.where("label = 'ring'"), "id", "x", "label").count() == 0
     assert oversampled(df.where("false"), "id", "x", "label").count() == 0
+
+
+def test_a_partition_without_rows_takes_no_part_in_sums(spark):
+    """A file's split that holds no row group is a task without rows."""
+    rows = spark.createDataFrame([([1.0, 2.0], 3.0)], "x array<double>, y double").repartition(3)
+    assert md._sums(rows, lambda x, y: {0: x.sum(axis=0), 1: y})[0].tolist() == [1.0, 2.0]
+
+
+def test_svr_and_classifier_with_empty_partitions(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 2))
+    rows = spark.createDataFrame([(r.tolist(), float(r[0]), "a" if r[0] > 0 else "b") for r in x], "x array<double>, y double, label string").coalesce(1)
+    rows = rows.unionByName(rows.where("y > 100")).withColumn("features", array_to_vector("x")).drop("x")
+    model = md.fit_svrs(rows, "y", [dict(C=1, kernel="linear", gamma="scale")])[0]
+    assert model.gap <= md.GAP and np.abs(model.predict(x) - x[:, 0]).max() < 0.5
+    assert max(md.fit_kernel_svc(rows, "label").gaps) <= md.GAP
