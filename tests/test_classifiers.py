@@ -82,3 +82,18 @@ def test_svr_and_classifier_with_empty_partitions(spark):
     model = md.fit_svrs(rows, "y", [dict(C=1, kernel="linear", gamma="scale")])[0]
     assert model.gap <= md.GAP and np.abs(model.predict(x) - x[:, 0]).max() < 0.5
     assert max(md.fit_kernel_svc(rows, "label").gaps) <= md.GAP
+
+
+def test_queries_of_a_pivot_are_dealt_over_slices(spark, monkeypatch):
+    """Same neighbours, and no group holds more than its share of the queries."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, rng.normal(size=3).tolist(), "ab"[i % 2]) for i in range(90)], "id long, v array<double>, g string").checkpoint()
+
+    def found():
+        near = knn.nearest(df, df, "id", "id", "v", "v", k=4, group_col="g", exclude_self=True)
+        return sorted((r["id"], r["nn_rank"], r["nn_id"], round(r["dist"], 9)) for r in near.collect())
+
+    whole, seen, search = found(), [], knn._search
+    monkeypatch.setattr(knn, "SLICE_QUERIES", 20)
+    monkeypatch.setattr(knn, "_search", lambda *a: seen.append(a[-1]) or search(*a))
+    assert found() == whole and len(whole) == 90 * 4 and seen == [5, 5]
