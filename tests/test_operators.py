@@ -359,3 +359,25 @@ def test_sparse_indicators_of_many_categories(spark):
         want = ([seen.index(f"v{i % 2500}")] if i % 100 and f"v{i % 2500}" in seen else []) + [len(seen) + i % 3]
         assert (r["indicators"]["size"], r["indicators"]["indices"], r["indicators"]["values"]) == (len(seen) + 3, want, [1.0] * len(want))
     assert out.count() == 3000
+
+
+def test_bootstrap_of_several_groupings_is_one_pass_over_the_draws(spark):
+    """All groupings share a row's draws, and a task hands on sums by key, not a row for each row and replicate."""
+    from wattline.operators.profiling import PER_HASH, POISSON_STEPS, _replicate_sums, bootstrap_digits, mean_ci_by
+    import hashlib
+    data = [(i % 90 if i % 7 else None, float(i % 13) + 0.25, f"a{i % 3}", None if i % 5 == 0 else "b") for i in range(400)] + [(5, None, "a0", "b")]
+    df = spark.createDataFrame(data, "id long, x double, k string, m string").repartition(3)
+    rows = df.where("x is not null").select("k", "m", F.col("x").alias("_x"), bootstrap_digits("id", 25, 42).alias("_digits"))
+    assert _replicate_sums(rows, ["k", "m"], 25).count() <= 3 * 5
+
+    def weight(i, b):
+        digest = hashlib.md5(":".join(["42", f"boot.{b // PER_HASH}"] + ([] if i is None else [str(i)])).encode()).hexdigest()
+        return sum(int(digest[3 * (b % PER_HASH):][:3], 16) >= t for t in POISSON_STEPS)
+
+    got = {(r["grain"], r["key"]): r for r in mean_ci_by(df, "x", {"one": F.col("k"), "two": F.col("m")}, "id", replicates=25).collect()}
+    assert len(got) == 5
+    for (grain, key), r in got.items():
+        own = [(i, x) for i, x, *ks in data if x is not None and ks[grain == "two"] == key]
+        means = [sum(weight(i, b) * x for i, x in own) / sum(weight(i, b) for i, _ in own) for b in range(25)]
+        assert r["n"] == len(own)
+        assert np.allclose([r["ci_lo"], r["ci_hi"]], np.quantile(means, [0.025, 0.975]), atol=1e-6)

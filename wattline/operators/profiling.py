@@ -12,7 +12,10 @@ computed by ``groupBy`` and joined back.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -323,39 +326,98 @@ def box_stats(df: DataFrame, value: str, group_cols: list[str] | None = None,
 POISSON_STEPS = [round(4096 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(6)]
 #: Replicates that one md5 of 32 hex digits gives.
 PER_HASH = 10
+#: Keys whose sums a task holds before it hands them on (3 kB a key with 200 replicates).
+HELD_KEYS = 10_000
 
 
-def bootstrap_weights(row_id: str, replicates: int, seed: int) -> Column:
-    """Array of Poisson(1) counts of a row, one a replicate, from md5("seed:boot.h:id"); 3
-    hex digits each. They don't depend on partitions or retries."""
-    hashes = [F.md5(F.concat_ws(":", F.lit(f"{seed}:boot.{h}"), F.col(row_id).cast("string"))) for h in range(-(-replicates // PER_HASH))]
-    bits = F.flatten(F.transform(F.array(*hashes), lambda m: F.transform(
-        F.sequence(F.lit(0), F.lit(PER_HASH - 1)), lambda j: F.conv(F.substr(m, 3 * j + 1, F.lit(3)), 16, 10).cast("int"))))
-    steps = F.array(*[F.lit(t) for t in POISSON_STEPS])
-    return F.transform(F.slice(bits, 1, replicates), lambda u: F.size(F.filter(steps, lambda t: u >= t)))
+def bootstrap_digits(row_id: str, replicates: int, seed: int) -> Column:
+    """The md5 digests of "seed:boot.h:id" behind one another, 16 bytes for each PER_HASH
+    replicates. They don't depend on partitions or retries."""
+    return F.concat(*[F.unhex(F.md5(F.concat_ws(":", F.lit(f"{seed}:boot.{h}"), F.col(row_id).cast("string")))) for h in range(-(-replicates // PER_HASH))])
 
 
-def mean_ci(df: DataFrame, value: str, key: Column, row_id: str, key_name: str = "key", replicates: int = 200, seed: int = 42,
-            level: float = 0.95, digits: int = 6) -> DataFrame:
-    """Mean with a bootstrap percentile interval. Every row counts Poisson(1) times in
-    each replicate, so a replicate's mean is a quotient of two sums and all replicates are
-    one aggregate, however large a group is. Null values are left out."""
+def bootstrap_weights(digits: pa.Array, replicates: int) -> np.ndarray:
+    """(rows x replicates) Poisson(1) counts from these digests; 3 hex digits each."""
+    octets = np.frombuffer(b"".join(digits.to_pylist()), dtype=np.uint8).reshape(len(digits), -1, 16)[:, :, :15].reshape(len(digits), -1, 3).astype(np.uint16)
+    u = np.stack([octets[:, :, 0] << 4 | octets[:, :, 1] >> 4, (octets[:, :, 1] & 15) << 8 | octets[:, :, 2]], axis=2).reshape(len(digits), -1)
+    return np.searchsorted(POISSON_STEPS, np.arange(4096), side="right").astype(np.float64)[u[:, :replicates]]
+
+
+def _replicate_sums(rows: DataFrame, keys: list[str], replicates: int) -> DataFrame:
+    """(_g, _key, _s, _w) of rows (keys.., _x, _digits): by key number and key, the weighted
+    sums and the weights of all replicates as arrays, of a part of the rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+
+        def flushed(kind: pa.DataType) -> pa.RecordBatch:
+            both = list(held.values())
+            out = pa.RecordBatch.from_arrays([
+                pa.array([g for g, _ in held], pa.int32()), pa.array([k for _, k in held], kind),
+                pa.array([v[0] for v in both], pa.list_(pa.float64())), pa.array([v[1] for v in both], pa.list_(pa.float64()))], names=["_g", "_key", "_s", "_w"])
+            held.clear()
+            return out
+
+        kind = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind = batch.schema.field(0).type
+            w = bootstrap_weights(batch.column("_digits"), replicates)
+            x = batch.column("_x").to_numpy(zero_copy_only=False)[:, None]
+            wx = w * x if np.isfinite(x).all() else np.multiply(w, x, where=w > 0, out=np.zeros_like(w))
+            for g in range(len(keys)):
+                coded = batch.column(g).dictionary_encode()
+                values = [*coded.dictionary.to_pylist(), None]
+                code = coded.indices.fill_null(len(values) - 1).to_numpy(zero_copy_only=False)
+                order = np.argsort(code, kind="stable")
+                first = np.flatnonzero(np.append(True, np.diff(code[order]) != 0))
+                sums = np.stack([np.add.reduceat(wx[order], first, axis=0), np.add.reduceat(w[order], first, axis=0)], axis=1)
+                for c, both in zip(code[order][first].tolist(), sums):
+                    at = (g, values[c])
+                    held[at] = held[at] + both if at in held else both
+                if len(held) >= HELD_KEYS:
+                    yield flushed(kind)
+        if held:
+            yield flushed(kind)
+
+    schema = T.StructType([T.StructField("_g", T.IntegerType()), T.StructField("_key", rows.schema[keys[0]].dataType),
+                           T.StructField("_s", T.ArrayType(T.DoubleType())), T.StructField("_w", T.ArrayType(T.DoubleType()))])
+    return rows.select(*keys, "_x", "_digits").mapInArrow(run, schema)
+
+
+def mean_ci_by(df: DataFrame, value: str, keys: dict[str, Column], row_id: str, name: str = "grain", key_name: str = "key", replicates: int = 200,
+               seed: int = 42, level: float = 0.95, digits: int = 6) -> DataFrame:
+    """G22 for several groupings (name -> key, all of one type): mean with a bootstrap
+    percentile interval. Every row counts Poisson(1) times in each replicate, so a
+    replicate's mean is a quotient of two sums and all replicates of all groupings are one
+    pass, however large a group is: a task adds up its rows by key, then the tasks' sums are
+    added. Null values are left out; null keys are a group."""
     x = _num(value)
-    rows = df.select(key.alias(key_name), x.alias("_x"), F.col(row_id).alias("_id")).where("_x is not null")
-    means = rows.groupBy(key_name).agg(F.count("_x").alias("n"), F.avg("_x").alias("mean"))
-    drawn = rows.select(key_name, "_x", F.posexplode(bootstrap_weights("_id", replicates, seed)).alias("_b", "_w")).where("_w > 0")
-    each = drawn.groupBy(key_name, "_b").agg((F.sum(F.col("_w") * F.col("_x")) / F.sum("_w")).alias("_m"))
+    cols = [f"_k{i}" for i in range(len(keys))]
+    rows = df.select(*[k.alias(c) for c, k in zip(cols, keys.values(), strict=True)], x.alias("_x"), F.col(row_id).alias("_id")).where("_x is not null")
+    each_key = F.explode(F.array(*[F.struct(F.lit(i).alias("g"), F.col(c).alias("k")) for i, c in enumerate(cols)]))
+    means = rows.select(each_key.alias("_e"), "_x").groupBy(F.col("_e.g").alias("_h"), F.col("_e.k").alias(key_name)).agg(F.count("_x").alias("n"), F.avg("_x").alias("mean"))
+    parts = _replicate_sums(rows.withColumn("_digits", bootstrap_digits("_id", replicates, seed)), cols, replicates)
+    cells = parts.select("_g", "_key", F.posexplode(F.arrays_zip("_s", "_w")).alias("_b", "_v"))
+    each = cells.groupBy("_g", "_key", "_b").agg(F.sum("_v._s").alias("_s"), F.sum("_v._w").alias("_w")).where("_w > 0")
     # at most `replicates` means a group from here on
-    sorted_means = each.groupBy(F.col(key_name).alias("_k")).agg(F.sort_array(F.collect_list("_m")).alias("_s"))
+    sorted_means = each.groupBy("_g", "_key").agg(F.sort_array(F.collect_list(F.col("_s") / F.col("_w"))).alias("_sorted"))
 
     def at(p: float) -> Column:
-        place = F.lit(p) * (F.size("_s") - 1)
-        lo, hi = F.get("_s", F.floor(place).cast("int")), F.get("_s", F.ceil(place).cast("int"))
+        place = F.lit(p) * (F.size("_sorted") - 1)
+        lo, hi = F.get("_sorted", F.floor(place).cast("int")), F.get("_sorted", F.ceil(place).cast("int"))
         return lo + (place - F.floor(place)) * (hi - lo)
 
     rd = lambda e, n: (F.round(e, digits) + F.lit(0.0)).alias(n)
-    out = means.join(sorted_means, F.col(key_name).eqNullSafe(F.col("_k")), "left")
-    return out.select(key_name, "n", (F.round("mean", 9) + F.lit(0.0)).alias("mean"), rd(at((1 - level) / 2), "ci_lo"), rd(at((1 + level) / 2), "ci_hi"))
+    out = means.join(sorted_means, (F.col("_h") == F.col("_g")) & F.col(key_name).eqNullSafe(F.col("_key")), "left")
+    return out.select(F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("_h") + 1).alias(name), key_name, "n", (F.round("mean", 9) + F.lit(0.0)).alias("mean"),
+                      rd(at((1 - level) / 2), "ci_lo"), rd(at((1 + level) / 2), "ci_hi"))
+
+
+def mean_ci(df: DataFrame, value: str, key: Column, row_id: str, key_name: str = "key", replicates: int = 200, seed: int = 42,
+            level: float = 0.95, digits: int = 6) -> DataFrame:
+    """G22 for one grouping; see `mean_ci_by`."""
+    return mean_ci_by(df, value, {"": key}, row_id, "_grain", key_name, replicates, seed, level, digits).drop("_grain")
 
 
 #: Bins of a density per bandwidth, and how many bandwidths the kernel reaches: beyond it

@@ -290,12 +290,8 @@ def _g22_sql(replicates=200, seed=42):
 
 @register("g22_mean_ci", _g22_sql())
 def g22_mean_ci(spark, sf_dir):
-    df = clean(spark, sf_dir)
-    out = None
-    for g, _, key in G22_KEYS:
-        part = pr.mean_ci(df, "usage_kwh", key(), "reading_id").withColumn("grain", F.lit(g))
-        out = part if out is None else out.unionByName(part)
-    return out
+    out = pr.mean_ci_by(clean(spark, sf_dir), "usage_kwh", {g: key() for g, _, key in G22_KEYS}, "reading_id")
+    return out.select("key", "n", "mean", "ci_lo", "ci_hi", "grain")
 
 
 G23_KEYS = [("hour_month", "CAST(hour(date) AS VARCHAR)", "CAST(month(date) AS VARCHAR)",
