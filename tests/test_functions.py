@@ -94,3 +94,15 @@ def test_normal_and_beta_moments(spark):
         mean, var, lo, hi = r[2 + 4 * i:6 + 4 * i]
         assert abs(mean - 0.5) < 0.02 and 0 <= lo < hi <= 1
         assert abs(var / (1 / (4 * (2 * a + 1))) - 1) < 0.05   # Beta(a, a) variance
+
+
+def test_numbers_and_dates_are_parsed_once(spark):
+    assert str(numeric_strict("v")).count("rlike(") == 1
+    assert str(parse_day_first("v")).count("try_to_timestamp(") == 1
+
+
+def test_canonicalize_with_and_without_null_targets(spark):
+    df = one_col(spark, [" a ", "b", "NAN", None, "c\t"])
+    assert [r[0] for r in df.select(canonicalize("v", {"a": "A", "NAN": None})).collect()] == ["A", "b", None, None, "c"]
+    assert [r[0] for r in df.select(canonicalize("v", {"b": "B"})).collect()] == ["a", "B", "NAN", None, "c"]
+    assert [r[0] for r in df.select(canonicalize("v", {})).collect()] == ["a", "b", "NAN", None, "c"]
