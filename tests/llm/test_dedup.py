@@ -177,6 +177,36 @@ def test_last_round_finds_links_that_the_pivots_miss(spark, table, monkeypatch):
     assert got_components(J.jaccard_components(table(rows))) == brute_components(rows)
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_a_group_leaves_a_forest_not_its_pairs(spark, monkeypatch, exact):
+    """Near copies of several sizes in one group: a row for each node at most, joined as all pairs would."""
+    monkeypatch.setattr(J, "BLOCK", 25)
+    rng, sets = np.random.default_rng(4), []
+    for size in (30, 60, 120, 121, 250):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2)
+        sets += [np.unique(np.concatenate([base[k % 7:], rng.integers(0, 1 << 63, k % 5, dtype=np.uint64)])) for k in range(20)]
+    n = len(sets)
+    value = [s.tobytes() if exact else J.parity_sketch(s) for s in sets]
+    stars = spark.createDataFrame([(0, k, 9) for k in range(1, n)], "pivot long, node long, shared long")
+    nodes = spark.createDataFrame([(k, len(s)) for k, s in enumerate(sets)], "node long, n long")
+    members = J._divided(J._grouped(stars, nodes), spark.createDataFrame([], "node long, component long"))
+    assert members.first()["blocks"] == 4
+    got = J._forest(members, spark.createDataFrame(list(enumerate(value)), "node long, value binary"), J.THRESHOLD, exact).collect()
+    assert len(got) < 4 * n  # 4 blocks meet in 10 parts, each with at most a row for each of its nodes
+
+    def parts(edges):
+        name = list(range(n))
+        for a, b in edges:
+            name = [name[a] if x == name[b] else x for x in name]
+        return {frozenset(k for k in range(n) if name[k] == x) for x in name}
+
+    links = [(a, b) for a in range(n) for b in range(a) if J.links(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))]
+    near = [(a, b) for a in range(n) for b in range(a) if J.may_link(J.parity_sketch(sets[a]), J.parity_sketch(sets[b]), len(sets[a]), len(sets[b]))
+            and min(len(sets[a]), len(sets[b])) * 100 >= J.THRESHOLD * max(len(sets[a]), len(sets[b]))]
+    assert len(links) > 700
+    assert parts((r["a"], r["b"]) for r in got) == parts(links if exact else near)
+
+
 def test_empty_table_and_near_copies_dropped(spark, table, odd_rows):
     assert J.jaccard_components(table([])).count() == 0
     assert J.drop_near_copies(table([])).count() == 0

@@ -19,11 +19,14 @@ it rarely makes a key of its own.
 
 Candidates and verification. Within each key's nodes the least is the pivot. A node
 is checked against the pivot that it shares most keys with: by size, by the Hamming
-distance of one-bit parity sketches, then exactly on the hash sets. Links make components. Further rounds
-take other pivots for the keys whose nodes aren't in one component yet, as long as
-that finds links. The last round takes all pairs of one key in different components,
-in blocks: no link that matters is lost, while a group of thousands of near copies
-costs a few checks a node instead of all pairs.
+distance of one-bit parity sketches, then exactly on the hash sets. Links make components.
+Keys of one pivot make one group (near copies share hundreds of keys, but few pivots).
+Further rounds take other pivots for the groups whose nodes aren't in one component yet, as
+long as that finds links. At last all nodes of such a group are compared where they meet,
+in blocks, and what leaves the task is a forest: first one of the pairs that sketches allow,
+to know whose sets are wanted, then, in the groups that had such pairs, one of exact links.
+No link that matters is lost, while a group of thousands of near copies costs a few checks
+a node, and a row for each node instead of one for each pair.
 """
 
 from __future__ import annotations
@@ -40,8 +43,8 @@ from wattline.llm.common import cut, keep_rows, row_key, small_batches, text_gro
 
 #: Words of a shingle and least percentage of the union that the intersection must be.
 WORDS, THRESHOLD = 5, 75
-#: Nodes of one key that are compared together in the last round; rounds of pivots before it.
-BLOCK, ROUNDS = 1024, 4
+#: Nodes of one group that are compared together in the end, and their tokens; rounds of pivots before it.
+BLOCK, BLOCK_TOKENS, ROUNDS = 1024, 1 << 20, 4
 #: Slots of the bitmap that tells workers which nodes' sets are wanted.
 BITMAP = 1 << 23
 #: Nodes whose keys a task remembers having sent.
@@ -252,8 +255,9 @@ def _keyed(docs: DataFrame, text_col: str, words: int, threshold: int) -> DataFr
 
 
 def _stars(keyed: DataFrame) -> DataFrame:
-    """(key, pivot, node): every node of a key but the least, with the least one. The
-    rows come sorted, so a key's pivot is its first row and nothing is gathered."""
+    """(pivot, node, shared): every node of a key but the least, with the least one, and the
+    number of keys for which that holds. The rows come sorted, so a key's pivot is its
+    first row and nothing is gathered."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key = last_pivot = last_node = None
         for batch in batches:
@@ -267,9 +271,17 @@ def _stars(keyed: DataFrame) -> DataFrame:
             pick = ~new & ~again & (node != pivot)
             last_key, last_pivot, last_node = key[-1], pivot[-1], node[-1]
             if pick.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(pivot[pick]), pa.array(node[pick])], names=["key", "pivot", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(pivot[pick]), pa.array(node[pick])], names=["pivot", "node"])
 
-    return (keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(run, "key long, pivot long, node long"))
+    pairs = keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(run, "pivot long, node long")
+    return pairs.groupBy("pivot", "node").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _grouped(stars: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(grp, node, shared, n): the nodes of every pivot, itself included. Nodes that share a
+    key are in the group of its pivot together."""
+    pivots = stars.groupBy("pivot").agg(F.max("shared").alias("shared")).select(F.col("pivot").alias("grp"), F.col("pivot").alias("node"), "shared")
+    return stars.select(F.col("pivot").alias("grp"), "node", "shared").union(pivots).join(nodes.select("node", "n"), "node")
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
@@ -363,104 +375,130 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _divided(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, node, component, size) of the keys whose nodes are in several components."""
-    rows = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    several = (rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-               .filter("lo <> hi").select("key", "size"))
-    return rows.join(several, "key")
+    """(grp, node, shared, n, component, blocks) of the groups whose nodes are in several components."""
+    rows = members.select("grp", "node", "shared", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_TOKENS))).cast("int")
+    several = (rows.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), blocks.alias("blocks"))
+               .filter("lo <> hi").select("grp", "blocks"))
+    return rows.join(several, "grp")
 
 
 def _other_stars(members: DataFrame, number: int) -> DataFrame:
-    """Pairs (a, b) of each key's pivot in this round with its nodes of other components.
+    """Pairs (a, b) of each group's pivot in this round with its nodes of other components.
     Pivots are the least by a hash that changes with the round."""
     order = F.xxhash64("node", F.lit(number))
-    pivot = members.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("node"), F.col("component"))).alias("p"))
-    both = members.join(pivot, "key").filter(F.col("component") != F.col("p.component"))
-    return _best_pivots(both.select(F.col("p.node").alias("pivot"), "node"))
+    pivot = members.groupBy("grp").agg(F.min(F.struct(order.alias("o"), F.col("node"), F.col("component"))).alias("p"))
+    both = members.join(pivot, "grp").filter(F.col("component") != F.col("p.component"))
+    return _best_pivots(both.groupBy(F.col("p.node").alias("pivot"), "node").agg(F.sum("shared").alias("shared")))
 
 
-def _best_pivots(rows: DataFrame) -> DataFrame:
+def _best_pivots(stars: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b: every node with the pivot that it shares most keys with."""
-    shared = rows.groupBy("pivot", "node").agg(F.count(F.lit(1)).alias("n"))
-    best = shared.groupBy("node").agg(F.max(F.struct("n", "pivot")).alias("p")).select("node", F.col("p.pivot").alias("pivot"))
+    best = stars.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("p")).select("node", F.col("p.pivot").alias("pivot"))
     return best.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
-def _last_round(members: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of one key in different components that sizes and sketches allow."""
-    members = members.withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-    rows = members.join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A large key's nodes are split; each two blocks meet in one group.
+def _forest(members: DataFrame, values: DataFrame, threshold: int, exact: bool) -> DataFrame:
+    """(grp, a, b), a < b: within each group's blocks, pairs that join the nodes of different
+    components as far as any pairs do. `values` has each node's sketch, and the pairs are
+    those that sizes and sketches allow; if `exact`, its hashes, and the pairs link."""
+    rows = members.select("grp", "node", "component", "n", "blocks").join(values.toDF("node", "value"), "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # A large group's nodes are split; each two blocks meet in one part.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "node", "component", "n", "sketch")
-
-    names = ["key", "left", "right", "block", "node", "component", "n", "sketch"]
+    names = ["grp", "left", "right", "block", "node", "component", "n", "value"]
+    rows = rows.withColumn("other", other).withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other")).select(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None  # rows of a group that may go on in the next batch
+        rest: list[pa.RecordBatch] = []  # rows of a part that may go on in the next batch
+        last = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
-            group = np.stack([table.column(c).to_numpy() for c in names[:3]])
-            new = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
-            stop = int(new[-1]) if len(new) else 0
-            rest = table.slice(stop)
-            if stop:
-                yield _pairs_within(table.slice(0, stop), np.append(0, new), threshold)
-        if rest is not None and len(rest):
-            yield _pairs_within(rest, np.array([0, len(rest)]), threshold)
-
-    dealt = rows.select(*names).repartition(F.col("key"), F.col("left"), F.col("right")).sortWithinPartitions("key", "left", "right")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def _pairs_within(table: pa.Table, bounds: np.ndarray, threshold: int) -> pa.RecordBatch:
-    """Pairs of nodes within each group of rows (at most two blocks) that sizes and sketches allow."""
-    left, right, block, node, part, n = (table.column(c).to_numpy() for c in ("left", "right", "block", "node", "component", "n"))
-    sketches = table.column("sketch").to_pylist()
-    out: list[np.ndarray] = []
-    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        size = min(map(len, sketches[lo:hi]))
-        bits = np.frombuffer(b"".join(_folded(s, size).to_bytes(size, "little") for s in sketches[lo:hi]), dtype=np.uint64).reshape(hi - lo, -1)
-        for i in range(lo, hi - 1):
-            ok = (part[i + 1:hi] != part[i]) & (100 * np.minimum(n[i + 1:hi], n[i]) >= threshold * np.maximum(n[i + 1:hi], n[i]))
-            if left[lo] != right[lo]:
+            if not len(batch):
+                continue
+            part = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            new = np.flatnonzero((part[:, 1:] != part[:, :-1]).any(axis=0)) + 1
+            bounds = [0, *new.tolist(), len(batch)]
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                here = tuple(part[:, lo].tolist())
+                if rest and here != last:
+                    yield _forest_of(pa.Table.from_batches(rest), threshold, exact)
+                    rest = []
+                rest.append(batch.slice(lo, hi - lo))
+                last = here
+        if rest:
+            yield _forest_of(pa.Table.from_batches(rest), threshold, exact)
+
+    dealt = rows.repartition(F.col("grp"), F.col("left"), F.col("right")).sortWithinPartitions("grp", "left", "right")
+    return dealt.mapInArrow(run, "grp long, a long, b long")
+
+
+def _forest_of(part: pa.Table, threshold: int, exact: bool) -> pa.RecordBatch:
+    """The forest of one part: all nodes of a block, or those of two blocks against each other."""
+    sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for c in part.column("value").chunks for v in c] if exact else []
+    sketches = [parity_sketch(s) for s in sets] if exact else part.column("value").to_pylist()
+    size = np.array([len(x) for x in sketches])
+    order = np.argsort(size, kind="stable")
+    size = size[order]
+    block, node, label, n = (part.column(c).to_numpy()[order] for c in ("block", "node", "component", "n"))
+    label, crossed = label.copy(), part.column("left")[0] != part.column("right")[0]
+    out: list[tuple[int, int]] = []
+    for width in np.unique(size).tolist():
+        # sizes of linked sets are less than twice apart, and so are those of their sketches
+        lo, mid, hi = np.searchsorted(size, [width, width + 1, 2 * width + 1]).tolist()
+        bits = np.frombuffer(b"".join(_folded(sketches[k], width).to_bytes(width, "little") for k in order[lo:hi]), dtype=np.uint64).reshape(hi - lo, -1)
+        for i in range(lo, mid):
+            ok = (label[i + 1:hi] != label[i]) & (100 * np.minimum(n[i + 1:hi], n[i]) >= threshold * np.maximum(n[i + 1:hi], n[i]))
+            if crossed:
                 ok &= block[i + 1:hi] != block[i]
             at = np.flatnonzero(ok) + i + 1
-            if len(at):
-                apart = np.bitwise_count(bits[at - lo] ^ bits[i - lo]).sum(axis=1, dtype=np.int64)
-                at = at[apart <= (n[at] + n[i]) * (100 - threshold) // (100 + threshold)]
-                out.append(np.stack([np.minimum(node[at], node[i]), np.maximum(node[at], node[i])]))
-    a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), dtype=np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            if not len(at):
+                continue
+            apart = np.bitwise_count(bits[at - lo] ^ bits[i - lo]).sum(axis=1, dtype=np.int64)
+            near = apart <= (n[at] + n[i]) * (100 - threshold) // (100 + threshold)
+            for k in at[near][np.argsort(apart[near], kind="stable")].tolist():
+                if label[k] == label[i]:
+                    continue  # joined meanwhile
+                if exact and not links(len(np.intersect1d(sets[order[i]], sets[order[k]], assume_unique=True)), n[i], n[k], threshold):
+                    continue
+                out.append((i, k))
+                label[label == label[k]] = label[i]
+    a, b = node[np.array(out, dtype=np.int64).reshape(-1, 2)].T
+    grp = np.full(len(out), part.column("grp")[0].as_py(), dtype=np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(grp), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["grp", "a", "b"])
 
 
 def node_components(docs: DataFrame, nodes: DataFrame, text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(node, component) of the nodes that link with another one."""
     stars = cut(_stars(_keyed(docs, text_col, words, threshold)))
-    members = stars.select("key", "node").union(stars.select("key", F.col("pivot").alias("node")).distinct())
-    near = cut(_near(_best_pivots(stars.select("pivot", "node")), nodes, threshold))
+    near = cut(_near(_best_pivots(stars), nodes, threshold))
     known = cut(_ends(near))
     sets = _stored_sets(docs, known, text_col, words)
     found = cut(components(_linked(near, sets, threshold)))
-    # The further rounds take the nodes that were near another one; the last takes all.
+    members = _grouped(stars, nodes)
+    # The further rounds take the nodes that were near another one; the end takes all.
     few = cut(nodes.join(known, "node", "left_semi"))
     divided = cut(_divided(members.join(known, "node", "left_semi"), found))
     for number in range(ROUNDS):
         more = cut(_linked(_near(_other_stars(divided, number), few, threshold), sets, threshold))
         if more.isEmpty():
             break
-        found = cut(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
+        found = _joined(found, more)
         divided = cut(_divided(divided, found))
     members = cut(_divided(members, found))
-    rest = cut(_last_round(members, nodes, threshold))
+    rest = cut(_forest(members, nodes.select("node", "sketch"), threshold, False))
     if rest.isEmpty():
         return found
     missing = cut(_ends(rest).join(known, "node", "left_anti"))
     if not missing.isEmpty():
         sets = sets.union(_stored_sets(docs, missing, text_col, words))
-    more = cut(_linked(rest, sets, threshold))
+    found = _joined(found, cut(_linked(rest.select("a", "b").distinct(), sets, threshold)))
+    # Every node that may have another link is known or in the forest.
+    divided = cut(_divided(members.join(rest.select("grp").distinct(), "grp", "left_semi").join(known.union(missing), "node", "left_semi"), found))
+    return _joined(found, cut(_forest(divided, sets, threshold, True).select("a", "b")))
+
+
+def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    """The components after some more links."""
     return found if more.isEmpty() else cut(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
 
 
