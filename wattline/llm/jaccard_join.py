@@ -44,7 +44,7 @@ from wattline.llm.common import cut, keep_rows, row_key, small_batches, text_gro
 #: Words of a shingle and least percentage of the union that the intersection must be.
 WORDS, THRESHOLD = 5, 75
 #: Nodes of one group that are compared together in the end, and their tokens; rounds of pivots before it.
-BLOCK, BLOCK_TOKENS, ROUNDS = 1024, 1 << 20, 4
+BLOCK, BLOCK_TOKENS, ROUNDS = 1024, 1 << 20, 1
 #: Slots of the bitmap that tells workers which nodes' sets are wanted.
 BITMAP = 1 << 23
 #: Nodes whose keys a task remembers having sent.
