@@ -200,3 +200,23 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, p, group):
         d = np.abs(x - x[i]).sum(axis=1) if p == 1 else np.sqrt(((x - x[i]) ** 2).sum(axis=1))
         others = sorted((d[j], j) for j in range(250) if j != i and (group is None or g[j] == g[i]))[:5]
         assert [t for _, t in sorted(got.get(i, []))] == [j for _, j in others], i
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_queries_that_reach_most_pivots_go_to_groups_in_small_batches(spark, monkeypatch, p):
+    """Same neighbours where queries go to groups of pivots, and no task hands on all pairs of its queries at once."""
+    from wattline.operators import knn
+    monkeypatch.setattr(knn, "PIVOT_ROWS", 4)
+    monkeypatch.setattr(knn, "GROUP_ROWS", 16)
+    rng = np.random.default_rng(p)
+    rows = [(i, [float(v) for v in r], "ab"[i % 2]) for i, r in enumerate(rng.normal(size=(150, 12)).round(1))]
+    df = spark.createDataFrame(rows + [(500 + i, v, g) for i, v, g in rows[:20]], "id long, v array<double>, g string").checkpoint()
+
+    def found(few, held):
+        monkeypatch.setattr(knn, "FEW_PIVOTS", few)
+        monkeypatch.setattr(knn, "HELD_ROWS", held)
+        near = knn.nearest(df, df, "id", "id", "v", "v", k=4, p=p, group_col="g", exclude_self=True)
+        return sorted((r["id"], r["nn_rank"], r["nn_id"], round(r["dist"], 9)) for r in near.collect())
+
+    whole = found(10_000, 4096)
+    assert len(whole) == 170 * 4 and found(0, 7) == whole and found(10_000, 7) == whole
